@@ -1,0 +1 @@
+"""Intentionally empty: every workload covered by this library is a batch workload."""
