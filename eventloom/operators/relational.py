@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Row
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from eventloom.operators.ordered import position
@@ -102,3 +102,24 @@ def encode_labels(df: DataFrame, column: str, name: str) -> DataFrame:
     """Code of each value: its place among the sorted distinct values, from 0."""
     values = position(df.select(column).filter(F.col(column).isNotNull()).distinct(), [], [column], "__n")
     return df.join(values, column, "left").withColumn(name, F.col("__n") - 1).drop("__n")
+
+
+def rows_of_kth_key(df: DataFrame, key: str, k: int) -> DataFrame:
+    """Rows of the k-th smallest distinct key (from 1)."""
+    keys = position(df.select(key).distinct(), [], [key], "__n")
+    return df.join(keys.filter(F.col("__n") == k).select(key), key, "left_semi")
+
+
+def column_maxima(frames: Sequence[DataFrame], columns: Sequence[str], extra: int = 1) -> DataFrame:
+    """Largest value of each column over all frames plus ``extra``, one row per column (vocabulary sizes)."""
+    both = append_by_name([f.select(*columns) for f in frames], rank=None)
+    row = both.agg(*[(F.max(c) + extra).cast("bigint").alias(c) for c in columns])
+    return row.unpivot([], list(columns), "column", "size")
+
+
+def param_grid(spark: SparkSession, values: dict[str, Sequence]) -> DataFrame:
+    """All combinations of the listed parameter values, built by exploding constant arrays."""
+    grid = spark.range(1).drop("id")
+    for name, options in values.items():
+        grid = grid.withColumn(name, F.explode(F.array(*[F.lit(o) for o in options])))
+    return grid

@@ -5,8 +5,9 @@ from __future__ import annotations
 import datetime
 import tempfile
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -56,26 +57,44 @@ def read_inferred_csv(spark: SparkSession, path: str, encoding: str = "UTF-8") -
     return spark.read.options(header=True, inferSchema=True, encoding=encoding).csv(path)
 
 
+def _drop_heads(skip: int):
+    """Batches of (value, file, start) without the first ``skip`` lines of each file.
+
+    The head of a file lies in its first split, whose lines arrive in file order within one task.
+    """
+
+    def strip(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        seen: dict[str, int] = {}
+        for batch in batches:
+            place = batch.groupby("file").cumcount() + batch["file"].map(seen).fillna(0)
+            for name, count in batch["file"].value_counts().items():
+                seen[name] = seen.get(name, 0) + int(count)
+            yield batch.loc[(batch["start"] > 0) | (place >= skip), ["value"]]
+
+    return strip
+
+
 def read_tsv_after_preamble(spark: SparkSession, path: str, schema: T.StructType, skip: int) -> DataFrame:
     """Tab-separated text whose files start with ``skip`` preamble lines and a header line.
 
-    A preamble line is recognised by its place in its file, so the file is read as whole lines with
-    byte order kept by a non-splitting read of the first block: the lines to leave out are few and
-    are looked up once per file, the data is then parsed in parallel.
+    Spark's readers cannot leave out more than one line per file, so the lines pass through one
+    Arrow step that drops the heads; parsing is left to ``from_csv``. No shuffle, one pass.
     """
-    lines = spark.read.text(path).withColumn("__file", F.input_file_name())
-    # The first lines of a file are the first rows of its first split: rows are numbered inside
-    # each read task in file order, and the split offset tells which task holds the file's start.
-    placed = lines.withColumn("__start", F.input_file_block_start()).withColumn("__row", F.monotonically_increasing_id())
-    heads = (
-        placed.filter("__start = 0")
-        .groupBy("__file")
-        .agg(F.min("__row").alias("__first"))
+    lines = spark.read.text(path).select(
+        "value", F.input_file_name().alias("file"), F.input_file_block_start().alias("start")
     )
-    joined = placed.join(F.broadcast(heads), "__file", "left")
-    data = joined.filter(~((F.col("__start") == 0) & (F.col("__row") - F.col("__first") <= skip)))
-    parsed = F.from_csv("value", schema.simpleString()[len("struct<") : -1].replace(":", " "), {"sep": "\t"})
-    return data.select(parsed.alias("__r")).select("__r.*")
+    data = lines.mapInPandas(_drop_heads(skip + 1), "value string")
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+    return data.select(F.from_csv("value", fields, {"sep": "\t"}).alias("row")).select("row.*")
+
+
+def write_tsv_with_preamble(df: DataFrame, path: str, preamble: Sequence[str]) -> None:
+    """The layout that :func:`read_tsv_after_preamble` reads: every file starts with the preamble."""
+    line = F.concat_ws("\t", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in df.columns])
+    head = [F.lit(text) for text in (*preamble, "\t".join(df.columns))]
+    first = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)) == 0
+    lines = df.select(F.explode(F.when(first, F.array(*head, line)).otherwise(F.array(line))).alias("value"))
+    lines.write.mode("overwrite").text(path)
 
 
 def read_in_file_order(
