@@ -41,15 +41,22 @@ def _(spark, folder):
     return sa.split_bands(views.members(spark, folder).select("msno"), "msno", (0.5, 0.25), seed=1)
 
 
-@query("split_random")
+def drawn(key: str, seed: int) -> str:
+    return f"CAST(('0x' || substr({hashed(key, seed)}, 1, 8)) AS BIGINT) / CAST(4294967296 AS DOUBLE)"
+
+
+@query(
+    "split_random",
+    f"""SELECT race_id, CASE WHEN {drawn('race_id', 42)} < CAST(0.5 AS DOUBLE) THEN 0
+        WHEN {drawn('race_id', 42)} < CAST(0.8 AS DOUBLE) THEN 1 ELSE 2 END AS part FROM races""",
+)
 def _(spark, folder):
-    parts = views.races(spark, folder).select("race_id").randomSplit([0.5, 0.3, 0.2], seed=42)
-    return rel.append_by_name(parts, rank="part")
+    return sa.split_random(views.races(spark, folder).select("race_id"), "race_id", (0.5, 0.3), seed=42)
 
 
-@query("split_bernoulli")
+@query("split_bernoulli", f"SELECT race_id, {drawn('race_id', 42)} < CAST(0.8 AS DOUBLE) AS is_train FROM races")
 def _(spark, folder):
-    return views.races(spark, folder).select("race_id", (F.rand(42) < 0.8).alias("is_train"))
+    return sa.split_bernoulli(views.races(spark, folder).select("race_id"), "race_id", 0.8, seed=42)
 
 
 @query(
@@ -341,3 +348,19 @@ def _(spark, folder):
 def _(spark, folder):
     df = views.members(spark, folder).select("msno", "balance", "n_trans")
     return rounded(st.z_scores(df, ["balance", "n_trans"]), "balance", "n_trans")
+
+
+_R = " , ".join(f'corr("{a}", "{b}") AS r_{a}_{b}' for a, b in (("chulNo", "hrWeight"), ("chulNo", "rcDist"), ("hrWeight", "rcDist")))
+
+
+@query(
+    "vif",
+    f"""WITH c AS (SELECT {_R} FROM races),
+        d AS (SELECT *, 1 + 2 * "r_chulNo_hrWeight" * "r_chulNo_rcDist" * "r_hrWeight_rcDist" - "r_chulNo_hrWeight" ** 2
+              - "r_chulNo_rcDist" ** 2 - "r_hrWeight_rcDist" ** 2 AS det FROM c)
+        SELECT 'chulNo' AS feature, round((1 - "r_hrWeight_rcDist" ** 2) / det, 6) AS vif FROM d
+        UNION ALL SELECT 'hrWeight', round((1 - "r_chulNo_rcDist" ** 2) / det, 6) FROM d
+        UNION ALL SELECT 'rcDist', round((1 - "r_chulNo_hrWeight" ** 2) / det, 6) FROM d""",
+)
+def _(spark, folder):
+    return rounded(models.variance_inflation(views.races(spark, folder), _NUMERIC), "vif")

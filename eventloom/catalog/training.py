@@ -161,11 +161,6 @@ def _(spark, folder):
     return m.coefficient_magnitudes(race_frame(spark, folder), RACE_FEATURES, "rcResult")
 
 
-@query("vif")
-def _(spark, folder):
-    return m.variance_inflation(race_frame(spark, folder), ["chulNo", "hrWeight", "rcDist"])
-
-
 @query("glm_summary")
 def _(spark, folder):
     return m.logistic_table(race_frame(spark, folder), ["chulNo", "hrWeight", "rcDist"], "rcResult")

@@ -16,7 +16,7 @@ from collections import Counter
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from eventloom.functions.timeparts import gap_seconds, micros
@@ -24,11 +24,11 @@ from eventloom.operators.ordered import (
     GroupStats,
     Ordered,
     by_pieces,
-    by_window,
     group_limit,
     group_stats,
     piece_count,
     split_oversized,
+    window_value,
 )
 
 # A per-group table up to this many groups is broadcast; beyond it the join is left to Spark.
@@ -203,24 +203,102 @@ def _finish(df: DataFrame, steps: Sequence[Ordered], values: dict[str, Column])
     return df.withColumns(values).drop(*[s.name for s in steps])
 
 
+@dataclass
+class Chain:
+    """Features that one sort order can serve.
+
+    ``sets`` are key sets ordered by inclusion: sorting by the columns of the smallest set, then by
+    those the next one adds, and so on, makes the rows of every group of every set adjacent.
+    ``top`` is set where order-dependent features need the row order right after their keys.
+    """
+
+    sets: list[frozenset[str]]
+    top: frozenset[str] | None
+    features: list[Feature]
+
+    def accepts(self, wanted: Sequence[frozenset[str]]) -> bool:
+        nested = all(s <= w or w <= s for w in wanted for s in self.sets)
+        return nested and (self.top is None or all(w <= self.top for w in wanted))
+
+    def add(self, feature: Feature, wanted: Sequence[frozenset[str]]) -> None:
+        self.features.append(feature)
+        self.sets += [w for w in wanted if w not in self.sets]
+
+    def columns(self) -> list[str]:
+        named = [k for f in self.features for k in (*f.keys, f.column) if k]
+        result: list[str] = []
+        for s in sorted(self.sets, key=len):
+            result += [k for k in dict.fromkeys(named) if k in s and k not in result]
+        return result
+
+
+def chains(features: Sequence[Feature]) -> list[Chain]:
+    """Distribute the features over few sort orders."""
+    result: list[Chain] = []
+    for f in features:
+        if f.is_ordered:
+            keys = frozenset(f.keys)
+            chain = next((c for c in result if c.top == keys), None)
+            if chain is None:
+                chain = Chain([], keys, [])
+                result.append(chain)
+            chain.add(f, [keys])
+    # the most demanding ones first: distinct counts with many keys
+    rest = sorted((f for f in features if not f.is_ordered), key=lambda f: (f.kind != "distinct", -len(f.keys)))
+    for f in rest:
+        keys = frozenset(f.keys)
+        wanted = [keys, keys | {f.column}] if f.kind == "distinct" else [keys]
+        chain = next((c for c in result if c.accepts(wanted)), None)
+        if chain is None:
+            chain = Chain([], None, [])
+            result.append(chain)
+        chain.add(f, wanted)
+    return result
+
+
+def _chain_columns(df: DataFrame, chain: Chain, order: Sequence[str]) -> DataFrame:
+    """All features of a chain. Every window asks for the same complete sort order, so the rows are
+    sorted once however the windows are arranged."""
+    columns = chain.columns()
+    sort_by = columns + (list(order) if chain.top is not None else [])
+
+    def over(keys: Sequence[str]) -> WindowSpec:
+        return Window.partitionBy(*sort_by[: len(set(keys))]).orderBy(*sort_by[len(set(keys)) :])
+
+    def whole(keys: Sequence[str]) -> WindowSpec:
+        return over(keys).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+
+    ordered = [f for f in chain.features if f.is_ordered]
+    distinct = [f for f in chain.features if f.kind == "distinct"]
+    plain = [f for f in chain.features if not f.is_ordered and f.kind != "distinct"]
+
+    steps, values = _gap_columns(ordered)
+    first = {s.name: window_value(s, over(ordered[0].keys)) for s in steps}
+    # Equal values of the counted column are adjacent in their group: a value counts where it
+    # differs from the row before.
+    for i, f in enumerate(distinct):
+        first[f"__before_{i}"] = F.lag(f.column).over(over(f.keys))
+    if first:
+        df = df.withColumns(first)
+    second = {f.name: _narrowed(f, _aggregate(f).over(whole(f.keys))) for f in plain}
+    for i, f in enumerate(distinct):
+        new = F.col(f.column).isNotNull() & ~F.col(f.column).eqNullSafe(F.col(f"__before_{i}"))
+        second[f.name] = _narrowed(f, F.count_if(new).over(whole(f.keys)))
+    df = df.withColumns({**values, **second})
+    return df.drop(*first) if first else df
+
+
 def _windows(df: DataFrame, family: Family, order: Sequence[str]) -> DataFrame:
-    """Ordinary groups: one shuffle on the root, then local sorts only."""
+    """Ordinary groups: one shuffle on the root, then one local sort per chain."""
     if len(_by_keys(family.features)) > 1:
         df = df.repartition(*family.root)
-    for keys, wanted in _by_keys(family.features).items():
-        ordered = [f for f in wanted if f.is_ordered]
-        if ordered:
-            steps, values = _gap_columns(ordered)
-            df = _finish(by_window(df, keys, order, steps), steps, values)
-    for f in family.features:
-        if f.kind == "distinct":
-            # mark one row per (keys, value); the marks add up to the distinct count
-            mark = F.row_number().over(Window.partitionBy(*f.keys, f.column).orderBy(f.column)) == 1
-            df = df.withColumn("__mark", (mark & F.col(f.column).isNotNull()).cast("bigint"))
-            df = df.withColumn(f.name, _narrowed(f, F.sum("__mark").over(Window.partitionBy(*f.keys)))).drop("__mark")
-    for keys, wanted in _by_keys([f for f in family.features if not f.is_ordered and f.kind != "distinct"]).items():
-        over = Window.partitionBy(*keys)
-        df = df.withColumns({f.name: _narrowed(f, _aggregate(f).over(over)) for f in wanted})
+    groups = chains(family.features)
+    for chain in groups:
+        if len(groups) > 1:
+            # without an explicit sort Catalyst moves windows with fewer keys below the others, which
+            # mixes the chains and sorts the rows again for each piece
+            df = df.sortWithinPartitions(*chain.columns(), *(order if chain.top is not None else []))
+        df = _chain_columns(df, chain, order)
     return df
 
 

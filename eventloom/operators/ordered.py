@@ -86,7 +86,7 @@ def split_oversized(df: DataFrame, keys: Sequence[str], limit: int) -> tuple[Dat
     return df.join(hot, condition, "left_anti"), df.join(hot, condition, "left_semi")
 
 
-def _window_value(step: Ordered, window) -> Column:
+def window_value(step: Ordered, window) -> Column:
     if step.kind == "position":
         return F.row_number().over(window).cast("bigint")
     if step.kind == "lag":
@@ -100,7 +100,7 @@ def _window_value(step: Ordered, window) -> Column:
 
 def by_window(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column], steps: Sequence[Ordered]) -> DataFrame:
     window = Window.partitionBy(*keys).orderBy(*order)
-    return df.withColumns({s.name: _window_value(s, window) for s in steps})
+    return df.withColumns({s.name: window_value(s, window) for s in steps})
 
 
 def by_pieces(
@@ -116,7 +116,7 @@ def by_pieces(
     ranged = checkpointed(ranged.withColumn(PIECE, F.spark_partition_id()))
 
     window = Window.partitionBy(*keys, PIECE).orderBy(*sort_by)
-    local = {f"__local_{s.name}": _window_value(s, window) for s in steps}
+    local = {f"__local_{s.name}": window_value(s, window) for s in steps}
     rows = ranged.withColumns(
         {"__rank": F.row_number().over(window), "__last": F.lead(F.lit(1)).over(window).isNull(), **local}
     )

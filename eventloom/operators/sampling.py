@@ -111,3 +111,30 @@ def fold_modulo(df: DataFrame, order: Sequence[str], folds: int, name: str = "fo
 
 def class_weight(label: str, positive: float) -> Column:
     return F.when(F.col(label) == 1, F.lit(float(positive))).otherwise(F.lit(1.0))
+
+
+def uniform(key: str, seed: int) -> Column:
+    """A number in [0, 1) drawn from the hash of the key: the same row draws the same number wherever and
+    however often it is computed, unlike a random generator seeded per task."""
+    return F.conv(F.substring(token(key, seed), 1, 8), 16, 10).cast("double") / F.lit(float(2**32))
+
+
+def split_random(
+    df: DataFrame, key: str, shares: Sequence[float] = (0.5, 0.3), seed: int = 42, name: str = "part"
+) -> DataFrame:
+    """Number the parts of a split with approximate shares; the last part takes the rest. No shuffle."""
+    draw, upto, part = uniform(key, seed), 0.0, None
+    for i, share in enumerate(shares):
+        upto += share
+        part = F.when(draw < upto, i) if part is None else part.when(draw < upto, i)
+    return df.withColumn(name, part.otherwise(len(shares)))
+
+
+def split_bernoulli(df: DataFrame, key: str, share: float = 0.8, seed: int = 42, name: str = "is_train") -> DataFrame:
+    """Mark each row independently with probability ``share``. No shuffle."""
+    return df.withColumn(name, uniform(key, seed) < share)
+
+
+def random_rows(df: DataFrame, key: str, n: int, seed: int = 7) -> DataFrame:
+    """``n`` random rows: the first in hash order."""
+    return df.orderBy(token(key, seed), key).limit(n)

@@ -14,6 +14,9 @@ RECOMMENDED = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # A feature job has more generated classes than the default cache of 100 holds; without this
+    # every run compiles them again.
+    "spark.sql.codegen.cache.maxEntries": "2000",
 }
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime
 import decimal
 import math
+import os
 import sys
 import time
 
@@ -68,6 +69,8 @@ def main(folder: str, only: list[str]) -> int:
         **{"spark.sql.shuffle.partitions": "8", "spark.driver.memory": "8g", "spark.ui.enabled": "false"},
     )
     spark.sparkContext.setLogLevel("ERROR")
+    if os.environ.get("GROUP_ROWS"):
+        spark.conf.set("eventloom.groupRows", os.environ["GROUP_ROWS"])
     con, bad = duck(folder), 0
     for name, run in QUERIES.items():
         if only and not any(name.startswith(o) for o in only):
