@@ -10,9 +10,15 @@ from eventloom.operators import visits as v
 from eventloom.plans import pipelines
 
 
+def unpacked(packed, **options):
+    """Unpacked scans with the position counted over all parts of a visit."""
+    rows = v.unpack_scans(packed, **options)
+    return rows.withColumn("pos", F.col("part") * views.SCAN_PART + F.col("pos")).drop("part")
+
+
 @query("scan_unpack", "SELECT visit, pid, type, date, pos, bssid, rssi, frequency FROM readings")
 def _(spark, folder):
-    return v.unpack_scans(views.scans(spark, folder))
+    return unpacked(views.scans(spark, folder))
 
 
 @query(
@@ -21,10 +27,11 @@ def _(spark, folder):
        WHERE visit IN (SELECT visit FROM readings GROUP BY visit HAVING count(*) > 1)""",
 )
 def _(spark, folder):
-    packed = views.scans(spark, folder).withColumn("wifi", v.with_terminator("wifi"))
-    return v.unpack_scans(packed.filter("type = 1"), drop_single=True).unionByName(
-        v.unpack_scans(views.scans(spark, folder).filter("type = 0"), drop_single=True)
-    )
+    # survey scans carry a terminator; only the first part of a visit can hold its single record
+    wifi = F.when(F.col("type") == 1, v.with_terminator("wifi")).otherwise(F.col("wifi"))
+    packed = views.scans(spark, folder).withColumn("wifi", wifi)
+    first = unpacked(packed.filter("part = 0"), drop_single=True)
+    return first.unionByName(unpacked(packed.filter("part > 0")))
 
 
 @query(

@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from eventloom.functions.timeparts import gap_seconds, micros
 from eventloom.operators.ordered import (
+    BROADCAST_GROUPS,
     GroupStats,
     Ordered,
     by_pieces,
@@ -31,9 +32,6 @@ from eventloom.operators.ordered import (
     window_value,
 )
 
-# A per-group table up to this many groups is broadcast; beyond it the join is left to Spark.
-BROADCAST_GROUPS = 200_000
-
 TIME = "__micros"
 
 
@@ -156,12 +154,13 @@ def _by_keys(features: Sequence[Feature]) -> dict[tuple[str, ...], list[Feature]
 
 
 def _attach_aggregates(
-    df: DataFrame, source: DataFrame, features: Sequence[Feature], broadcast: bool
+    df: DataFrame, source: DataFrame, features: Sequence[Feature], groups: dict[tuple[str, ...], GroupStats]
 ) -> DataFrame:
     """Aggregate ``source`` per key list and join the values back to the rows of ``df``.
 
-    ``source`` holds the same rows before they were shuffled for other features. Each distinct
-    count gets its own aggregation: several in one would multiply the rows.
+    ``source`` holds the same rows before they were shuffled for other features; ``groups`` tells which
+    key lists have few enough groups for a broadcast. Each distinct count gets its own aggregation:
+    several in one would multiply the rows.
     """
     for keys, wanted in _by_keys(features).items():
         plain = [f for f in wanted if f.kind != "distinct"]
@@ -171,7 +170,8 @@ def _attach_aggregates(
                 *[_narrowed(f, _aggregate(f)).alias(f.name) for f in bundle]
             )
             condition = [df[k].eqNullSafe(side[f"__k_{k}"]) for k in keys]
-            df = df.join(F.broadcast(side) if broadcast else side, condition, "left").drop(*[f"__k_{k}" for k in keys])
+            few = groups[keys].groups <= BROADCAST_GROUPS
+            df = df.join(F.broadcast(side) if few else side, condition, "left").drop(*[f"__k_{k}" for k in keys])
     return df
 
 
@@ -304,7 +304,10 @@ def _windows(df: DataFrame, family: Family, order: Sequence[str]) -> DataFrame:
 
 def _oversized(df: DataFrame, family: Family, order: Sequence[str], pieces: int) -> DataFrame:
     """Groups too large for one task."""
-    df = _attach_aggregates(df, df, [f for f in family.features if not f.is_ordered], broadcast=False)
+    plain = [f for f in family.features if not f.is_ordered]
+    if plain:
+        lists = list(_by_keys(plain))
+        df = _attach_aggregates(df, df, plain, dict(zip(lists, group_stats(df, lists))))
     for keys, wanted in _by_keys([f for f in family.features if f.is_ordered]).items():
         steps, values = _gap_columns(wanted)
         df = _finish(by_pieces(df, keys, order, steps, pieces), steps, values)
@@ -351,6 +354,6 @@ def add_features(
         else:
             df = _add_family(df, g, measured[g.root], order)
     if small:
-        df = _attach_aggregates(df, source, small, broadcast=True)
+        df = _attach_aggregates(df, source, small, measured)
     return df.select(*columns, *[f.name for f in features])
 

@@ -25,6 +25,10 @@ GROUP_ROWS = 2_000_000
 # bounded by a constant; both bound what is broadcast.
 MAX_PIECES = 50_000
 
+# A table up to this many rows of keys and values is broadcast; beyond it the join is left to Spark,
+# which splits skewed partitions at run time.
+BROADCAST_GROUPS = 200_000
+
 PIECE = "__piece"
 
 
@@ -69,6 +73,11 @@ def group_stats(df: DataFrame, key_lists: Sequence[Sequence[str]]) -> list[Group
     return [GroupStats(r["rows"], r["groups"], r["largest"]) for _, r in sorted(found.items())]
 
 
+def broadcast_if_small(df: DataFrame) -> DataFrame:
+    """Mark a narrow table for broadcast if a count shows that it is small."""
+    return F.broadcast(df) if df.count() <= BROADCAST_GROUPS else df
+
+
 def oversized_groups(df: DataFrame, keys: Sequence[str], limit: int) -> DataFrame:
     """Keys with more than ``limit`` rows: at most rows / limit of them, hence safe to broadcast."""
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n")).filter(F.col("__n") > limit).drop("__n")
@@ -175,9 +184,13 @@ def ordered_columns(
     keys: Sequence[str],
     order: Sequence[str | Column],
     steps: Sequence[Ordered],
+    stats: GroupStats | None = None,
 ) -> DataFrame:
-    """Add the columns of ``steps`` over ``keys`` in ``order`` (which must be a total order)."""
-    (stats,) = group_stats(df, [keys])
+    """Add the columns of ``steps`` over ``keys`` in ``order`` (which must be a total order).
+
+    ``stats`` saves a job where the caller has measured the groups already.
+    """
+    stats = stats or group_stats(df, [keys])[0]
     limit = group_limit(df, stats.rows)
     if stats.largest <= limit:
         return by_window(df, keys, order, steps)

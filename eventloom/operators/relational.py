@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
-from eventloom.operators.ordered import position
+from eventloom.operators.ordered import broadcast_if_small, position
 
 
 def append_by_name(frames: Sequence[DataFrame], rank: str | None = "src_rank") -> DataFrame:
@@ -101,13 +101,14 @@ def tail_flag(df: DataFrame, order: Sequence[str], size: int, name: str = "is_va
 def encode_labels(df: DataFrame, column: str, name: str) -> DataFrame:
     """Code of each value: its place among the sorted distinct values, from 0."""
     values = position(df.select(column).filter(F.col(column).isNotNull()).distinct(), [], [column], "__n")
-    return df.join(values, column, "left").withColumn(name, F.col("__n") - 1).drop("__n")
+    return df.join(broadcast_if_small(values), column, "left").withColumn(name, F.col("__n") - 1).drop("__n")
 
 
 def rows_of_kth_key(df: DataFrame, key: str, k: int) -> DataFrame:
     """Rows of the k-th smallest distinct key (from 1)."""
     keys = position(df.select(key).distinct(), [], [key], "__n")
-    return df.join(keys.filter(F.col("__n") == k).select(key), key, "left_semi")
+    chosen = keys.filter(F.col("__n") == k).select(key)  # one row
+    return df.join(F.broadcast(chosen), key, "left_semi")
 
 
 def column_maxima(frames: Sequence[DataFrame], columns: Sequence[str], extra: int = 1) -> DataFrame:

@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from eventloom.operators.ordered import position
+from eventloom.operators.ordered import BROADCAST_GROUPS, group_stats, position
 
 PIECE_DIGITS = 4
 _ALL = "__all"
@@ -55,17 +55,28 @@ def _cutoffs(df: DataFrame, group: str, want: Column) -> DataFrame:
     return inside.withColumn("__r", rank).filter("__r = __rest").select("__g", F.col(_TOKEN).alias("__cut"))
 
 
+def _ranked_in_classes(df: DataFrame, group: str, want: Column) -> DataFrame:
+    """Rank and wanted number of rows for every row, for any number of classes."""
+    sizes = df.groupBy(F.col(group).alias("__g")).agg(F.count(F.lit(1)).alias("size"))
+    smallest = sizes.agg(F.min("size")).first()[0]
+    wanted = sizes.withColumn("smallest", F.lit(smallest)).select("__g", want.cast("bigint").alias("__want"))
+    ranked = position(df, [group], [_TOKEN], "__r")
+    return ranked.join(wanted, F.col(group).eqNullSafe(F.col("__g")))
+
+
 def ranked_flag(
     df: DataFrame, key: str, seed: int, want: Column, name: str, group: str | None = None
 ) -> DataFrame:
     """Mark the first ``want`` rows of each class in hash order.
 
-    ``key`` must be unique; ``group`` is a class column (its distinct values are broadcast, one
-    small row each). ``want`` may use the columns ``size`` (rows of the class) and ``smallest``
-    (rows of the smallest class).
+    ``key`` must be unique; ``group`` is a class column. ``want`` may use the columns ``size`` (rows
+    of the class) and ``smallest`` (rows of the smallest class). One small row per class is
+    broadcast; where a count finds too many classes for that, rows are ranked within their class.
     """
     columns = df.columns
     hashed, by = _with_token(df, key, seed, group)
+    if group is not None and group_stats(df, [[group]])[0].groups > BROADCAST_GROUPS:
+        return _ranked_in_classes(hashed, group, want).select(*columns, (F.col("__r") <= F.col("__want")).alias(name))
     cut = F.broadcast(_cutoffs(hashed, by, want))
     joined = hashed.join(cut, F.col(by).eqNullSafe(F.col("__g")), "left")
     return joined.select(*columns, F.coalesce(F.col(_TOKEN) <= F.col("__cut"), F.lit(False)).alias(name))

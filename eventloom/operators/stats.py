@@ -8,7 +8,7 @@ from itertools import combinations_with_replacement
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from eventloom.operators.ordered import Ordered, ordered_columns
+from eventloom.operators.ordered import BROADCAST_GROUPS, Ordered, group_stats, ordered_columns
 
 
 def frequency_table(df: DataFrame, column: str) -> DataFrame:
@@ -43,10 +43,11 @@ def exact_quantiles(df: DataFrame, column: str, probabilities: Sequence[float],
         .groupBy(*keys, F.col(column).alias("__v"))
         .agg(F.count(F.lit(1)).alias("__n"))
     )
-    running = ordered_columns(counts, keys if by else [], ["__v"], [Ordered("running_sum", "__upto", "__n")])
+    stats = group_stats(counts, [list(by)])[0]
+    running = ordered_columns(counts, list(by), ["__v"], [Ordered("running_sum", "__upto", "__n")], stats)
     sizes = counts.groupBy(*[F.col(k).alias(f"__g_{k}") for k in keys]).agg(F.sum("__n").alias("__size"))
     condition = [F.col(k).eqNullSafe(F.col(f"__g_{k}")) for k in keys]
-    joined = running.join(sizes, condition)
+    joined = running.join(F.broadcast(sizes) if stats.groups <= BROADCAST_GROUPS else sizes, condition)
 
     def at(place: Column) -> Column:
         return F.min(F.when(F.col("__upto") > place, F.col("__v")))

@@ -85,8 +85,15 @@ def readings(spark: SparkSession, folder: str, with_position: bool = False) -> D
     )
 
 
+# A packed scan holds at most this many records; a longer visit continues in further parts.
+SCAN_PART = 1000
+
+
 def scans(spark: SparkSession, folder: str) -> DataFrame:
-    """Packed scans: records of 4 fields joined by commas (type 0) or of 5 joined by tabs (type 1)."""
+    """Packed scans: records of 4 fields joined by commas (type 0) or of 5 joined by tabs (type 1).
+
+    ``part`` numbers the packed rows of a visit from 0, so that no text grows without bound.
+    """
     rows = readings(spark, folder, with_position=True)
     fields = [F.col("bssid"), F.col("ssid"), F.col("rssi").cast("string"), F.col("frequency").cast("string")]
     record = F.when(F.col("type") == 1, F.concat_ws("\t", *fields, F.lit("x"))).otherwise(F.concat_ws(",", *fields))
@@ -94,7 +101,9 @@ def scans(spark: SparkSession, folder: str) -> DataFrame:
         "CASE WHEN type = 1 THEN listagg(record, '\\t') WITHIN GROUP (ORDER BY pos)"
         " ELSE listagg(record, ',') WITHIN GROUP (ORDER BY pos) END"
     )
-    return rows.withColumn("record", record).groupBy("visit", "pid", "type", "date").agg(packed.alias("wifi"))
+    part = F.floor((F.col("pos") - 1) / SCAN_PART).cast("bigint")
+    rows = rows.withColumn("record", record).withColumn("part", part)
+    return rows.groupBy("visit", "pid", "type", "date", "part").agg(packed.alias("wifi"))
 
 
 def members(spark: SparkSession, folder: str) -> DataFrame:
