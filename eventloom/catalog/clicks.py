@@ -11,6 +11,7 @@ from eventloom import views
 from eventloom.catalog.base import query, register, rounded
 from eventloom.functions import timeparts as tp
 from eventloom.operators import features as f
+from eventloom.operators.relational import append_by_name
 from eventloom.plans import pipelines
 
 
@@ -405,3 +406,33 @@ def _(spark, folder):
 )
 def _(spark, folder):
     return pipelines.features_datatable(views.clicks(spark, folder))
+
+
+# --- train and test together or apart -----------------------------------------------------------------
+
+
+def _scoped(scope: str):
+    def build(df: DataFrame, order: Sequence[str]) -> DataFrame:
+        return f.add_features(df, [f.group_size(["ip"]), f.running_count(["ip"], "os"), f.next_gap(["ip", "app"])], order)
+
+    def run(spark: SparkSession, folder: str) -> DataFrame:
+        train, test = views.click_train(spark, folder), views.test_supplement(spark, folder)
+        done = pipelines.over_train_and_test(train, test, build, scope)
+        parts = [d.select("click_id", "ipcount", "ip_by_os_cumcount", "ip_app_nextClick") for d in done]
+        return append_by_name(parts)
+
+    return run
+
+
+for _scope in ("union", "separate"):
+    _keys = lambda k: f"PARTITION BY {k}{', src_rank' if _scope == 'separate' else ''}"
+    _order = "ORDER BY src_rank, click_time, click_id"
+    register(
+        f"features_scope_{_scope}",
+        _scoped(_scope),
+        f"""WITH a AS (SELECT click_id, ip, app, click_time, 0 AS src_rank FROM click_train
+            UNION ALL SELECT click_id, ip, app, click_time, 1 FROM test_supplement)
+            SELECT click_id, src_rank, count(*) OVER ({_keys('ip')}) AS ipcount,
+            CAST(row_number() OVER ({_keys('ip')} {_order}) - 1 AS BIGINT) AS ip_by_os_cumcount,
+            {gap_sql(NOW, f"lead({NOW}) OVER ({_keys('ip, app')} {_order})")} AS "ip_app_nextClick" FROM a""",
+    )

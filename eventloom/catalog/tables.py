@@ -273,10 +273,13 @@ _SIX = "ip, app, device, os, channel, click_time"
         FROM test_supplement s JOIN click_test t USING ({_SIX}) ORDER BY test_click_id""",
 )
 def _(spark, folder):
-    supplement = views.test_supplement(spark, folder).withColumnRenamed("click_id", "sup_click_id")
-    test = views.click_test(spark, folder).withColumnRenamed("click_id", "test_click_id")
-    joined = supplement.join(test, list(views.SIX_KEYS)).select("test_click_id", "sup_click_id").distinct()
-    return joined.filter(F.col("test_click_id").isNotNull()).orderBy("test_click_id")
+    on = " AND ".join(f"s.{c} = t.{c}" for c in views.SIX_KEYS)
+    return spark.sql(
+        f"""SELECT * FROM (SELECT DISTINCT t.click_id AS test_click_id, s.click_id AS sup_click_id
+            FROM {{supplement}} s JOIN {{test}} t ON {on}) WHERE test_click_id IS NOT NULL ORDER BY test_click_id""",
+        supplement=views.test_supplement(spark, folder),
+        test=views.click_test(spark, folder),
+    )
 
 
 @query(
@@ -310,9 +313,12 @@ def _(spark, folder):
     "SELECT c_name AS name, n_name AS nation, c_acctbal AS selling FROM customer JOIN nation ON c_nationkey = n_nationkey",
 )
 def _(spark, folder):
-    people, places = views.table(spark, folder, "customer"), views.table(spark, folder, "nation")
-    joined = people.join(places, people.c_nationkey == places.n_nationkey)
-    return joined.selectExpr("c_name AS name", "n_name AS nation", "c_acctbal AS selling")
+    return spark.sql(
+        """SELECT c_name AS name, n_name AS nation, c_acctbal AS selling
+           FROM {people} p JOIN {places} n ON p.c_nationkey = n.n_nationkey""",
+        people=views.table(spark, folder, "customer"),
+        places=views.table(spark, folder, "nation"),
+    )
 
 
 @query("semi_known_pid", "SELECT visit, pid, bssid FROM readings WHERE pid IN (SELECT pid FROM visit_log WHERE type = 1)")
@@ -352,7 +358,10 @@ def _(spark, folder):
 
 @query("sql_ip_app_count", "SELECT ip, app, count(channel) AS ip_app_count FROM click_test GROUP BY ip, app")
 def _(spark, folder):
-    return views.click_test(spark, folder).groupBy("ip", "app").agg(F.count("channel").alias("ip_app_count"))
+    return spark.sql(
+        "SELECT ip, app, count(channel) AS ip_app_count FROM {test} GROUP BY ip, app",
+        test=views.click_test(spark, folder),
+    )
 
 
 @query(
@@ -396,8 +405,12 @@ def _(spark, folder):
     "SELECT ip, app, device, os, channel, click_time FROM click_train UNION ALL SELECT ip, app, device, os, channel, click_time FROM test_supplement",
 )
 def _(spark, folder):
-    train, more = views.click_train(spark, folder), views.test_supplement(spark, folder)
-    return train.select(*CLICK_COLUMNS).unionAll(more.select(*CLICK_COLUMNS))
+    columns = ", ".join(CLICK_COLUMNS)
+    return spark.sql(
+        f"SELECT {columns} FROM {{train}} UNION ALL SELECT {columns} FROM {{more}}",
+        train=views.click_train(spark, folder),
+        more=views.test_supplement(spark, folder),
+    )
 
 
 _APPENDED = """SELECT click_id, ip, app, device, os, channel, click_time, is_attributed, 0 AS src_rank FROM click_train

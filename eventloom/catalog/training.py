@@ -12,6 +12,7 @@ from eventloom.operators.features import add_features, distinct_count, group_siz
 from eventloom.operators.relational import tail_flag
 from eventloom.operators.sampling import class_weight, split_bands, split_exact
 from eventloom.plans import models as m
+from eventloom.plans import workflows
 
 CLICK_FEATURES = ["app", "device", "os", "channel", "hour", "ipcount", "ip_appcount", "ip_by_channel_countuniq", "ip_by_os_cumcount"]
 RACE_FEATURES = ["chulNo", "hrWeight", "rcDist", "weather_code", "track_code"]
@@ -19,13 +20,14 @@ MEMBER_FEATURES = ["female", "n_trans", "max_paid", "fst", "lst"]
 
 
 def click_frame(spark: SparkSession, folder: str) -> DataFrame:
-    """Training clicks with features, a tail hold-out flag and a class weight."""
-    df = views.click_train(spark, folder).withColumn("hour", timeparts.hour_of("click_time"))
+    """Training clicks with features, the last fifth marked as hold-out, and a class weight."""
+    train = views.click_train(spark, folder)
+    df = train.withColumn("hour", timeparts.hour_of("click_time"))
     df = add_features(
         df,
         [group_size(["ip"]), group_size(["ip", "app"]), distinct_count(["ip"], "channel"), running_count(["ip"], "os")],
     )
-    df = tail_flag(df, views.CLICK_ORDER, 1000)
+    df = tail_flag(df, views.CLICK_ORDER, train.count() // 5)
     return df.withColumn("weight", class_weight("is_attributed", 20))
 
 
@@ -164,3 +166,16 @@ def _(spark, folder):
 @query("glm_summary")
 def _(spark, folder):
     return m.logistic_table(race_frame(spark, folder), ["chulNo", "hrWeight", "rcDist"], "rcResult")
+
+
+@query("attribution_submission")
+def _(spark, folder):
+    train = views.click_train(spark, folder)
+    supplement, test = views.test_supplement(spark, folder), views.click_test(spark, folder)
+    return workflows.attribution_submission(train, supplement, test, valid_rows=train.count() // 10, rounds=5, positive=20)
+
+
+@query("churn_submission")
+def _(spark, folder):
+    train, test = parts(views.members(spark, folder), "msno")
+    return workflows.churn_submission(train, test, workflows.default_builds(5))

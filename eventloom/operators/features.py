@@ -284,8 +284,8 @@ def _chain_columns(df: DataFrame, chain: Chain, order: Sequence[str]) -> DataFra
     for i, f in enumerate(distinct):
         new = F.col(f.column).isNotNull() & ~F.col(f.column).eqNullSafe(F.col(f"__before_{i}"))
         second[f.name] = _narrowed(f, F.count_if(new).over(whole(f.keys)))
-    df = df.withColumns({**values, **second})
-    return df.drop(*first) if first else df
+    kept = [c for c in df.columns if c not in first]
+    return df.select(*kept, *[v.alias(n) for n, v in {**values, **second}.items()])
 
 
 def _windows(df: DataFrame, family: Family, order: Sequence[str]) -> DataFrame:

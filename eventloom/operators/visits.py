@@ -228,38 +228,39 @@ def pivot_bssid(readings: DataFrame, bssids: Sequence[str], keys: Sequence[str]
     return readings.groupBy(*keys).pivot("bssid", list(bssids)).agg(F.avg("rssi"))
 
 
+def number_visits(df: DataFrame, name: str = "visit_no") -> DataFrame:
+    """Add the number of each visit within its place, to packed scans or to readings."""
+    visits = df.select("pid", "date", "visit").distinct()
+    numbers = position(visits, ["pid"], VISIT_ORDER, name)
+    return df.join(numbers.select("pid", "visit", name), ["pid", "visit"])
+
+
 def pivot_visit(readings: DataFrame, value: str = "rssi", visits: int = 4) -> DataFrame:
     """One row per (place, access point), one column per visit of the place, in visit order."""
-    numbered = _with_visit_number(readings)
     columns = [
-        F.avg(F.when(F.col("__n") == i, F.col(value))).alias(f"visit_{i}") for i in range(1, visits + 1)
+        F.avg(F.when(F.col("visit_no") == i, F.col(value))).alias(f"visit_{i}") for i in range(1, visits + 1)
     ]
-    return numbered.groupBy("pid", "bssid").agg(*columns)
-
-
-def _with_visit_number(readings: DataFrame) -> DataFrame:
-    visits = readings.select("pid", "date", "visit").distinct()
-    numbers = position(visits, ["pid"], VISIT_ORDER, "__n").select("visit", "__n", F.col("pid").alias("__pid"))
-    return readings.join(
-        numbers.withColumnRenamed("visit", "__visit"),
-        (F.col("pid") == F.col("__pid")) & (F.col("visit") == F.col("__visit")),
-    ).drop("__pid", "__visit")
+    return number_visits(readings).groupBy("pid", "bssid").agg(*columns)
 
 
-def bridges(readings: DataFrame, visits: int | None = 4) -> DataFrame:
+def bridge_table(numbered: DataFrame) -> DataFrame:
     """Per (place, access point): vanished and returned, 2.4 GHz band, mean signal.
 
     An access point bridges a gap if it is seen in fewer visits than lie between its first and last
-    sighting. ``visits`` limits this to the first visits of a place; None looks at all of them.
+    sighting. ``numbered`` holds readings with ``visit_no``.
     """
-    numbered = _with_visit_number(readings)
-    if visits is not None:
-        numbered = numbered.filter(F.col("__n") <= visits)
-    per_visit = numbered.groupBy("pid", "bssid", "__n").agg(
+    per_visit = numbered.groupBy("pid", "bssid", "visit_no").agg(
         F.avg("rssi").alias("rssi"), F.avg("frequency").alias("frequency")
     )
     return per_visit.groupBy("pid", "bssid").agg(
-        (F.max("__n") - F.min("__n") + 1 > F.count(F.lit(1))).cast("int").alias("bridge"),
+        (F.max("visit_no") - F.min("visit_no") + 1 > F.count(F.lit(1))).cast("int").alias("bridge"),
         (F.avg("frequency") < BAND_LIMIT).cast("int").alias("frequency_24"),
         F.avg("rssi").alias("rssi"),
     )
+
+
+def bridges(readings: DataFrame, visits: int | None = 4) -> DataFrame:
+    """:func:`bridge_table` of readings. ``visits`` limits it to the first visits of a place, which is
+    how many the four-column form compares; None looks at all of them."""
+    numbered = number_visits(readings)
+    return bridge_table(numbered if visits is None else numbered.filter(F.col("visit_no") <= visits))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -10,12 +10,19 @@ from pyspark.sql import functions as F
 from eventloom.functions.timeparts import day_of, epoch_seconds, hour_of, in_test_hh, weekday_no
 from eventloom.operators import features as f
 from eventloom.operators.ordered import Ordered, ordered_columns
-from eventloom.operators.visits import bridges, unpack_scans
+from eventloom.operators.relational import append_by_name, split_back
+from eventloom.operators.visits import bridge_table, number_visits, unpack_scans
 
+# Total orders of a click log, and of several appended logs.
+CLICK_ORDER = ("click_time", "click_id")
+APPENDED_ORDER = ("src_rank", "click_time", "click_id")
+
+# The key lists and names of the feature sets below are fixed values: trained models and submission
+# scripts refer to the columns by these names.
 IP_DEVICE_OS = ("ip", "device", "os")
 
 
-def features_lgb(clicks: DataFrame) -> DataFrame:
+def features_lgb(clicks: DataFrame, order: Sequence[str] = CLICK_ORDER) -> DataFrame:
     """Gap, distinct-count, mean, running-count and size features of the boosted-tree scripts."""
     base = clicks.withColumns({"hour": hour_of("click_time"), "day": day_of("click_time")})
     return f.add_features(
@@ -38,10 +45,11 @@ def features_lgb(clicks: DataFrame) -> DataFrame:
             f.group_size(["ip", "app", "os"]),
             f.distinct_count(["os", "device", "app", "channel"], "hour"),
         ],
+        order,
     )
 
 
-def features_prep_data(clicks: DataFrame) -> DataFrame:
+def features_prep_data(clicks: DataFrame, order: Sequence[str] = CLICK_ORDER) -> DataFrame:
     """Count features by key, day and hour with two running counts; the raw keys are dropped."""
     base = clicks.withColumns({"hour": hour_of("click_time"), "day": day_of("click_time")})
     base = base.withColumn("in_test_hh", in_test_hh("hour"))
@@ -60,10 +68,10 @@ def features_prep_data(clicks: DataFrame) -> DataFrame:
         f.running_count(["ip", "app", "device", "os"], name="ip_app_dev_os_cumcount"),
         f.running_count(IP_DEVICE_OS, name="ip_dev_os_cumcount"),
     ]
-    return f.add_features(base, wanted).drop("click_time", "in_test_hh", "day", "ip")
+    return f.add_features(base, wanted, order).drop("click_time", "in_test_hh", "day", "ip")
 
 
-def features_process(clicks: DataFrame) -> DataFrame:
+def features_process(clicks: DataFrame, order: Sequence[str] = CLICK_ORDER) -> DataFrame:
     """Count features by key, weekday and hour."""
     base = clicks.withColumns({"wday": weekday_no("click_time"), "hour": hour_of("click_time")})
     base = base.withColumn("in_test_hh", in_test_hh("hour"))
@@ -75,11 +83,11 @@ def features_process(clicks: DataFrame) -> DataFrame:
         "n_ip_app_os": ["ip", "wday", "hour", "app", "os"],
         "n_app": ["app", "wday", "hour"],
     }
-    done = f.add_features(base, [f.group_size(keys, name) for name, keys in counted.items()])
+    done = f.add_features(base, [f.group_size(keys, name) for name, keys in counted.items()], order)
     return done.drop("click_time", "in_test_hh", "wday", "ip")
 
 
-def features_datatable(clicks: DataFrame) -> DataFrame:
+def features_datatable(clicks: DataFrame, order: Sequence[str] = CLICK_ORDER) -> DataFrame:
     """Sizes, positions from 1 and gaps in seconds with 0 where there is no neighbour."""
     base = clicks.withColumns({"hour": hour_of("click_time"), "day": day_of("click_time")})
     gap = {"mode": "total", "fill": 0}
@@ -101,12 +109,35 @@ def features_datatable(clicks: DataFrame) -> DataFrame:
             f.previous_gap(["ip", "channel"], "by_ipchannel_prevclick1", **gap),
             f.previous_gap(["ip", "os"], "by_ipos_prevclick1", **gap),
         ],
+        order,
     )
 
 
-def scan_features(scans: DataFrame) -> DataFrame:
-    """From packed scans to bridge, band and mean signal per (place, access point)."""
-    return bridges(unpack_scans(scans))
+def over_train_and_test(
+    train: DataFrame, test: DataFrame, build: Callable[[DataFrame, Sequence[str]], DataFrame], scope: str = "union"
+) -> tuple[DataFrame, DataFrame]:
+    """Features of both tables, counted over train and test together or over each on its own.
+
+    ``build`` takes a click table and its total order. With scope ``union`` all training rows come
+    before all test rows, as in one appended file.
+    """
+    if scope == "separate":
+        return build(train, CLICK_ORDER), build(test, CLICK_ORDER)
+    if scope != "union":
+        raise ValueError(scope)
+    both = build(append_by_name([train, test]), APPENDED_ORDER)
+    return split_back(both, 0), split_back(both, 1)
+
+
+def scan_features(scans: DataFrame, visits: int | None = 4) -> DataFrame:
+    """From packed scans to bridge, band and mean signal per (place, access point).
+
+    Visits are numbered while they are still packed, so the unpacked readings are only aggregated.
+    """
+    numbered = number_visits(scans)
+    if visits is not None:
+        numbered = numbered.filter(F.col("visit_no") <= visits)
+    return bridge_table(unpack_scans(numbered))
 
 
 # Size of the hash space, and the time that stands for "no later click".
@@ -114,7 +145,7 @@ HASH_SPACE = 2**26
 FAR_FUTURE = 3_000_000_000
 
 
-def hashed_next_click(clicks: DataFrame, order: Sequence[str] = ("click_time", "click_id")) -> DataFrame:
+def hashed_next_click(clicks: DataFrame, order: Sequence[str] = CLICK_ORDER) -> DataFrame:
     """Seconds to the next click of the same hashed user, and the same value of the row before.
 
     Users share a slot when their hashes collide, which is part of the feature. The shift runs over

@@ -10,10 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eventloom.operators.ordered import position
+from eventloom.plans.pipelines import CLICK_ORDER  # noqa: F401
 
-# Total order of a click log, and of several appended logs (``append_by_name``).
-CLICK_ORDER = ("click_time", "click_id")
-APPENDED_ORDER = ("src_rank", "click_time", "click_id")
 SIX_KEYS = ("ip", "app", "device", "os", "channel", "click_time")
 
 TEST_START = "TIMESTAMP_NTZ '2024-01-24 00:00:00'"
@@ -151,3 +149,12 @@ def scores(spark: SparkSession, folder: str) -> DataFrame:
         "(o_orderkey % 97 + 1) / CAST(100 AS DOUBLE) AS rf",
         "((o_orderkey * 37) % 89 + 1) / CAST(100 AS DOUBLE) AS glm",
     )
+
+
+VIEWS = (clicks, click_train, test_supplement, click_test, visit_log, readings, scans, members, races, scores)
+
+
+def register(spark: SparkSession, folder: str) -> None:
+    """Make every table of this module a temporary view, for use from ``spark.sql``."""
+    for view in VIEWS:
+        view(spark, folder).createOrReplaceTempView(view.__name__)
