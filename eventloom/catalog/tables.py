@@ -75,7 +75,7 @@ def _(spark, folder):
     return longs(files.read_inferred_csv(spark, path), "msno", "n_trans")
 
 
-@query("create_like", "SELECT 0 AS copied, count(*) AS source FROM click_train")
+@query("create_like", "SELECT CAST(0 AS BIGINT) AS copied, count(*) AS source FROM click_train")
 def _(spark, folder):
     train = views.click_train(spark, folder)
     both = rel.append_by_name([files.like(train), train])

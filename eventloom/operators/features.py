@@ -29,6 +29,7 @@ from eventloom.operators.ordered import (
     group_stats,
     piece_count,
     split_oversized,
+    spread,
     window_value,
 )
 
@@ -288,10 +289,9 @@ def _chain_columns(df: DataFrame, chain: Chain, order: Sequence[str]) -> DataFra
     return df.select(*kept, *[v.alias(n) for n, v in {**values, **second}.items()])
 
 
-def _windows(df: DataFrame, family: Family, order: Sequence[str]) -> DataFrame:
+def _windows(df: DataFrame, family: Family, order: Sequence[str], rows: int) -> DataFrame:
     """Ordinary groups: one shuffle on the root, then one local sort per chain."""
-    if len(_by_keys(family.features)) > 1:
-        df = df.repartition(*family.root)
+    df = spread(df, family.root, rows, always=len(_by_keys(family.features)) > 1)
     groups = chains(family.features)
     for chain in groups:
         if len(groups) > 1:
@@ -317,11 +317,10 @@ def _oversized(df: DataFrame, family: Family, order: Sequence[str], pieces: int)
 def _add_family(df: DataFrame, family: Family, stats: GroupStats, order: Sequence[str]) -> DataFrame:
     limit = group_limit(df, stats.rows)
     if stats.largest <= limit:
-        return _windows(df, family, order)
-    ordinary, oversized = split_oversized(df, family.root, limit)
-    return _windows(ordinary, family, order).unionByName(
-        _oversized(oversized, family, order, piece_count(stats.rows, limit))
-    )
+        return _windows(df, family, order, stats.rows)
+    ordinary, oversized = split_oversized(df, family.root, limit, stats.groups)
+    cut = _oversized(oversized, family, order, piece_count(stats.rows, limit))
+    return cut if ordinary is None else _windows(ordinary, family, order, stats.rows).unionByName(cut)
 
 
 def add_features(

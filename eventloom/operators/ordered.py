@@ -88,13 +88,32 @@ def same_keys(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
     return reduce(lambda a, b: a & b, [left[k].eqNullSafe(right[k]) for k in keys])
 
 
-def split_oversized(df: DataFrame, keys: Sequence[str], limit: int) -> tuple[DataFrame, DataFrame]:
-    """Rows of ordinary groups and rows of oversized groups."""
-    hot = F.broadcast(oversized_groups(df, keys, limit))
+def split_oversized(
+    df: DataFrame, keys: Sequence[str], limit: int, groups: int
+) -> tuple[DataFrame | None, DataFrame]:
+    """Rows of ordinary groups (None where all of the ``groups`` are oversized) and of oversized groups.
+
+    The list of oversized keys is small; it is checkpointed so that it is found once.
+    """
+    hot = checkpointed(oversized_groups(df, keys, limit))
+    if hot.count() == groups:
+        return None, df
+    hot = F.broadcast(hot)
     condition = same_keys(df, hot, keys)
     return df.join(hot, condition, "left_anti"), df.join(hot, condition, "left_semi")
 
 
+def spread(df: DataFrame, keys: Sequence[str], rows: int, always: bool = True) -> DataFrame:
+    """Shuffle on ``keys``, into more partitions than the session's setting where ``rows`` calls for it.
+
+    With ``always`` False nothing happens where the setting suffices (a later window shuffles by itself).
+    """
+    wanted = rows // group_limit(df, rows)
+    if wanted > int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")):
+        return df.repartition(wanted, *keys)
+    return df.repartition(*keys) if always else df
+
+
 def window_value(step: Ordered, window) -> Column:
     if step.kind == "position":
         return F.row_number().over(window).cast("bigint")
@@ -193,12 +212,15 @@ def ordered_columns(
     stats = stats or group_stats(df, [keys])[0]
     limit = group_limit(df, stats.rows)
     if stats.largest <= limit:
-        return by_window(df, keys, order, steps)
+        return by_window(spread(df, keys, stats.rows, always=False) if keys else df, keys, order, steps)
     pieces = piece_count(stats.rows, limit)
     if not keys:
         return by_pieces(df, keys, order, steps, pieces)
-    ordinary, oversized = split_oversized(df, keys, limit)
-    return by_window(ordinary, keys, order, steps).unionByName(by_pieces(oversized, keys, order, steps, pieces))
+    ordinary, oversized = split_oversized(df, keys, limit, stats.groups)
+    cut = by_pieces(oversized, keys, order, steps, pieces)
+    if ordinary is None:
+        return cut
+    return by_window(spread(ordinary, keys, stats.rows, always=False), keys, order, steps).unionByName(cut)
 
 
 def position(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column], name: str) -> DataFrame:
