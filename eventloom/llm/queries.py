@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from eventloom.llm import chat, contamination, urls
+from eventloom.llm import chat, contamination, suffixes, urls
 from eventloom.llm.base import CHECKS, QUERIES, query, table
 
 __all__ = ["CHECKS", "QUERIES"]
@@ -102,3 +102,8 @@ from heads
 @query("op7_perspective_rotation", ROTATION_SQL)
 def op7_perspective_rotation(spark: SparkSession, folder: str) -> DataFrame:
     return chat.rotate_perspectives(table(spark, folder, "conversations"))
+
+
+@query("op8_suffix_dedup")
+def op8_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return suffixes.span_digest(suffixes.repeated_spans(table(spark, folder, "documents")))
