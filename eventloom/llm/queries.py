@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from eventloom.llm import chat, contamination, suffixes, urls
+from eventloom.llm import chat, contamination, suffixes, tokenfiles, urls
 from eventloom.llm.base import CHECKS, QUERIES, query, table
 
 __all__ = ["CHECKS", "QUERIES"]
@@ -107,3 +107,8 @@ def op7_perspective_rotation(spark: SparkSession, folder: str) -> DataFrame:
 @query("op8_suffix_dedup")
 def op8_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return suffixes.span_digest(suffixes.repeated_spans(table(spark, folder, "documents")))
+
+
+@query("op4_token_files")
+def op4_token_files(spark: SparkSession, folder: str) -> DataFrame:
+    return tokenfiles.read_token_files(tokenfiles.write_token_files(table(spark, folder, "documents")))
