@@ -206,6 +206,19 @@ def _pack(**columns: np.ndarray) -> bytes:
     return b"".join([size.to_bytes(8, "little"), *[np.ascontiguousarray(c).tobytes() for c in columns.values()]])
 
 
+def _sealed(table: pa.Table | pa.RecordBatch) -> bytes:
+    """Rows as one compressed blob; texts that travel together compress better than one by one."""
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, table.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+        out.write(table)
+    return sink.getvalue().to_pybytes()
+
+
+def _opened(blobs: list[bytes]) -> Iterator[pa.RecordBatch]:
+    for blob in blobs:
+        yield from pa.ipc.open_stream(blob)
+
+
 def _unpack(blobs: list[bytes], **kinds: str) -> dict[str, np.ndarray]:
     parts: dict[str, list[np.ndarray]] = {k: [np.empty(0, dtype=kind)] for k, kind in kinds.items()}
     for blob in blobs:
@@ -216,9 +229,11 @@ def _unpack(blobs: list[bytes], **kinds: str) -> dict[str, np.ndarray]:
     return {k: np.concatenate(v) for k, v in parts.items()}
 
 
-_SENT = {"gram": "<u4", "code": "<u8", "doc": "<i8", "sum": "<u4", "number": "<u4"}
-_ANSWER = {"doc": "<i8", "sum": "<u4", "number": "<u4", "state": "u1"}
-_MARKS = {"doc": "<i8", "sum": "<u4", "number": "<u4", "bits": "<u8"}
+#: Columns that travel. A gram and a region code together are 80 bits beside the bucket of the gram; ``sum`` tells
+#: texts with one document id apart.
+_SENT = {"gram": "<u4", "code": "<u4", "more": "<u2", "doc": "<i8", "sum": "<u2", "number": "<u4"}
+_ANSWER = {"doc": "<i8", "sum": "<u2", "number": "<u4", "state": "u1"}
+_MARKS = {"doc": "<i8", "sum": "<u2", "number": "<u4", "bits": "<u8"}
 
 
 def _runs(*sorted_keys: np.ndarray) -> np.ndarray:
@@ -290,6 +305,7 @@ def _sender(length: int, gram: int, buckets: int, groups: int):
         sent = np.flatnonzero(once & ~later)
         sent = sent[np.lexsort((r["number"][sent], r["doc"][sent]))]
         target = (r["gram"][sent] >> np.uint64(32)) % np.uint64(buckets)
+        r["more"] = r["code"] >> np.uint64(32)
         columns = {k: r[k][sent].astype(_SENT[k]) for k in _SENT}
         yield from _dealt(target, 0, columns)
         if later.any():
@@ -305,7 +321,7 @@ def _sender(length: int, gram: int, buckets: int, groups: int):
         for part, buf, starts in spans.blocks(batches):
             regions = Regions(buf, starts, length, gram)
             doc = part.column("doc").to_numpy()
-            sums = np.array([zlib.crc32(buf[a : b - 1]) for a, b in zip(starts[:-1], starts[1:], strict=True)], np.int64)
+            sums = np.array(_sums(buf, starts), dtype=np.int64)
             found.append(
                 {
                     "gram": regions.gram,
@@ -333,6 +349,7 @@ def _decider(groups: int):
         blobs = table.column("blob").to_pylist()
         r = _unpack([b for b, k in zip(blobs, kinds, strict=True) if k == 0], **_SENT)
         known = _unpack([b for b, k in zip(blobs, kinds, strict=True) if k == 1], **_ANSWER)
+        r["code"] = r["code"].astype(np.uint64) | r.pop("more").astype(np.uint64) << np.uint64(32)
         order = np.lexsort((r["doc"], r["code"], r["gram"]))
         r = {k: v[order] for k, v in r.items()}
         n = len(order)
@@ -365,22 +382,27 @@ def _decider(groups: int):
 
 
 _BLOBS_ARROW = pa.schema([("target", pa.int64()), ("kind", pa.int32()), ("blob", pa.binary())])
-_STATE = "target long, doc long, text string, marks binary, spans array<array<long>>, kept_sha256 string, n_bytes long, bucket long, blob binary"
+_OPEN_ARROW = pa.schema([("doc", pa.int64()), ("text", pa.string()), ("marks", pa.binary())])
+_STATE = (
+    "doc long, spans array<array<long>>, kept_sha256 string, n_bytes long, target long, bucket long, blob binary"
+)
 _STATE_ARROW = pa.schema(
     [
-        ("target", pa.int64()),
         ("doc", pa.int64()),
-        ("text", pa.string()),
-        ("marks", pa.binary()),
         ("spans", pa.list_(pa.list_(pa.int64()))),
         ("kept_sha256", pa.string()),
         ("n_bytes", pa.int64()),
+        ("target", pa.int64()),
         ("bucket", pa.int64()),
         ("blob", pa.binary()),
     ]
 )
 
 
+def _sums(buf: np.ndarray, starts: np.ndarray) -> list[int]:
+    return [zlib.crc32(buf[a : b - 1]) & 0xFFFF for a, b in zip(starts[:-1], starts[1:], strict=True)]
+
+
 def _table(rows: list[dict]) -> pa.Table:
     return pa.Table.from_pylist(rows, _STATE_ARROW)
 
@@ -404,10 +426,9 @@ def _answers_by_text(told: dict[str, np.ndarray], doc: np.ndarray, sums: list[in
     return [where.get((int(d), int(s)), slice(0, 0)) for d, s in zip(doc, sums, strict=True)]
 
 
-def _text_blocks(table: pa.Table):
-    for part, buf, starts in spans.blocks(iter(table.combine_chunks().to_batches())):
-        sums = [zlib.crc32(buf[a : b - 1]) for a, b in zip(starts[:-1], starts[1:], strict=True)]
-        yield part, buf, starts, sums
+def _text_blocks(docs: pa.Table):
+    for part, buf, starts in spans.blocks(_opened(docs.column("blob").to_pylist())):
+        yield part, buf, starts, _sums(buf, starts)
 
 
 def _marker(length: int, gram: int, buckets: int):
@@ -418,10 +439,11 @@ def _marker(length: int, gram: int, buckets: int):
         order = np.lexsort((told["number"], told["sum"], told["doc"]))
         told = {k: v[order] for k, v in told.items()}
         out: list[dict] = []
+        kept_open: list[dict] = []
+        home = docs.column("target")[0].as_py()
         asked: list[tuple[int, bytes, tuple]] = []  # bucket, bytes, (doc, sum, number, windows, offset)
         for part, buf, starts, sums in _text_blocks(docs):
             doc = part.column("doc").to_numpy()
-            target = part.column("target").to_numpy()
             regions = Regions(buf, starts, length, gram)
             alike = regions.first_alike()
             bounds = np.searchsorted(regions.text, np.arange(len(starts)))
@@ -443,7 +465,7 @@ def _marker(length: int, gram: int, buckets: int):
                     out.append(_finished(int(doc[i]), body, gone))
                     continue
                 text = part.column("text")[i].as_py()
-                out.append({"target": int(target[i]), "doc": int(doc[i]), "text": text, "marks": np.packbits(gone).tobytes()})
+                kept_open.append({"doc": int(doc[i]), "text": text, "marks": np.packbits(gone).tobytes()})
                 for k in ask.tolist():
                     at = bounds[i] + k
                     a, b = int(regions.first[at]), int(regions.last[at])
@@ -456,6 +478,8 @@ def _marker(length: int, gram: int, buckets: int):
                             piece = buf[w : w + length].tobytes()
                             bucket = int.from_bytes(hashlib.blake2b(piece, digest_size=6).digest(), "big") % buckets
                             asked.append((bucket, piece, (*name, w - a)))
+        if kept_open:
+            out.append({"target": home, "blob": _sealed(pa.Table.from_pylist(kept_open, _OPEN_ARROW))})
         asked.sort(key=lambda x: x[0])
         at = 0
         while at < len(asked):
@@ -473,14 +497,14 @@ def _pack_regions(regions: list[tuple[int, bytes, tuple]]) -> bytes:
     doc, sums, number, offset = (np.array(x, dtype=np.int64) for x in zip(*[r[2] for r in regions], strict=True))
     sizes = np.array([len(r[1]) for r in regions], dtype=np.uint32)
     head = _pack(
-        doc=doc, sum=sums.astype("<u4"), number=number.astype("<u4"), offset=offset.astype("u1"), size=sizes
+        doc=doc, sum=sums.astype("<u2"), number=number.astype("<u4"), offset=offset.astype("u1"), size=sizes
     )
     return len(head).to_bytes(8, "little") + head + b"".join(r[1] for r in regions)
 
 
 def _comparer(length: int, groups: int):
     """The regions that meet in a bucket -> the windows that an earlier document also has."""
-    kinds = {"doc": "<i8", "sum": "<u4", "number": "<u4", "offset": "u1", "size": "<u4"}
+    kinds = {"doc": "<i8", "sum": "<u2", "number": "<u4", "offset": "u1", "size": "<u4"}
 
     def compare(table: pa.Table) -> pa.Table:
         heads, bodies = [], []
@@ -558,7 +582,7 @@ def repeated_spans(documents: DataFrame, document: str = "doc_id", text: str = "
     ``kept_sha256`` (of the other bytes, concatenated). Strings are judged on the input and never cross
     documents. The id must be a whole number.
 
-    Scale: two exchanges of the documents' texts, one of about 15 bytes for each distinct region of a task (about
+    Scale: two exchanges of the documents' texts, compressed, one of about 14 bytes for each distinct region of a task (about
     one for 20 bytes of text, whole copies within a task sent once), and one of the bytes of regions that share
     a gram and differ. Copies, however many, meet as at most one record per task. Buckets and groups
     have about 4 MB of text each, whatever the size of the input; a gram in very many different regions has
@@ -579,19 +603,25 @@ def repeated_spans(documents: DataFrame, document: str = "doc_id", text: str = "
     answers = records.groupBy("target").applyInArrow(_decider(groups), _BLOBS)
 
     def home(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            target = _home(batch.column("doc").to_numpy(), groups).astype(np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(target), *batch.columns], names=["target", "doc", "text"])
+        def rows() -> Iterator[tuple[int, int, bytes]]:
+            for part, _, _ in spans.blocks(batches, limit=SEND_BYTES):
+                target = _home(part.column("doc").to_numpy(), groups)
+                order = np.argsort(target, kind="stable")
+                begins = _runs(target[order])
+                for a, b in zip(begins, np.append(begins[1:], len(order)), strict=True):
+                    yield int(target[order[a]]), 0, _sealed(part.take(pa.array(order[a:b])))
+
+        yield from _emitted(rows())
 
-    placed = docs.mapInArrow(home, "target long, doc long, text string")
+    placed = docs.mapInArrow(home, _BLOBS)
     state = written(
         placed.groupBy("target")
         .cogroup(answers.groupBy("target"))
         .applyInArrow(_ordered(_marker(length, gram, buckets)), _STATE)
     )
-    found = state.where("blob is not null").select("bucket", "blob").groupBy("bucket")
+    found = state.where("bucket is not null").select("bucket", "blob").groupBy("bucket")
     marks = found.applyInArrow(_comparer(length, groups), _BLOBS)
-    opened = state.where("marks is not null").select("target", "doc", "text", "marks")
+    opened = state.where("target is not null").select("target", "blob")
     closed = (
         opened.groupBy("target")
         .cogroup(marks.groupBy("target"))
