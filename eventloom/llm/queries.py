@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from eventloom.llm import chat, contamination, fertility, suffixes, tokenfiles, urls
+from eventloom.llm import chat, contamination, fertility, mixing, secrets, suffixes, tokenfiles, urls
 from eventloom.llm.base import CHECKS, QUERIES, query, table
 
 __all__ = ["CHECKS", "QUERIES"]
@@ -117,3 +117,13 @@ def op4_token_files(spark: SparkSession, folder: str) -> DataFrame:
 @query("op6_tokeniser_fertility")
 def op6_tokeniser_fertility(spark: SparkSession, folder: str) -> DataFrame:
     return fertility.judge_quality(table(spark, folder, "documents"))
+
+
+@query("op9_secret_forest")
+def op9_secret_forest(spark: SparkSession, folder: str) -> DataFrame:
+    return secrets.scan_secrets(table(spark, folder, "documents"))
+
+
+@query("op10_raked_mix")
+def op10_raked_mix(spark: SparkSession, folder: str) -> DataFrame:
+    return mixing.mix_decisions(table(spark, folder, "documents"))
