@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from eventloom.llm import chat, contamination, fertility, mixing, secrets, suffixes, tokenfiles, urls
+from eventloom.llm import chat, contamination, fertility, mixing, orderhash, secrets, suffixes, tokenfiles, urls
 from eventloom.llm.base import CHECKS, QUERIES, query, table
 
 __all__ = ["CHECKS", "QUERIES"]
@@ -46,6 +46,11 @@ from doc_words left join hit using (doc_id) left join named using (doc_id)
 """
 
 
+@query("op1_order_minhash")
+def op1_order_minhash(spark: SparkSession, folder: str) -> DataFrame:
+    return orderhash.near_duplicates(table(spark, folder, "documents"))
+
+
 @query("op2_decontamination", CONTAMINATION_SQL)
 def op2_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     found = contamination.find_contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark"))

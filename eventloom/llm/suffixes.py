@@ -26,6 +26,19 @@ from pyspark.sql import functions as F
 
 from eventloom.llm import spans
 from eventloom.llm.base import written
+from eventloom.llm.parcels import (
+    BLOBS,
+    BLOBS_ARROW,
+    batch_of,
+    dealt,
+    emitted,
+    opened,
+    pack,
+    runs_of,
+    sealed,
+    spread,
+    unpack,
+)
 
 #: Bytes of a string that counts as repeated.
 LENGTH = 50
@@ -197,38 +210,6 @@ class Regions:
         return alike
 
 
-_Record = np.ndarray
-
-
-def _pack(**columns: np.ndarray) -> bytes:
-    """Columns behind each other: shuffle compression works on like values."""
-    size = len(next(iter(columns.values())))
-    return b"".join([size.to_bytes(8, "little"), *[np.ascontiguousarray(c).tobytes() for c in columns.values()]])
-
-
-def _sealed(table: pa.Table | pa.RecordBatch) -> bytes:
-    """Rows as one compressed blob; texts that travel together compress better than one by one."""
-    sink = pa.BufferOutputStream()
-    with pa.ipc.new_stream(sink, table.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
-        out.write(table)
-    return sink.getvalue().to_pybytes()
-
-
-def _opened(blobs: list[bytes]) -> Iterator[pa.RecordBatch]:
-    for blob in blobs:
-        yield from pa.ipc.open_stream(blob)
-
-
-def _unpack(blobs: list[bytes], **kinds: str) -> dict[str, np.ndarray]:
-    parts: dict[str, list[np.ndarray]] = {k: [np.empty(0, dtype=kind)] for k, kind in kinds.items()}
-    for blob in blobs:
-        size, at = int.from_bytes(blob[:8], "little"), 8
-        for name, kind in kinds.items():
-            parts[name].append(np.frombuffer(blob, dtype=kind, count=size, offset=at))
-            at += size * np.dtype(kind).itemsize
-    return {k: np.concatenate(v) for k, v in parts.items()}
-
-
 #: Columns that travel. A gram and a region code together are 80 bits beside the bucket of the gram; ``sum`` tells
 #: texts with one document id apart.
 _SENT = {"gram": "<u4", "code": "<u4", "more": "<u2", "doc": "<i8", "sum": "<u2", "number": "<u4"}
@@ -236,55 +217,11 @@ _ANSWER = {"doc": "<i8", "sum": "<u2", "number": "<u4", "state": "u1"}
 _MARKS = {"doc": "<i8", "sum": "<u2", "number": "<u4", "bits": "<u8"}
 
 
-def _runs(*sorted_keys: np.ndarray) -> np.ndarray:
-    """Where a new combination of the sorted keys begins."""
-    new = np.zeros(len(sorted_keys[0]), dtype=bool)
-    new[:1] = True
-    for key in sorted_keys:
-        new[1:] |= key[1:] != key[:-1]
-    return np.flatnonzero(new)
-
-
-def _spread(values: np.ndarray, begins: np.ndarray, total: int) -> np.ndarray:
-    return np.repeat(values, np.diff(np.append(begins, total)))
-
-
 def _home(doc: np.ndarray, groups: int) -> np.ndarray:
     """The group of a document."""
     return (spans.mixed(doc.astype(np.int64).view(np.uint64)) >> np.uint64(16)) % np.uint64(groups)
 
 
-def _dealt(target: np.ndarray, kind: int, columns: dict[str, np.ndarray]) -> Iterator[tuple[int, int, bytes]]:
-    order = np.argsort(target, kind="stable")
-    begins = _runs(target[order])
-    for a, b in zip(begins, np.append(begins[1:], len(order)), strict=True):
-        own = order[a:b]
-        yield int(target[own[0]]), kind, _pack(**{k: v[own] for k, v in columns.items()})
-
-
-_BLOBS = "target long, kind int, blob binary"
-
-
-def _batch(rows: list[tuple[int, int, bytes]]) -> pa.RecordBatch:
-    target, kind, blob = zip(*rows, strict=True)
-    return pa.RecordBatch.from_arrays(
-        [pa.array(target, pa.int64()), pa.array(kind, pa.int32()), pa.array(blob, pa.binary())],
-        names=["target", "kind", "blob"],
-    )
-
-
-def _emitted(rows: Iterator[tuple[int, int, bytes]], limit: int = 8 << 20) -> Iterator[pa.RecordBatch]:
-    some, size = [], 0
-    for row in rows:
-        some.append(row)
-        size += len(row[2])
-        if size > limit:
-            yield _batch(some)
-            some, size = [], 0
-    if some:
-        yield _batch(some)
-
-
 # --- the three exchanges ------------------------------------------------------------------------------------
 
 
@@ -296,25 +233,25 @@ def _sender(length: int, gram: int, buckets: int, groups: int):
         order = np.lexsort((all_["number"], all_["sum"], all_["doc"], all_["code"], all_["gram"]))
         r = {k: v[order] for k, v in all_.items()}
         n = len(order)
-        same = _runs(r["gram"], r["code"])
-        least = _spread(r["doc"][same], same, n)
+        same = runs_of(r["gram"], r["code"])
+        least = spread(r["doc"][same], same, n)
         # A document repeats its own region: its first one speaks for all.
         once = np.zeros(n, dtype=bool)
-        once[_runs(r["gram"], r["code"], r["doc"], r["sum"])] = True
+        once[runs_of(r["gram"], r["code"], r["doc"], r["sum"])] = True
         later = once & (r["doc"] > least)
         sent = np.flatnonzero(once & ~later)
         sent = sent[np.lexsort((r["number"][sent], r["doc"][sent]))]
         target = (r["gram"][sent] >> np.uint64(32)) % np.uint64(buckets)
         r["more"] = r["code"] >> np.uint64(32)
         columns = {k: r[k][sent].astype(_SENT[k]) for k in _SENT}
-        yield from _dealt(target, 0, columns)
+        yield from dealt(target, 0, columns)
         if later.any():
             own = np.flatnonzero(later)
             own = own[np.lexsort((r["number"][own], r["doc"][own]))]
             known = {k: r[k][own].astype(_ANSWER[k]) for k in ("doc", "sum", "number")}
             known["state"] = np.full(len(own), _REPEATED, dtype=np.uint8)
             # These travel with the records, so that both come from one evaluation of the task.
-            yield from _dealt(_home(r["doc"][own], groups) % np.uint64(buckets), 1, known)
+            yield from dealt(_home(r["doc"][own], groups) % np.uint64(buckets), 1, known)
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, int, bytes]]:
         found, size = [], 0
@@ -338,7 +275,7 @@ def _sender(length: int, gram: int, buckets: int, groups: int):
         if found:
             yield from united(found)
 
-    return lambda batches: _emitted(rows(batches))
+    return lambda batches: emitted(rows(batches))
 
 
 def _decider(groups: int):
@@ -347,24 +284,24 @@ def _decider(groups: int):
     def rows(table: pa.Table) -> Iterator[tuple[int, int, bytes]]:
         kinds = table.column("kind").to_numpy()
         blobs = table.column("blob").to_pylist()
-        r = _unpack([b for b, k in zip(blobs, kinds, strict=True) if k == 0], **_SENT)
-        known = _unpack([b for b, k in zip(blobs, kinds, strict=True) if k == 1], **_ANSWER)
+        r = unpack([b for b, k in zip(blobs, kinds, strict=True) if k == 0], **_SENT)
+        known = unpack([b for b, k in zip(blobs, kinds, strict=True) if k == 1], **_ANSWER)
         r["code"] = r["code"].astype(np.uint64) | r.pop("more").astype(np.uint64) << np.uint64(32)
         order = np.lexsort((r["doc"], r["code"], r["gram"]))
         r = {k: v[order] for k, v in r.items()}
         n = len(order)
         if n:
-            same = _runs(r["gram"], r["code"])
-            least = _spread(r["doc"][same], same, n)
+            same = runs_of(r["gram"], r["code"])
+            least = spread(r["doc"][same], same, n)
             state = np.where(r["doc"] > least, _REPEATED, 0).astype(np.uint8)
             # Grams whose regions differ and belong to different documents: the bytes must be compared.
-            one = _runs(r["gram"])
+            one = runs_of(r["gram"])
             new = np.zeros(n, dtype=np.int64)
             new[same] = 1
             kinds_of = np.add.reduceat(new, one)
             differ = np.minimum.reduceat(least, one) != np.maximum.reduceat(least, one)
             ask = np.where(kinds_of > SPREAD_REGIONS, _SPREAD, _COMPARE) * ((kinds_of > 1) & differ)
-            ask = _spread(ask, one, n)
+            ask = spread(ask, one, n)
             state = np.where((state == 0) & (ask > 0), ask, state).astype(np.uint8)
             told = np.flatnonzero(state)
             known = {
@@ -372,16 +309,15 @@ def _decider(groups: int):
             }
         order = np.lexsort((known["number"], known["doc"]))
         known = {k: v[order] for k, v in known.items()}
-        yield from _dealt(_home(known["doc"], groups), 0, known)
+        yield from dealt(_home(known["doc"], groups), 0, known)
 
     def decide(table: pa.Table) -> pa.Table:
         found = list(rows(table))
-        return pa.Table.from_batches([_batch(found)] if found else [], _BLOBS_ARROW)
+        return pa.Table.from_batches([batch_of(found)] if found else [], BLOBS_ARROW)
 
     return decide
 
 
-_BLOBS_ARROW = pa.schema([("target", pa.int64()), ("kind", pa.int32()), ("blob", pa.binary())])
 _OPEN_ARROW = pa.schema([("doc", pa.int64()), ("text", pa.string()), ("marks", pa.binary())])
 _STATE = (
     "doc long, spans array<array<long>>, kept_sha256 string, n_bytes long, target long, bucket long, blob binary"
@@ -420,14 +356,14 @@ def _finished(doc: int, body: np.ndarray, gone: np.ndarray) -> dict:
 def _answers_by_text(told: dict[str, np.ndarray], doc: np.ndarray, sums: list[int]) -> list[slice]:
     """Where the answers, sorted by (doc, sum), of every text stand."""
     key = told["doc"].astype(np.int64), told["sum"].astype(np.int64)
-    begins = _runs(*key) if len(key[0]) else _EMPTY
+    begins = runs_of(*key) if len(key[0]) else _EMPTY
     ends = np.append(begins[1:], len(key[0]))
     where = {(int(key[0][a]), int(key[1][a])): slice(int(a), int(b)) for a, b in zip(begins, ends, strict=False)}
     return [where.get((int(d), int(s)), slice(0, 0)) for d, s in zip(doc, sums, strict=True)]
 
 
 def _text_blocks(docs: pa.Table):
-    for part, buf, starts in spans.blocks(_opened(docs.column("blob").to_pylist())):
+    for part, buf, starts in spans.blocks(opened(docs.column("blob").to_pylist())):
         yield part, buf, starts, _sums(buf, starts)
 
 
@@ -435,7 +371,7 @@ def _marker(length: int, gram: int, buckets: int):
     """A group of documents with its answers -> finished documents, open ones, and bytes to compare."""
 
     def mark(docs: pa.Table, answers: pa.Table) -> pa.Table:
-        told = _unpack(answers.column("blob").to_pylist(), **_ANSWER)
+        told = unpack(answers.column("blob").to_pylist(), **_ANSWER)
         order = np.lexsort((told["number"], told["sum"], told["doc"]))
         told = {k: v[order] for k, v in told.items()}
         out: list[dict] = []
@@ -479,7 +415,7 @@ def _marker(length: int, gram: int, buckets: int):
                             bucket = int.from_bytes(hashlib.blake2b(piece, digest_size=6).digest(), "big") % buckets
                             asked.append((bucket, piece, (*name, w - a)))
         if kept_open:
-            out.append({"target": home, "blob": _sealed(pa.Table.from_pylist(kept_open, _OPEN_ARROW))})
+            out.append({"target": home, "blob": sealed(pa.Table.from_pylist(kept_open, _OPEN_ARROW))})
         asked.sort(key=lambda x: x[0])
         at = 0
         while at < len(asked):
@@ -496,7 +432,7 @@ def _marker(length: int, gram: int, buckets: int):
 def _pack_regions(regions: list[tuple[int, bytes, tuple]]) -> bytes:
     doc, sums, number, offset = (np.array(x, dtype=np.int64) for x in zip(*[r[2] for r in regions], strict=True))
     sizes = np.array([len(r[1]) for r in regions], dtype=np.uint32)
-    head = _pack(
+    head = pack(
         doc=doc, sum=sums.astype("<u2"), number=number.astype("<u4"), offset=offset.astype("u1"), size=sizes
     )
     return len(head).to_bytes(8, "little") + head + b"".join(r[1] for r in regions)
@@ -512,7 +448,7 @@ def _comparer(length: int, groups: int):
             size = int.from_bytes(blob[:8], "little")
             heads.append(blob[8 : 8 + size])
             bodies.append(np.frombuffer(blob, np.uint8, offset=8 + size))
-        r = _unpack(heads, **kinds)
+        r = unpack(heads, **kinds)
         # No UTF-8 text has the byte 255: it parts the regions.
         size = r["size"].astype(np.int64)
         begins = np.concatenate([[0], np.cumsum(size + 1)])
@@ -525,17 +461,17 @@ def _comparer(length: int, groups: int):
         shared = common_prefixes(text, order, length)
         begins_at = np.flatnonzero(shared < length)
         doc = r["doc"][region[order]]
-        least = _spread(np.minimum.reduceat(doc, begins_at), begins_at, len(order))
+        least = spread(np.minimum.reduceat(doc, begins_at), begins_at, len(order))
         hit = order[doc > least]
         bits = np.uint64(1) << (place[hit] + r["offset"][region[hit]]).astype(np.uint64)
         by = np.argsort(region[hit], kind="stable")
         own = region[hit][by]
-        at = _runs(own)
+        at = runs_of(own)
         if not len(at):
-            return pa.Table.from_batches([], _BLOBS_ARROW)
+            return pa.Table.from_batches([], BLOBS_ARROW)
         marks = {k: r[k][own[at]] for k in ("doc", "sum", "number")}
         marks["bits"] = np.bitwise_or.reduceat(bits[by], at)
-        return pa.Table.from_batches([_batch(list(_dealt(_home(marks["doc"], groups), 0, marks)))])
+        return pa.Table.from_batches([batch_of(list(dealt(_home(marks["doc"], groups), 0, marks)))])
 
     return compare
 
@@ -544,7 +480,7 @@ def _finisher(length: int, gram: int):
     """Open documents with the windows found -> finished documents."""
 
     def finish(docs: pa.Table, answers: pa.Table) -> pa.Table:
-        told = _unpack(answers.column("blob").to_pylist(), **_MARKS)
+        told = unpack(answers.column("blob").to_pylist(), **_MARKS)
         order = np.lexsort((told["number"], told["sum"], told["doc"]))
         told = {k: v[order] for k, v in told.items()}
         out = []
@@ -599,28 +535,28 @@ def repeated_spans(documents: DataFrame, document: str = "doc_id", text: str = "
     )
     total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = groups = max(1, math.ceil(total / BUCKET_BYTES))
-    records = docs.mapInArrow(_sender(length, gram, buckets, groups), _BLOBS)
-    answers = records.groupBy("target").applyInArrow(_decider(groups), _BLOBS)
+    records = docs.mapInArrow(_sender(length, gram, buckets, groups), BLOBS)
+    answers = records.groupBy("target").applyInArrow(_decider(groups), BLOBS)
 
     def home(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def rows() -> Iterator[tuple[int, int, bytes]]:
             for part, _, _ in spans.blocks(batches, limit=SEND_BYTES):
                 target = _home(part.column("doc").to_numpy(), groups)
                 order = np.argsort(target, kind="stable")
-                begins = _runs(target[order])
+                begins = runs_of(target[order])
                 for a, b in zip(begins, np.append(begins[1:], len(order)), strict=True):
-                    yield int(target[order[a]]), 0, _sealed(part.take(pa.array(order[a:b])))
+                    yield int(target[order[a]]), 0, sealed(part.take(pa.array(order[a:b])))
 
-        yield from _emitted(rows())
+        yield from emitted(rows())
 
-    placed = docs.mapInArrow(home, _BLOBS)
+    placed = docs.mapInArrow(home, BLOBS)
     state = written(
         placed.groupBy("target")
         .cogroup(answers.groupBy("target"))
         .applyInArrow(_ordered(_marker(length, gram, buckets)), _STATE)
     )
     found = state.where("bucket is not null").select("bucket", "blob").groupBy("bucket")
-    marks = found.applyInArrow(_comparer(length, groups), _BLOBS)
+    marks = found.applyInArrow(_comparer(length, groups), BLOBS)
     opened = state.where("target is not null").select("target", "blob")
     closed = (
         opened.groupBy("target")
