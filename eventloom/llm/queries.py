@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from eventloom.llm import chat, contamination, fertility, mixing, orderhash, secrets, suffixes, tokenfiles, urls
+from eventloom.llm import chat, contamination, fertility, mixing, orderhash, paragraphs, secrets, suffixes, tokenfiles, urls
 from eventloom.llm.base import CHECKS, QUERIES, query, table
 
 __all__ = ["CHECKS", "QUERIES"]
@@ -119,6 +119,11 @@ def op4_token_files(spark: SparkSession, folder: str) -> DataFrame:
     return tokenfiles.read_token_files(tokenfiles.write_token_files(table(spark, folder, "documents")))
 
 
+@query("op5_paragraph_bands")
+def op5_paragraph_bands(spark: SparkSession, folder: str) -> DataFrame:
+    return paragraphs.repeated_passages(table(spark, folder, "documents"))
+
+
 @query("op6_tokeniser_fertility")
 def op6_tokeniser_fertility(spark: SparkSession, folder: str) -> DataFrame:
     return fertility.judge_quality(table(spark, folder, "documents"))
