@@ -231,19 +231,28 @@ def decontaminated(
     :func:`find_contamination`.
     """
     columns = documents.columns
-    found = find_contamination(documents, benchmark, document, text, keep=tuple(columns), **options)
+    # Under names of their own, so that no column of the input can clash with a figure.
+    own = documents.select(*[F.col(f"`{c}`").alias(f"in{i}") for i, c in enumerate(columns)])
+    at = {c: f"in{i}" for i, c in enumerate(columns)}
+    text_as = at[text]
+    found = find_contamination(own, benchmark, at[document], text_as, keep=tuple(own.columns), **options)
     stays = found.where((F.col("n_hit") == 0) | (F.col("n_hit") < max_hit_share * F.col("n_words")))
-    # Spans count bytes: cut the UTF-8 form from the last span to the first, then read it as text again.
-    raw = F.encode(F.col(f"`{text}`"), "UTF-8")
+    # Spans count bytes: cut the UTF-8 form at their edges, then read it as text again.
+    raw = F.encode(text_as, "UTF-8")
     edges = F.concat(F.array(F.lit(0).cast("long")), F.flatten("spans"), F.array(F.octet_length(raw).cast("long")))
     pieces = F.transform(
         F.sequence(F.lit(0), F.size("spans")),
-        lambda i: F.substring(raw, F.element_at(edges, 2 * i + 1).cast("int") + 1, (F.element_at(edges, 2 * i + 2) - F.element_at(edges, 2 * i + 1)).cast("int")),
+        lambda i: F.substring(
+            raw,
+            F.element_at(edges, 2 * i + 1).cast("int") + 1,
+            (F.element_at(edges, 2 * i + 2) - F.element_at(edges, 2 * i + 1)).cast("int"),
+        ),
     )
     joined = F.aggregate(pieces, F.lit(b""), lambda a, b: F.concat(a, b))
-    cut = F.when(F.size("spans") > 0, F.decode(joined, "UTF-8")).otherwise(F.col(f"`{text}`"))
-    out = stays.withColumn(text, cut)
+    hit = F.size("spans") > 0
+    out = {c: F.col(n) for c, n in at.items()}
+    out[text] = F.when(hit, F.decode(joined, "UTF-8")).otherwise(F.col(text_as))
     if "n_chars" in columns:
         kind = documents.schema["n_chars"].dataType
-        out = out.withColumn("n_chars", F.when(F.size("spans") > 0, F.length(text).cast(kind)).otherwise(F.col("n_chars")))
-    return out.select(*[F.col(f"`{c}`") for c in columns])
+        out["n_chars"] = F.when(hit, F.length(out[text]).cast(kind)).otherwise(F.col(at["n_chars"]))
+    return stays.select(*[value.alias(c) for c, value in out.items()])
