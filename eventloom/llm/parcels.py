@@ -35,12 +35,29 @@ def opened(blobs: list[bytes]) -> Iterator[pa.RecordBatch]:
         yield from pa.ipc.open_stream(blob)
 
 
-def unpack(blobs: list[bytes], **kinds: str) -> dict[str, np.ndarray]:
+def steps(values: np.ndarray) -> np.ndarray:
+    """Differences of sorted whole numbers, the first one to zero: small values compress better."""
+    return np.diff(values, prepend=np.zeros(1, dtype=values.dtype))
+
+
+def squeezed(raw: bytes) -> bytes:
+    """Compressed bytes behind their size."""
+    return len(raw).to_bytes(8, "little") + pa.compress(raw, codec="zstd", asbytes=True)
+
+
+def unsqueezed(raw: bytes) -> bytes:
+    size = int.from_bytes(raw[:8], "little")
+    return pa.decompress(raw[8:], decompressed_size=size, codec="zstd", asbytes=True)
+
+
+def unpack(blobs: list[bytes], stepped: tuple[str, ...] = (), **kinds: str) -> dict[str, np.ndarray]:
+    """The columns of all blobs; those ``stepped`` were packed as :func:`steps`."""
     parts: dict[str, list[np.ndarray]] = {k: [np.empty(0, dtype=kind)] for k, kind in kinds.items()}
     for blob in blobs:
         size, at = int.from_bytes(blob[:8], "little"), 8
         for name, kind in kinds.items():
-            parts[name].append(np.frombuffer(blob, dtype=kind, count=size, offset=at))
+            values = np.frombuffer(blob, dtype=kind, count=size, offset=at)
+            parts[name].append(np.cumsum(values, dtype=kind) if name in stepped else values)
             at += size * np.dtype(kind).itemsize
     return {k: np.concatenate(v) for k, v in parts.items()}
 
@@ -58,12 +75,17 @@ def spread(values: np.ndarray, begins: np.ndarray, total: int) -> np.ndarray:
     return np.repeat(values, np.diff(np.append(begins, total)))
 
 
-def dealt(target: np.ndarray, kind: int, columns: dict[str, np.ndarray]) -> Iterator[tuple[int, int, bytes]]:
+def dealt(
+    target: np.ndarray, kind: int, columns: dict[str, np.ndarray], stepped: tuple[str, ...] = ()
+) -> Iterator[tuple[int, int, bytes]]:
+    """A blob for each target, with the records in the order given."""
     order = np.argsort(target, kind="stable")
     begins = runs_of(target[order])
+    if not len(begins):
+        return
     for a, b in zip(begins, np.append(begins[1:], len(order)), strict=True):
         own = order[a:b]
-        yield int(target[own[0]]), kind, pack(**{k: v[own] for k, v in columns.items()})
+        yield int(target[own[0]]), kind, pack(**{k: steps(v[own]) if k in stepped else v[own] for k, v in columns.items()})
 
 
 def batch_of(rows: list[tuple[int, int, bytes]]) -> pa.RecordBatch:

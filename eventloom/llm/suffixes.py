@@ -37,7 +37,9 @@ from eventloom.llm.parcels import (
     runs_of,
     sealed,
     spread,
+    squeezed,
     unpack,
+    unsqueezed,
 )
 
 #: Bytes of a string that counts as repeated.
@@ -50,7 +52,7 @@ GRAM = 16
 BUCKET_BYTES = 4 << 20
 
 #: Bytes of text whose regions a task unites before it sends them.
-SEND_BYTES = 16 << 20
+SEND_BYTES = 8 << 20
 
 #: Regions of one gram that are compared in one bucket; beyond that, its windows are dealt by their own content.
 SPREAD_REGIONS = 20_000
@@ -210,11 +212,13 @@ class Regions:
         return alike
 
 
-#: Columns that travel. A gram and a region code together are 80 bits beside the bucket of the gram; ``sum`` tells
-#: texts with one document id apart.
-_SENT = {"gram": "<u4", "code": "<u4", "more": "<u2", "doc": "<i8", "sum": "<u2", "number": "<u4"}
+#: Columns that travel. A gram and a region code together are 64 bits beside the bucket of the gram, of which there are more the
+#: larger the corpus is; ``sum`` tells texts with one document id apart, and is zero where no id is repeated.
+_SENT = {"gram": "<u4", "code": "<u4", "doc": "<i8", "sum": "<u2", "number": "<u4"}
 _ANSWER = {"doc": "<i8", "sum": "<u2", "number": "<u4", "state": "u1"}
 _MARKS = {"doc": "<i8", "sum": "<u2", "number": "<u4", "bits": "<u8"}
+#: Columns that are sorted in a blob.
+_STEPPED = ("doc",)
 
 
 def _home(doc: np.ndarray, groups: int) -> np.ndarray:
@@ -225,7 +229,7 @@ def _home(doc: np.ndarray, groups: int) -> np.ndarray:
 # --- the three exchanges ------------------------------------------------------------------------------------
 
 
-def _sender(length: int, gram: int, buckets: int, groups: int):
+def _sender(length: int, gram: int, buckets: int, groups: int, repeated: bool):
     """Documents -> records for the buckets of grams, and answers that the task itself can give."""
 
     def united(found: list[dict[str, np.ndarray]]) -> Iterator[tuple[int, int, bytes]]:
@@ -242,23 +246,22 @@ def _sender(length: int, gram: int, buckets: int, groups: int):
         sent = np.flatnonzero(once & ~later)
         sent = sent[np.lexsort((r["number"][sent], r["doc"][sent]))]
         target = (r["gram"][sent] >> np.uint64(32)) % np.uint64(buckets)
-        r["more"] = r["code"] >> np.uint64(32)
         columns = {k: r[k][sent].astype(_SENT[k]) for k in _SENT}
-        yield from dealt(target, 0, columns)
+        yield from dealt(target, 0, columns, _STEPPED)
         if later.any():
             own = np.flatnonzero(later)
             own = own[np.lexsort((r["number"][own], r["doc"][own]))]
             known = {k: r[k][own].astype(_ANSWER[k]) for k in ("doc", "sum", "number")}
             known["state"] = np.full(len(own), _REPEATED, dtype=np.uint8)
             # These travel with the records, so that both come from one evaluation of the task.
-            yield from dealt(_home(r["doc"][own], groups) % np.uint64(buckets), 1, known)
+            yield from dealt(_home(r["doc"][own], groups) % np.uint64(buckets), 1, known, _STEPPED)
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, int, bytes]]:
         found, size = [], 0
-        for part, buf, starts in spans.blocks(batches):
+        for part, buf, starts in spans.blocks(batches, limit=spans.BLOCK_BYTES // 2):
             regions = Regions(buf, starts, length, gram)
             doc = part.column("doc").to_numpy()
-            sums = np.array(_sums(buf, starts), dtype=np.int64)
+            sums = np.array(_sums(buf, starts, repeated), dtype=np.int64)
             found.append(
                 {
                     "gram": regions.gram,
@@ -284,9 +287,8 @@ def _decider(groups: int):
     def rows(table: pa.Table) -> Iterator[tuple[int, int, bytes]]:
         kinds = table.column("kind").to_numpy()
         blobs = table.column("blob").to_pylist()
-        r = unpack([b for b, k in zip(blobs, kinds, strict=True) if k == 0], **_SENT)
-        known = unpack([b for b, k in zip(blobs, kinds, strict=True) if k == 1], **_ANSWER)
-        r["code"] = r["code"].astype(np.uint64) | r.pop("more").astype(np.uint64) << np.uint64(32)
+        r = unpack([b for b, k in zip(blobs, kinds, strict=True) if k == 0], _STEPPED, **_SENT)
+        known = unpack([b for b, k in zip(blobs, kinds, strict=True) if k == 1], _STEPPED, **_ANSWER)
         order = np.lexsort((r["doc"], r["code"], r["gram"]))
         r = {k: v[order] for k, v in r.items()}
         n = len(order)
@@ -309,7 +311,7 @@ def _decider(groups: int):
             }
         order = np.lexsort((known["number"], known["doc"]))
         known = {k: v[order] for k, v in known.items()}
-        yield from dealt(_home(known["doc"], groups), 0, known)
+        yield from dealt(_home(known["doc"], groups), 0, known, _STEPPED)
 
     def decide(table: pa.Table) -> pa.Table:
         found = list(rows(table))
@@ -335,7 +337,9 @@ _STATE_ARROW = pa.schema(
 )
 
 
-def _sums(buf: np.ndarray, starts: np.ndarray) -> list[int]:
+def _sums(buf: np.ndarray, starts: np.ndarray, wanted: bool) -> list[int]:
+    if not wanted:
+        return [0] * (len(starts) - 1)
     return [zlib.crc32(buf[a : b - 1]) & 0xFFFF for a, b in zip(starts[:-1], starts[1:], strict=True)]
 
 
@@ -362,23 +366,23 @@ def _answers_by_text(told: dict[str, np.ndarray], doc: np.ndarray, sums: list[in
     return [where.get((int(d), int(s)), slice(0, 0)) for d, s in zip(doc, sums, strict=True)]
 
 
-def _text_blocks(docs: pa.Table):
+def _text_blocks(docs: pa.Table, repeated: bool):
     for part, buf, starts in spans.blocks(opened(docs.column("blob").to_pylist())):
-        yield part, buf, starts, _sums(buf, starts)
+        yield part, buf, starts, _sums(buf, starts, repeated)
 
 
-def _marker(length: int, gram: int, buckets: int):
+def _marker(length: int, gram: int, buckets: int, repeated: bool):
     """A group of documents with its answers -> finished documents, open ones, and bytes to compare."""
 
     def mark(docs: pa.Table, answers: pa.Table) -> pa.Table:
-        told = unpack(answers.column("blob").to_pylist(), **_ANSWER)
+        told = unpack(answers.column("blob").to_pylist(), _STEPPED, **_ANSWER)
         order = np.lexsort((told["number"], told["sum"], told["doc"]))
         told = {k: v[order] for k, v in told.items()}
         out: list[dict] = []
         kept_open: list[dict] = []
         home = docs.column("target")[0].as_py()
         asked: list[tuple[int, bytes, tuple]] = []  # bucket, bytes, (doc, sum, number, windows, offset)
-        for part, buf, starts, sums in _text_blocks(docs):
+        for part, buf, starts, sums in _text_blocks(docs, repeated):
             doc = part.column("doc").to_numpy()
             regions = Regions(buf, starts, length, gram)
             alike = regions.first_alike()
@@ -435,7 +439,7 @@ def _pack_regions(regions: list[tuple[int, bytes, tuple]]) -> bytes:
     head = pack(
         doc=doc, sum=sums.astype("<u2"), number=number.astype("<u4"), offset=offset.astype("u1"), size=sizes
     )
-    return len(head).to_bytes(8, "little") + head + b"".join(r[1] for r in regions)
+    return squeezed(len(head).to_bytes(8, "little") + head + b"".join(r[1] for r in regions))
 
 
 def _comparer(length: int, groups: int):
@@ -444,7 +448,7 @@ def _comparer(length: int, groups: int):
 
     def compare(table: pa.Table) -> pa.Table:
         heads, bodies = [], []
-        for blob in table.column("blob").to_pylist():
+        for blob in map(unsqueezed, table.column("blob").to_pylist()):
             size = int.from_bytes(blob[:8], "little")
             heads.append(blob[8 : 8 + size])
             bodies.append(np.frombuffer(blob, np.uint8, offset=8 + size))
@@ -476,7 +480,7 @@ def _comparer(length: int, groups: int):
     return compare
 
 
-def _finisher(length: int, gram: int):
+def _finisher(length: int, gram: int, repeated: bool):
     """Open documents with the windows found -> finished documents."""
 
     def finish(docs: pa.Table, answers: pa.Table) -> pa.Table:
@@ -484,7 +488,7 @@ def _finisher(length: int, gram: int):
         order = np.lexsort((told["number"], told["sum"], told["doc"]))
         told = {k: v[order] for k, v in told.items()}
         out = []
-        for part, buf, starts, sums in _text_blocks(docs):
+        for part, buf, starts, sums in _text_blocks(docs, repeated):
             doc = part.column("doc").to_numpy()
             regions = Regions(buf, starts, length, gram)
             alike = regions.first_alike()
@@ -534,8 +538,9 @@ def repeated_spans(documents: DataFrame, document: str = "doc_id", text: str = "
         F.coalesce(F.col(text), F.lit("")).alias("text"),
     )
     total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    repeated = bool(docs.groupBy("doc").count().where("count > 1").limit(1).count())
     buckets = groups = max(1, math.ceil(total / BUCKET_BYTES))
-    records = docs.mapInArrow(_sender(length, gram, buckets, groups), BLOBS)
+    records = docs.mapInArrow(_sender(length, gram, buckets, groups, repeated), BLOBS)
     answers = records.groupBy("target").applyInArrow(_decider(groups), BLOBS)
 
     def home(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -543,7 +548,7 @@ def repeated_spans(documents: DataFrame, document: str = "doc_id", text: str = "
             for part, _, _ in spans.blocks(batches, limit=SEND_BYTES):
                 target = _home(part.column("doc").to_numpy(), groups)
                 order = np.argsort(target, kind="stable")
-                begins = runs_of(target[order])
+                begins = runs_of(target[order])  # a part has a row at least
                 for a, b in zip(begins, np.append(begins[1:], len(order)), strict=True):
                     yield int(target[order[a]]), 0, sealed(part.take(pa.array(order[a:b])))
 
@@ -553,7 +558,7 @@ def repeated_spans(documents: DataFrame, document: str = "doc_id", text: str = "
     state = written(
         placed.groupBy("target")
         .cogroup(answers.groupBy("target"))
-        .applyInArrow(_ordered(_marker(length, gram, buckets)), _STATE)
+        .applyInArrow(_ordered(_marker(length, gram, buckets, repeated)), _STATE)
     )
     found = state.where("bucket is not null").select("bucket", "blob").groupBy("bucket")
     marks = found.applyInArrow(_comparer(length, groups), BLOBS)
@@ -561,7 +566,7 @@ def repeated_spans(documents: DataFrame, document: str = "doc_id", text: str = "
     closed = (
         opened.groupBy("target")
         .cogroup(marks.groupBy("target"))
-        .applyInArrow(_ordered(_finisher(length, gram)), _STATE)
+        .applyInArrow(_ordered(_finisher(length, gram, repeated)), _STATE)
     )
     done = ["doc", "n_bytes", "spans", "kept_sha256"]
     out = state.where("kept_sha256 is not null").select(*done).unionByName(closed.select(*done))
