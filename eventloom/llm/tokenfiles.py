@@ -184,7 +184,8 @@ def write_token_files(
             names = ["part", "before", "n_ids", "first_doc", "last_doc", "file"]
             return pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(values, kinds, strict=True)], names=names)
 
-        for batch, buf, starts in spans.blocks(batches):
+        # No block has many more ids than a file.
+        for batch, buf, starts in spans.blocks(batches, limit=min(spans.BLOCK_BYTES, 4 * file_ids)):
             part = batch.column("part")[0].as_py()
             plain, number = encoder(buf, starts)
             with_end = np.insert(plain, np.cumsum(number), np.uint32(end_id))
