@@ -8,7 +8,8 @@ import re
 
 DOCUMENTS = "doc_id long, text string, lang string, source string, n_chars long"
 
-WORDS = [a + b + c for a in ("th", "er", "on", "st", "wh") for b in ("in", "ou", "ea", "at") for c in ("ed", "ly", "s", "tion")]
+_STEMS = [a + b for a in ("th", "er", "on", "st", "wh", "ingr", "fl", "br") for b in ("in", "ou", "ea", "at", "ush", "o")]
+WORDS = [a + c + b for a in _STEMS for b in ("", "ed", "ly", "s", "tion") for c in ("", *_STEMS[::7])]
 
 
 def prose(seed: int, words: int) -> str:
