@@ -10,15 +10,9 @@ from eventloom.operators import visits as v
 from eventloom.plans import pipelines
 
 
-def unpacked(packed, **options):
-    """Unpacked scans with the position counted over all parts of a visit."""
-    rows = v.unpack_scans(packed, **options)
-    return rows.withColumn("pos", F.col("part") * views.SCAN_PART + F.col("pos")).drop("part")
-
-
 @query("scan_unpack", "SELECT visit, pid, type, date, pos, bssid, rssi, frequency FROM readings")
 def _(spark, folder):
-    return unpacked(views.scans(spark, folder))
+    return v.unpack_scans(views.scans(spark, folder), part="part")
 
 
 @query(
@@ -27,11 +21,10 @@ def _(spark, folder):
        WHERE visit IN (SELECT visit FROM readings GROUP BY visit HAVING count(*) > 1)""",
 )
 def _(spark, folder):
-    # survey scans carry a terminator; only the first part of a visit can hold its single record
+    # survey scans carry a terminator
     wifi = F.when(F.col("type") == 1, v.with_terminator("wifi")).otherwise(F.col("wifi"))
     packed = views.scans(spark, folder).withColumn("wifi", wifi)
-    first = unpacked(packed.filter("part = 0"), drop_single=True)
-    return first.unionByName(unpacked(packed.filter("part > 0")))
+    return v.unpack_scans(packed, part="part", drop_single=True)
 
 
 @query(
@@ -211,7 +204,7 @@ _BSSIDS = [f"b{i}" for i in range(40)]
     + " FROM readings GROUP BY visit",
 )
 def _(spark, folder):
-    return rounded(v.pivot_bssid(views.readings(spark, folder), _BSSIDS), *_BSSIDS)
+    return rounded(v.pivot_bssid(views.readings(spark, folder)), *_BSSIDS)
 
 
 _NUMBERED = """WITH numbered AS (SELECT r.pid, r.bssid, r.rssi, r.frequency, k.n FROM readings r JOIN (
@@ -221,29 +214,32 @@ _NUMBERED = """WITH numbered AS (SELECT r.pid, r.bssid, r.rssi, r.frequency, k.n
 
 @query(
     "pivot_visit",
-    f"{_NUMBERED} SELECT pid, bssid, "
-    + ", ".join(f"round(avg(rssi) FILTER (n = {i}), 6) AS visit_{i}" for i in range(1, 5))
-    + " FROM numbered GROUP BY pid, bssid",
+    f"{_NUMBERED} SELECT pid, bssid, n AS visit_no, round(avg(rssi), 6) AS rssi FROM numbered GROUP BY pid, bssid, n",
 )
 def _(spark, folder):
-    return rounded(v.pivot_visit(views.readings(spark, folder)), *[f"visit_{i}" for i in range(1, 5)])
+    # All columns, however many the data have, laid down as rows again: a fixed form that shows every value.
+    wide = v.pivot_visit(views.readings(spark, folder))
+    columns = [c for c in wide.columns if c.startswith("visit_")]
+    cells = F.posexplode(F.array(*columns)) if columns else F.posexplode(F.array().cast("array<double>"))
+    rows = wide.select("pid", "bssid", cells.alias("place", "rssi")).where("rssi IS NOT NULL")
+    return rounded(rows.select("pid", "bssid", (F.col("place") + 1).cast("bigint").alias("visit_no"), "rssi"), "rssi")
 
 
-_FOUR = f"""{_NUMBERED}, per AS (SELECT pid, bssid, n, avg(rssi) AS rssi, avg(frequency) AS frequency FROM numbered
-        WHERE n <= 4 GROUP BY pid, bssid, n),
-    wide AS (SELECT pid, bssid, bool_or(n = 1) AS a, bool_or(n = 2) AS b, bool_or(n = 3) AS c, bool_or(n = 4) AS d,
-        avg(frequency) AS frequency, avg(rssi) AS rssi FROM per GROUP BY pid, bssid)"""
-_BRIDGE = "CASE WHEN (a AND NOT b AND c) OR (a AND NOT c AND d) OR (b AND NOT c AND d) THEN 1 ELSE 0 END AS bridge"
+_BRIDGED = f"""{_NUMBERED}, per AS (SELECT pid, bssid, n, avg(rssi) AS rssi, avg(frequency) AS frequency FROM numbered
+        GROUP BY pid, bssid, n),
+    steps AS (SELECT *, n - lag(n) OVER (PARTITION BY pid, bssid ORDER BY n) AS step FROM per),
+    wide AS (SELECT pid, bssid, max(CASE WHEN step > 1 THEN 1 ELSE 0 END) AS bridge,
+        avg(frequency) AS frequency, avg(rssi) AS rssi FROM steps GROUP BY pid, bssid)"""
 
 
-@query("bridge_flag", f"{_FOUR} SELECT pid, bssid, {_BRIDGE} FROM wide")
+@query("bridge_flag", f"{_BRIDGED} SELECT pid, bssid, bridge FROM wide")
 def _(spark, folder):
     return v.bridges(views.readings(spark, folder)).select("pid", "bssid", "bridge")
 
 
 @query(
     "band_flag",
-    f"{_FOUR} SELECT pid, bssid, CAST(frequency < 3000 AS INT) AS frequency_24, round(rssi, 6) AS rssi FROM wide",
+    f"{_BRIDGED} SELECT pid, bssid, CAST(frequency < 3000 AS INT) AS frequency_24, round(rssi, 6) AS rssi FROM wide",
 )
 def _(spark, folder):
     return rounded(v.bridges(views.readings(spark, folder)).select("pid", "bssid", "frequency_24", "rssi"), "rssi")
@@ -256,12 +252,12 @@ def _(spark, folder):
         SELECT pid, bssid, max(CASE WHEN step > 1 THEN 1 ELSE 0 END) AS bridge FROM steps GROUP BY pid, bssid""",
 )
 def _(spark, folder):
-    return v.bridges(views.readings(spark, folder), visits=None).select("pid", "bssid", "bridge")
+    return v.bridges(views.readings(spark, folder)).select("pid", "bssid", "bridge")
 
 
 @query(
     "scan_features",
-    f"""{_FOUR} SELECT pid, bssid, {_BRIDGE}, CAST(frequency < 3000 AS INT) AS frequency_24, round(rssi, 6) AS rssi FROM wide""",
+    f"""{_BRIDGED} SELECT pid, bssid, bridge, CAST(frequency < 3000 AS INT) AS frequency_24, round(rssi, 6) AS rssi FROM wide""",
 )
 def _(spark, folder):
     return rounded(pipelines.scan_features(views.scans(spark, folder)), "rssi")

@@ -46,24 +46,43 @@ def _with_tokens(df: DataFrame, wifi: str, kind: str) -> DataFrame:
     return split.withColumn("__tokens", kept).withColumn("__width", _format_of(kind, 1)).drop("__parts")
 
 
-def unpack_scans(df: DataFrame, wifi: str = "wifi", kind: str = "type", drop_single: bool = False) -> DataFrame:
+def unpack_scans(
+    df: DataFrame,
+    wifi: str = "wifi",
+    kind: str = "type",
+    drop_single: bool = False,
+    part: str | None = None,
+    visit: Sequence[str] = ("visit",),
+) -> DataFrame:
     """One row per access point. An incomplete record at the end of a scan is dropped
-    (see :func:`leftover_fields`); ``drop_single`` leaves out scans of one access point."""
+    (see :func:`leftover_fields`); ``drop_single`` leaves out scans of one access point.
+
+    With a ``part`` column, a scan is all rows of one ``visit`` in the order of their parts: positions count over
+    all parts, and a scan is single if all its parts together hold one record. The part column is left out.
+    """
+    others = [c for c in df.columns if c not in (wifi, part)]
+    packed = _with_tokens(df, wifi, kind)
+    packed = packed.withColumn("__whole", F.floor(F.size("__tokens") / F.col("__width")).cast("int"))
+    before, total = F.lit(0).cast("bigint"), F.col("__whole")
+    if part is not None:
+        parts = Window.partitionBy(*visit)
+        earlier = parts.orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
+        packed = packed.withColumns(
+            {"__before": F.coalesce(F.sum("__whole").over(earlier), F.lit(0)), "__total": F.sum("__whole").over(parts)}
+        )
+        before, total = F.col("__before"), F.col("__total")
 
     def record(k: Column) -> Column:
         field = lambda place: F.trim(F.element_at("__tokens", k * F.col("__width") + place))
         return F.struct(
-            (k + 1).cast("bigint").alias("pos"),
+            (before + k + 1).cast("bigint").alias("pos"),
             field(SCAN_FIELDS["bssid"]).alias("bssid"),
             field(SCAN_FIELDS["rssi"]).try_cast("int").alias("rssi"),
             field(SCAN_FIELDS["frequency"]).try_cast("int").alias("frequency"),
         )
 
-    others = [c for c in df.columns if c != wifi]
-    packed = _with_tokens(df, wifi, kind)
-    packed = packed.withColumn("__whole", F.floor(F.size("__tokens") / F.col("__width")).cast("int"))
     # a sequence to -1 would count down: scans without a whole record leave here
-    packed = packed.filter(F.col("__whole") > (1 if drop_single else 0))
+    packed = packed.filter((F.col("__whole") > 0) & (total > (1 if drop_single else 0)))
     return packed.select(*others, F.inline(F.transform(F.sequence(F.lit(0), F.col("__whole") - 1), record)))
 
 
@@ -223,9 +242,34 @@ def heatmap_cells(readings: DataFrame) -> DataFrame:
     return cells.join(broadcast_if_small(ranks), "bssid")
 
 
-def pivot_bssid(readings: DataFrame, bssids: Sequence[str], keys: Sequence[str] = ("visit",)) -> DataFrame:
-    """One row per visit, one column of mean signal per listed access point."""
-    return readings.groupBy(*keys).pivot("bssid", list(bssids)).agg(F.avg("rssi"))
+#: Columns that one pivot may make; Spark's own limit is of the same size.
+PIVOT_COLUMNS = 10_000
+
+
+def _pivot_values(df: DataFrame, column: str) -> list:
+    """The distinct values of a column, if they can become columns."""
+    values = [r[0] for r in df.select(column).distinct().limit(PIVOT_COLUMNS + 1).collect()]
+    if len(values) > PIVOT_COLUMNS:
+        raise ValueError(f"{column} has more than {PIVOT_COLUMNS} values; keep it as rows")
+    return sorted(v for v in values if v is not None)
+
+
+def pivot_bssid(
+    readings: DataFrame,
+    bssids: Sequence[str] | None = None,
+    keys: Sequence[str] = ("visit",),
+    leave_out: bool = False,
+) -> DataFrame:
+    """One row per visit, one column of mean signal per access point.
+
+    Without ``bssids`` the access points are those of the data. A given list that does not name all of them
+    is refused, unless ``leave_out`` says that the others are not wanted.
+    """
+    found = None if bssids is not None and leave_out else _pivot_values(readings, "bssid")
+    missing = set(found or ()) - set(bssids if bssids is not None else found)
+    if missing:
+        raise ValueError(f"access points without a column: {sorted(missing)[:5]} and others ({len(missing)} in all)")
+    return readings.groupBy(*keys).pivot("bssid", list(found if bssids is None else bssids)).agg(F.avg("rssi"))
 
 
 def number_visits(df: DataFrame, name: str = "visit_no") -> DataFrame:
@@ -235,12 +279,17 @@ def number_visits(df: DataFrame, name: str = "visit_no") -> DataFrame:
     return df.join(numbers.select("pid", "visit", name), ["pid", "visit"])
 
 
-def pivot_visit(readings: DataFrame, value: str = "rssi", visits: int = 4) -> DataFrame:
-    """One row per (place, access point), one column per visit of the place, in visit order."""
-    columns = [
-        F.avg(F.when(F.col("visit_no") == i, F.col(value))).alias(f"visit_{i}") for i in range(1, visits + 1)
-    ]
-    return number_visits(readings).groupBy("pid", "bssid").agg(*columns)
+def pivot_visit(readings: DataFrame, value: str = "rssi", visits: int | None = None) -> DataFrame:
+    """One row per (place, access point), one column per visit of the place, in visit order.
+
+    There are as many columns as the place with most visits has, or ``visits`` of them on request.
+    """
+    numbered = number_visits(readings)
+    last = numbered.agg(F.max("visit_no")).first()[0] or 0 if visits is None else visits
+    if last > PIVOT_COLUMNS:
+        raise ValueError(f"a place has {last} visits; keep them as rows")
+    columns = [F.avg(F.when(F.col("visit_no") == i, F.col(value))).alias(f"visit_{i}") for i in range(1, last + 1)]
+    return numbered.groupBy("pid", "bssid").agg(*columns) if columns else numbered.select("pid", "bssid").distinct()
 
 
 def bridge_table(numbered: DataFrame) -> DataFrame:
@@ -259,8 +308,7 @@ def bridge_table(numbered: DataFrame) -> DataFrame:
     )
 
 
-def bridges(readings: DataFrame, visits: int | None = 4) -> DataFrame:
-    """:func:`bridge_table` of readings. ``visits`` limits it to the first visits of a place, which is
-    how many the four-column form compares; None looks at all of them."""
+def bridges(readings: DataFrame, visits: int | None = None) -> DataFrame:
+    """:func:`bridge_table` of readings over all visits of a place; ``visits`` limits it to the first ones."""
     numbered = number_visits(readings)
     return bridge_table(numbered if visits is None else numbered.filter(F.col("visit_no") <= visits))

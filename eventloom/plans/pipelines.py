@@ -129,10 +129,11 @@ def over_train_and_test(
     return split_back(both, 0), split_back(both, 1)
 
 
-def scan_features(scans: DataFrame, visits: int | None = 4) -> DataFrame:
-    """From packed scans to bridge, band and mean signal per (place, access point).
+def scan_features(scans: DataFrame, visits: int | None = None) -> DataFrame:
+    """From packed scans to bridge, band and mean signal per (place, access point), over all visits.
 
     Visits are numbered while they are still packed, so the unpacked readings are only aggregated.
+    ``visits`` limits the work to the first visits of a place.
     """
     numbered = number_visits(scans)
     if visits is not None:
