@@ -20,6 +20,10 @@ OTHER, MISSING = "(other)", "(none)"
 #: Target share of a level without a given target: its share of tokens to this power, so that large ones shrink.
 SMOOTHING = 0.9
 
+#: The largest weight of a cell. Weights have a mean of 1 over all tokens, so the sample holds about one in this many; without such a
+#: bound the rarest cell would decide how much is kept of all others.
+MOST_WEIGHT = 2.0
+
 #: The raking ends when no marginal is further from its target than this share, or after so many rounds.
 TOLERANCE, MOST_ROUNDS = 1e-10, 1000
 
@@ -43,29 +47,35 @@ def topic_of(text: str | Column) -> Column:
 
 
 def rake(
-    tokens: np.ndarray, places: dict[str, np.ndarray], targets: dict[str, np.ndarray]
+    tokens: np.ndarray, places: dict[str, np.ndarray], targets: dict[str, np.ndarray], most: float = np.inf
 ) -> tuple[np.ndarray, int, float]:
-    """Factors of cells that bring their token sums to the target shares of every dimension.
+    """Factors of cells, ``most`` or less, that bring their token sums to the target shares of every dimension.
 
     ``places`` has the level of every cell in every dimension, ``targets`` the share of each level. Each round scales
-    the cells of each level to its target, one dimension after the other. Returns the factors, the
-    rounds, and the largest distance of a marginal to its target that is left (not zero if no weights meet all targets).
+    the cells of each level to its target, one dimension after the other; a factor beyond ``most`` is set to it, and the next
+    scalings spread what is missing over the other cells. Returns the factors, the rounds, and the largest
+    distance of a marginal to its target that is left (not zero if no weights within the bound meet all targets).
     """
     total = float(tokens.sum())
     factor = np.ones(len(tokens))
-    error = np.inf
-    for number in range(1, MOST_ROUNDS + 1):
+    error, before = np.inf, np.inf
+    number = 0
+    while number < MOST_ROUNDS and error >= TOLERANCE:
+        number += 1
+        start = factor.copy()
         for name, place in places.items():
             sums = np.bincount(place, weights=tokens * factor, minlength=len(targets[name]))
             scale = np.divide(targets[name] * total, sums, out=np.ones_like(sums), where=sums > 0)
-            factor *= scale[place]
+            factor = np.minimum(factor * scale[place], most)
         error = 0.0
         for name, place in places.items():
             sums = np.bincount(place, weights=tokens * factor, minlength=len(targets[name]))
             error = max(error, float(np.abs(sums / total - targets[name]).max()))
-        if error < TOLERANCE:
-            return factor, number, error
-    return factor, MOST_ROUNDS, error
+        moved = float(np.abs(factor - start).max())
+        if moved < TOLERANCE and before < TOLERANCE:
+            break  # the bound keeps the targets out of reach
+        before = moved
+    return factor, number, error
 
 
 @dataclass(frozen=True)
@@ -118,9 +128,9 @@ def fit_mix(labelled: DataFrame, targets: Mapping[str, Mapping[str, float]] | No
         if not wanted.sum() > 0:
             raise ValueError(f"no level of {name} with a target has tokens")
         shares[name] = wanted / wanted.sum()
-    factor, rounds, error = rake(tokens, places, shares)
-    # The cell that is raised most is taken whole; all others in proportion, so that the shares are met.
-    chance = factor / factor.max()
+    factor, rounds, error = rake(tokens, places, shares, MOST_WEIGHT)
+    # A cell of the largest weight is taken whole, all others in proportion to it.
+    chance = factor / MOST_WEIGHT
     rows = [(*r[:3], int(r.tokens), float(f), float(p)) for r, f, p in zip(cells, factor, chance, strict=True)]
     return Mix(levels, rows, rounds, error)
 
@@ -143,8 +153,8 @@ def mix_decisions(
     """Every document with its cell, weight, sampling probability and whether it is sampled.
 
     Tokens are counted as runs without white space. Iterative proportional fitting scales the token sums of the cells
-    (source, language, topic) until all three marginals meet their targets; the probability of a document is the weight of
-    its cell over the largest weight, and a hash of its id decides, so that a rerun or a
+    (source, language, topic) until all three marginals meet their targets; weights are bounded by
+    ``MOST_WEIGHT``. The probability of a document is the weight of its cell over that bound, and a hash of its id decides, so that a rerun or a
     recomputed task draws the same documents. No document is repeated.
 
     One pass over the texts writes their labels; everything else works on that small table. The broadcast has one

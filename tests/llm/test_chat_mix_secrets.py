@@ -56,16 +56,34 @@ def test_rake_meets_all_marginals():
         assert np.allclose(np.bincount(place, weights=tokens * factor) / tokens.sum(), targets[name])
 
 
+def raked_by_hand(cells: dict, targets: list[dict]) -> dict:
+    """Bounded proportional fitting over a dictionary of cells."""
+    weight = dict.fromkeys(cells, 1.0)
+    total = sum(cells.values())
+    for _ in range(3000):
+        for i, wanted in enumerate(targets):
+            for level, share in wanted.items():
+                own = [c for c in cells if c[i] == level]
+                scale = share * total / sum(cells[c] * weight[c] for c in own)
+                for c in own:
+                    weight[c] = min(weight[c] * scale, mixing.MOST_WEIGHT)
+    return weight
+
+
 def test_decisions_against_their_definition(spark):
     rows = QUERIES["op10_raked_mix"](spark, MIDDLE).toPandas()
     assert len(rows) == spark.read.parquet(f"{MIDDLE}/documents.parquet").count()
-    weighted = rows.tokens * rows.weight
+    cells = rows.groupby(["source", "lang", "topic"]).tokens.sum().to_dict()
+    targets = []
     for name in ("source", "lang", "topic"):
-        own = rows.groupby(name).tokens.sum() / rows.tokens.sum()
-        wanted = own**mixing.SMOOTHING / (own**mixing.SMOOTHING).sum()
-        got = weighted.groupby(rows[name]).sum() / weighted.sum()
-        assert np.allclose(got, wanted, atol=1e-8)
-    assert np.allclose(rows.probability, rows.weight / rows.weight.max())
+        share = rows.groupby(name).tokens.sum() / rows.tokens.sum()
+        targets.append((share**mixing.SMOOTHING / (share**mixing.SMOOTHING).sum()).to_dict())
+    weight = raked_by_hand(cells, targets)
+    assert np.allclose(rows.weight, [weight[c] for c in zip(rows.source, rows.lang, rows.topic, strict=True)], atol=1e-5)
+    assert np.allclose(rows.probability, rows.weight / mixing.MOST_WEIGHT) and rows.probability.max() <= 1
+    for name, wanted in zip(("source", "lang", "topic"), targets, strict=True):
+        got = (rows.tokens * rows.weight).groupby(rows[name]).sum() / rows.tokens.sum()
+        assert max(abs(got[level] - share) for level, share in wanted.items()) < 0.005
     # The share sampled is the share expected, within four standard errors.
     spread = np.sqrt((rows.probability * (1 - rows.probability)).sum())
     assert abs(rows.sampled.sum() - rows.probability.sum()) < 4 * spread
@@ -92,10 +110,14 @@ def test_given_targets_and_pooled_levels(spark, monkeypatch):
         [(s, "en", "prose", n) for s, n in (("a", 50), ("b", 30), ("c", 15), ("d", 5))],
         "source string, lang string, topic string, tokens long",
     )
-    mix = mixing.fit_mix(labelled, {"source": {"a": 1, "b": 1, mixing.OTHER: 2}})
+    mix = mixing.fit_mix(labelled, {"source": {"a": 1, "b": 1.2, mixing.OTHER: 1.4}})
     shares = {c[0]: c[3] * c[4] / 100 for c in mix.cells}
     assert set(shares) == {"a", "b", mixing.OTHER}
-    assert np.allclose([shares["a"], shares["b"], shares[mixing.OTHER]], [0.25, 0.25, 0.5])
+    assert np.allclose([shares["a"], shares["b"], shares[mixing.OTHER]], [1 / 3.6, 1.2 / 3.6, 1.4 / 3.6])
+    assert mix.error < 1e-9
+    # The two small sources cannot be more than doubled.
+    mix = mixing.fit_mix(labelled, {"source": {"a": 1, mixing.OTHER: 9}})
+    assert {c[0]: round(c[5], 6) for c in mix.cells}[mixing.OTHER] == 1.0 and mix.error > 0.1
 
 
 def test_forest_on_held_out_findings(spark):
