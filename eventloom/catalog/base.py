@@ -55,7 +55,9 @@ TABLES = {
         CASE WHEN o_totalprice < 1000 THEN CAST(CAST(floor(o_totalprice) AS INT) AS VARCHAR)
              ELSE concat(CAST(CAST(floor(o_totalprice / 1000) AS INT) AS VARCHAR), ',', lpad(CAST(CAST(floor(o_totalprice) AS INT) % 1000 AS VARCHAR), 3, '0')) END AS trRcCntT,
         CAST(o_orderkey % 17 AS INT) AS chulNo, c_acctbal AS hrWeight, o_totalprice AS rcDist,
-        CASE WHEN (o_orderkey * 7919) % 100 < 27 THEN 'pass' ELSE 'fail' END AS rcResult
+        CASE WHEN (o_orderkey * 7919) % 100 < 8 + CASE WHEN o_orderpriority < '3' THEN 30 ELSE 0 END
+        + CASE WHEN o_totalprice > 150000 THEN 25 ELSE 0 END + CASE WHEN c_mktsegment = 'BUILDING' THEN 20 ELSE 0 END
+        THEN 'pass' ELSE 'fail' END AS rcResult
         FROM orders JOIN customer ON o_custkey = c_custkey""",
     "scores": """SELECT o_orderkey AS id, CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 0 END AS y,
         (o_custkey % 99 + 1) / CAST(100 AS DOUBLE) AS gbm, (o_orderkey % 97 + 1) / CAST(100 AS DOUBLE) AS rf,

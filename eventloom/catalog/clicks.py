@@ -12,7 +12,7 @@ from eventloom.catalog.base import query, register, rounded
 from eventloom.functions import timeparts as tp
 from eventloom.operators import features as f
 from eventloom.operators.relational import append_by_name
-from eventloom.plans import pipelines
+from eventloom.plans import keysets, pipelines
 
 
 def timed(spark: SparkSession, folder: str) -> DataFrame:
@@ -107,94 +107,35 @@ def over(keys: Sequence[str], order: bool = False) -> str:
     return f"(PARTITION BY {', '.join(keys)}{' ORDER BY click_time, click_id' if order else ''})"
 
 
-def words(text: str) -> list[list[str]]:
-    return [part.split() for part in text.split(",")]
+for keys in keysets.SIZES:
+    attach(f"count_{'_'.join(keys)}", f.group_size(keys), f"count(*) OVER {over(keys)}")
 
+for column, keys in keysets.USER_SIZES.items():
+    label = column.removesuffix("Count").lower()
+    attach(f"count_{label}", f.group_size(keys, column), f"count(*) OVER {over(keys)}")
 
-# group sizes named after their keys
-for keys in words(
-    "ip day hour, ip app, ip app os, ip app channel, ip device os app, ip device hour, ip day in_test_hh, ip channel"
-):
-    attach(f"count_{'_'.join(keys)}", f.group_size(keys), f"count(*) OVER {over(keys)}")
+for column, keys in keysets.ADDED_SIZES.items():
+    attach(f"addcount_{column}", f.group_size(keys, column), f"count(*) OVER {over(keys)}")
 
-# group sizes with names of their own
-for prefix, sizes in {
-    "count_": {
-        "UsrappCount": "ip app device os",
-        "UsrCount": "ip os device",
-        "nipApp": "ip day hour app",
-        "nipAppOs": "ip day hour app os",
-        "napp": "app day hour",
-        "nappDev": "app day device",
-        "nappDevOs": "app day device os",
-    },
-    "addcount_": {
-        "nip_day_test_hh": "ip day in_test_hh",
-        "nip": "ip",
-        "napp": "app",
-        "ndevice": "device",
-        "nos": "os",
-        "nchannel": "channel",
-        "nip_day_h": "ip day hour",
-        "nip_h_chan": "ip hour channel",
-        "nip_h_osr": "ip hour os",
-        "nip_h_app": "ip hour app",
-        "nip_h_dev": "ip hour device",
-        "napp_channel": "app channel",
-        "nip_h_app_channel": "ip hour app channel",
-        "nip_wday_test_hh": "ip wday in_test_hh",
-        "n_ip": "ip wday hour",
-        "n_ip_os": "ip wday hour os",
-        "n_ip_app": "ip wday hour app",
-        "n_ip_app_os": "ip wday hour app os",
-        "n_app": "app wday hour",
-    },
-}.items():
-    for column, text in sizes.items():
-        keys = text.split()
-        label = column[: -len("Count")].lower() if column.endswith("Count") else column.lower()
-        attach(f"{prefix}{label}", f.group_size(keys, column), f"count(*) OVER {over(keys)}")
-
-for column, text in {
-    "n_ip_day_test_hh": "ip day in_test_hh",
-    "n_ip_day_hh": "ip day hour",
-    "n_ip_os_day_hh": "ip os day hour",
-    "n_ip_app_day_hh": "ip app day hour",
-    "n_ip_app_os_day_hh": "ip app os day hour",
-    "n_app_day_hh": "app day hour",
-    "n_ip_app_dev_os": "ip app device os",
-    "n_ip_dev_os": "ip device os",
-}.items():
-    keys = text.split()
+for column, keys in keysets.CHANNEL_COUNTS.items():
     attach(column, f.non_null_count(keys, "channel", column), f"count(channel) OVER {over(keys)}")
 
-for text in (
-    "ip > channel, ip device os > app, ip day > hour, ip > app, ip app > os, ip > device, app > channel, "
-    "os device app channel > hour, ip day > in_test_hh, ip device os > channel"
-).split(", "):
-    left, counted = text.split(" > ")
-    keys = left.split()
+for keys, counted in keysets.DISTINCT_COUNTS:
     attach(
         f"countuniq_{'_'.join(keys)}_{counted}",
         f.distinct_count(keys, counted),
         f"count(DISTINCT {counted}) OVER {over(keys)}",
     )
 
-for text in (
-    "ip device os > app, ip app channel > hour, os device app channel > hour, ip app os > hour, ip channel > hour"
-).split(", "):
-    left, counted = text.split(" > ")
-    keys = left.split()
+for keys, counted in keysets.MEANS:
     attach(f"mean_{'_'.join(keys)}_{counted}", f.group_mean(keys, counted), f"avg({counted}) OVER {over(keys)}", 6)
 
-for text in "ip day channel > hour, ip app os > hour, ip app channel > day, ip app os > in_test_hh".split(", "):
-    left, counted = text.split(" > ")
-    keys = left.split()
+for keys, counted in keysets.VARIANCES:
     attach(
         f"var_{'_'.join(keys)}_{counted}", f.group_variance(keys, counted), f"var_samp({counted}) OVER {over(keys)}", 6
     )
 
-for keys, counted in ((["ip"], "os"), (["ip", "device", "os"], "app"), (["ip", "app", "device", "os"], "channel")):
+for keys, counted in keysets.RUNNING_COUNTS:
     attach(
         f"cumcount_{'_'.join(keys)}",
         f.running_count(keys, counted),
@@ -235,13 +176,10 @@ def lag(keys: Sequence[str]) -> str:
     return f"lag({NOW}) OVER {over(keys, True)}"
 
 
-for keys in words(
-    "ip app device os channel, ip os device, ip os device app, ip os device channel, ip os device app hour, "
-    "ip os device channel hour, device, device channel, app device channel, device hour"
-):
+for keys in keysets.NEXT_CLICKS:
     attach(f"next_click_{'_'.join(keys)}", f.next_gap(keys), gap_sql(NOW, lead(keys)))
 
-for keys in words("ip channel, ip os"):
+for keys in keysets.PREVIOUS_CLICKS:
     attach(f"prev_click_{'_'.join(keys)}", f.previous_gap(keys), gap_sql(lag(keys), NOW))
 
 _USER = ["ip", "app", "device", "os"]
@@ -251,7 +189,7 @@ attach(
 )
 
 
-def gaps_filled(kind: str, lists: dict[str, list[str]]) -> None:
+def gaps_filled(kind: str, lists: dict[str, Sequence[str]]) -> None:
     """Several gap features in seconds, 0 where there is no neighbour."""
     make = f.next_gap if kind == "next" else f.previous_gap
     wanted = [make(keys, name, mode="total", fill=0) for name, keys in lists.items()]
@@ -266,15 +204,8 @@ def gaps_filled(kind: str, lists: dict[str, list[str]]) -> None:
     register(f"{kind}_click_fill0", run, f"SELECT click_id, {', '.join(values)} FROM timed")
 
 
-gaps_filled(
-    "next",
-    {
-        "by_ipappdeviceoschannel_nextclick1": ["ip", "app", "device", "os", "channel"],
-        "by_iposdevice_nextclick1": ["ip", "os", "device"],
-        "by_iposdeviceapp_nextclick1": ["ip", "os", "device", "app"],
-    },
-)
-gaps_filled("prev", {"by_ipchannel_prevclick1": ["ip", "channel"], "by_ipos_prevclick1": ["ip", "os"]})
+gaps_filled("next", keysets.NEXT_CLICKS_FILLED)
+gaps_filled("prev", keysets.PREVIOUS_CLICKS_FILLED)
 
 
 @query(
@@ -333,17 +264,7 @@ def _(spark, folder):
     "features_prep_data",
     "SELECT click_id, app, device, os, channel, is_attributed, hour, "
     + ", ".join(
-        f"count(channel) OVER {over(text.split())} AS {name}"
-        for name, text in {
-            "n_ip_day_test_hh": "ip day in_test_hh",
-            "n_ip_day_hh": "ip day hour",
-            "n_ip_os_day_hh": "ip os day hour",
-            "n_ip_app_day_hh": "ip app day hour",
-            "n_ip_app_os_day_hh": "ip app os day hour",
-            "n_app_day_hh": "app day hour",
-            "n_ip_app_dev_os": "ip app device os",
-            "n_ip_dev_os": "ip device os",
-        }.items()
+        f"count(channel) OVER {over(keys)} AS {name}" for name, keys in keysets.CHANNEL_COUNTS.items()
     )
     + f", CAST(row_number() OVER {over(_USER, True)} - 1 AS BIGINT) AS ip_app_dev_os_cumcount"
     + f", CAST(row_number() OVER {over(_IDO, True)} - 1 AS BIGINT) AS ip_dev_os_cumcount FROM timed",
@@ -355,17 +276,7 @@ def _(spark, folder):
 @query(
     "features_process",
     "SELECT click_id, app, device, os, channel, is_attributed, hour, "
-    + ", ".join(
-        _size(text.split(), name)
-        for name, text in {
-            "nip_day_test_hh": "ip wday in_test_hh",
-            "n_ip": "ip wday hour",
-            "n_ip_os": "ip wday hour os",
-            "n_ip_app": "ip wday hour app",
-            "n_ip_app_os": "ip wday hour app os",
-            "n_app": "app wday hour",
-        }.items()
-    )
+    + ", ".join(_size(keys, name) for name, keys in keysets.WEEKDAY_SIZES.items())
     + " FROM timed",
 )
 def _(spark, folder):
@@ -375,39 +286,58 @@ def _(spark, folder):
 @query(
     "features_datatable",
     "SELECT click_id, ip, app, device, os, channel, click_time, is_attributed, hour, day, "
-    + ", ".join(
-        _size(text.split(), name)
-        for name, text in {
-            "UsrappCount": "ip app device os",
-            "UsrCount": "ip os device",
-            "nipApp": "ip day hour app",
-            "nipAppOs": "ip day hour app os",
-            "napp": "app day hour",
-            "nappDev": "app day device",
-            "nappDevOs": "app day device os",
-        }.items()
-    )
+    + ", ".join(_size(keys, name) for name, keys in keysets.USER_SIZES.items())
     + f", CAST(row_number() OVER {over(_USER, True)} AS BIGINT) AS UsrappRank"
     + f", CAST(row_number() OVER {over(_IDO, True)} AS BIGINT) AS UsrRank, "
-    + ", ".join(
-        f"{gap_sql(NOW, lead(text.split()), 'total', True)} AS {name}"
-        for name, text in {
-            "by_ipappdeviceoschannel_nextclick1": "ip app device os channel",
-            "by_iposdevice_nextclick1": "ip os device",
-            "by_iposdeviceapp_nextclick1": "ip os device app",
-        }.items()
-    )
+    + ", ".join(f"{gap_sql(NOW, lead(k), 'total', True)} AS {n}" for n, k in keysets.NEXT_CLICKS_FILLED.items())
     + ", "
-    + ", ".join(
-        f"{gap_sql(lag(text.split()), NOW, 'total', True)} AS {name}"
-        for name, text in {"by_ipchannel_prevclick1": "ip channel", "by_ipos_prevclick1": "ip os"}.items()
-    )
+    + ", ".join(f"{gap_sql(lag(k), NOW, 'total', True)} AS {n}" for n, k in keysets.PREVIOUS_CLICKS_FILLED.items())
     + " FROM timed",
 )
 def _(spark, folder):
     return pipelines.features_datatable(views.clicks(spark, folder))
 
 
+_VALUE = "round({}, 6) AS {}"
+_SHORT = [
+    *[f"count(DISTINCT {c}) OVER {over(keys)} AS {name}" for name, (keys, c) in keysets.SHORT_DISTINCT.items()],
+    *[f"CAST(row_number() OVER {over(keys, True)} - 1 AS BIGINT) AS {name}" for name, (keys, _) in keysets.SHORT_RUNNING.items()],
+    *[_size(keys, name) for name, keys in keysets.SHORT_SIZES.items()],
+    *[_VALUE.format(f"var_samp({c}) OVER {over(keys)}", name) for name, (keys, c) in keysets.SHORT_VARIANCES.items()],
+    *[_VALUE.format(f"avg({c}) OVER {over(keys)}", name) for name, (keys, c) in keysets.SHORT_MEANS.items()],
+    f"{gap_sql(NOW, lead(_USER), 'epoch')} AS nextClick",
+]
+
+
+@query(
+    "features_short",
+    f"SELECT click_id, ip, app, device, os, channel, is_attributed, hour, {', '.join(_SHORT)} FROM timed",
+)
+def _(spark, folder):
+    done = pipelines.features_short(views.clicks(spark, folder))
+    return rounded(done, *keysets.SHORT_VARIANCES, *keysets.SHORT_MEANS)
+
+
+_RICH = [
+    *[x for x in _LGB if "ip_os_device_app_nextClick" not in x],
+    *[f"{gap_sql(NOW, lead(keys))} AS {'_'.join(keys)}_nextClick" for keys in keysets.NEXT_CLICKS],
+    *[
+        _VALUE.format(f"var_samp({c}) OVER {over(keys)}", f"{'_'.join(keys)}_by_{c}_var")
+        for keys, c in keysets.VARIANCES[:3]
+    ],
+    *[_VALUE.format(f"avg({c}) OVER {over(keys)}", f"{'_'.join(keys)}_by_{c}_mean") for keys, c in keysets.MEANS[1:3]],
+]
+
+
+@query(
+    "features_rich",
+    f"SELECT click_id, ip, app, device, os, channel, click_time, is_attributed, hour, day, {', '.join(_RICH)} FROM timed",
+)
+def _(spark, folder):
+    done = pipelines.features_rich(views.clicks(spark, folder))
+    return rounded(done, *[c for c in done.columns if c.endswith(("_mean", "_var"))])
+
+
 # --- train and test together or apart -----------------------------------------------------------------
 
 

@@ -273,13 +273,10 @@ _SIX = "ip, app, device, os, channel, click_time"
         FROM test_supplement s JOIN click_test t USING ({_SIX}) ORDER BY test_click_id""",
 )
 def _(spark, folder):
-    on = " AND ".join(f"s.{c} = t.{c}" for c in views.SIX_KEYS)
-    return spark.sql(
-        f"""SELECT * FROM (SELECT DISTINCT t.click_id AS test_click_id, s.click_id AS sup_click_id
-            FROM {{supplement}} s JOIN {{test}} t ON {on}) WHERE test_click_id IS NOT NULL ORDER BY test_click_id""",
-        supplement=views.test_supplement(spark, folder),
-        test=views.click_test(spark, folder),
-    )
+    supplement = views.test_supplement(spark, folder).withColumnRenamed("click_id", "sup_click_id")
+    test = views.click_test(spark, folder).withColumnRenamed("click_id", "test_click_id")
+    pairs = supplement.join(test, list(views.SIX_KEYS)).select("test_click_id", "sup_click_id")
+    return pairs.distinct().orderBy("test_click_id")
 
 
 @query(
@@ -310,11 +307,11 @@ def _(spark, folder):
 
 @query(
     "sql_inner_join",
-    "SELECT c_name AS name, n_name AS nation, c_acctbal AS selling FROM customer JOIN nation ON c_nationkey = n_nationkey",
+    "SELECT c_name AS name, n_name AS nation, c_acctbal AS balance FROM customer JOIN nation ON c_nationkey = n_nationkey",
 )
 def _(spark, folder):
     return spark.sql(
-        """SELECT c_name AS name, n_name AS nation, c_acctbal AS selling
+        """SELECT c_name AS name, n_name AS nation, c_acctbal AS balance
            FROM {people} p JOIN {places} n ON p.c_nationkey = n.n_nationkey""",
         people=views.table(spark, folder, "customer"),
         places=views.table(spark, folder, "nation"),

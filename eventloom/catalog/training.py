@@ -1,4 +1,8 @@
-"""Queries that fit models. Results are seeded; they are checked by properties, not by SQL."""
+"""Queries that fit models.
+
+The full-feature fits are seeded and checked by properties. Beside each kind of model stands a fit on factors, whose result
+has a closed form that SQL states.
+"""
 
 from __future__ import annotations
 
@@ -6,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eventloom import views
-from eventloom.catalog.base import query
+from eventloom.catalog.base import query, rounded
 from eventloom.functions import text, timeparts
 from eventloom.operators.features import add_features, distinct_count, group_size, running_count
 from eventloom.operators.relational import tail_flag
@@ -15,8 +19,10 @@ from eventloom.plans import models as m
 from eventloom.plans import workflows
 
 CLICK_FEATURES = ["app", "device", "os", "channel", "hour", "ipcount", "ip_appcount", "ip_by_channel_countuniq", "ip_by_os_cumcount"]
-RACE_FEATURES = ["chulNo", "hrWeight", "rcDist", "weather_code", "track_code"]
-MEMBER_FEATURES = ["female", "n_trans", "max_paid", "fst", "lst"]
+CLICK_LEVELS = ("app", "device", "os", "channel", "hour")
+RACE_NUMBERS = ["chulNo", "hrWeight", "rcDist", "trRcCnt"]
+RACE_FACTORS = ["weather", "track", "hrSex"]
+MEMBER_FEATURES = ["female", "n_trans", "max_paid", "fst", "lst", "balance"]
 
 
 def click_frame(spark: SparkSession, folder: str) -> DataFrame:
@@ -31,15 +37,22 @@ def click_frame(spark: SparkSession, folder: str) -> DataFrame:
     return df.withColumn("weight", class_weight("is_attributed", 20))
 
 
-def race_frame(spark: SparkSession, folder: str) -> DataFrame:
+def race_rows(spark: SparkSession, folder: str) -> DataFrame:
+    """Races with numbers as numbers, factors as text, and the outcome as 0/1."""
     df = views.races(spark, folder)
-    first = F.ascii(F.col("weather")).cast("double")
+    count = text.strip_first_comma("trRcCntT").cast("double")
     return df.select(
-        "race_id", "chulNo", "hrWeight", "rcDist", first.alias("weather_code"),
-        F.length("track").cast("double").alias("track_code"), text.recode_label("rcResult").alias("rcResult"),
+        "race_id", *[F.col(c).cast("double").alias(c) for c in RACE_NUMBERS[:3]], count.alias("trRcCnt"), *RACE_FACTORS,
+        text.recode_label("rcResult").alias("rcResult"),
     )
 
 
+def race_frame(spark: SparkSession, folder: str) -> tuple[DataFrame, list[str]]:
+    """Races with a 0/1 column for each level of a factor but the first, and the names of all predictors."""
+    coded, names = m.dummies(race_rows(spark, folder), RACE_FACTORS)
+    return coded, [*RACE_NUMBERS, *names]
+
+
 def member_frame(spark: SparkSession, folder: str) -> DataFrame:
     return views.members(spark, folder).select(
         "msno", F.coalesce(text.recode_gender("gender"), F.lit(0)).alias("female"), "n_trans",
@@ -58,7 +71,11 @@ def parts(df: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
 @query("model_gbt")
 def _(spark, folder):
     df = click_frame(spark, folder)
-    model = m.gbt(CLICK_FEATURES, "is_attributed", rounds=10, weight="weight", validation="is_valid")
+    levels = m.level_counts(df, CLICK_LEVELS)
+    many = [c for c, n in levels.items() if n > m.TREE_LEVELS]
+    model = m.gbt(
+        CLICK_FEATURES, "is_attributed", rounds=10, weight="weight", validation="is_valid", categorical=levels, encode=many
+    )
     return m.fit_score(model, df, df.filter("is_valid")).select("click_id", "is_attributed", m.SCORE)
 
 
@@ -76,7 +93,8 @@ def _(spark, folder):
 
 @query("model_lasso")
 def _(spark, folder):
-    found = m.lasso_cv(race_frame(spark, folder), RACE_FEATURES, "rcResult", [0.0001, 0.001, 0.01])
+    df, names = race_frame(spark, folder)
+    found = m.lasso_cv(df, names, "rcResult", "race_id", m.lasso_path(df, names, "rcResult", count=5))
     return found.coefficients.withColumns(
         {"lambda_min": F.lit(found.lambda_min), "lambda_1se": F.lit(found.lambda_1se)}
     )
@@ -91,8 +109,8 @@ def _(spark, folder):
 
 @query("cv_metrics")
 def _(spark, folder):
-    model = m.logistic(RACE_FEATURES, "rcResult", rounds=10)
-    return m.cross_validate(model, race_frame(spark, folder), "rcResult", ["race_id"], folds=3)
+    df, names = race_frame(spark, folder)
+    return m.cross_validate(m.logistic(names, "rcResult", rounds=10), df, "rcResult", ["race_id"], folds=3)
 
 
 def bases(features, label):
@@ -106,7 +124,7 @@ def bases(features, label):
 def _(spark, folder):
     train, test = parts(member_frame(spark, folder), "msno")
     meta = lambda names: m.logistic(names, "is_churn", rounds=10)
-    done = m.stack_out_of_fold(bases(MEMBER_FEATURES, "is_churn"), meta, train, test, "msno", ["msno"])
+    done = m.stack_out_of_fold(bases(MEMBER_FEATURES, "is_churn"), meta, train, test, ["msno"])
     return done.select("msno", "is_churn", "gbm", "rf", "ensemble")
 
 
@@ -122,14 +140,15 @@ def _(spark, folder):
 @query("grid_search")
 def _(spark, folder):
     values = {"maxDepth": [2, 3], "subsamplingRate": [0.7, 0.9]}
-    return m.grid_search(m.gbt(RACE_FEATURES, "rcResult", rounds=5), values, race_frame(spark, folder), "rcResult")
+    df, names = race_frame(spark, folder)
+    return m.grid_search(m.gbt(names, "rcResult", rounds=5), values, df, "rcResult", "race_id")
 
 
 @query("random_search")
 def _(spark, folder):
     values = {"maxDepth": [2, 3, 4], "stepSize": [0.01, 0.03, 0.1], "subsamplingRate": [0.7, 0.8, 0.9, 1.0]}
-    model = m.gbt(RACE_FEATURES, "rcResult", rounds=5)
-    return m.random_search(model, values, race_frame(spark, folder), "rcResult", models=3)
+    df, names = race_frame(spark, folder)
+    return m.random_search(m.gbt(names, "rcResult", rounds=5), values, df, "rcResult", "race_id", models=3)
 
 
 @query("leaderboard")
@@ -141,31 +160,43 @@ def _(spark, folder):
 
 @query("stepwise_aic")
 def _(spark, folder):
-    return m.stepwise_aic(race_frame(spark, folder), ["chulNo", "hrWeight", "rcDist"], "rcResult")
+    df, names = race_frame(spark, folder)
+    factors = {f: [n for n in names if n.startswith(f"{f}_")] for f in RACE_FACTORS}
+    return m.stepwise_aic(df, names, "rcResult", factors)
 
 
 @query("importance")
 def _(spark, folder):
     df = member_frame(spark, folder)
-    fitted = m.random_forest([*MEMBER_FEATURES, "balance"], "is_churn", trees=10).fit(df)
-    return m.importance(spark, fitted, [*MEMBER_FEATURES, "balance"])
+    fitted = m.random_forest(MEMBER_FEATURES, "is_churn", trees=10).fit(df)
+    return m.importance(spark, fitted, MEMBER_FEATURES)
 
 
 @query("importance_select")
 def _(spark, folder):
     train, valid = parts(member_frame(spark, folder), "msno")
     build = lambda names: m.gbt(names, "is_churn", rounds=5)
-    return m.importance_select(build, [*MEMBER_FEATURES, "balance"], train, valid, "is_churn")
+    return m.importance_select(build, MEMBER_FEATURES, train, valid, "is_churn").table
+
+
+@query("scoring_history_fit")
+def _(spark, folder):
+    train, valid = parts(member_frame(spark, folder), "msno")
+    with m.held(train) as kept:
+        fitted = m.gbt(MEMBER_FEATURES, "is_churn", rounds=5).fit(kept)
+    return m.scoring_history(fitted, valid)
 
 
 @query("coef_magnitude")
 def _(spark, folder):
-    return m.coefficient_magnitudes(race_frame(spark, folder), RACE_FEATURES, "rcResult")
+    df, names = race_frame(spark, folder)
+    return m.coefficient_magnitudes(df, names, "rcResult")
 
 
 @query("glm_summary")
 def _(spark, folder):
-    return m.logistic_table(race_frame(spark, folder), ["chulNo", "hrWeight", "rcDist"], "rcResult")
+    df, names = race_frame(spark, folder)
+    return m.logistic_table(df, names, "rcResult")
 
 
 @query("attribution_submission")
@@ -179,3 +210,89 @@ def _(spark, folder):
 def _(spark, folder):
     train, test = parts(views.members(spark, folder), "msno")
     return workflows.churn_submission(train, test, workflows.default_builds(5))
+
+
+# --- fits with a closed form -----------------------------------------------------------------------
+# A model whose only predictor is one factor can do no better, and no worse, than the share of each level.
+
+_PASS = "CASE WHEN rcResult = 'pass' THEN 1.0 ELSE 0.0 END"
+_SHARES = f"(SELECT track, avg({_PASS}) AS share, count(*) AS n FROM races GROUP BY track)"
+
+
+def by_level(scored: DataFrame, factor: str = "track") -> DataFrame:
+    """The scores of each level: all rows of one have the same."""
+    found = scored.groupBy(factor).agg(F.min(m.SCORE).alias("low"), F.max(m.SCORE).alias("high"), F.count(F.lit(1)).alias("n"))
+    return rounded(found, "low", "high", digits=4)
+
+
+def _by_track_sql(value: str) -> str:
+    return f"SELECT track, round({value}, 4) AS low, round({value}, 4) AS high, n FROM {_SHARES}"
+
+
+@query("factor_glm", _by_track_sql("share"))
+def _(spark, folder):
+    df, names = m.dummies(race_rows(spark, folder), ["track"])
+    return by_level(m.fit_score(m.logistic(names, "rcResult", alpha=0.0, reg=0.0, rounds=100), df, df))
+
+
+@query(
+    "factor_forest",
+    f"""SELECT CAST(track = 'BUILDING' AS INT) AS building, round(avg({_PASS}), 4) AS low, round(avg({_PASS}), 4) AS high,
+        count(*) AS n FROM races GROUP BY 1""",
+)
+def _(spark, folder):
+    # Leaves that predict the same class are merged, so the factor here parts the classes.
+    df = race_rows(spark, folder).withColumn("building", (F.col("track") == "BUILDING").cast("int"))
+    model = m.random_forest(["building"], "rcResult", 1, categorical={"building": 2}, bootstrap=False)
+    return by_level(m.fit_score(model, df, df), "building")
+
+
+@query("factor_boosted_once", _by_track_sql("1 / (1 + exp(-2 * (2 * share - 1)))"))
+def _(spark, folder):
+    df = race_rows(spark, folder)
+    levels = m.level_counts(df, ["track"])
+    model = m.gbt(["track"], "rcResult", rounds=1, depth=5, step=1.0, subsample=1.0, categorical=levels)
+    return by_level(m.fit_score(model, df, df))
+
+
+@query(
+    "factor_glm_table",
+    f"""WITH c AS (SELECT track, sum({_PASS}) AS a, count(*) - sum({_PASS}) AS b FROM races GROUP BY track),
+        f AS (SELECT * FROM c ORDER BY track LIMIT 1)
+        SELECT 'track_' || c.track AS term, round(ln(c.a / c.b) - ln(f.a / f.b), 4) AS estimate,
+          round(sqrt(1 / c.a + 1 / c.b + 1 / f.a + 1 / f.b), 4) AS std_error FROM c, f WHERE c.track <> f.track
+        UNION ALL SELECT '(Intercept)', round(ln(a / b), 4), round(sqrt(1 / a + 1 / b), 4) FROM f""",
+)
+def _(spark, folder):
+    df, names = m.dummies(race_rows(spark, folder), ["track"])
+    found = m.logistic_table(df, names, "rcResult").select("term", "estimate", "std_error")
+    return rounded(found, "estimate", "std_error", digits=4)
+
+
+@query(
+    "factor_aic",
+    f"""SELECT CAST(0 AS INT) AS step, round(-2 * sum(n * (share * ln(share) + (1 - share) * ln(1 - share))) + 2 * count(*), 2) AS aic
+        FROM {_SHARES}""",
+)
+def _(spark, folder):
+    df, names = m.dummies(race_rows(spark, folder), ["track"])
+    steps = m.stepwise_aic(df, names, "rcResult", {"track": names})
+    return rounded(steps.where("step = 0").select("step", "aic"), "aic", digits=2)
+
+
+@query(
+    "churn_submission_rows",
+    """WITH t AS (SELECT msno FROM members)
+       SELECT CAST(0 AS BIGINT) AS strangers, CAST(0 AS BIGINT) AS repeated, CAST(0 AS BIGINT) AS outside,
+         count(*) - CAST(floor(count(*) * 0.7) AS BIGINT) AS n FROM t""",
+)
+def _(spark, folder):
+    train, test = parts(views.members(spark, folder), "msno")
+    done = workflows.churn_submission(train, test, workflows.default_builds(2))
+    ids = test.select("msno").withColumn("known", F.lit(True))
+    return done.join(ids, "msno", "left").agg(
+        F.count_if(F.col("known").isNull()).alias("strangers"),
+        (F.count("msno") - F.count_distinct("msno")).alias("repeated"),
+        F.count_if(~F.col("is_churn").between(0, 1)).alias("outside"),
+        F.count(F.lit(1)).alias("n"),
+    )

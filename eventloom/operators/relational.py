@@ -35,10 +35,16 @@ def align_mean(test: DataFrame, scored: DataFrame, keys: Sequence[str], value: s
 def align_features(test: DataFrame, features: DataFrame, key: str = "click_id") -> DataFrame:
     """Give each test row the features of the row equal in all common columns but the id.
 
-    Rows of ``features`` that are equal in the common columns are collapsed first.
+    Of several rows of ``features`` that are equal in the common columns, the one with the smallest ``key`` counts
+    (and the smallest values, where keys repeat), whatever the partitions are.
     """
     common = [c for c in test.columns if c != key and c in features.columns]
-    return test.join(features.drop(key).dropDuplicates(common), common, "left")
+    added = [c for c in features.columns if c != key and c not in common]
+    if not added:
+        return test
+    order = F.struct(*[F.col(c) for c in (*([key] if key in features.columns else []), *added)])
+    first = features.groupBy(*common).agg(F.min(order).alias("__first"))
+    return test.join(first, common, "left").select(*test.columns, *[F.col(f"__first.{c}").alias(c) for c in added])
 
 
 def keys_seen_again(df: DataFrame, key: str) -> DataFrame:

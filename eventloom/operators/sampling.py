@@ -32,35 +32,47 @@ def _with_token(df: DataFrame, key: str, seed: int, group: str | None) -> tuple[
     return df, group
 
 
-def _cutoffs(df: DataFrame, group: str, want: Column) -> DataFrame:
-    """(group, token of the last wanted row); ``want`` is an expression over ``size`` and ``smallest``.
+def _cutoffs(df: DataFrame, group: str, key: str, wants: Sequence[Column]) -> DataFrame:
+    """One row per class of ``group``: for each of ``wants`` (expressions over ``size`` and ``smallest``) the token
+    and key of the last wanted row, in columns ``__cut_0``, ``__cut_1`` and so on.
 
-    One row per class of ``group``; a class that wants no row has none.
+    All limits come from one histogram and one look into the pieces that hold them.
     """
     pieces = df.groupBy(group, _PIECE).agg(F.count(F.lit(1)).alias("__n"))
     sizes = pieces.groupBy(group).agg(F.sum("__n").alias("size"))
     sizes = sizes.withColumn("smallest", F.min("size").over(Window.partitionBy()))
-    sizes = sizes.select(F.col(group).alias("__g"), want.cast("bigint").alias("__want"))
+    limits = F.posexplode(F.array(*[w.cast("bigint") for w in wants])).alias("__i", "__want")
+    sizes = sizes.select(F.col(group).alias("__g"), limits)
     along = Window.partitionBy(group).orderBy(_PIECE).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     reached = (
         pieces.withColumn("__upto", F.sum("__n").over(along))
         .join(F.broadcast(sizes), F.col(group).eqNullSafe(F.col("__g")))
         .filter((F.col("__upto") >= F.col("__want")) & (F.col("__upto") - F.col("__n") < F.col("__want")))
-        .select("__g", F.col(_PIECE).alias("__p"), (F.col("__want") - (F.col("__upto") - F.col("__n"))).alias("__rest"))
+        .select(
+            "__g", "__i", F.col(_PIECE).alias("__p"), (F.col("__want") - (F.col("__upto") - F.col("__n"))).alias("__rest")
+        )
     )
-    inside = df.select(group, _PIECE, _TOKEN).join(
+    inside = df.select(group, _PIECE, _order(key).alias("__at")).join(
         F.broadcast(reached), F.col(group).eqNullSafe(F.col("__g")) & (F.col(_PIECE) == F.col("__p"))
     )
-    rank = F.row_number().over(Window.partitionBy("__g", "__p").orderBy(_TOKEN))
-    return inside.withColumn("__r", rank).filter("__r = __rest").select("__g", F.col(_TOKEN).alias("__cut"))
+    rank = F.row_number().over(Window.partitionBy("__g", "__p", "__i").orderBy("__at"))
+    cuts = inside.withColumn("__r", rank).filter("__r = __rest")
+    return cuts.groupBy("__g").agg(
+        *[F.max(F.when(F.col("__i") == i, F.col("__at"))).alias(f"__cut_{i}") for i in range(len(wants))]
+    )
+
 
+def _order(key: str) -> Column:
+    """Rows are ranked by their token, equal tokens by their key."""
+    return F.struct(F.col(_TOKEN).alias("token"), F.col(key).alias("key"))
 
-def _ranked_in_classes(df: DataFrame, group: str, want: Column) -> DataFrame:
+
+def _ranked_in_classes(df: DataFrame, group: str, key: str, want: Column) -> DataFrame:
     """Rank and wanted number of rows for every row, for any number of classes."""
     sizes = df.groupBy(F.col(group).alias("__g")).agg(F.count(F.lit(1)).alias("size"))
     smallest = sizes.agg(F.min("size")).first()[0]
     wanted = sizes.withColumn("smallest", F.lit(smallest)).select("__g", want.cast("bigint").alias("__want"))
-    ranked = position(df, [group], [_TOKEN], "__r")
+    ranked = position(df, [group], [_TOKEN, key], "__r")
     return ranked.join(wanted, F.col(group).eqNullSafe(F.col("__g")))
 
 
@@ -76,10 +88,18 @@ def ranked_flag(
     columns = df.columns
     hashed, by = _with_token(df, key, seed, group)
     if group is not None and group_stats(df, [[group]])[0].groups > BROADCAST_GROUPS:
-        return _ranked_in_classes(hashed, group, want).select(*columns, (F.col("__r") <= F.col("__want")).alias(name))
-    cut = F.broadcast(_cutoffs(hashed, by, want))
+        ranked = _ranked_in_classes(hashed, group, key, want)
+        return ranked.select(*columns, (F.col("__r") <= F.col("__want")).alias(name))
+    return _flagged(hashed, by, key, [want], [name], columns)
+
+
+def _flagged(
+    hashed: DataFrame, by: str, key: str, wants: Sequence[Column], names: Sequence[str], columns: Sequence[str]
+) -> DataFrame:
+    cut = F.broadcast(_cutoffs(hashed, by, key, wants))
     joined = hashed.join(cut, F.col(by).eqNullSafe(F.col("__g")), "left")
-    return joined.select(*columns, F.coalesce(F.col(_TOKEN) <= F.col("__cut"), F.lit(False)).alias(name))
+    flags = [F.coalesce(_order(key) <= F.col(f"__cut_{i}"), F.lit(False)).alias(n) for i, n in enumerate(names)]
+    return joined.select(*columns, *flags)
 
 
 def split_exact(df: DataFrame, key: str, share: float = 0.7, seed: int = 1, name: str = "is_train") -> DataFrame:
@@ -98,15 +118,17 @@ def split_bands(
     df: DataFrame, key: str, shares: Sequence[float] = (0.5, 0.25), seed: int = 1, name: str = "part"
 ) -> DataFrame:
     """Number the parts of a split by cumulative exact shares; the last part takes the rest."""
-    upto, flags = 0.0, []
-    for i, share in enumerate(shares):
+    upto, wants = 0.0, []
+    for share in shares:
         upto += share
-        flags.append(f"__in_{i}")
-        df = ranked_flag(df, key, seed, F.floor(F.col("size") * F.lit(upto)), flags[-1])
+        wants.append(F.floor(F.col("size") * F.lit(upto)))
+    flags = [f"__in_{i}" for i in range(len(wants))]
+    hashed, by = _with_token(df, key, seed, None)
+    flagged = _flagged(hashed, by, key, wants, flags, df.columns)
     part = F.lit(len(shares))
     for i in reversed(range(len(shares))):
         part = F.when(F.col(flags[i]), i).otherwise(part)
-    return df.withColumn(name, part).drop(*flags)
+    return flagged.withColumn(name, part).drop(*flags)
 
 
 def balance(df: DataFrame, key: str, label: str, seed: int = 1) -> DataFrame:

@@ -8,9 +8,11 @@ probability of class 1.
 from __future__ import annotations
 
 import math
-from collections.abc import Callable, Sequence
+import re
+from collections.abc import Callable, Mapping, Sequence
 from contextlib import contextmanager
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 from pyspark import StorageLevel
@@ -22,16 +24,15 @@ from pyspark.ml.classification import (
     RandomForestClassifier,
 )
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
-from pyspark.ml.feature import OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
+from pyspark.ml.feature import Imputer, OneHotEncoder, StandardScaler, StringIndexer, TargetEncoder, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GeneralizedLinearRegression
-from pyspark.ml.stat import Correlation
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder, TrainValidationSplit
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eventloom.operators.relational import param_grid
-from eventloom.operators.sampling import balance, fold_modulo, token
+from eventloom.operators.sampling import balance, fold_modulo, split_bernoulli, token, uniform
 
 FEATURES = "__features"
 SCORE = "p"
@@ -48,14 +49,71 @@ def held(*frames: DataFrame):
             f.unpersist()
 
 
-def assembler(features: Sequence[str]) -> VectorAssembler:
-    return VectorAssembler(inputCols=list(features), outputCol=FEATURES, handleInvalid="keep")
+def assembler(features: Sequence[str], missing: str = "keep") -> VectorAssembler:
+    """``missing`` says what a NULL or NaN does: ``keep`` it as NaN (trees only) or ``skip`` the row."""
+    return VectorAssembler(inputCols=list(features), outputCol=FEATURES, handleInvalid=missing)
+
+
+def _numeric_stages(features: Sequence[str], missing: str) -> list:
+    """Assembling stages for models that need numbers: ``mean`` fills in the training mean, so that every row
+    gets a score; ``skip`` leaves rows with a missing value out of the fit and of the scores."""
+    if missing == "skip":
+        return [assembler(features, "skip")]
+    if missing != "mean":
+        raise ValueError(f"missing must be 'mean' or 'skip', not {missing!r}")
+    filled = [f"__filled_{f}" for f in features]
+    return [Imputer(inputCols=list(features), outputCols=filled, strategy="mean"), assembler(filled, "skip")]
+
+
+#: Levels that a declared categorical column of a tree may have.
+TREE_LEVELS = 1000
+
+
+def level_counts(df: DataFrame, columns: Sequence[str]) -> dict[str, int]:
+    """Distinct values of each column, in one pass."""
+    row = df.agg(*[F.count_distinct(c).alias(c) for c in columns]).first()
+    return {c: int(row[c]) for c in columns}
+
+
+def _tree_stages(features: Sequence[str], categorical: dict[str, int], encode: Sequence[str], label: str) -> tuple[list, int]:
+    """Assembling stages of trees with declared categorical columns, and the bins that they need.
+
+    ``categorical`` maps columns to their levels in the training data (:func:`level_counts`): their values are indexed
+    and marked as nominal, and values not seen in training share one more level. Columns in ``encode`` are replaced by
+    the smoothed mean of the label per value, fitted on the training data; a column with
+    more than ``TREE_LEVELS`` levels must be among them.
+    """
+    large = [c for c, n in categorical.items() if n > TREE_LEVELS and c not in encode]
+    if large:
+        raise ValueError(f"{large} have more than {TREE_LEVELS} levels: name them in encode")
+    nominal = [c for c in features if c in categorical and c not in encode]
+    encoded = [c for c in features if c in encode]
+    names = {c: f"__level_{c}" for c in [*nominal, *encoded]}
+    stages: list = []
+    if nominal or encoded:
+        both = [*nominal, *encoded]
+        stages.append(StringIndexer(inputCols=both, outputCols=[names[c] for c in both], handleInvalid="keep"))
+    if encoded:
+        stages.append(
+            TargetEncoder(
+                inputCols=[names[c] for c in encoded],
+                outputCols=[f"__mean_{c}" for c in encoded],
+                labelCol=label,
+                targetType="binary",
+                smoothing=20.0,
+                handleInvalid="keep",
+            )
+        )
+        names |= {c: f"__mean_{c}" for c in encoded}
+    stages.append(assembler([names.get(f, f) for f in features]))
+    return stages, max([categorical[c] + 1 for c in nominal], default=0)
 
 
 def with_score(df: DataFrame, name: str = SCORE) -> DataFrame:
     """P(class 1) as a plain column instead of the model output columns."""
     scored = df.withColumn(name, vector_to_array("probability")[1])
-    return scored.drop("rawPrediction", "probability", "prediction", FEATURES, "__scaled")
+    made = [c for c in scored.columns if c.startswith(("__filled_", "__level_", "__mean_"))]
+    return scored.drop("rawPrediction", "probability", "prediction", FEATURES, "__scaled", *made)
 
 
 # --- single models: unfitted pipelines ----------------------------------------------------------------
@@ -72,43 +130,63 @@ def gbt(
     weight: str | None = None,
     validation: str | None = None,
     seed: int = 1,
+    categorical: dict[str, int] | None = None,
+    encode: Sequence[str] = (),
 ) -> Pipeline:
-    """Boosted trees; ``validation`` names a boolean column whose rows stop the boosting early."""
+    """Boosted trees; ``validation`` names a boolean column whose rows stop the boosting early. ``categorical`` and
+    ``encode`` declare columns whose values have no order, see :func:`_tree_stages`."""
+    stages, needed = _tree_stages(features, categorical or {}, encode, label)
     tree = GBTClassifier(
-        featuresCol=FEATURES, labelCol=label, maxIter=rounds, maxDepth=depth, stepSize=step, maxBins=bins,
+        featuresCol=FEATURES, labelCol=label, maxIter=rounds, maxDepth=depth, stepSize=step, maxBins=max(bins, needed),
         subsamplingRate=subsample, seed=seed, validationTol=0.001,
     )
     if weight:
         tree = tree.setWeightCol(weight)
     if validation:
         tree = tree.setValidationIndicatorCol(validation)
-    return Pipeline(stages=[assembler(features), tree])
+    return Pipeline(stages=[*stages, tree])
 
 
-def random_forest(features: Sequence[str], label: str, trees: int = 50, depth: int = 5, seed: int = 1) -> Pipeline:
-    forest = RandomForestClassifier(featuresCol=FEATURES, labelCol=label, numTrees=trees, maxDepth=depth, seed=seed)
-    return Pipeline(stages=[assembler(features), forest])
+def random_forest(
+    features: Sequence[str],
+    label: str,
+    trees: int = 50,
+    depth: int = 5,
+    seed: int = 1,
+    bins: int = 32,
+    categorical: dict[str, int] | None = None,
+    encode: Sequence[str] = (),
+    bootstrap: bool = True,
+) -> Pipeline:
+    """A forest; ``categorical`` and ``encode`` as in :func:`gbt`. Without ``bootstrap`` all trees see all rows and columns."""
+    stages, needed = _tree_stages(features, categorical or {}, encode, label)
+    forest = RandomForestClassifier(
+        featuresCol=FEATURES, labelCol=label, numTrees=trees, maxDepth=depth, seed=seed, maxBins=max(bins, needed),
+        bootstrap=bootstrap, featureSubsetStrategy="auto" if bootstrap else "all",
+    )
+    return Pipeline(stages=[*stages, forest])
 
 
 def logistic(
-    features: Sequence[str], label: str, alpha: float = 0.5, reg: float = 1e-5, rounds: int = 50
+    features: Sequence[str], label: str, alpha: float = 0.5, reg: float = 1e-5, rounds: int = 50, missing: str = "mean"
 ) -> Pipeline:
-    """Logistic regression with elastic net (``alpha`` 1 is LASSO)."""
+    """Logistic regression with elastic net (``alpha`` 1 is LASSO); ``missing`` as in :func:`_numeric_stages`."""
     model = LogisticRegression(
         featuresCol=FEATURES, labelCol=label, elasticNetParam=alpha, regParam=reg, maxIter=rounds, standardization=True
     )
-    return Pipeline(stages=[assembler(features), model])
+    return Pipeline(stages=[*_numeric_stages(features, missing), model])
 
 
 def perceptron(
-    features: Sequence[str], label: str, hidden: Sequence[int] = (200, 200), rounds: int = 50, seed: int = 1
+    features: Sequence[str], label: str, hidden: Sequence[int] = (200, 200), rounds: int = 50, seed: int = 1,
+    missing: str = "mean",
 ) -> Pipeline:
-    """Feed-forward network on standardised features."""
+    """Feed-forward network on standardised features; ``missing`` as in :func:`_numeric_stages`."""
     scaler = StandardScaler(inputCol=FEATURES, outputCol="__scaled", withMean=True)
     net = MultilayerPerceptronClassifier(
         featuresCol="__scaled", labelCol=label, layers=[len(features), *hidden, 2], maxIter=rounds, seed=seed
     )
-    return Pipeline(stages=[assembler(features), scaler, net])
+    return Pipeline(stages=[*_numeric_stages(features, missing), scaler, net])
 
 
 def fit_score(estimator: Estimator, train: DataFrame, test: DataFrame, name: str = SCORE) -> DataFrame:
@@ -153,15 +231,41 @@ def one_hot(df: DataFrame, columns: Sequence[str], fit_on: DataFrame | None = No
     return fitted.transform(df).withColumn(name, vector_to_array("__onehot")).drop(*indexes, *vectors, "__onehot")
 
 
+def dummies(df: DataFrame, columns: Sequence[str], fit_on: DataFrame | None = None) -> tuple[DataFrame, list[str]]:
+    """A 0/1 column for each value of each column but the first value, and their names.
+
+    Values are those of ``fit_on`` (by default of ``df``) in order; a NULL, or a value not among them, has zeros. At most
+    ``TREE_LEVELS`` values of a column become columns, more are refused.
+    """
+    source, made = df if fit_on is None else fit_on, {}
+    for c in columns:
+        values = [r[0] for r in source.select(c).distinct().where(F.col(c).isNotNull()).limit(TREE_LEVELS + 1).collect()]
+        if len(values) > TREE_LEVELS:
+            raise ValueError(f"{c} has more than {TREE_LEVELS} values")
+        for value in sorted(values)[1:]:
+            name = f"{c}_" + re.sub(r"\W+", "_", str(value)).strip("_")
+            made[name] = F.coalesce(F.col(c) == F.lit(value), F.lit(False)).cast("double")
+    return df.withColumns(made), list(made)
+
+
 # --- cross-validation, search, leaderboard --------------------------------------------------------------
 
 
+#: Partitions of a frame whose order of rows is fixed.
+FIXED_PARTITIONS = 8
+
+
+def fixed_rows(df: DataFrame, key: str) -> DataFrame:
+    """The rows in partitions and an order that depend on ``key`` only, so that a sampling learner draws alike."""
+    return df.repartition(FIXED_PARTITIONS, key).sortWithinPartitions(key)
+
+
 def cross_validate(
     estimator: Estimator, train: DataFrame, label: str, order: Sequence[str], folds: int = 3, parallelism: int = 2
 ) -> DataFrame:
     """Mean and standard deviation of the AUC over folds assigned by position."""
     numbered = fold_modulo(train, order, folds, "__fold").withColumn("__fold", F.col("__fold").cast("int"))
-    with held(numbered) as kept:
+    with held(fixed_rows(numbered, order[-1])) as kept:
         cv = CrossValidator(
             estimator=estimator, estimatorParamMaps=[{}], evaluator=BinaryClassificationEvaluator(labelCol=label),
             numFolds=folds, foldCol="__fold", parallelism=parallelism,
@@ -182,26 +286,26 @@ def _settings(param_map) -> str:
     return ",".join(f"{p.name}={v}" for p, v in sorted(param_map.items(), key=lambda kv: kv[0].name))
 
 
-def _search(estimator: Pipeline, maps: list, train: DataFrame, label: str, parallelism: int) -> DataFrame:
-    with held(train) as kept:
-        found = TrainValidationSplit(
-            estimator=estimator, estimatorParamMaps=maps, evaluator=BinaryClassificationEvaluator(labelCol=label),
-            trainRatio=0.75, parallelism=parallelism, seed=1,
-        ).fit(kept)
-    rows = [(_settings(m), float(a)) for m, a in zip(maps, found.validationMetrics)]
+def _search(estimator: Pipeline, maps: list, train: DataFrame, label: str, key: str, share: float) -> DataFrame:
+    """Fit every setting on one hash split of the rows and score it on the other part."""
+    parts = split_bernoulli(train, key, share, name="__fit")
+    with held(fixed_rows(parts, key)) as kept:
+        fit_on, score_on = kept.where("__fit"), kept.where("NOT __fit")
+        rows = [(_settings(m), float(model_auc(estimator.fit(fit_on, m), score_on, label))) for m in maps]
     return train.sparkSession.createDataFrame(rows, "settings string, auc double").orderBy(F.desc("auc"), "settings")
 
 
 def grid_search(
-    estimator: Pipeline, values: dict[str, Sequence], train: DataFrame, label: str, parallelism: int = 2
+    estimator: Pipeline, values: dict[str, Sequence], train: DataFrame, label: str, key: str, share: float = 0.75
 ) -> DataFrame:
-    """Validation AUC of every combination of parameter values of the last stage, best first."""
-    return _search(estimator, _grid(estimator, values), train, label, parallelism)
+    """Validation AUC of every combination of parameter values of the last stage, best first. ``key`` is
+    unique; its hash decides which rows are fitted on."""
+    return _search(estimator, _grid(estimator, values), train, label, key, share)
 
 
 def random_search(
-    estimator: Pipeline, values: dict[str, Sequence], train: DataFrame, label: str, models: int, seed: int = 1,
-    parallelism: int = 2,
+    estimator: Pipeline, values: dict[str, Sequence], train: DataFrame, label: str, key: str, models: int, seed: int = 1,
+    share: float = 0.75,
 ) -> DataFrame:
     """:func:`grid_search` over ``models`` combinations drawn from the full grid."""
     stage = estimator.getStages()[-1]
@@ -214,7 +318,7 @@ def random_search(
         .collect()
     )
     maps = [{stage.getParam(name): row[name] for name in values} for row in drawn]
-    return _search(estimator, maps, train, label, parallelism)
+    return _search(estimator, maps, train, label, key, share)
 
 
 def leaderboard(
@@ -233,27 +337,46 @@ class Lasso:
     lambda_min: float
     lambda_1se: float
     coefficients: DataFrame
+    errors: list[tuple[float, float, float]]  # value, mean squared error, standard error
+
+
+def lasso_path(train: DataFrame, features: Sequence[str], label: str, count: int = 10, ratio: float = 0.01) -> list[float]:
+    """A falling path of penalties, from the smallest one at which all coefficients vanish to ``ratio`` of it."""
+    stats = train.agg(
+        *[F.abs(F.covar_pop(F.col(f).cast("double"), F.col(label)) / F.stddev_samp(f)).alias(f) for f in features]
+    ).first()
+    highest = max(float(stats[f] or 0.0) for f in features) or 1.0
+    return [highest * ratio ** (i / (count - 1)) for i in range(count)]
 
 
 def lasso_cv(
-    train: DataFrame, features: Sequence[str], label: str, regs: Sequence[float], folds: int = 3, parallelism: int = 2
+    train: DataFrame, features: Sequence[str], label: str, key: str, regs: Sequence[float] | None = None, folds: int = 3,
+    missing: str = "skip",
 ) -> Lasso:
-    """LASSO over ``regs`` by cross-validation: the best value, the largest value within one standard error
-    of it, and the non-zero coefficients at the latter."""
-    estimator = logistic(features, label, alpha=1.0)
-    stage = estimator.getStages()[-1]
-    with held(train) as kept:
-        cv = CrossValidator(
-            estimator=estimator, estimatorParamMaps=[{stage.regParam: r} for r in regs],
-            evaluator=BinaryClassificationEvaluator(labelCol=label), numFolds=folds, seed=1, parallelism=parallelism,
-        ).fit(kept)
-        best = int(np.argmax(cv.avgMetrics))
-        floor = cv.avgMetrics[best] - cv.stdMetrics[best] / math.sqrt(folds)
-        chosen = max(r for r, m in zip(regs, cv.avgMetrics) if m >= floor)
-        model = logistic(features, label, alpha=1.0, reg=chosen).fit(kept).stages[-1]
-    rows = [(f, float(c)) for f, c in zip(features, model.coefficients.toArray()) if c != 0.0]
-    kept_features = train.sparkSession.createDataFrame(rows, "feature string, coefficient double")
-    return Lasso(float(regs[best]), float(chosen), kept_features)
+    """LASSO by cross-validation on the mean squared error of the probability.
+
+    Returns the best penalty of ``regs`` (by default of :func:`lasso_path`), the largest one within one standard error of it
+    (deviation over the folds, by the square root of their number), and the non-zero coefficients
+    at the latter. Folds are assigned by the hash of ``key``.
+    """
+    regs = list(lasso_path(train, features, label) if regs is None else regs)
+    fold = F.floor(uniform(key, 1) * folds).cast("int")
+    rows = complete_rows(train, features) if missing == "skip" else train
+    with held(fixed_rows(rows.withColumn("__fold", fold), key)) as kept:
+        errors = []
+        for reg in regs:
+            by_fold = []
+            for i in range(folds):
+                model = logistic(features, label, alpha=1.0, reg=reg, missing=missing).fit(kept.where(F.col("__fold") != i))
+                scored = with_score(model.transform(kept.where(F.col("__fold") == i)))
+                by_fold.append(float(scored.agg(F.avg((F.col(label) - F.col(SCORE)) ** 2)).first()[0]))
+            errors.append((reg, float(np.mean(by_fold)), float(np.std(by_fold, ddof=1)) / math.sqrt(folds)))
+        best = min(errors, key=lambda e: (e[1], -e[0]))
+        chosen = max(e[0] for e in errors if e[1] <= best[1] + best[2])
+        model = logistic(features, label, alpha=1.0, reg=chosen, missing=missing).fit(kept).stages[-1]
+    found = [(f, float(c)) for f, c in zip(features, model.coefficients.toArray()) if c != 0.0]
+    kept_features = train.sparkSession.createDataFrame(found, "feature string, coefficient double")
+    return Lasso(float(best[0]), float(chosen), kept_features, errors)
 
 
 # --- ensembles --------------------------------------------------------------------------------------
@@ -261,7 +384,7 @@ def lasso_cv(
 
 def stack_out_of_fold(
     bases: dict[str, Estimator], meta: Callable[[Sequence[str]], Estimator], train: DataFrame, test: DataFrame,
-    key: str, order: Sequence[str], folds: int = 3,
+    order: Sequence[str], folds: int = 3,
 ) -> DataFrame:
     """Stacked ensemble: base scores of each fold come from models that did not see it."""
     numbered = fold_modulo(train, order, folds, "__fold")
@@ -297,53 +420,90 @@ def stack_two_stage(
 # --- importance, selection, coefficient tables --------------------------------------------------------
 
 
+def split_counts(fitted: PipelineModel, n_features: int) -> list[int]:
+    """How many nodes of all trees split on each feature."""
+    counts = [0] * n_features
+    for tree in fitted.stages[-1].trees:
+        # The printed tree names each split twice, once for either branch.
+        for place in re.findall(r"\bIf \(feature (\d+) ", tree.toDebugString):
+            counts[int(place)] += 1
+    return counts
+
+
 def importance(spark: SparkSession, fitted: PipelineModel, features: Sequence[str]) -> DataFrame:
-    """Gain share per feature in percent, and scaled to the largest, best first."""
+    """Gain share per feature in percent, scaled to the largest, and splits on it, best first."""
     gains = fitted.stages[-1].featureImportances.toArray()
     total, top = float(gains.sum()) or 1.0, float(gains.max()) or 1.0
-    rows = [(f, 100.0 * float(g) / total, float(g) / top) for f, g in zip(features, gains)]
-    table = spark.createDataFrame(rows, "feature string, gain double, scaled double")
+    splits = split_counts(fitted, len(features))
+    rows = [(f, 100.0 * float(g) / total, float(g) / top, n) for f, g, n in zip(features, gains, splits)]
+    table = spark.createDataFrame(rows, "feature string, gain double, scaled double, splits int")
     return table.orderBy(F.desc("gain"), "feature")
 
 
+@dataclass
+class Selection:
+    """The fits on all and on the important features, one row each, and the better model with its features."""
+
+    table: DataFrame
+    model: PipelineModel
+    features: list[str]
+
+
 def importance_select(
     build: Callable[[Sequence[str]], Estimator], features: Sequence[str], train: DataFrame, valid: DataFrame, label: str,
     floor: float = 0.05,
-) -> DataFrame:
-    """Refit on the features whose scaled importance exceeds ``floor``; one row per fit, best AUC first."""
+) -> Selection:
+    """Refit on the features whose scaled importance exceeds ``floor``; the better of both models is kept."""
     spark = train.sparkSession
     with held(train, valid) as (fit_on, score_on):
         full = build(features).fit(fit_on)
         kept = [r["feature"] for r in importance(spark, full, features).filter(F.col("scaled") > floor).collect()]
         small = build(kept).fit(fit_on)
-        rows = [
-            ("all", len(features), ",".join(features), float(model_auc(full, score_on, label))),
-            ("important", len(kept), ",".join(sorted(kept)), float(model_auc(small, score_on, label))),
+        fits = [
+            ("all", list(features), full, float(model_auc(full, score_on, label))),
+            ("important", sorted(kept), small, float(model_auc(small, score_on, label))),
         ]
+    rows = [(name, len(used), ",".join(used), auc) for name, used, _, auc in fits]
     table = spark.createDataFrame(rows, "fit string, n_features int, features string, auc double")
-    return table.orderBy(F.desc("auc"), "fit")
+    better = max(fits, key=lambda f: f[3])
+    used = list(features) if better[0] == "all" else kept
+    return Selection(table.orderBy(F.desc("auc"), "fit"), better[2], used)
 
 
-def coefficient_magnitudes(train: DataFrame, features: Sequence[str], label: str) -> DataFrame:
+def scoring_history(fitted: PipelineModel, df: DataFrame) -> DataFrame:
+    """Loss on ``df`` after each round of fitted boosted trees."""
+    staged = PipelineModel(fitted.stages[:-1]).transform(df)
+    losses = fitted.stages[-1].evaluateEachIteration(staged)
+    rows = [(i + 1, float(x)) for i, x in enumerate(losses)]
+    return df.sparkSession.createDataFrame(rows, "round int, loss double")
+
+
+def coefficient_magnitudes(train: DataFrame, features: Sequence[str], label: str, missing: str = "skip") -> DataFrame:
     """Size of each logistic coefficient on standardised features, largest first."""
-    with held(train) as kept:
-        model = logistic(features, label).fit(kept).stages[-1]
+    rows = complete_rows(train, features) if missing == "skip" else train
+    with held(rows) as kept:
+        model = logistic(features, label, missing=missing).fit(kept).stages[-1]
         deviations = kept.agg(*[F.stddev_samp(c).alias(c) for c in features]).first()
-    rows = [
+    found = [
         (f, abs(float(c)) * float(deviations[f] or 0.0), "POS" if c >= 0 else "NEG")
         for f, c in zip(features, model.coefficients.toArray())
     ]
-    table = train.sparkSession.createDataFrame(rows, "feature string, magnitude double, sign string")
+    table = train.sparkSession.createDataFrame(found, "feature string, magnitude double, sign string")
     return table.orderBy(F.desc("magnitude"), "feature")
 
 
+def complete_rows(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """The rows without a missing value in ``columns``, which is what a regression table is fitted on."""
+    return df.where(reduce(Column.__and__, [F.col(c).isNotNull() & ~F.isnan(F.col(c).cast("double")) for c in columns]))
+
+
 def _binomial(features: Sequence[str], label: str) -> Pipeline:
     glm = GeneralizedLinearRegression(featuresCol=FEATURES, labelCol=label, family="binomial", link="logit", maxIter=25)
-    return Pipeline(stages=[assembler(features), glm])
+    return Pipeline(stages=[assembler(features, "skip"), glm])
 
 
 def logistic_table(train: DataFrame, features: Sequence[str], label: str) -> DataFrame:
-    """Estimate, standard error, z value and p value per coefficient."""
+    """Estimate, standard error, z value and p value per coefficient, over the rows without missing values."""
     with held(train) as kept:
         model = _binomial(features, label).fit(kept).stages[-1]
         summary = model.summary
@@ -355,30 +515,67 @@ def logistic_table(train: DataFrame, features: Sequence[str], label: str) -> Dat
     )
 
 
-def stepwise_aic(train: DataFrame, features: Sequence[str], label: str) -> DataFrame:
-    """Backward elimination by AIC: one row per step with the term dropped and the AIC reached."""
-    left, steps = list(features), []
-    with held(train) as kept:
-        best = float(_binomial(left, label).fit(kept).stages[-1].summary.aic)
+def stepwise_aic(
+    train: DataFrame, features: Sequence[str], label: str, factors: Mapping[str, Sequence[str]] | None = None
+) -> DataFrame:
+    """Backward elimination by AIC: one row per step with the term dropped and the AIC reached.
+
+    A term is a feature, or all 0/1 columns of one of the ``factors`` (name -> columns). All fits use the rows without a
+    missing value in any of the features, so that their AIC can be compared.
+    """
+    factors = dict(factors or {})
+    in_factor = {c for columns in factors.values() for c in columns}
+    terms = {**{f: [f] for f in features if f not in in_factor}, **{name: list(cols) for name, cols in factors.items()}}
+
+    def aic_of(names: Sequence[str], kept: DataFrame) -> float:
+        columns = [c for n in names for c in terms[n]]
+        return float(_binomial(columns, label).fit(kept).stages[-1].summary.aic)
+
+    left, steps = list(terms), []
+    with held(complete_rows(train, features)) as kept:
+        best = aic_of(left, kept)
         steps.append((0, "", len(left), best, ",".join(left)))
         while len(left) > 1:
-            tried = []
-            for drop in left:
-                rest = [f for f in left if f != drop]
-                tried.append((float(_binomial(rest, label).fit(kept).stages[-1].summary.aic), drop))
-            aic, drop = min(tried)
+            aic, drop = min((aic_of([t for t in left if t != d], kept), d) for d in left)
             if aic >= best:
                 break
             best = aic
             left.remove(drop)
             steps.append((len(steps), drop, len(left), aic, ",".join(left)))
-    return train.sparkSession.createDataFrame(steps, "step int, dropped string, n_features int, aic double, features string")
-
-
-def variance_inflation(df: DataFrame, features: Sequence[str]) -> DataFrame:
-    """Diagonal of the inverse correlation matrix. The matrix (features x features) is all that
-    reaches the driver. Rows are not weighted by a fitted model."""
-    vectors = assembler(features).transform(df).select(FEATURES)
-    matrix = Correlation.corr(vectors, FEATURES).first()[0].toArray()
-    rows = [(f, float(v)) for f, v in zip(features, np.diag(np.linalg.inv(matrix)))]
-    return df.sparkSession.createDataFrame(rows, "feature string, vif double")
+    return train.sparkSession.createDataFrame(steps, "step int, dropped string, n_terms int, aic double, terms string")
+
+
+def variance_inflation(df: DataFrame, features: Sequence[str], label: str | None = None) -> DataFrame:
+    """Diagonal of the inverse correlation matrix, over the rows without missing values.
+
+    With a ``label`` the rows have the weights p(1-p) of the fitted logistic model, which makes it the table of that
+    model. The matrix (features x features) is all that reaches the driver.
+    """
+    rows = complete_rows(df, features)
+    weight = F.lit(1.0)
+    if label is not None:
+        rows = with_score(_binomial_scores(rows, features, label))
+        weight = F.col(SCORE) * (1 - F.col(SCORE))
+    values = [F.col(f).cast("double") for f in features]
+    sums = rows.agg(
+        F.sum(weight).alias("w"),
+        *[F.sum(weight * x).alias(f"s{i}") for i, x in enumerate(values)],
+        *[
+            F.sum(weight * values[i] * values[j]).alias(f"q{i}_{j}")
+            for i in range(len(values))
+            for j in range(i, len(values))
+        ],
+    ).first()
+    n = len(values)
+    means = np.array([sums[f"s{i}"] / sums["w"] for i in range(n)])
+    matrix = np.array([[sums[f"q{min(i, j)}_{max(i, j)}"] / sums["w"] for j in range(n)] for i in range(n)])
+    covariance = matrix - np.outer(means, means)
+    scale = np.sqrt(np.diag(covariance))
+    found = np.diag(np.linalg.inv(covariance / np.outer(scale, scale)))
+    rows_out = [(f, float(v)) for f, v in zip(features, found)]
+    return df.sparkSession.createDataFrame(rows_out, "feature string, vif double")
+
+
+def _binomial_scores(rows: DataFrame, features: Sequence[str], label: str) -> DataFrame:
+    """``rows`` with the probability of an unpenalised logistic model fitted on them."""
+    return logistic(features, label, reg=0.0, missing="skip").fit(rows).transform(rows)

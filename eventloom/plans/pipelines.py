@@ -12,6 +12,7 @@ from eventloom.operators import features as f
 from eventloom.operators.ordered import Ordered, ordered_columns
 from eventloom.operators.relational import append_by_name, split_back
 from eventloom.operators.visits import bridge_table, number_visits, unpack_scans
+from eventloom.plans import keysets
 
 # Total orders of a click log, and of several appended logs.
 CLICK_ORDER = ("click_time", "click_id")
@@ -53,17 +54,7 @@ def features_prep_data(clicks: DataFrame, order: Sequence[str] = CLICK_ORDER) ->
     """Count features by key, day and hour with two running counts; the raw keys are dropped."""
     base = clicks.withColumns({"hour": hour_of("click_time"), "day": day_of("click_time")})
     base = base.withColumn("in_test_hh", in_test_hh("hour"))
-    counted = {
-        "n_ip_day_test_hh": ["ip", "day", "in_test_hh"],
-        "n_ip_day_hh": ["ip", "day", "hour"],
-        "n_ip_os_day_hh": ["ip", "os", "day", "hour"],
-        "n_ip_app_day_hh": ["ip", "app", "day", "hour"],
-        "n_ip_app_os_day_hh": ["ip", "app", "os", "day", "hour"],
-        "n_app_day_hh": ["app", "day", "hour"],
-        "n_ip_app_dev_os": ["ip", "app", "device", "os"],
-        "n_ip_dev_os": ["ip", "device", "os"],
-    }
-    wanted = [f.non_null_count(keys, "channel", name) for name, keys in counted.items()]
+    wanted = [f.non_null_count(keys, "channel", name) for name, keys in keysets.CHANNEL_COUNTS.items()]
     wanted += [
         f.running_count(["ip", "app", "device", "os"], name="ip_app_dev_os_cumcount"),
         f.running_count(IP_DEVICE_OS, name="ip_dev_os_cumcount"),
@@ -75,15 +66,8 @@ def features_process(clicks: DataFrame, order: Sequence[str] = CLICK_ORDER) -> D
     """Count features by key, weekday and hour."""
     base = clicks.withColumns({"wday": weekday_no("click_time"), "hour": hour_of("click_time")})
     base = base.withColumn("in_test_hh", in_test_hh("hour"))
-    counted = {
-        "nip_day_test_hh": ["ip", "wday", "in_test_hh"],
-        "n_ip": ["ip", "wday", "hour"],
-        "n_ip_os": ["ip", "wday", "hour", "os"],
-        "n_ip_app": ["ip", "wday", "hour", "app"],
-        "n_ip_app_os": ["ip", "wday", "hour", "app", "os"],
-        "n_app": ["app", "wday", "hour"],
-    }
-    done = f.add_features(base, [f.group_size(keys, name) for name, keys in counted.items()], order)
+    sizes = [f.group_size(keys, name) for name, keys in keysets.WEEKDAY_SIZES.items()]
+    done = f.add_features(base, sizes, order)
     return done.drop("click_time", "in_test_hh", "wday", "ip")
 
 
@@ -94,20 +78,46 @@ def features_datatable(clicks: DataFrame, order: Sequence[str] = CLICK_ORDER) ->
     return f.add_features(
         base,
         [
-            f.group_size(["ip", "app", "device", "os"], "UsrappCount"),
+            *[f.group_size(keys, name) for name, keys in keysets.USER_SIZES.items()],
             f.running_count(["ip", "app", "device", "os"], name="UsrappRank", base=1),
-            f.group_size(["ip", "os", "device"], "UsrCount"),
             f.running_count(["ip", "os", "device"], name="UsrRank", base=1),
-            f.group_size(["ip", "day", "hour", "app"], "nipApp"),
-            f.group_size(["ip", "day", "hour", "app", "os"], "nipAppOs"),
-            f.group_size(["app", "day", "hour"], "napp"),
-            f.group_size(["app", "day", "device"], "nappDev"),
-            f.group_size(["app", "day", "device", "os"], "nappDevOs"),
-            f.next_gap(["ip", "app", "device", "os", "channel"], "by_ipappdeviceoschannel_nextclick1", **gap),
-            f.next_gap(["ip", "os", "device"], "by_iposdevice_nextclick1", **gap),
-            f.next_gap(["ip", "os", "device", "app"], "by_iposdeviceapp_nextclick1", **gap),
-            f.previous_gap(["ip", "channel"], "by_ipchannel_prevclick1", **gap),
-            f.previous_gap(["ip", "os"], "by_ipos_prevclick1", **gap),
+            *[f.next_gap(keys, name, **gap) for name, keys in keysets.NEXT_CLICKS_FILLED.items()],
+            *[f.previous_gap(keys, name, **gap) for name, keys in keysets.PREVIOUS_CLICKS_FILLED.items()],
+        ],
+        order,
+    )
+
+
+def features_short(clicks: DataFrame, order: Sequence[str] = CLICK_ORDER) -> DataFrame:
+    """The set with short names: distinct and running counts, sizes, variances, a mean, and the time to the next
+    click of the same user in whole seconds. Time and day are dropped."""
+    base = clicks.withColumns({"hour": hour_of("click_time"), "day": day_of("click_time")})
+    done = f.add_features(
+        base,
+        [
+            *[f.distinct_count(keys, c, name) for name, (keys, c) in keysets.SHORT_DISTINCT.items()],
+            *[f.running_count(keys, c, name) for name, (keys, c) in keysets.SHORT_RUNNING.items()],
+            *[f.group_size(keys, name) for name, keys in keysets.SHORT_SIZES.items()],
+            *[f.group_variance(keys, c, name) for name, (keys, c) in keysets.SHORT_VARIANCES.items()],
+            *[f.group_mean(keys, c, name) for name, (keys, c) in keysets.SHORT_MEANS.items()],
+            f.next_gap(["ip", "app", "device", "os"], "nextClick", mode="epoch"),
+        ],
+        order,
+    )
+    return done.drop("click_time", "day")
+
+
+def features_rich(clicks: DataFrame, order: Sequence[str] = CLICK_ORDER) -> DataFrame:
+    """:func:`features_lgb` with ten lists for the next click, three variances and two more means."""
+    done = features_lgb(clicks, order)
+    made = {"_".join(keys) + "_nextClick" for keys in keysets.NEXT_CLICKS} & set(done.columns)
+    base = done.drop(*made)
+    return f.add_features(
+        base,
+        [
+            *[f.next_gap(keys) for keys in keysets.NEXT_CLICKS],
+            *[f.group_variance(keys, c) for keys, c in keysets.VARIANCES[:3]],
+            *[f.group_mean(keys, c) for keys, c in keysets.MEANS[1:3]],
         ],
         order,
     )

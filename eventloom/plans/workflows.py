@@ -9,12 +9,16 @@ from pyspark.sql import DataFrame
 
 from eventloom.functions import text
 from eventloom.operators.evaluate import arithmetic_mean
-from eventloom.operators.relational import align_mean, tail_flag
+from eventloom.operators.relational import align_mean, append_by_name, split_back, tail_flag
 from eventloom.operators.sampling import class_weight
 from eventloom.operators.stats import z_scores
 from eventloom.plans import models as m
-from eventloom.plans.pipelines import APPENDED_ORDER, features_lgb, over_train_and_test
+from eventloom.plans.pipelines import APPENDED_ORDER, features_lgb
+from eventloom.sources.files import cached_parquet, scratch_folder
+from eventloom.views import CLICK_ORDER
 
+#: Columns whose values have no order.
+LEVELS = ("app", "device", "os", "channel", "hour")
 SIX_KEYS = ("ip", "app", "device", "os", "channel", "click_time")
 RAW = ("click_id", "ip", "click_time", "day", "is_attributed", "src_rank", "is_valid", "weight")
 
@@ -25,13 +29,20 @@ def attribution_submission(
     """(click_id, is_attributed) for every test click.
 
     Features over train and supplement together, the last ``valid_rows`` training rows held out for
-    early stopping, boosted trees, and the mean prediction per click key aligned with the test set.
+    early stopping, boosted trees with declared categorical columns, and the mean prediction per click key aligned with the test set.
     """
-    fit_on, score_on = over_train_and_test(train, supplement, features_lgb)
-    fit_on = tail_flag(fit_on, APPENDED_ORDER[1:], valid_rows)
+    # The hold-out is marked on the raw rows, and the features of both tables are computed and written once.
+    marked = tail_flag(train, CLICK_ORDER, valid_rows)
+    featured = features_lgb(append_by_name([marked, supplement]), APPENDED_ORDER)
+    stored = cached_parquet(featured, f"{scratch_folder(train.sparkSession)}/features")
+    fit_on, score_on = split_back(stored, 0), split_back(stored, 1)
     fit_on = fit_on.withColumn("weight", class_weight("is_attributed", positive))
     features = [c for c in fit_on.columns if c not in RAW]
-    model = m.gbt(features, "is_attributed", rounds=rounds, weight="weight", validation="is_valid")
+    levels = m.level_counts(fit_on, [c for c in LEVELS if c in features])
+    many = [c for c, n in levels.items() if n > m.TREE_LEVELS]
+    model = m.gbt(
+        features, "is_attributed", rounds=rounds, weight="weight", validation="is_valid", categorical=levels, encode=many
+    )
     # missing gaps (no neighbour) are missing feature values; trees of this library need a number
     fit_on, score_on = fit_on.fillna(-1, features), score_on.fillna(-1, features)
     scored = m.fit_score(model, fit_on, score_on.drop("is_attributed"), "is_attributed")

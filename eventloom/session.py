@@ -17,9 +17,16 @@ RECOMMENDED = {
     # A feature job has more generated classes than the default cache of 100 holds; without this
     # every run compiles them again.
     "spark.sql.codegen.cache.maxEntries": "2000",
+    # A checkpoint is removed when nothing refers to its frame any more.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
+def one_machine(master: str) -> bool:
+    """All tasks of the session run in the driver's own process, so a local folder is shared by all."""
+    return master == "local" or master.startswith("local[")
+
+
 def build_session(app: str = "eventloom", master: str | None = None, **settings: str) -> SparkSession:
     builder = SparkSession.builder.appName(app)
     if master:
@@ -47,7 +54,7 @@ def checkpointed(df: DataFrame) -> DataFrame:
     if context.getCheckpointDir() is None:
         folder = spark.conf.get("spark.checkpoint.dir", None)
         if folder is None:
-            if not context.master.startswith("local"):
+            if not one_machine(context.master):
                 raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
             folder = tempfile.mkdtemp(prefix="eventloom-checkpoint-")
         context.setCheckpointDir(folder)

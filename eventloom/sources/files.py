@@ -12,6 +12,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from eventloom.session import one_machine
+
 CLICK_SCHEMA = T.StructType(
     [
         T.StructField("click_id", T.LongType()),
@@ -30,7 +32,7 @@ def scratch_folder(spark: SparkSession) -> str:
     """A new folder below the shared checkpoint folder; a local session may use a temporary one."""
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if shared is None:
-        if not spark.sparkContext.master.startswith("local"):
+        if not one_machine(spark.sparkContext.master):
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         return tempfile.mkdtemp(prefix="eventloom-files-")
     return f"{shared.rstrip('/')}/eventloom-files-{uuid.uuid4().hex}"

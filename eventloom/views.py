@@ -137,7 +137,9 @@ def races(spark: SparkSession, folder: str) -> DataFrame:
         "CAST(o_orderkey % 17 AS INT) AS chulNo",
         "c_acctbal AS hrWeight",
         "o_totalprice AS rcDist",
-        "CASE WHEN (o_orderkey * 7919) % 100 < 27 THEN 'pass' ELSE 'fail' END AS rcResult",
+        "CASE WHEN (o_orderkey * 7919) % 100 < 8 + CASE WHEN o_orderpriority < '3' THEN 30 ELSE 0 END"
+        " + CASE WHEN o_totalprice > 150000 THEN 25 ELSE 0 END + CASE WHEN c_mktsegment = 'BUILDING' THEN 20 ELSE 0 END"
+        " THEN 'pass' ELSE 'fail' END AS rcResult",
     )
 
 

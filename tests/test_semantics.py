@@ -334,3 +334,71 @@ def test_param_grid(spark):
         },
     )
     assert grid.count() == grid.distinct().count() == 2160
+
+
+def test_features_of_equal_rows_do_not_depend_on_partitions(spark):
+    from eventloom.operators.relational import align_features
+
+    test = spark.createDataFrame([(1, "a"), (2, "b")], "click_id long, k string")
+    rows = [(10 - i, "a", float(i)) for i in range(10)]
+    features = spark.createDataFrame(rows, "click_id long, k string, v double")
+    for parts in (1, 2, 7):
+        found = {r.click_id: r.v for r in align_features(test, features.repartition(parts)).collect()}
+        assert found == {1: 9.0, 2: None}
+
+
+def test_scans_of_several_parts(spark, monkeypatch):
+    """Parts of two records: positions count on, and a last part of one record is not a single scan."""
+    from eventloom import views
+    from eventloom.operators.visits import unpack_scans
+
+    monkeypatch.setattr(views, "SCAN_PART", 2)
+    folder = "/root/testdata/sf0.001"
+    columns = ["visit", "pid", "type", "pos", "bssid", "rssi", "frequency"]
+    want = views.readings(spark, folder, with_position=True).select(*columns)
+    packed = views.scans(spark, folder)
+    assert packed.agg({"part": "max"}).first()[0] > 0
+    got = unpack_scans(packed, part="part").select(*columns)
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+    several = want.groupBy("visit").count().where("count > 1").select("visit")
+    kept = unpack_scans(packed, part="part", drop_single=True).select(*columns)
+    assert sorted(map(tuple, kept.collect())) == sorted(map(tuple, want.join(several, "visit", "left_semi").select(*columns).collect()))
+
+
+def test_all_visits_of_a_place_count(spark):
+    """A place of six visits: the access point that is away in the fifth comes back in the sixth."""
+    from eventloom.operators.visits import bridges, pivot_bssid, pivot_visit
+
+    rows = [(1, v, f"2020-01-0{v}", "b1", -50 - v, 2412) for v in range(1, 7) if v != 5]
+    rows += [(1, v, f"2020-01-0{v}", "b2", -60, 5180) for v in range(1, 7)]
+    readings = spark.createDataFrame(rows, "pid long, visit long, date string, bssid string, rssi int, frequency int")
+    found = {r.bssid: (r.bridge, r.frequency_24) for r in bridges(readings).collect()}
+    assert found == {"b1": (1, 1), "b2": (0, 0)}
+    wide = {r.bssid: r for r in pivot_visit(readings).collect()}
+    assert wide["b1"].visit_5 is None and wide["b1"].visit_6 == -56.0
+    assert set(pivot_bssid(readings).columns) == {"visit", "b1", "b2"}
+    with pytest.raises(ValueError):
+        pivot_bssid(readings, ["b1"])
+    assert set(pivot_bssid(readings, ["b1"], leave_out=True).columns) == {"visit", "b1"}
+
+
+def test_splits_of_few_and_many_classes_agree(spark, monkeypatch):
+    from eventloom.operators import sampling
+
+    df = spark.range(300).select("id", (F.col("id") % 7).alias("c"), F.lit(1).alias("x"))
+    usual = sampling.split_stratified(df, "id", "c", 0.3).where("is_train").select("id").collect()
+    monkeypatch.setattr(sampling, "BROADCAST_GROUPS", 3)
+    ranked = sampling.split_stratified(df, "id", "c", 0.3).where("is_train").select("id").collect()
+    assert sorted(usual) == sorted(ranked)
+
+
+def test_three_parts_evaluate_their_source_thrice(spark):
+    from eventloom.operators.sampling import split_bands
+
+    df = spark.read.parquet("/root/testdata/sf0.001/orders.parquet")
+    split = split_bands(df, "o_orderkey", (0.5, 0.25))
+    n = df.count()
+    counts = {r.part: r["count"] for r in split.groupBy("part").count().collect()}
+    assert counts == {0: n // 2, 1: int(n * 0.75) - n // 2, 2: n - int(n * 0.75)}
+    plan = split._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation [") <= 3
