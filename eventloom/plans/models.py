@@ -24,7 +24,15 @@ from pyspark.ml.classification import (
     RandomForestClassifier,
 )
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
-from pyspark.ml.feature import Imputer, OneHotEncoder, StandardScaler, StringIndexer, TargetEncoder, VectorAssembler
+from pyspark.ml.feature import (
+    Imputer,
+    OneHotEncoder,
+    SQLTransformer,
+    StandardScaler,
+    StringIndexer,
+    TargetEncoder,
+    VectorAssembler,
+)
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GeneralizedLinearRegression
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
@@ -97,13 +105,16 @@ def _tree_stages(features: Sequence[str], categorical: dict[str, int], encode: S
         stages.append(
             TargetEncoder(
                 inputCols=[names[c] for c in encoded],
-                outputCols=[f"__mean_{c}" for c in encoded],
+                outputCols=[f"__mean_of_{c}" for c in encoded],
                 labelCol=label,
                 targetType="binary",
                 smoothing=20.0,
                 handleInvalid="keep",
             )
         )
+        # The encoder's columns are still marked as nominal; a sum is a plain number.
+        plain = ", ".join(f"`__mean_of_{c}` + 0.0D AS `__mean_{c}`" for c in encoded)
+        stages.append(SQLTransformer(statement=f"SELECT *, {plain} FROM __THIS__"))
         names |= {c: f"__mean_{c}" for c in encoded}
     stages.append(assembler([names.get(f, f) for f in features]))
     return stages, max([categorical[c] + 1 for c in nominal], default=0)
