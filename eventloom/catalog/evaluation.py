@@ -160,9 +160,7 @@ _AUC = """(SELECT sum(CAST(pos AS DOUBLE) * (below + neg / CAST(2 AS DOUBLE))) /
 
 @query("metric_auc", " UNION ALL ".join(f"SELECT '{c}' AS model, round({_AUC.format(c=c)}, 6) AS auc" for c in PREDICTIONS))
 def _(spark, folder):
-    scores = views.scores(spark, folder)
-    parts = [ev.auc(scores, "y", c).select(F.lit(c).alias("model"), F.round("auc", 6).alias("auc")) for c in PREDICTIONS]
-    return rel.append_by_name(parts, rank=None)
+    return rounded(ev.auc_of(views.scores(spark, folder), "y", PREDICTIONS), "auc")
 
 
 _LOGLOSS = "-avg(y * ln({c}) + (1 - y) * ln(1 - {c}))"

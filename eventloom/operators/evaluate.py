@@ -48,11 +48,25 @@ def score_counts(df: DataFrame, label: str, score: str) -> DataFrame:
 
 def auc(df: DataFrame, label: str, score: str) -> DataFrame:
     """Area under the ROC curve from the rank sum, ties counted half."""
-    counts = ordered_columns(score_counts(df, label, score), [], ["score"], [Ordered("running_sum", "upto", "neg")])
+    return auc_of(df, label, [score]).select("auc")
+
+
+def auc_of(df: DataFrame, label: str, scores: Sequence[str]) -> DataFrame:
+    """:func:`auc` of several score columns (``model``, ``auc``), from one pass over ``df``.
+
+    The scores are laid out as rows and counted per distinct value before anything is sorted; the running sum then
+    has the model as its key.
+    """
+    cells = F.explode(F.array(*[F.struct(F.lit(c).alias("model"), F.col(c).cast("double").alias("score")) for c in scores]))
+    rows = df.select(F.col(label).cast("bigint").alias("__y"), cells.alias("__cell")).select("__y", "__cell.*")
+    counted = rows.groupBy("model", "score").agg(
+        F.sum("__y").alias("pos"), (F.count(F.lit(1)) - F.sum("__y")).alias("neg")
+    )
+    counts = ordered_columns(counted, ["model"], ["score"], [Ordered("running_sum", "upto", "neg")])
     below = F.col("upto") - F.col("neg")
     wins = F.sum(F.col("pos").cast("double") * (below + F.col("neg") / F.lit(2.0)))
     pairs = F.sum("pos").cast("double") * F.sum("neg").cast("double")
-    return counts.agg((wins / pairs).alias("auc"))
+    return counts.groupBy("model").agg((wins / pairs).alias("auc"))
 
 
 def log_loss_value(label: str, score: str) -> Column:

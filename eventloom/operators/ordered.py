@@ -73,11 +73,6 @@ def group_stats(df: DataFrame, key_lists: Sequence[Sequence[str]]) -> list[Group
     return [GroupStats(r["rows"], r["groups"], r["largest"]) for _, r in sorted(found.items())]
 
 
-def broadcast_if_small(df: DataFrame) -> DataFrame:
-    """Mark a narrow table for broadcast if a count shows that it is small."""
-    return F.broadcast(df) if df.count() <= BROADCAST_GROUPS else df
-
-
 def oversized_groups(df: DataFrame, keys: Sequence[str], limit: int) -> DataFrame:
     """Keys with more than ``limit`` rows: at most rows / limit of them, hence safe to broadcast."""
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n")).filter(F.col("__n") > limit).drop("__n")

@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from eventloom.operators.ordered import (
-    broadcast_if_small,
     group_limit,
     group_stats,
     position,
@@ -112,6 +111,10 @@ def daily(visits: DataFrame, how: str = "mean") -> DataFrame:
     )
 
 
+# Output names that later steps of the workload refer to (rank_1_cnt, similarity_up, hit_rate,
+# high_rssi_bssid_cnt, and the names of the moving averages).
+
+
 def hit_rate(visits: DataFrame, keys: Sequence[str] = ("pid", "date")) -> DataFrame:
     """Visits, visits above the threshold, and their quotient."""
     hits = F.count_if(F.col("similarity") > F.col("threshold"))
@@ -205,13 +208,13 @@ def survey_bssids(readings: DataFrame, n: int = 1) -> DataFrame:
 
 def seen_in_survey(readings: DataFrame, n: int = 1) -> DataFrame:
     """Readings of access points that the n-th survey of the place saw."""
-    return readings.join(broadcast_if_small(survey_bssids(readings, n)), ["pid", "bssid"], "left_semi")
+    return readings.join(survey_bssids(readings, n), ["pid", "bssid"], "left_semi")
 
 
 def survey_flag(readings: DataFrame, n: int = 1, name: str = "checked_wifi") -> DataFrame:
     """1 where the n-th survey of the place saw the access point, else 0."""
     known = survey_bssids(readings, n).withColumn("__known", F.lit(True))
-    joined = readings.join(broadcast_if_small(known), ["pid", "bssid"], "left")
+    joined = readings.join(known, ["pid", "bssid"], "left")
     return joined.withColumn(name, F.col("__known").isNotNull().cast("int")).drop("__known")
 
 
@@ -239,7 +242,7 @@ def heatmap_cells(readings: DataFrame) -> DataFrame:
     """Mean signal per (date, bssid) with the rank of the access point."""
     cells = mean_rssi(readings, ["date", "bssid"]).withColumnRenamed("mean_rssi", "rssi")
     ranks = bssid_order(readings).select("bssid", "bssid_rank")
-    return cells.join(broadcast_if_small(ranks), "bssid")
+    return cells.join(ranks, "bssid")
 
 
 #: Columns that one pivot may make; Spark's own limit is of the same size.
