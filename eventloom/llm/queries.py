@@ -109,7 +109,34 @@ def op7_perspective_rotation(spark: SparkSession, folder: str) -> DataFrame:
     return chat.rotate_perspectives(table(spark, folder, "conversations"))
 
 
-@query("op8_suffix_dedup")
+# Hexadecimal text stands for the bytes: two characters each.
+SUBSTRINGS_SQL = """
+with d as (
+  select row_number() over () as r, doc_id, hex(encode(coalesce(text, ''))) as h from documents
+), places as (
+  select r, doc_id, i, substr(h, 2 * i + 1, 100) as piece
+  from (select r, doc_id, h, unnest(range(0, cast(length(h) // 2 as bigint) - 49)) as i from d)
+), least_ as (select piece, min(doc_id) as low from places group by piece),
+hit as (select r, i from places join least_ using (piece) where doc_id > low),
+marked as (select r, i, case when i <= lag(i) over (partition by r order by i) + 50 then 0 else 1 end as opens from hit),
+runs as (
+  select r, k, min(i) as a, max(i) + 50 as b
+  from (select r, i, sum(opens) over (partition by r order by i) as k from marked) group by r, k
+), gaps as (
+  select r, k, a, b, coalesce(lag(b) over (partition by r order by a), 0) as before from runs
+), cut as (
+  select r, sum(b - a) as n_removed, count(*) as n_spans, max(b) as tail,
+         string_agg(substr(h, 2 * before + 1, 2 * (a - before)), '' order by a) as head
+  from gaps join d using (r) group by r
+)
+select doc_id, cast(length(h) // 2 as bigint) as n_bytes, cast(coalesce(n_removed, 0) as bigint) as n_removed,
+       coalesce(n_spans, 0) as n_spans,
+       sha256(unhex(coalesce(head, '') || substr(h, 2 * coalesce(tail, 0) + 1))) as kept_sha256
+from d left join cut using (r)
+"""
+
+
+@query("op8_suffix_dedup", SUBSTRINGS_SQL)
 def op8_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return suffixes.span_digest(suffixes.repeated_spans(table(spark, folder, "documents")))
 
