@@ -36,6 +36,11 @@ def exact_quantiles(df: DataFrame, column: str, probabilities: Sequence[float],
     Exact, but without collecting the values of a group: equal values are counted first, running
     counts locate the two values around each position.
     """
+    return _from_counts(df, column, probabilities, by).select(*by, "quantiles")
+
+
+def _from_counts(df: DataFrame, column: str, probabilities: Sequence[float], by: Sequence[str]) -> DataFrame:
+    """Quantiles, minimum, mean and maximum of each group, all from one table of (group, value, count)."""
     keys = list(by) or ["__all"]
     base = df if by else df.withColumn("__all", F.lit(0))
     counts = (
@@ -61,22 +66,20 @@ def exact_quantiles(df: DataFrame, column: str, probabilities: Sequence[float],
         F.col(f"__lo{i}") + (F.col(f"__hi{i}") - F.col(f"__lo{i}")) * F.col(f"__f{i}")
         for i in range(len(probabilities))
     ]
-    return joined.groupBy(*keys).agg(*parts).select(*by, F.array(*values).alias("quantiles"))
+    value = F.col("__v")
+    summary = [
+        F.min(value).alias("min"),
+        (F.sum(value * F.col("__n")) / F.sum("__n")).alias("mean"),
+        F.max(value).alias("max"),
+    ]
+    return joined.groupBy(*keys).agg(*parts, *summary).select(*by, F.array(*values).alias("quantiles"), "min", "mean", "max")
 
 
 def five_numbers(df: DataFrame, column: str, by: Sequence[str] = ()) -> DataFrame:
     """Minimum, quartiles, mean and maximum, per group or overall."""
-    keys = list(by) or ["__all"]
-    base = df if by else df.withColumn("__all", F.lit(0))
-    plain = base.groupBy(*[F.col(k).alias(f"__g_{k}") for k in keys]).agg(
-        F.min(column).alias("min"), F.avg(column).alias("mean"), F.max(column).alias("max")
-    )
-    cuts = exact_quantiles(base, column, (0.25, 0.5, 0.75), keys)
-    joined = cuts.join(plain, [F.col(k).eqNullSafe(F.col(f"__g_{k}")) for k in keys])
+    found = _from_counts(df, column, (0.25, 0.5, 0.75), by)
     q = lambda i: F.col("quantiles")[i]
-    return joined.select(
-        *by, "min", q(0).alias("q1"), q(1).alias("median"), "mean", q(2).alias("q3"), "max"
-    )
+    return found.select(*by, "min", q(0).alias("q1"), q(1).alias("median"), "mean", q(2).alias("q3"), "max")
 
 
 def correlation_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
