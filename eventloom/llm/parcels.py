@@ -17,9 +17,10 @@ BLOBS_ARROW = pa.schema([("target", pa.int64()), ("kind", pa.int32()), ("blob",
 
 
 def pack(**columns: np.ndarray) -> bytes:
-    """Columns behind each other: shuffle compression works on like values."""
+    """Columns behind each other, compressed; of each column first the lowest bytes, then the next ones, so that like bytes meet."""
     size = len(next(iter(columns.values())))
-    return b"".join([size.to_bytes(8, "little"), *[np.ascontiguousarray(c).tobytes() for c in columns.values()]])
+    planes = [np.ascontiguousarray(c).view(np.uint8).reshape(size, c.dtype.itemsize).T.tobytes() for c in columns.values()]
+    return squeezed(b"".join([size.to_bytes(8, "little"), *planes]))
 
 
 def sealed(table: pa.Table | pa.RecordBatch) -> bytes:
@@ -53,12 +54,14 @@ def unsqueezed(raw: bytes) -> bytes:
 def unpack(blobs: list[bytes], stepped: tuple[str, ...] = (), **kinds: str) -> dict[str, np.ndarray]:
     """The columns of all blobs; those ``stepped`` were packed as :func:`steps`."""
     parts: dict[str, list[np.ndarray]] = {k: [np.empty(0, dtype=kind)] for k, kind in kinds.items()}
-    for blob in blobs:
+    for blob in map(unsqueezed, blobs):
         size, at = int.from_bytes(blob[:8], "little"), 8
         for name, kind in kinds.items():
-            values = np.frombuffer(blob, dtype=kind, count=size, offset=at)
+            width = np.dtype(kind).itemsize
+            planes = np.frombuffer(blob, dtype=np.uint8, count=size * width, offset=at).reshape(width, size)
+            values = np.ascontiguousarray(planes.T).reshape(-1).view(kind)
             parts[name].append(np.cumsum(values, dtype=kind) if name in stepped else values)
-            at += size * np.dtype(kind).itemsize
+            at += size * width
     return {k: np.concatenate(v) for k, v in parts.items()}
 
 

@@ -212,9 +212,10 @@ class Regions:
         return alike
 
 
-#: Columns that travel. A gram and a region code together are 64 bits beside the bucket of the gram, of which there are more the
-#: larger the corpus is; ``sum`` tells texts with one document id apart, and is zero where no id is repeated.
-_SENT = {"gram": "<u4", "code": "<u4", "doc": "<i8", "sum": "<u2", "number": "<u4"}
+#: Columns that travel. The regions of one gram are told apart by their code alone, so it travels whole: with k different regions a wrong
+#: equality has a chance of k * k / 2 ** 65. Of the gram 32 bits are enough: two grams that agree in them are compared by their bytes.
+#: ``sum`` tells texts with one document id apart, and is zero where no id is repeated.
+_SENT = {"gram": "<u4", "code": "<u8", "doc": "<i8", "sum": "<u2", "number": "<u4"}
 _ANSWER = {"doc": "<i8", "sum": "<u2", "number": "<u4", "state": "u1"}
 _MARKS = {"doc": "<i8", "sum": "<u2", "number": "<u4", "bits": "<u8"}
 #: Columns that are sorted in a blob.
@@ -522,7 +523,7 @@ def repeated_spans(documents: DataFrame, document: str = "doc_id", text: str = "
     ``kept_sha256`` (of the other bytes, concatenated). Strings are judged on the input and never cross
     documents. The id must be a whole number.
 
-    Scale: two exchanges of the documents' texts, compressed, one of about 14 bytes for each distinct region of a task (about
+    Scale: two exchanges of the documents' texts, compressed, one of about 18 bytes for each distinct region of a task (about
     one for 20 bytes of text, whole copies within a task sent once), and one of the bytes of regions that share
     a gram and differ. Copies, however many, meet as at most one record per task. Buckets and groups
     have about 4 MB of text each, whatever the size of the input; a gram in very many different regions has

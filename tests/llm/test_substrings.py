@@ -44,6 +44,26 @@ def test_many_buckets_and_windows_dealt_by_content(spark, monkeypatch):
     assert digest(suffixes.repeated_spans(docs)) == removed_by_brute_force(rows)
 
 
+def test_regions_of_one_gram_whose_codes_agree_in_half_their_bits(spark):
+    """Different texts around one gram, found by their codes, are not equal."""
+    draw = np.random.default_rng(3)
+    grams = draw.integers(97, 123, (500_000, 16)).astype(np.uint8)
+    at = np.arange(0, grams.size, 16)
+    gram = grams[np.argmin(spans.span_hash(spans.prefix_sums(grams.reshape(-1)), at, at + 16))]
+    block = draw.integers(97, 123, (300_000, 51)).astype(np.uint8)
+    block[:, 17:33], block[:, 50] = gram, 10
+    r = suffixes.Regions(block.reshape(-1), np.arange(0, block.size + 1, 51), 50, 16)
+    low = np.stack([r.gram, r.code & np.uint64(2**32 - 1)])
+    order = np.lexsort(low)
+    again = np.flatnonzero((np.diff(low[:, order], axis=1) == 0).all(axis=0))
+    assert len(again)
+    texts = [block[r.text[order[again[0] + i]], :50].tobytes().decode() for i in (0, 1)]
+    assert texts[0] != texts[1]
+    rows = [(i + 1, t) for i, t in enumerate(texts)]
+    found = digest(suffixes.repeated_spans(spark.createDataFrame(rows, "doc_id long, text string")))
+    assert found == removed_by_brute_force(rows)
+
+
 def test_odd_rows(spark):
     docs = edge_documents(spark)
     runs = [(20, "ab" * 300), (21, "x" + "ab" * 100 + "=" * 200), (22, "=" * 120 + "ab" * 40), (23, "=" * 49)]
