@@ -2,7 +2,7 @@
 
 import pytest
 from compare import difference, duck
-from conftest import SMALL
+from folders import SMALL
 
 from eventloom.catalog import CHECKS, QUERIES
 

@@ -1,6 +1,6 @@
 """The physical plans that the library is built around."""
 
-from conftest import SMALL
+from folders import SMALL
 from pyspark.sql import functions as F
 
 from eventloom import views

@@ -2,7 +2,7 @@
 
 import datetime as dt
 
-from conftest import SMALL
+from folders import SMALL
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as some
 from pyspark.sql import functions as F
