@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from eventloom.llm import chat, contamination, fertility, mixing, orderhash, paragraphs, secrets, suffixes, tokenfiles, urls
+from eventloom.llm import chat, contamination, fertility, mixing, orderhash, paragraphs, resampling, secrets, suffixes, tokenfiles, urls
 from eventloom.llm.base import CHECKS, QUERIES, query, table
 
 __all__ = ["CHECKS", "QUERIES"]
@@ -164,3 +164,54 @@ def op9_secret_forest(spark: SparkSession, folder: str) -> DataFrame:
 @query("op10_raked_mix")
 def op10_raked_mix(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix_decisions(table(spark, folder, "documents"))
+
+
+# DuckDB has no crc32: a fold over the bytes (as hexadecimal digits) with the table of its polynomial.
+RESAMPLING_SQL = rf"""
+with recursive steps as (
+  select i, i as v, 0 as k from range(256) as t(i)
+  union all select i, case when v % 2 = 1 then xor(v // 2, 3988292384) else v // 2 end, k + 1 from steps where k < 8
+), crc as (select list(v order by i) as effect from steps where k = 8),
+doc_words as (select doc_id, regexp_extract_all({_LOWER}, '{WORD_CLASS}') as w from documents),
+item_words as (select regexp_extract_all({_LOWER}, '{WORD_CLASS}') as w from benchmark),
+doc_features as (
+  select doc_id, unnest(w) as f from doc_words
+  union all select doc_id, w[i] || ' ' || w[i + 1] from (select doc_id, w, unnest(range(1, len(w))) as i from doc_words)
+), item_features as (
+  select unnest(w) as f from item_words
+  union all select w[i] || ' ' || w[i + 1] from (select w, unnest(range(1, len(w))) as i from item_words)
+), named as (
+  select f, hex(encode(f)) as h from (select distinct f from doc_features union select distinct f from item_features)
+), placed as (
+  select f, xor(list_reduce(
+    [4294967295::bigint] || list_transform(range(1, length(h), 2), lambda i:
+      ((instr('0123456789ABCDEF', substr(h, i, 1)) - 1) * 16 + instr('0123456789ABCDEF', substr(h, i + 1, 1)) - 1)::bigint),
+    lambda c, b: xor(effect[xor(c % 256, b) + 1]::bigint, c // 256)), 4294967295::bigint) % 10000 as bucket
+  from named, crc
+), s as (select bucket, count(*) as s from doc_features join placed using (f) group by bucket),
+t as (select bucket, count(*) as t from item_features join placed using (f) group by bucket),
+totals as (
+  select cast((select coalesce(sum(s), 0) from s) as double) as all_s, cast((select coalesce(sum(t), 0) from t) as double) as all_t
+), gains as (
+  select bucket, cast(floor(1000 * ln(((coalesce(t, 0) + 1) * (all_s + 10000)) / ((s + 1) * (all_t + 10000)))) as bigint) as gain
+  from s left join t using (bucket), totals
+), weights as (
+  select doc_id, count(*) as n_features, cast(floor(sum(gain) / count(*)) as bigint) as weight
+  from doc_features join placed using (f) join gains using (bucket) group by doc_id
+), scored as (
+  select doc_id, len(w) as n_words, coalesce(n_features, 0) as n_features, coalesce(weight, 0) as weight,
+         coalesce(weight, 0) + cast(floor(-1000 * ln(-ln((h + 0.5) / 4294967296::double))) as bigint) as score
+  from (select *, cast('0x' || substr(sha256('7:' || doc_id), 1, 8) as bigint)::double as h from doc_words) left join weights using (doc_id)
+), ranked as (
+  select *, row_number() over (partition by n_words >= 20 order by score desc, doc_id) as place,
+         (25 * count(*) filter (where n_words >= 20) over ()) // 100 as wanted
+  from scored
+)
+select doc_id, n_features, weight, score, case when n_words >= 20 and place <= wanted then place end as rank from ranked
+"""
+
+
+@query("op13_importance_resampling", RESAMPLING_SQL)
+def op13_importance_resampling(spark: SparkSession, folder: str) -> DataFrame:
+    sampled = resampling.importance_resample(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+    return sampled.select("doc_id", "n_features", "weight", "score", "rank")
