@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from eventloom.llm import chat, contamination, fertility, mixing, orderhash, paragraphs, resampling, secrets, suffixes, tokenfiles, urls
+from eventloom.llm import chat, contamination, divergence, fertility, mixing, orderhash, paragraphs, resampling, secrets, suffixes, tokenfiles, urls
 from eventloom.llm.base import CHECKS, QUERIES, query, table
 
 __all__ = ["CHECKS", "QUERIES"]
@@ -215,3 +215,45 @@ select doc_id, n_features, weight, score, case when n_words >= 20 and place <= w
 def op13_importance_resampling(spark: SparkSession, folder: str) -> DataFrame:
     sampled = resampling.importance_resample(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
     return sampled.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+DIVERGENCE_SQL = r"""
+with d as (
+  select row_number() over () as r, coalesce(lang, '') as lang, coalesce(source, '') as source,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') as w
+  from documents
+), t as (select r, lang, source, unnest(w) as term from d),
+kept as (
+  select lang, term from (select distinct r, lang, term from t) group by lang, term having count(*) >= 10
+), c as (select lang, source, term, count(*) as c from t join kept using (lang, term) group by lang, source, term),
+v as (select lang, count(*) as v from kept group by lang),
+groups as (select distinct lang, source from d),
+n as (select lang, source, sum(c) as n from c group by lang, source),
+wholes as (select lang, source, coalesce(n, 0) + 2 * v as whole from groups join v using (lang) left join n using (lang, source)),
+own as (
+  select lang, source, term, coalesce(c, 0) as c, 1 + (1000000000::hugeint * (coalesce(c, 0) + 2)) // whole::hugeint as p
+  from wholes join kept using (lang) left join c using (lang, source, term)
+), every as (
+  select lang, term, 1 + (1000000000::hugeint * (sum(c) + 2)::hugeint) // (sum(sum(c)) over (partition by lang) + 2 * any_value(v))::hugeint as q
+  from own join v using (lang) group by lang, term
+), pairs as (
+  select a.lang, a.source, b.source as item, sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p)) as value
+  from own a join own b on a.lang = b.lang and a.term = b.term and a.source <> b.source group by a.lang, a.source, b.source
+), terms as (
+  select lang, source, term as item, (p - q) * (p - q) // (p + q) as value from own join every using (lang, term) where c > 0 and p > q
+), parts as (
+  select g.lang, g.source, 'pair' as part, h.source as item, cast(coalesce(value, 0) as bigint) as value
+  from groups g join groups h on g.lang = h.lang and g.source <> h.source
+  left join pairs p on p.lang = g.lang and p.source = g.source and p.item = h.source
+  union all select lang, source, 'term', item, cast(value as bigint) from terms
+), ranked as (
+  select *, cast(row_number() over (partition by lang, source, part order by value desc, encode(item)) as integer) as rank from parts
+)
+select * from ranked where part = 'pair' or rank <= 10
+"""
+
+
+@query("op12_source_divergence", DIVERGENCE_SQL)
+def op12_source_divergence(spark: SparkSession, folder: str) -> DataFrame:
+    return divergence.audit_sources(table(spark, folder, "documents"))
