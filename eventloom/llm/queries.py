@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from eventloom.llm import chat, contamination, divergence, fertility, mixing, orderhash, paragraphs, resampling, secrets, suffixes, tokenfiles, urls
+from eventloom.llm import chat, contamination, divergence, fertility, mixing, orderhash, paragraphs, resampling, secrets, suffixes, tokenfiles, urls, winnowing
 from eventloom.llm.base import CHECKS, QUERIES, query, table
 
 __all__ = ["CHECKS", "QUERIES"]
@@ -257,3 +258,17 @@ select * from ranked where part = 'pair' or rank <= 10
 @query("op12_source_divergence", DIVERGENCE_SQL)
 def op12_source_divergence(spark: SparkSession, folder: str) -> DataFrame:
     return divergence.audit_sources(table(spark, folder, "documents"))
+
+
+@query("op11_winnowing")
+def op11_winnowing(spark: SparkSession, folder: str) -> DataFrame:
+    marks = winnowing.edit_audit(table(spark, folder, "documents"))
+    return marks.select(
+        "doc_id",
+        "n_chars",
+        F.sha2("edited", 256).alias("edited_sha256"),
+        winnowing.written_out("hashes", "positions").alias("fingerprint"),
+        winnowing.written_out("edited_hashes", "edited_positions").alias("edited_fingerprint"),
+        "near_edited",
+        "near_next",
+    )

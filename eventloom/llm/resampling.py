@@ -47,14 +47,15 @@ def bucket_gains(raw: DataFrame, target: DataFrame, buckets: int = BUCKETS) -> D
         .join(target.withColumnRenamed("n", "t"), "bucket", "left")
         .select("bucket", F.coalesce("s", F.lit(0)).alias("s"), F.coalesce("t", F.lit(0)).alias("t"))
     )
-    totals = both.agg(F.sum("s").alias("all_s"), F.sum("t").alias("all_t"))
+    whole = Window.partitionBy()  # one row per bucket
+    both = both.withColumns({"all_s": F.sum("s").over(whole), "all_t": F.sum("t").over(whole)})
     size = F.lit(float(buckets))
 
     def real(name: str) -> Column:
         return F.col(name).cast("double")
 
     ratio = ((real("t") + 1) * (real("all_s") + size)) / ((real("s") + 1) * (real("all_t") + size))
-    return both.join(F.broadcast(totals)).select("bucket", F.floor(F.lit(float(SCALE)) * F.log(ratio)).alias("gain"))
+    return both.select("bucket", F.floor(F.lit(float(SCALE)) * F.log(ratio)).alias("gain"))
 
 
 def weigh(documents: DataFrame, gains: np.ndarray, document: str, text: str, words: int) -> DataFrame:
