@@ -16,11 +16,11 @@ from __future__ import annotations
 
 import hashlib
 import math
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -214,10 +214,10 @@ class Regions:
 
 #: Columns that travel. The regions of one gram are told apart by their code alone, so it travels whole: with k different regions a wrong
 #: equality has a chance of k * k / 2 ** 65. Of the gram 32 bits are enough: two grams that agree in them are compared by their bytes.
-#: ``sum`` tells texts with one document id apart, and is zero where no id is repeated.
-_SENT = {"gram": "<u4", "code": "<u8", "doc": "<i8", "sum": "<u2", "number": "<u4"}
-_ANSWER = {"doc": "<i8", "sum": "<u2", "number": "<u4", "state": "u1"}
-_MARKS = {"doc": "<i8", "sum": "<u2", "number": "<u4", "bits": "<u8"}
+#: ``sum``, 63 bits of a hash of the whole text, tells texts with one document id apart; it is zero (and packs to nothing) where no id is repeated.
+_SENT = {"gram": "<u4", "code": "<u8", "doc": "<i8", "sum": "<i8", "number": "<u4"}
+_ANSWER = {"doc": "<i8", "sum": "<i8", "number": "<u4", "state": "u1"}
+_MARKS = {"doc": "<i8", "sum": "<i8", "number": "<u4", "bits": "<u8"}
 #: Columns that are sorted in a blob.
 _STEPPED = ("doc",)
 
@@ -341,7 +341,7 @@ _STATE_ARROW = pa.schema(
 def _sums(buf: np.ndarray, starts: np.ndarray, wanted: bool) -> list[int]:
     if not wanted:
         return [0] * (len(starts) - 1)
-    return [zlib.crc32(buf[a : b - 1]) & 0xFFFF for a, b in zip(starts[:-1], starts[1:], strict=True)]
+    return [xxhash.xxh64_intdigest(buf[a : b - 1]) >> 1 for a, b in zip(starts[:-1], starts[1:], strict=True)]
 
 
 def _table(rows: list[dict]) -> pa.Table:
@@ -438,14 +438,14 @@ def _pack_regions(regions: list[tuple[int, bytes, tuple]]) -> bytes:
     doc, sums, number, offset = (np.array(x, dtype=np.int64) for x in zip(*[r[2] for r in regions], strict=True))
     sizes = np.array([len(r[1]) for r in regions], dtype=np.uint32)
     head = pack(
-        doc=doc, sum=sums.astype("<u2"), number=number.astype("<u4"), offset=offset.astype("u1"), size=sizes
+        doc=doc, sum=sums.astype("<i8"), number=number.astype("<u4"), offset=offset.astype("u1"), size=sizes
     )
     return squeezed(len(head).to_bytes(8, "little") + head + b"".join(r[1] for r in regions))
 
 
 def _comparer(length: int, groups: int):
     """The regions that meet in a bucket -> the windows that an earlier document also has."""
-    kinds = {"doc": "<i8", "sum": "<u2", "number": "<u4", "offset": "u1", "size": "<u4"}
+    kinds = {"doc": "<i8", "sum": "<i8", "number": "<u4", "offset": "u1", "size": "<u4"}
 
     def compare(table: pa.Table) -> pa.Table:
         heads, bodies = [], []
