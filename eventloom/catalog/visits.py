@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from eventloom import views
 from eventloom.catalog.base import query, rounded
+from eventloom.operators import similarity as sim
 from eventloom.operators import visits as v
 from eventloom.plans import pipelines
 
@@ -282,3 +283,29 @@ def _(spark, folder):
 )
 def _(spark, folder):
     return v.tile_class(views.readings(spark, folder), 2).select("visit", "pid", "bssid", "rssi", "checked_wifi_type")
+
+
+_SCORED = """WITH sets AS (SELECT visit, pid, type, bssid, 1 + (max(rssi) + 80) // 10 AS w FROM readings WHERE rssi >= -80 GROUP BY ALL),
+    totals AS (SELECT visit, pid, sum(w) AS w FROM sets GROUP BY visit, pid),
+    pairs AS (SELECT a.visit, b.visit AS reference, sum(b.w) AS theirs, sum(a.w) AS own FROM sets a JOIN sets b
+        ON a.bssid = b.bssid AND a.visit <> b.visit AND b.type = 1 {same} GROUP BY a.visit, b.visit),
+    scored AS (SELECT p.visit, p.reference, p.theirs / CAST(r.w AS DOUBLE) AS matched, p.own / CAST(t.w AS DOUBLE) AS seen
+        FROM pairs p JOIN totals t ON p.visit = t.visit JOIN totals r ON p.reference = r.visit),
+    best AS (SELECT *, row_number() OVER (PARTITION BY visit ORDER BY 0.5 * matched + 0.5 * seen DESC, reference) AS place FROM scored)
+    SELECT {pid} t.visit, b.reference, round(coalesce(0.5 * b.matched + 0.5 * b.seen, 0), 6) AS score,
+        round(coalesce(b.matched, 0), 6) AS matched, round(1 - coalesce(b.seen, 0), 6) AS new
+    FROM totals t LEFT JOIN best b ON t.visit = b.visit AND b.place = 1"""
+
+
+@query("visit_best_survey", _SCORED.format(same="", pid=""))
+def _(spark, folder):
+    """Every visit against the surveys of all places."""
+    seen = sim.signal_weights(views.readings(spark, folder), ("visit", "type"))
+    return rounded(sim.best_references(seen, seen.where("type = 1")), "score", "matched", "new")
+
+
+@query("visit_best_survey_of_place", _SCORED.format(same="AND a.pid = b.pid", pid="t.pid,"))
+def _(spark, folder):
+    """Every visit against the surveys of its own place."""
+    seen = sim.signal_weights(views.readings(spark, folder), ("visit", "pid", "type"))
+    return rounded(sim.best_references(seen, seen.where("type = 1"), within=["pid"]), "score", "matched", "new")
