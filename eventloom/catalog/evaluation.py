@@ -362,3 +362,64 @@ _R = " , ".join(f'corr("{a}", "{b}") AS r_{a}_{b}' for a, b in (("chulNo", "hrWe
 )
 def _(spark, folder):
     return rounded(models.variance_inflation(views.races(spark, folder), _NUMERIC), "vif")
+
+
+# The two-sided probability by Simpson's rule over the density of t, and the quantile of t by its expansion for
+# many degrees of freedom.
+_TAIL = """1 - 2 * (SELECT sum(CASE WHEN i = 0 OR i = 20000 THEN 1 WHEN i % 2 = 1 THEN 4 ELSE 2 END
+        * pow(1 + pow(abs(t) * i / 20000, 2) / df, -(df + 1) / 2)) FROM range(20001) AS s(i))
+        * abs(t) / 60000 * exp(lgamma((df + 1) / 2) - lgamma(df / 2)) / sqrt(df * pi())"""
+_Z = "1.959963984540054"
+_T = f"""({_Z} + (pow({_Z}, 3) + {_Z}) / (4 * df) + (5 * pow({_Z}, 5) + 16 * pow({_Z}, 3) + 3 * {_Z}) / (96 * df * df)
+        + (3 * pow({_Z}, 7) + 19 * pow({_Z}, 5) + 17 * pow({_Z}, 3) - 15 * {_Z}) / (384 * pow(df, 3)))"""
+
+
+@query(
+    "cor_test_pairs",
+    f"""WITH r AS ({" UNION ALL ".join(
+        f"""SELECT '{a}' AS var1, '{b}' AS var2, corr("{a}", "{b}") AS r, count(*) AS n FROM races"""
+        for a, b in (("chulNo", "hrWeight"), ("chulNo", "rcDist"), ("hrWeight", "rcDist"))
+    )}), t AS (SELECT *, CAST(n - 2 AS DOUBLE) AS df, r * sqrt((n - 2) / (1 - r * r)) AS t FROM r)
+    SELECT var1, var2, n, round(r, 8) AS r, round(t, 6) AS t, n - 2 AS df, round({_TAIL}, 8) AS p,
+        round(tanh(atanh(r) - {_Z} / sqrt(n - 3)), 8) AS low, round(tanh(atanh(r) + {_Z} / sqrt(n - 3)), 8) AS high FROM t""",
+)
+def _(spark, folder):
+    df = st.correlation_tests(views.races(spark, folder), _NUMERIC)
+    return rounded(rounded(df, "r", "p", "low", "high", digits=8), "t")
+
+
+def _welch_sides(column: str) -> str:
+    side = """avg("{c}") FILTER ("rcResult" = '{k}') AS m{i}, var_samp("{c}") FILTER ("rcResult" = '{k}') / count("{c}") FILTER ("rcResult" = '{k}') AS e{i},
+        count("{c}") FILTER ("rcResult" = '{k}') AS n{i}"""
+    return f"SELECT '{column}' AS value, {side.format(c=column, k='fail', i=1)}, {side.format(c=column, k='pass', i=2)} FROM races"
+
+
+@query(
+    "welch_t_pairs",
+    f"""WITH g AS ({" UNION ALL ".join(map(_welch_sides, _NUMERIC))}),
+        t AS (SELECT *, (m1 - m2) / sqrt(e1 + e2) AS t, (e1 + e2) * (e1 + e2) / (e1 * e1 / (n1 - 1) + e2 * e2 / (n2 - 1)) AS df FROM g)
+        SELECT value, round(m1, 6) AS mean1, round(m2, 6) AS mean2, round(t, 6) AS t, round(df, 4) AS df, round({_TAIL}, 8) AS p,
+        round(m1 - m2 - {_T} * sqrt(e1 + e2), 5) AS low, round(m1 - m2 + {_T} * sqrt(e1 + e2), 5) AS high FROM t""",
+)
+def _(spark, folder):
+    df = st.welch_tests(views.races(spark, folder), _NUMERIC, "rcResult", "fail", "pass")
+    return rounded(rounded(rounded(df, "p", digits=8), "df", digits=4).transform(lambda d: rounded(d, "low", "high", digits=5)), "mean1", "mean2", "t")
+
+
+@query(
+    "class_density",
+    """WITH v AS (SELECT "rcResult" AS k, CAST("rcDist" AS DOUBLE) AS x FROM races WHERE "rcDist" IS NOT NULL),
+        e AS (SELECT min(x) AS lo, (max(x) - min(x)) / 511 AS step FROM v),
+        c AS (SELECT k, least(CAST(floor((x - lo) / step) AS INT), 510) AS cell, (x - lo) / step AS spot FROM v, e),
+        b AS (SELECT k, place, sum(share) AS share FROM (SELECT k, cell AS place, 1 - (spot - cell) AS share FROM c
+            UNION ALL SELECT k, cell + 1, spot - cell FROM c) GROUP BY k, place),
+        s AS (SELECT k, count(*) AS n, 0.9 * least(stddev_samp(x), (quantile_cont(x, 0.75) - quantile_cont(x, 0.25)) / 1.34) * pow(count(*), -0.2) AS h
+            FROM v GROUP BY k)
+        SELECT s.k AS "rcResult", i AS place, round(lo + i * step, 4) AS x,
+            round(1e6 * sum(share * exp(-0.5 * pow((i - place) * step / h, 2))) / (n * h * sqrt(2 * pi())), 6) AS density, round(h, 6) AS bandwidth
+        FROM s JOIN b USING (k), e, range(512) AS g(i) GROUP BY s.k, i, lo, step, n, h""",
+)
+def _(spark, folder):
+    df = st.class_density(views.races(spark, folder), "rcDist", "rcResult")
+    df = df.withColumn("density", F.col("density") * 1e6)
+    return rounded(rounded(df, "density", "bandwidth"), "x", digits=4)
