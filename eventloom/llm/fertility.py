@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from eventloom.llm import spans
-from eventloom.llm.tokens import PieceEncoder, public_path
+from eventloom.llm.tokens import fallback_counter, piece_encoder, public_path
 
 #: Words of a window that counts as repeated, fewest words, and the largest share of repeated words, in percent.
 REPEAT_WORDS, FEWEST_WORDS, MOST_REPEATED = 5, 10, 20
@@ -97,19 +97,13 @@ def _entropies(ids: np.ndarray, counts: np.ndarray) -> np.ndarray:
 
 
 class _Measure:
-    """Figures of a block of texts; holds the vocabularies of one task."""
+    """Figures of a block of texts, from both vocabularies."""
 
     def __init__(self, vocabulary: str, fallback_vocabulary: str) -> None:
-        import sentencepiece
+        self.encoder = piece_encoder(vocabulary)
+        self.fallback = fallback_counter(fallback_vocabulary)
 
-        self.encoder = PieceEncoder(vocabulary)
-        self.pieces = sentencepiece.SentencePieceProcessor(model_file=fallback_vocabulary)
-        size = self.pieces.vocab_size()
-        gaps = {f"<0x{b:02X}>" for b in (*range(9, 14), 32)}
-        #: White space is spelt in bytes by some vocabularies; that says nothing about the text.
-        self.bytes_ = np.array([self.pieces.is_byte(i) and self.pieces.id_to_piece(i) not in gaps for i in range(size)])
-
-    def __call__(self, texts: list[str | None], langs: list[str | None], buf, starts) -> dict[str, np.ndarray]:
+    def __call__(self, langs: list[str | None], buf, starts) -> dict[str, np.ndarray]:
         sums = spans.prefix_sums(buf)
         begin, end, firsts = spans.word_spans(buf, starts, spans.GRAPHIC)
         visible = spans.GRAPHIC[buf]
@@ -122,11 +116,11 @@ class _Measure:
             "n_repeat_words": spans.per_text(_repeated(buf, begin, end, firsts, sums), firsts),
         }
         found["base_failed"] = (words < FEWEST_WORDS) | (100 * found["n_repeat_words"] > MOST_REPEATED * words)
-        ids, counts = self.encoder(buf, starts)
+        ids, counts = self.encoder(buf, starts, sums)
         chars = spans.per_text(~_FOLLOW[buf], starts) - 1  # without the line feed behind each text
-        split = self.pieces.encode([t or "" for t in texts], num_threads=1)
+        pieces = self.fallback(buf, starts, sums)
         found["chars_per_token"] = chars / np.maximum(counts, 1)
-        found["fallback_share"] = np.array([self.bytes_[x].mean() if x else 0.0 for x in split])
+        found["fallback_share"] = pieces[:, 1] / np.maximum(pieces[:, 0], 1)
         found["token_entropy"] = _entropies(ids, counts)
         foreign = spans.per_text(_FOREIGN[buf], starts) > spans.per_text(_LATIN[buf], starts)
         reasons = []
@@ -197,7 +191,7 @@ def judge_quality(
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         measure = _Measure(first, second)
         for part, buf, starts in spans.blocks(batches):
-            found = measure(part.column("text").to_pylist(), part.column("lang").to_pylist(), buf, starts)
+            found = measure(part.column("lang").to_pylist(), buf, starts)
             columns = [
                 *part.columns[: len(keep)],
                 *[pa.array(np.asarray(found[c], dtype=np.int64)) for c in longs],

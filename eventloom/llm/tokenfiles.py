@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from eventloom.llm import spans
 from eventloom.llm.base import written
-from eventloom.llm.tokens import PieceEncoder, public_path
+from eventloom.llm.tokens import piece_encoder, public_path
 
 BLOCK = 512
 PERCENTILE = 90
@@ -166,7 +166,7 @@ def write_token_files(
     ordered = ordered.sortWithinPartitions("doc", F.xxhash64("text"), "text").withColumn("part", F.spark_partition_id())
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = PieceEncoder(path)
+        encoder = piece_encoder(path)
         before, part = 0, 0
         ids: list[np.ndarray] = []
         docs: list[np.ndarray] = []

@@ -1,12 +1,15 @@
 """Token files, tokenised pieces, and quality rules."""
 
+import random
 import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
+import pytest
 from helpers import edge_documents, edge_rows, empty_documents
 
-from eventloom.llm import fertility, spans, tokenfiles
+from eventloom.llm import fertility, spans, tokenfiles, tokens
 from eventloom.llm.queries import QUERIES
 from eventloom.llm.tokens import PieceEncoder, public_path
 
@@ -127,3 +130,41 @@ def test_entropy_of_windows():
     same = fertility._entropies(np.zeros(640, dtype=np.int64), np.array([640]))
     mixed = fertility._entropies(np.array([1, 1, 2, 2, 7]), np.array([4, 0, 1]))
     assert flat.tolist() == [1.0] and same.tolist() == [0.0] and mixed.tolist() == [0.5, 1.0, 1.0]
+
+
+ODD = ["a", "b", " ", "  ", "\n", "\n\n", "é", "中", "'s", "it's", "\u2581", "<s>", "<|endoftext|>", "1", "23", "!", "\t", "\r\n", ".", "Ж", "\x85", "😀", "the "]
+
+
+def odd_texts(count):
+    draw = random.Random(count)
+    return ["".join(draw.choices(ODD, k=draw.randrange(12))) for _ in range(count)] + [None, "", " ", "  ", "\n", " \n", "\n "]
+
+
+@pytest.mark.parametrize("remembered", [1_000_000, 60])
+def test_pieces_and_units_add_up_to_the_libraries_whole_texts(remembered):
+    """Ids and byte counts of texts put together from remembered parts, however often the memory starts anew."""
+    texts = odd_texts(3000) + [r[1] for r in edge_rows()]
+    encoder = tokens.PieceEncoder(public_path("byte_bpe_50k.json"), remembered)
+    counter = tokens.FallbackCounter(public_path("piece_bpe_32k.model"), remembered)
+    assert encoder.parts and counter.parts
+    want_ids = [e.ids for e in encoder.library.encode_batch([t or "" for t in texts], add_special_tokens=False)]
+    want = [[len(x), int(counter.spelt[x].sum()) if x else 0] for x in counter.pieces.encode([t or "" for t in texts])]
+    got_ids, got = [], []
+    batch = pa.RecordBatch.from_arrays([pa.array(texts, pa.string())], names=["text"])
+    for _, buf, starts in spans.blocks([batch], limit=5000):
+        ids, counts = encoder(buf, starts)
+        got_ids += [x.tolist() for x in np.split(ids, np.cumsum(counts)[:-1])]
+        got += counter(buf, starts).tolist()
+    assert got_ids == want_ids
+    assert got == want
+
+
+def test_memory_tells_keys_apart_by_both_hashes():
+    memory = tokens.Memory()
+    draw = np.random.default_rng(1)
+    first, second = draw.integers(0, 50, 5000).astype(np.uint64), draw.integers(0, 500, 5000).astype(np.uint64)
+    where, which = tokens.distinct_keys(first, second)
+    assert len(where) == len(set(zip(first.tolist(), second.tolist(), strict=True)))
+    slots = np.concatenate([memory.add(first[part], second[part]) for part in np.array_split(where, 9)])
+    assert (memory.find(first, second) == slots[which]).all()
+    assert (memory.find(first, second + np.uint64(1000)) == -1).all()
