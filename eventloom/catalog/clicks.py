@@ -11,8 +11,11 @@ from eventloom import views
 from eventloom.catalog.base import query, register, rounded
 from eventloom.functions import timeparts as tp
 from eventloom.operators import features as f
+from eventloom.operators import sketches as sk
 from eventloom.operators.relational import append_by_name
 from eventloom.plans import keysets, pipelines
+from eventloom.plans.incremental import FeatureState, by_days
+from eventloom.sources.files import scratch_folder
 
 
 def timed(spark: SparkSession, folder: str) -> DataFrame:
@@ -366,3 +369,52 @@ for _scope in ("union", "separate"):
             CAST(row_number() OVER ({_keys('ip')} {_order}) - 1 AS BIGINT) AS ip_by_os_cumcount,
             {gap_sql(NOW, f"lead({NOW}) OVER ({_keys('ip, app')} {_order})")} AS "ip_app_nextClick" FROM a""",
     )
+
+
+@query(
+    "features_lgb_by_day",
+    f"""SELECT click_id, ip, app, device, os, channel, click_time, is_attributed, hour, day, {', '.join(_LGB)} FROM timed""",
+)
+def _(spark, folder):
+    """The features of :func:`pipelines.features_lgb`, from a state that took the clicks day by day (here: ten days at a time)."""
+    clicks = pipelines.with_hour_and_day(views.clicks(spark, folder))
+    state = FeatureState(spark, scratch_folder(spark), pipelines.LGB_FEATURES)
+    days = F.floor(F.datediff("click_time", F.lit("2024-01-01")) / 10)
+    return rounded(by_days(state, clicks, days).features(), "ip_device_os_by_app_mean")
+
+
+_APP_DAYS = ["app", "date"]
+
+
+@query(
+    "sketch_distinct_of_days",
+    """SELECT app, count(DISTINCT ip) AS exact, true AS same_as_whole, true AS near FROM clicks GROUP BY app""",
+)
+def _(spark, folder):
+    """Visitors per app from the sketches of single days: the same estimate as over the whole table, within three standard errors."""
+    clicks = views.clicks(spark, folder).withColumn("date", F.to_date("click_time"))
+    days = sk.merged(sk.daily_sketches(clicks, _APP_DAYS, distinct="ip"), ["app"]).select("app", sk.distinct_estimate().alias("days"))
+    whole = sk.daily_sketches(clicks, ["app"], distinct="ip").select("app", sk.distinct_estimate().alias("whole"))
+    exact = clicks.groupBy("app").agg(F.count_distinct("ip").alias("exact"))
+    reach = 3 * 1.04 / 2 ** (sk.LG / 2)
+    near = F.abs(F.col("days") - F.col("exact")) <= F.greatest(F.lit(1.0), reach * F.col("exact"))
+    both = days.join(whole, "app").join(exact, "app")
+    return both.select("app", "exact", (F.col("days") == F.col("whole")).alias("same_as_whole"), near.alias("near"))
+
+
+@query(
+    "sketch_quantiles_of_days",
+    """SELECT app, p, count(*) AS n, true AS near FROM clicks, (SELECT unnest([0.05, 0.25, 0.5, 0.75, 0.95]) AS p) GROUP BY app, p""",
+)
+def _(spark, folder):
+    """Quantiles of the channel per app from the sketches of single days: their exact ranks are off by 2 % at most."""
+    clicks = views.clicks(spark, folder).withColumn("date", F.to_date("click_time"))
+    wanted = (0.05, 0.25, 0.5, 0.75, 0.95)
+    merged = sk.merged(sk.daily_sketches(clicks, _APP_DAYS, numeric="channel"), ["app"])
+    values = F.arrays_zip(F.array(*map(F.lit, wanted)).alias("p"), sk.quantile_estimates(wanted).alias("value"))
+    found = merged.select("app", F.explode(values).alias("v")).select("app", "v.p", "v.value")
+    ranks = clicks.join(F.broadcast(found), "app").groupBy("app", "p").agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(F.expr("channel < value")).alias("below"), F.count_if(F.expr("channel <= value")).alias("upto")
+    )
+    near = (F.col("below") / F.col("n") <= F.col("p") + 0.02) & (F.col("upto") / F.col("n") >= F.col("p") - 0.02)
+    return ranks.select("app", "p", "n", near.alias("near"))

@@ -23,31 +23,34 @@ APPENDED_ORDER = ("src_rank", "click_time", "click_id")
 IP_DEVICE_OS = ("ip", "device", "os")
 
 
+#: Columns of the boosted-tree scripts; the clicks need ``hour`` and ``day``.
+LGB_FEATURES = (
+    f.next_gap(["ip", "os", "device", "app"]),
+    f.previous_gap(["ip", "channel"]),
+    f.distinct_count(["ip"], "channel"),
+    f.distinct_count(IP_DEVICE_OS, "app"),
+    f.group_mean(IP_DEVICE_OS, "app"),
+    f.distinct_count(["ip", "day"], "hour"),
+    f.distinct_count(["ip"], "app"),
+    f.distinct_count(["ip", "app"], "os"),
+    f.distinct_count(["ip"], "device"),
+    f.distinct_count(["app"], "channel"),
+    f.running_count(["ip"], "os"),
+    f.running_count(IP_DEVICE_OS, "app"),
+    f.group_size(["ip", "day", "hour"]),
+    f.group_size(["ip", "app"]),
+    f.group_size(["ip", "app", "os"]),
+    f.distinct_count(["os", "device", "app", "channel"], "hour"),
+)
+
+
+def with_hour_and_day(clicks: DataFrame) -> DataFrame:
+    return clicks.withColumns({"hour": hour_of("click_time"), "day": day_of("click_time")})
+
+
 def features_lgb(clicks: DataFrame, order: Sequence[str] = CLICK_ORDER) -> DataFrame:
     """Gap, distinct-count, mean, running-count and size features of the boosted-tree scripts."""
-    base = clicks.withColumns({"hour": hour_of("click_time"), "day": day_of("click_time")})
-    return f.add_features(
-        base,
-        [
-            f.next_gap(["ip", "os", "device", "app"]),
-            f.previous_gap(["ip", "channel"]),
-            f.distinct_count(["ip"], "channel"),
-            f.distinct_count(IP_DEVICE_OS, "app"),
-            f.group_mean(IP_DEVICE_OS, "app"),
-            f.distinct_count(["ip", "day"], "hour"),
-            f.distinct_count(["ip"], "app"),
-            f.distinct_count(["ip", "app"], "os"),
-            f.distinct_count(["ip"], "device"),
-            f.distinct_count(["app"], "channel"),
-            f.running_count(["ip"], "os"),
-            f.running_count(IP_DEVICE_OS, "app"),
-            f.group_size(["ip", "day", "hour"]),
-            f.group_size(["ip", "app"]),
-            f.group_size(["ip", "app", "os"]),
-            f.distinct_count(["os", "device", "app", "channel"], "hour"),
-        ],
-        order,
-    )
+    return f.add_features(with_hour_and_day(clicks), LGB_FEATURES, order)
 
 
 def features_prep_data(clicks: DataFrame, order: Sequence[str] = CLICK_ORDER) -> DataFrame:
