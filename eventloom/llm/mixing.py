@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Mapping
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 from functools import reduce
 
 import numpy as np
@@ -12,20 +13,16 @@ from pyspark.sql import functions as F
 
 from eventloom.llm.base import lower_ascii, written
 
-#: Levels of a dimension that are told apart, largest first; all others are pooled in the level ``(other)``. They
-#: bound the table of cells (200 * 50 * 20 at most) and so what is broadcast; no row is left out.
-LEVELS = {"source": 200, "lang": 50, "topic": 20}
-OTHER, MISSING = "(other)", "(none)"
+MISSING = "(none)"
 
 #: Target share of a level without a given target: its share of tokens to this power, so that large ones shrink.
 SMOOTHING = 0.9
 
-#: The largest weight of a cell. Weights have a mean of 1 over all tokens, so the sample holds about one in this many; without such a
-#: bound the rarest cell would decide how much is kept of all others.
-MOST_WEIGHT = 2.0
-
 #: The raking ends when no marginal is further from its target than this share, or after so many rounds.
-TOLERANCE, MOST_ROUNDS = 1e-10, 1000
+TOLERANCE, MOST_ROUNDS = 1e-9, 200
+
+#: Sources up to this number are broadcast to the documents; beyond it the join is left to Spark.
+BROADCAST_SOURCES = 200_000
 
 # Marks of the topics, the first that a text contains decides.
 TOPIC_MARKS = {
@@ -46,93 +43,149 @@ def topic_of(text: str | Column) -> Column:
     return choice.otherwise("prose")
 
 
-def rake(
-    tokens: np.ndarray, places: dict[str, np.ndarray], targets: dict[str, np.ndarray], most: float = np.inf
-) -> tuple[np.ndarray, int, float]:
-    """Factors of cells, ``most`` or less, that bring their token sums to the target shares of every dimension.
-
-    ``places`` has the level of every cell in every dimension, ``targets`` the share of each level. Each round scales
-    the cells of each level to its target, one dimension after the other; a factor beyond ``most`` is set to it, and the next
-    scalings spread what is missing over the other cells. Returns the factors, the rounds, and the largest
-    distance of a marginal to its target that is left (not zero if no weights within the bound meet all targets).
-    """
-    total = float(tokens.sum())
-    factor = np.ones(len(tokens))
-    error, before = np.inf, np.inf
-    number = 0
-    while number < MOST_ROUNDS and error >= TOLERANCE:
-        number += 1
-        start = factor.copy()
-        for name, place in places.items():
-            sums = np.bincount(place, weights=tokens * factor, minlength=len(targets[name]))
-            scale = np.divide(targets[name] * total, sums, out=np.ones_like(sums), where=sums > 0)
-            factor = np.minimum(factor * scale[place], most)
-        error = 0.0
-        for name, place in places.items():
-            sums = np.bincount(place, weights=tokens * factor, minlength=len(targets[name]))
-            error = max(error, float(np.abs(sums / total - targets[name]).max()))
-        moved = float(np.abs(factor - start).max())
-        if moved < TOLERANCE and before < TOLERANCE:
-            break  # the bound keeps the targets out of reach
-        before = moved
-    return factor, number, error
+def rake(tokens: np.ndarray, targets: tuple[np.ndarray, np.ndarray], factors: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Factors of rows and columns that bring the sums of a table to the target shares of both."""
+    rows, columns = (f.copy() for f in factors)
+    total = tokens.sum()
+    for _ in range(1000):
+        sums = tokens @ columns
+        rows = np.divide(targets[0] * total, sums, out=np.zeros_like(sums), where=sums > 0)
+        sums = rows @ tokens
+        columns = np.divide(targets[1] * total, sums, out=np.zeros_like(sums), where=sums > 0)
+        if np.abs(rows * (tokens @ columns) / total - targets[0]).max() < 1e-14:
+            break
+    return rows, columns
 
 
 @dataclass(frozen=True)
 class Mix:
-    """Calibrated weights of the cells of a corpus."""
-
-    levels: dict[str, list[str]]
-    cells: list[tuple] = field(repr=False)  # source, lang, topic, tokens, weight, probability
+    """Calibrated weights: the weight of a cell is the product of the factors of its source, language and topic."""
+
+    #: ``source``, ``factor``, ``target``, ``residual`` of every source, a written table.
+    sources: DataFrame
+    #: Level -> factor, target share, and how far the share that the weights reach is above it.
+    langs: dict[str, tuple[float, float, float]]
+    topics: dict[str, tuple[float, float, float]]
+    #: The largest weight of a cell.
+    most: float
     rounds: int
+    #: The largest distance of any marginal to its target.
     error: float
 
 
 _DIMENSIONS = ("source", "lang", "topic")
 
 
-def _labelled(documents: DataFrame, text: str, source: str, lang: str) -> dict[str, Column]:
+def _labelled(documents: DataFrame, text: str, source: str, lang: str, topic: str | None) -> dict[str, Column]:
     def own(name: str) -> Column:
         return F.coalesce(F.col(f"`{name}`").cast("string"), F.lit(MISSING)) if name in documents.columns else F.lit(MISSING)
 
-    return {"source": own(source), "lang": own(lang), "topic": topic_of(F.col(f"`{text}`"))}
+    return {"source": own(source), "lang": own(lang), "topic": own(topic) if topic else topic_of(F.col(f"`{text}`"))}
+
+
+def _goal(given: Mapping[str, float] | None, names: list[str], tokens: np.ndarray, dimension: str) -> np.ndarray:
+    """Target shares of the levels of a small dimension."""
+    if given is None:
+        wanted = (tokens / tokens.sum()) ** SMOOTHING
+    else:
+        _check(given, set(names), dimension)
+        wanted = np.array([float(given.get(n, 0.0)) for n in names])
+    return wanted / wanted.sum()
 
 
-def _pooled(name: str, label: Column, levels: Mapping[str, list[str]]) -> Column:
-    return F.when(label.isin(levels[name]), label).otherwise(F.lit(OTHER)) if levels[name] else F.lit(OTHER)
+def _check(given: Mapping[str, float], known: set[str], dimension: str) -> None:
+    strange = sorted(n for n, share in given.items() if share > 0 and n not in known)
+    if strange or not any(share > 0 for share in given.values()):
+        raise ValueError(f"{dimension} levels with a target but without tokens: {strange}")
 
 
-def fit_mix(labelled: DataFrame, targets: Mapping[str, Mapping[str, float]] | None = None) -> Mix:
-    """Weights of cells from a table of ``source``, ``lang``, ``topic`` and ``tokens``, over all its rows.
+def fit_mix(labelled: DataFrame, targets: Mapping[str, Mapping[str, float]] | None = None) -> Mix | None:
+    """Weights that bring the tokens of ``labelled`` (``source``, ``lang``, ``topic``, ``tokens``) to their targets; None without tokens.
 
-    ``targets`` may give shares for the levels of a dimension (they are made to sum to 1 over levels with tokens; a
-    level that is not named gets none); a dimension that is not named is smoothed. One aggregation with map-side combine makes the raw
-    cells; the driver gets the bounded numbers of levels and of pooled cells.
+    ``targets`` may give shares for the levels of a dimension (scaled to a sum of 1; a level that is not named gets
+    none, a named one without tokens is an error); a dimension that is not named is smoothed.
+
+    Sources can be many, so they stay in Spark: one row per source holds its tokens by language and topic. A
+    round scales every source to its target, sums what that gives per language and topic in one job with map-side combine, and
+    rakes that table, whose size is languages times topics, on the driver. Sources, languages and topics of any number
+    and rarity have their own factor; none is pooled, and no weight is bounded.
     """
-    raw = written(labelled.groupBy(*_DIMENSIONS).agg(F.sum("tokens").alias("tokens")).where("tokens > 0"))
-    levels: dict[str, list[str]] = {}
-    for name in _DIMENSIONS:
-        sums = raw.groupBy(name).agg(F.sum("tokens").alias("n"))
-        levels[name] = [r[0] for r in sums.orderBy(F.desc("n"), name).limit(LEVELS[name]).collect()]
-    pooled = raw.select(*[_pooled(n, F.col(n), levels).alias(n) for n in _DIMENSIONS], "tokens")
-    cells = pooled.groupBy(*_DIMENSIONS).agg(F.sum("tokens").alias("tokens")).orderBy(*_DIMENSIONS).collect()
-    if not cells:
-        return Mix(levels, [], 0, 0.0)
-    tokens = np.array([r.tokens for r in cells], dtype=float)
-    places, shares = {}, {}
-    for i, name in enumerate(_DIMENSIONS):
-        names, places[name] = np.unique([r[i] for r in cells], return_inverse=True)
-        own = np.bincount(places[name], weights=tokens)
-        given = (targets or {}).get(name)
-        wanted = np.array([given.get(n, 0.0) for n in names]) if given else (own / own.sum()) ** SMOOTHING
-        if not wanted.sum() > 0:
-            raise ValueError(f"no level of {name} with a target has tokens")
-        shares[name] = wanted / wanted.sum()
-    factor, rounds, error = rake(tokens, places, shares, MOST_WEIGHT)
-    # A cell of the largest weight is taken whole, all others in proportion to it.
-    chance = factor / MOST_WEIGHT
-    rows = [(*r[:3], int(r.tokens), float(f), float(p)) for r, f, p in zip(cells, factor, chance, strict=True)]
-    return Mix(levels, rows, rounds, error)
+    given = targets or {}
+    cells = written(labelled.groupBy(*_DIMENSIONS).agg(F.sum("tokens").cast("double").alias("tokens")).where("tokens > 0"))
+    small = {}
+    for name in ("lang", "topic"):
+        sums = sorted(tuple(r) for r in cells.groupBy(name).agg(F.sum("tokens")).collect())
+        if not sums:
+            return None
+        small[name] = ([r[0] for r in sums], np.array([r[1] for r in sums]))
+    (langs, of_lang), (topics, of_topic) = small["lang"], small["topic"]
+    total = float(of_lang.sum())
+    goals = _goal(given.get("lang"), langs, of_lang, "lang"), _goal(given.get("topic"), topics, of_topic, "topic")
+    at = F.array_position(_known(langs, "array<string>"), F.col("lang")) - 1
+    at = at * len(topics) + F.array_position(_known(topics, "array<string>"), F.col("topic")) - 1
+    per_source = cells.select("source", at.alias("at"), "tokens").groupBy("source")
+    per_source = per_source.agg(F.sum("tokens").alias("own"), F.array_sort(F.collect_list(F.struct("at", "tokens"))).alias("cells"))
+    share = given.get("source")
+    if share is None:
+        per_source = per_source.withColumn("wanted", F.pow(F.col("own") / F.lit(total), F.lit(SMOOTHING)))
+    else:
+        named = [n for n, v in share.items() if v > 0]
+        _check(share, {r.source for r in per_source.where(F.col("source").isin(named)).select("source").collect()}, "source")
+        rows = labelled.sparkSession.createDataFrame([(n, float(share[n])) for n in named], "source string, wanted double")
+        per_source = per_source.join(rows, "source", "left").withColumn("wanted", F.coalesce("wanted", F.lit(0.0)))
+    per_source = written(per_source)
+    every = float(per_source.agg(F.sum("wanted")).first()[0])
+    target = F.col("wanted") / F.lit(every)
+
+    def scaled(factors: tuple[np.ndarray, np.ndarray]) -> DataFrame:
+        """The sources with the sum of their cells under the factors, and the factor that brings it to the target."""
+        both = _known(np.outer(*factors).reshape(-1).tolist(), "array<double>")
+        sums = F.aggregate("cells", F.lit(0.0), lambda a, c: a + c["tokens"] * F.get(both, c["at"].cast("int")))
+        return per_source.withColumn("sum", sums).withColumn("factor", F.when(F.col("sum") > 0, target * F.lit(total) / F.col("sum")).otherwise(0.0))
+
+    def table(factors: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+        out = np.zeros(len(langs) * len(topics))
+        spread = scaled(factors).select("factor", F.explode("cells").alias("c"))
+        for r in spread.groupBy("c.at").agg(F.sum(F.col("factor") * F.col("c.tokens")).alias("n")).collect():
+            out[r[0]] = r[1]
+        return out.reshape(len(langs), len(topics))
+
+    factors = np.ones(len(langs)), np.ones(len(topics))
+    rounds, before = 0, np.inf
+    while True:
+        rounds += 1
+        tokens = table(factors)
+        reached = factors[0][:, None] * tokens * factors[1]
+        off = reached.sum(axis=1) / total - goals[0], reached.sum(axis=0) / total - goals[1]
+        error = max(float(np.abs(x).max()) for x in off)
+        # Targets that no weights meet: the distance stops shrinking.
+        if error < TOLERANCE or rounds >= MOST_ROUNDS or (rounds > 20 and error > 0.999 * before):
+            break
+        before = error
+        factors = rake(tokens, goals, factors)
+    done = scaled(factors)
+    best = _known(np.outer(*factors).reshape(-1).tolist(), "array<double>")
+    highest = F.array_max(F.transform("cells", lambda c: F.get(best, c["at"].cast("int")))) * F.col("factor")
+    gone = F.when(F.col("sum") > 0, F.lit(0.0)).otherwise(-target)
+    sources = written(done.select("source", "factor", target.alias("target"), gone.alias("residual"), highest.alias("highest")))
+    found = sources.agg(F.max("highest").alias("most"), F.max(F.abs("residual")).alias("gone")).first()
+
+    def levels(names: list[str], factor: np.ndarray, goal: np.ndarray, off: np.ndarray) -> dict:
+        return {n: (float(f), float(g), float(o)) for n, f, g, o in zip(names, factor, goal, off, strict=True)}
+
+    return Mix(
+        sources.drop("highest"),
+        levels(langs, factors[0], goals[0], off[0]),
+        levels(topics, factors[1], goals[1], off[1]),
+        float(found.most),
+        rounds,
+        max(error, float(found.gone)),
+    )
+
+
+def _known(value: list, form: str) -> Column:
+    """A list as one constant of the plan."""
+    return F.from_json(F.lit(json.dumps(value)), form)
 
 
 def _chosen(document: Column, seed: int) -> Column:
@@ -147,38 +200,61 @@ def mix_decisions(
     text: str = "text",
     source: str = "source",
     lang: str = "lang",
+    topic: str | None = None,
     targets: Mapping[str, Mapping[str, float]] | None = None,
     seed: int = 7,
 ) -> DataFrame:
-    """Every document with its cell, weight, sampling probability and whether it is sampled.
+    """Every document with its cell, weight, sampling probability, the residuals of its levels, and whether it is sampled.
 
-    Tokens are counted as runs without white space. Iterative proportional fitting scales the token sums of the cells
-    (source, language, topic) until all three marginals meet their targets; weights are bounded by
-    ``MOST_WEIGHT``. The probability of a document is the weight of its cell over that bound, and a hash of its id decides, so that a rerun or a
-    recomputed task draws the same documents. No document is repeated.
+    Tokens are counted as runs without white space; ``topic`` names a column with the topic, without it
+    :func:`topic_of` decides by marks in the text. Iterative proportional fitting scales the token sums of the cells
+    (source, language, topic) until all three marginals meet their targets. The probability of a
+    document is the weight of its cell over the largest weight, so the sample has the target shares (and is small where a rare level has a
+    high target). A hash of its id decides, so that a rerun or a recomputed task draws the same documents; none is repeated.
+    ``residual_source``, ``residual_lang`` and ``residual_topic`` tell how far the weighted share of the level is above its target: 0 up to
+    rounding, unless no weights meet all targets.
 
-    One pass over the texts writes their labels; everything else works on that small table. The broadcast has one
-    row for each pooled cell (bounded by ``LEVELS``). There is no shuffle of documents, so a hot source is no hot task.
+    One pass over the texts writes their labels; everything else works on that small table. There is no shuffle of
+    documents, so a hot source is no hot task.
 
-    Defined cases: a null text has no tokens; a null or absent source or language is the level ``(none)``; documents of a cell without
+    Defined cases: a null text has no tokens; a null or absent source, language or topic is the level ``(none)``; documents of a cell without
     tokens have the weight 1 and are sampled; repeated rows share their decision; an empty table gives an empty result; other columns are not read.
     """
-    labels = _labelled(documents, text, source, lang)
-    words = F.coalesce(F.regexp_count(F.col(f"`{text}`"), F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("long")
-    labelled = written(documents.select(F.col(f"`{document}`").alias("doc_id"), *[c.alias(n) for n, c in labels.items()], words.alias("tokens")))
-    mix = fit_mix(labelled, targets)
-    return _decided(labelled, mix, {n: F.col(n) for n in _DIMENSIONS}, F.col("doc_id"), seed).select(
-        "doc_id", *[F.col(f"cell_{n}").alias(n) for n in _DIMENSIONS], "tokens", "weight", "probability", "sampled"
-    )
-
-
-def _decided(rows: DataFrame, mix: Mix, labels: Mapping[str, Column], document: Column, seed: int) -> DataFrame:
-    spark = rows.sparkSession
-    kinds = "cell_source string, cell_lang string, cell_topic string, cell_tokens long, weight double, probability double"
-    cells = spark.createDataFrame(mix.cells, kinds).drop("cell_tokens")
-    own = rows.withColumns({f"cell_{n}": _pooled(n, label, mix.levels) for n, label in labels.items()})
-    joined = own.join(F.broadcast(cells), [f"cell_{n}" for n in _DIMENSIONS], "left")
-    joined = joined.withColumns({c: F.coalesce(c, F.lit(1.0)) for c in ("weight", "probability")})
+    labels = _labelled(documents, text, source, lang, topic)
+    labelled = written(documents.select(F.col(f"`{document}`").alias("doc_id"), *[c.alias(n) for n, c in labels.items()], _words(text).alias("tokens")))
+    decided = _decided(labelled, fit_mix(labelled, targets), {n: F.col(n) for n in _DIMENSIONS}, F.col("doc_id"), seed)
+    residuals = [f"residual_{n}" for n in _DIMENSIONS]
+    return decided.select("doc_id", *_DIMENSIONS, "tokens", "weight", "probability", *residuals, "sampled")
+
+
+def _words(text: str) -> Column:
+    return F.coalesce(F.regexp_count(F.col(f"`{text}`"), F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("long")
+
+
+def _decided(rows: DataFrame, mix: Mix | None, labels: Mapping[str, Column], document: Column, seed: int) -> DataFrame:
+    """The rows with their labels, weight, probability, residuals and the decision."""
+    if mix is None:
+        numbers = {"weight": 1.0, "probability": 1.0, **{f"residual_{n}": 0.0 for n in _DIMENSIONS}}
+        plain = rows.withColumns({n: F.lit(v) for n, v in numbers.items()})
+        return plain.withColumn("sampled", F.lit(True))
+    side = mix.sources.select(F.col("source").alias("__source"), F.col("factor").alias("__factor"), F.col("residual").alias("residual_source"))
+    if mix.sources.count() <= BROADCAST_SOURCES:
+        side = F.broadcast(side)
+    own = rows.withColumns({"__of": labels["source"]})
+    joined = own.join(side, F.col("__of") == F.col("__source"), "left").drop("__of", "__source")
+
+    def number(levels: dict[str, tuple], label: Column, which: int) -> Column:
+        return F.get(_known([v[which] for v in levels.values()], "array<double>"), (F.array_position(_known([*levels], "array<string>"), label) - 1).cast("int"))
+
+    weight = F.col("__factor") * number(mix.langs, labels["lang"], 0) * number(mix.topics, labels["topic"], 0)
+    joined = joined.withColumns(
+        {
+            "weight": F.coalesce(weight, F.lit(1.0)),
+            "probability": F.coalesce(weight / F.lit(mix.most), F.lit(1.0)),
+            "residual_lang": number(mix.langs, labels["lang"], 2),
+            "residual_topic": number(mix.topics, labels["topic"], 2),
+        }
+    ).drop("__factor")
     return joined.withColumn("sampled", _chosen(document, seed) < F.col("probability"))
 
 
@@ -188,6 +264,7 @@ def mixed(
     text: str = "text",
     source: str = "source",
     lang: str = "lang",
+    topic: str | None = None,
     targets: Mapping[str, Mapping[str, float]] | None = None,
     seed: int = 7,
 ) -> DataFrame:
@@ -195,9 +272,8 @@ def mixed(
     columns = documents.columns
     own = documents.select(*[F.col(f"`{c}`").alias(f"in{i}") for i, c in enumerate(columns)])
     at = {c: f"in{i}" for i, c in enumerate(columns)}
-    text_as, source_as, lang_as = at[text], at.get(source, "-"), at.get(lang, "-")
-    labels = _labelled(own, text_as, source_as, lang_as)
-    words = F.coalesce(F.regexp_count(F.col(text_as), F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("long")
-    mix = fit_mix(own.select(*[c.alias(n) for n, c in labels.items()], words.alias("tokens")), targets)
+    text_as, topic_as = at[text], at.get(topic, "-") if topic else None
+    labels = _labelled(own, text_as, at.get(source, "-"), at.get(lang, "-"), topic_as)
+    mix = fit_mix(own.select(*[c.alias(n) for n, c in labels.items()], _words(text_as).alias("tokens")), targets)
     decided = _decided(own, mix, labels, F.col(at[document]), seed)
     return decided.where("sampled").select(*[F.col(n).alias(c) for c, n in at.items()])
