@@ -29,12 +29,12 @@ def path_of(url: str | Column) -> Column:
     return F.regexp_extract(F.coalesce(url, F.lit("")), r"(?s)^.*?://[^/?#]*([^?#]*)", 1)
 
 
-def rule_keys(host: str, path: str, path_lengths: Sequence[int]) -> Column:
-    """Every rule that could fit: each domain suffix of the host with each prefix of the path of a listed length."""
-    labels = F.split(F.col(host), r"\.", -1)
+def rule_keys(host: str, path: str, path_lengths: Sequence[int], most_labels: int) -> Column:
+    """Every rule that could fit: the domain suffixes of the host with up to ``most_labels`` labels, each with each prefix of the path of a listed length."""
+    labels = F.length(host) - F.length(F.replace(F.col(host), F.lit("."), F.lit(""))) + 1
     suffixes = F.transform(
-        F.sequence(F.lit(1), F.size(labels)),
-        lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."),
+        F.sequence(F.lit(1), F.least(labels, F.lit(most_labels))),
+        lambda i: F.call_function("substring_index", F.col(host), F.lit("."), -i),
     )
     long_enough = F.filter(F.array(*[F.lit(n) for n in path_lengths]), lambda n: n <= F.length(path))
     keys = F.transform(
@@ -156,9 +156,9 @@ def judge_urls(
 
     ``rules`` has ``verdict`` (``block`` or ``allow``), ``host`` and ``path``; a rule fits its host and all
     subdomains of it if the path of the url starts with its own. The universe is every key that a url of
-    ``pages`` could match (each domain suffix with each path prefix of a length that a rule has). Per verdict one
+    ``pages`` could match (each domain suffix of no more labels than a rule has, with each path prefix of a length that a rule has). Per verdict one
     cascade encodes the keys listed under it; as the cascades were built over the same universe that is asked,
-    membership is exact. A listed key under both verdicts is blocked.
+    membership is exact, but for two keys with one 64-bit hash (a chance of k * k / 2 ** 65 for k keys). A listed key under both verdicts is blocked.
 
     Result: ``keep`` columns, ``host``, ``path``, ``rule`` (host and path of the rule, else null) and ``verdict``
     (``otherwise`` without a rule). Rules of equal length that fit one url are the same rule, since both are
@@ -174,9 +174,10 @@ def judge_urls(
     spark = pages.sparkSession
     known = rules.where("verdict is not null and host is not null and path is not null").distinct()
     lengths = sorted(r.n for r in known.select(F.length("path").alias("n")).distinct().collect())
+    labels = known.agg(F.max(F.size(F.split("host", r"\.", -1)))).first()[0] or 1
     kept = [F.col(c).alias(f"kept{i}") for i, c in enumerate(keep)]
     asked = pages.select(*kept, host_of(url).alias("host"), path_of(url).alias("path"))
-    asked = asked.withColumn("keys", rule_keys("host", "path", lengths) if lengths else F.array().cast("array<string>"))
+    asked = asked.withColumn("keys", rule_keys("host", "path", lengths, labels) if lengths else F.array().cast("array<string>"))
     asked = asked.withColumn("hashes", F.transform("keys", lambda k: F.xxhash64(k)))
     universe = asked.select(F.explode("hashes").alias("key")).distinct()
     listed = known.select("verdict", F.xxhash64(F.concat("host", "path")).alias("key")).distinct()

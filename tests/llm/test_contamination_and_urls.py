@@ -99,3 +99,21 @@ def test_long_lists_are_split(spark, monkeypatch):
     rules = urls.rule_table(spark, [("block", f"h{i}.net/") for i in range(0, 120, 2)])
     found = {r.page_id: r.verdict for r in urls.judge_urls(pages, rules).collect()}
     assert found == {i: "block" if i % 2 == 0 else "allow" for i in range(120)}
+
+
+def test_very_long_hosts_and_paths(spark):
+    """A host of 20,000 labels and a path of a megabyte; only as many labels as the longest rule has are looked at."""
+    long_host = "a." * 20_000 + "shop.net"
+    pages = spark.createDataFrame(
+        [(1, f"http://{long_host}/x"), (2, "http://m.org/en/" + "p" * 1_000_000), (3, "http://shop.net./x"), (4, "http://.net/"), (5, "http://x.y.z.shop.net/")],
+        "page_id long, url string",
+    )
+    rules = urls.rule_table(spark, [("block", "shop.net/"), ("allow", "m.org/en/"), ("block", "y.z.shop.net/"), ("block", "net/")])
+    got = {r.page_id: (r.rule, r.verdict) for r in urls.judge_urls(pages, rules).collect()}
+    assert got == {
+        1: ("shop.net/", "block"),
+        2: ("m.org/en/", "allow"),
+        3: (None, "allow"),
+        4: ("net/", "block"),
+        5: ("y.z.shop.net/", "block"),
+    }
