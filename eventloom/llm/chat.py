@@ -36,7 +36,8 @@ def rotate_perspectives(
     conversation. A hot conversation is a large partition of a plain join, which adaptive execution splits;
     the rows made are turns times participants, which is the size of the result itself.
 
-    Format marks inside a text are broken up (``<| im_end |>``).
+    Format marks inside a text or a speaker's name are broken up (``<| im_end |>``), and line breaks in a name become blanks.
+    Turns with one number, or without any (these come first), stand in the order of ``speaker`` (instructing turns first) and ``segment``.
 
     Defined cases: a null conversation is a conversation of its own; a null speaker is the participant named
     ``unknown``; a null text is an empty turn with an empty mask; a null turn number is kept (it sorts first);
@@ -56,7 +57,9 @@ def rotate_perspectives(
 
     own = F.col("speaker") == F.col("perspective")
     role = F.when(instructs, F.col("speaker")).when(own, F.lit("assistant")).otherwise(F.lit("user"))
-    name = F.when(instructs | own, F.lit("")).otherwise(F.concat(F.lit(" name="), F.col("speaker")))
+    # A name cannot end its header either: marks are broken up, and line breaks become blanks.
+    plain = F.regexp_replace(F.regexp_replace("speaker", MARKS, "<| $1 |>"), r"[\r\n]", " ")
+    name = F.when(instructs | own, F.lit("")).otherwise(F.concat(F.lit(" name="), plain))
     head: Column = F.concat(F.lit("<|im_start|>"), F.col("chat_role"), name, F.lit("\n"))
     # The answer and its end mark are learned, the header is given.
     tail: Column = F.concat(F.col("text"), F.lit("<|im_end|>\n"))

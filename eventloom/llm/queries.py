@@ -92,7 +92,8 @@ joined as (
 ), parts as (
   select *, case when instructs then speaker when own then 'assistant' else 'user' end as chat_role from joined
 ), heads as (
-  select *, '<|im_start|>' || chat_role || case when instructs or own then '' else ' name=' || speaker end || chr(10) as head
+  select *, '<|im_start|>' || chat_role || case when instructs or own then '' else ' name=' || translate(
+    regexp_replace(speaker, '<\|(im_start|im_end)\|>', '<| \1 |>', 'g'), chr(10) || chr(13), '  ') end || chr(10) as head
   from parts
 )
 select conv_id, perspective, turn, case when not instructs then speaker end as speaker, chat_role,
