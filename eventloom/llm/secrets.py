@@ -15,8 +15,8 @@ from pyspark.sql import functions as F
 from eventloom.llm.base import written
 from eventloom.llm.tokens import public_path
 
-#: A run of 16 or more key characters with a digit or eight capitals in a row.
-CANDIDATE = r"(?:(?=[A-Za-z_+/-]*[0-9])|(?=[0-9A-Za-z_+/-]*?[A-Z]{8}))[A-Za-z0-9_+/-]{16,}"
+#: A run of 16 or more key characters; a candidate is such a run with a digit or eight capitals in a row.
+RUN, KEY_LIKE = r"[A-Za-z0-9_+/-]{16,}", r"[0-9]|[A-Z]{8}"
 
 #: Labelled findings of each class that the forest is fitted on, at most.
 LABELLED_PER_CLASS = 10_000
@@ -32,10 +32,22 @@ DICTIONARY_WORDS = 600
 # Shapes of keys that are known to be secrets, each with the text that must stand before it.
 KNOWN_SECRETS = (
     ("", r"^AKIA[A-Z0-9]{16}$"),
-    (r"(?i)(token|secret|api_?key)\W*$", r"^[0-9a-f]{32,}$"),
-    (r"(?i)(password|passwd|pwd)\W*$", r"^[0-9A-Za-z]{16,}$"),
     ("", r"^gh[pousr]_[A-Za-z0-9]{36}$"),
+    ("", r"^xox[abprs]-[A-Za-z0-9-]{10,}$"),
+    ("", r"^AIza[A-Za-z0-9_-]{35}$"),
+    ("", r"^[rs]k_(live|test)_[A-Za-z0-9]{16,}$"),
+    (r"(?i)(token|secret|api_?key)\W*$", r"(?i)^[0-9a-f]{32,}$"),
+    (r"(?i)(password|passwd|pwd)\W*$", r"^[0-9A-Za-z]{16,}$"),
+)
+
+# Shapes of look-alikes: numbers, dates and times, paths of words, names of several words, UUIDs.
+LOOK_ALIKES = (
+    r"^[0-9_+/-]+$",
+    r"^(?:[a-z]{2,}[0-9]{0,4}[_/-])+[a-z]{2,}[0-9]{0,4}$",
+    r"(?i)^[0-9a-f]{8}(-[0-9a-f]{4}){3}-[0-9a-f]{12}$",
 )
+#: What assigns the value behind it.
+ASSIGNED = r"[=:]\W*$"
 
 
 def dictionary(path: str | None = None, count: int = DICTIONARY_WORDS) -> list[str]:
@@ -59,7 +71,7 @@ def find_candidates(documents: DataFrame, document: str = "doc_id", text: str =
         where.alias("path"),
         F.split(F.coalesce(F.col(f"`{text}`"), F.lit("")), r"[\x20\x09-\x0D]+").alias("words"),
     )
-    hits = F.filter(F.sequence(F.lit(0), F.size("words") - 1), lambda i: F.rlike(F.col("words")[i], F.lit(CANDIDATE)))
+    hits = F.filter(F.sequence(F.lit(0), F.size("words") - 1), lambda i: F.rlike(F.col("words")[i], F.lit(RUN)))
     placed = rows.select("doc_id", "path", "words", F.explode(hits).alias("word_no"))
     word = F.col("words")[F.col("word_no")]
     near = placed.select(
@@ -70,26 +82,51 @@ def find_candidates(documents: DataFrame, document: str = "doc_id", text: str =
         F.concat_ws(" ", F.slice("words", F.greatest(F.col("word_no") - 1, F.lit(1)), F.least(F.col("word_no"), F.lit(2)))).alias("left"),
         F.coalesce(F.get("words", F.col("word_no") + 1), F.lit("")).alias("right"),
     )
-    parts = near.select("*", F.posexplode(F.regexp_extract_all("word", F.lit(CANDIDATE), F.lit(0))).alias("part_no", "candidate"))
-    place = F.instr("word", F.col("candidate"))
+    parts = near.select("*", F.posexplode(_placed_runs(F.col("word"))).alias("part_no", "part"))
+    candidate, place = F.col("part.run"), F.col("part.at")
     return parts.select(
         "doc_id",
         "path",
         "word_no",
         "part_no",
-        "candidate",
+        candidate.alias("candidate"),
         F.concat_ws(" ", "left", F.substring(F.col("word"), F.lit(1), place - 1)).alias("before"),
-        F.concat_ws(" ", F.substring(F.col("word"), place + F.length("candidate"), F.length("word")), "right").alias("after"),
+        F.concat_ws(" ", F.substring(F.col("word"), place + F.length(candidate), F.length("word")), "right").alias("after"),
     )
 
 
+def _placed_runs(word: Column) -> Column:
+    """The candidates of a word with their places (from 1), in one pass over it.
+
+    All runs are long, and what stands between two of them has none, so each is found from the end of the one before it.
+    """
+
+    def step(state: Column, run: Column) -> Column:
+        at = F.call_function("locate", run, word, state["next"])
+        return F.struct(
+            (at + F.length(run)).alias("next"), F.array_append(state["found"], F.struct(run.alias("run"), at.alias("at"))).alias("found")
+        )
+
+    empty = F.array().cast("array<struct<run:string,at:int>>")
+    runs = F.regexp_extract_all(word, F.lit(RUN), F.lit(0))
+    every = F.aggregate(runs, F.struct(F.lit(1).alias("next"), empty.alias("found")), step)["found"]
+    return F.filter(every, lambda x: F.rlike(x["run"], F.lit(KEY_LIKE)))
+
+
 def rule_label(candidate: str = "candidate", before: str = "before") -> Column:
-    """1 for a candidate whose shape and context are those of a known kind of secret, else 0."""
+    """1 for a candidate with the shape and context of a known kind of secret, 0 for a clear look-alike, null for all others.
+
+    Look-alikes have one of the shapes of names, paths, numbers and ids, or are assigned to nothing. An assigned value of
+    an unknown kind may well be a secret, so it teaches neither.
+    """
     hit = F.lit(False)
     for context, shape in KNOWN_SECRETS:
         own = F.rlike(F.col(candidate), F.lit(shape))
         hit = hit | (own & F.rlike(F.col(before), F.lit(context)) if context else own)
-    return hit.cast("int")
+    alike = ~F.rlike(F.col(before), F.lit(ASSIGNED))
+    for shape in LOOK_ALIKES:
+        alike = alike | F.rlike(F.col(candidate), F.lit(shape))
+    return F.when(hit, 1).when(alike, 0).cast("int")
 
 
 NUMBERS = (
@@ -132,12 +169,12 @@ def with_features(candidates: DataFrame, words: list[str]) -> DataFrame:
             "digits": share("[0-9]"),
             "capitals": share("[A-Z]"),
             "signs": share("[_+/-]"),
-            "hex_only": F.rlike(c, F.lit("^[0-9a-f]+$")).cast("double"),
+            "hex_only": F.rlike(c, F.lit("(?i)^[0-9a-f]+$")).cast("double"),
             "turns": share(turn),
             "letter_turns": share(vowels),
             "variety": F.size(F.array_distinct(F.split(c, ""))).cast("double") / n,
             "coverage": F.lit(1.0) - uncovered / n,
-            "assigned": F.rlike("before", F.lit(r"[=:]\W*$")).cast("double"),
+            "assigned": F.rlike("before", F.lit(ASSIGNED)).cast("double"),
             "word_before": tail("before", r"([A-Za-z_]{1,20})\W*$"),
             "word_after": tail("after", r"^\W*([A-Za-z_]{1,20})"),
             "kind_of_path": tail("path", r"([^/]{1,40})$"),
@@ -165,6 +202,7 @@ def fit_forest(labelled: DataFrame, words: list[str] | None = None, per_class: i
     At most about ``per_class`` findings of each label are used, drawn by a hash of the finding; with fewer, all.
     They are put into one task in a fixed order, so that a rerun fits the same forest.
     """
+    labelled = labelled.where("label is not null")
     counts = {r["label"]: r["count"] for r in labelled.groupBy("label").count().collect()}
     if not (counts.get(0) and counts.get(1)):
         return None
@@ -201,20 +239,20 @@ def scan_secrets(
     """Every candidate of every text with its probability of being a secret.
 
     ``findings`` are labelled candidates (columns of :func:`find_candidates` and ``label``, 1 for a secret); without
-    them, the candidates of ``documents`` are labelled by :func:`rule_label`. Result: ``doc_id``, ``word_no``,
+    them, the candidates of ``documents`` are labelled by :func:`rule_label`, and those it leaves open are decided by the forest. Result: ``doc_id``, ``word_no``,
     ``part_no``, ``candidate``, ``before``, ``after``, ``path``, ``probability`` and ``is_secret``.
 
     One pass over the texts writes the candidates, a small table; the forest is fitted on a bounded sample of the
     labelled ones and applied to all. Nothing but that sample is shuffled.
 
     Defined cases: a null or empty text has no candidate; a null path is empty; repeated rows give repeated findings; without labels
-    of both kinds there is no forest, and every candidate has the rule's label as its probability; an empty table gives an empty
+    of both kinds there is no forest, and every candidate has the rule's label (0 where it has none) as its probability; an empty table gives an empty
     result; other columns are not read.
     """
     found = written(find_candidates(documents, document, text, path))
     labelled = found.withColumn("label", rule_label()) if findings is None else findings
     forest = fit_forest(labelled, per_class=per_class)
     if forest is None:
-        chance = rule_label().cast("double")
+        chance = F.coalesce(rule_label(), F.lit(0)).cast("double")
         return found.withColumns({"probability": chance, "is_secret": chance >= 0.5})
     return forest.scored(found)
