@@ -16,7 +16,7 @@ from eventloom.operators.features import add_features, distinct_count, group_siz
 from eventloom.operators.relational import tail_flag
 from eventloom.operators.sampling import class_weight, split_bands, split_exact
 from eventloom.plans import models as m
-from eventloom.plans import workflows
+from eventloom.plans import screening, workflows
 
 CLICK_FEATURES = ["app", "device", "os", "channel", "hour", "ipcount", "ip_appcount", "ip_by_channel_countuniq", "ip_by_os_cumcount"]
 CLICK_LEVELS = ("app", "device", "os", "channel", "hour")
@@ -296,3 +296,45 @@ def _(spark, folder):
         F.count_if(~F.col("is_churn").between(0, 1)).alias("outside"),
         F.count(F.lit(1)).alias("n"),
     )
+
+
+_SCREENED = ["hrWeight", "rcDist", "chulNo", "mixed"]
+
+
+@query(
+    "screen_predictors",
+    """WITH x AS (SELECT "hrWeight" AS a, "rcDist" AS b, "chulNo" AS c, "hrWeight" + "rcDist" / 30 + "chulNo" AS d FROM races),
+        r AS (SELECT corr(a, b) AS ab, corr(a, c) AS ac, corr(a, d) AS ad, corr(b, c) AS bc, corr(b, d) AS bd, corr(c, d) AS cd FROM x),
+        s AS (SELECT 1 + 2 * ab * ac * bc - ab ** 2 - ac ** 2 - bc ** 2 AS det FROM r)
+        SELECT 'mixed' AS feature, 1 AS removed, CAST(NULL AS DOUBLE) AS vif
+        UNION ALL SELECT 'hrWeight', NULL, round((1 - bc ** 2) / det, 6) FROM r, s
+        UNION ALL SELECT 'rcDist', NULL, round((1 - ac ** 2) / det, 6) FROM r, s
+        UNION ALL SELECT 'chulNo', NULL, round((1 - ab ** 2) / det, 6) FROM r, s""",
+)
+def _(spark, folder):
+    """A predictor that others determine goes; the inflations of the rest are those of a matrix without it."""
+    races = views.races(spark, folder).withColumn("mixed", F.expr("hrWeight + rcDist / 30 + chulNo"))
+    found = screening.screen_predictors(races, _SCREENED)
+    # What goes first has an infinite inflation, which prints differently elsewhere.
+    return rounded(found.withColumn("vif", F.when(F.col("removed").isNull(), F.col("vif"))), "vif")
+
+
+@query(
+    "screen_predictors_twice",
+    """WITH x AS (SELECT "rcDist" AS a, "rcDist" + 2 * "hrWeight" AS b, "hrWeight" AS c FROM races WHERE "chulNo" < 9
+            UNION ALL SELECT "rcDist", "rcDist" - "hrWeight", "hrWeight" FROM races WHERE "chulNo" >= 9),
+        r AS (SELECT corr(a, b) AS ab, corr(a, c) AS ac, corr(b, c) AS bc FROM x),
+        v AS (SELECT *, 1 + 2 * ab * ac * bc - ab ** 2 - ac ** 2 - bc ** 2 AS det FROM r),
+        f AS (SELECT 'a' AS feature, (1 - bc ** 2) / det AS vif FROM v UNION ALL SELECT 'b', (1 - ac ** 2) / det FROM v
+            UNION ALL SELECT 'c', (1 - ab ** 2) / det FROM v),
+        w AS (SELECT feature, vif FROM f ORDER BY vif DESC, feature DESC LIMIT 1),
+        p AS (SELECT CASE w.feature WHEN 'a' THEN bc WHEN 'b' THEN ac ELSE ab END AS rest FROM v, w)
+        SELECT w.feature, 1 AS removed, round(w.vif, 6) AS vif FROM w
+        UNION ALL SELECT f.feature, NULL, round(1 / (1 - rest ** 2), 6) FROM f, w, p WHERE f.feature <> w.feature""",
+)
+def _(spark, folder):
+    """Two predictors and their sum or difference by rows: the one with the largest inflation above 1.2 goes."""
+    races = views.races(spark, folder)
+    mixed = F.when(F.col("chulNo") < 9, F.expr("rcDist + 2 * hrWeight")).otherwise(F.expr("rcDist - hrWeight"))
+    rows = races.select(F.col("rcDist").alias("a"), mixed.alias("b"), F.col("hrWeight").alias("c"))
+    return rounded(screening.screen_predictors(rows, ["a", "b", "c"], limit=1.2), "vif")

@@ -122,7 +122,7 @@ def welch_t(df: DataFrame, value: str, group: str, first: object = 0, second: ob
     return row.select("mean1", "mean2", t.alias("t"), freedom.alias("df"))
 
 
-def _correlation(a: Column, b: Column) -> Column:
+def correlation(a: Column, b: Column) -> Column:
     """Pearson correlation of the rows with both values; missing where one does not vary."""
     spread = F.stddev_pop(F.when(b.isNotNull(), a)) * F.stddev_pop(F.when(a.isNotNull(), b))
     return F.covar_pop(a, b) / F.nullif(spread, F.lit(0.0))
@@ -141,7 +141,7 @@ def correlation_tests(df: DataFrame, columns: Sequence[str], level: float = 0.95
             x
             for i, (a, b) in enumerate(pairs)
             for x in (
-                _correlation(F.col(a).cast("double"), F.col(b).cast("double")).alias(f"r{i}"),
+                correlation(F.col(a).cast("double"), F.col(b).cast("double")).alias(f"r{i}"),
                 F.count_if(F.col(a).isNotNull() & F.col(b).isNotNull()).alias(f"n{i}"),
             )
         ]
