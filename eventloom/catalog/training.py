@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from eventloom import views
 from eventloom.catalog.base import query, rounded
 from eventloom.functions import text, timeparts
+from eventloom.operators.evaluate import auc_of
 from eventloom.operators.features import add_features, distinct_count, group_size, running_count
 from eventloom.operators.relational import tail_flag
 from eventloom.operators.sampling import class_weight, split_bands, split_exact
@@ -187,6 +188,31 @@ def _(spark, folder):
     return m.scoring_history(fitted, valid)
 
 
+@query("staged_auc_equals_refits", "SELECT CAST(r AS INTEGER) AS round, true AS same FROM range(1, 5) AS t(r)")
+def _(spark, folder):
+    """The AUC after each round of one fit, against models fitted with as many rounds."""
+    train, valid = parts(member_frame(spark, folder), "msno")
+    with m.held(train) as kept:
+        fits = [m.gbt(MEMBER_FEATURES, "is_churn", rounds=r).fit(kept) for r in range(1, 5)]
+    staged = m.staged_auc(fits[-1], valid, "is_churn")
+    scored = valid
+    for r, fitted in enumerate(fits, 1):
+        scored = m.with_score(fitted.transform(scored), f"s{r}")
+    refits = auc_of(scored, "is_churn", [f"s{r}" for r in range(1, 5)])
+    both = staged.join(refits.select(F.substring("model", 2, 10).cast("int").alias("round"), F.col("auc").alias("refit")), "round")
+    return both.select("round", (F.abs(F.col("auc") - F.col("refit")) < 1e-9).alias("same"))
+
+
+@query("score_at_best_round")
+def _(spark, folder):
+    """Scores of the held-out rows by the trees up to the round with the best AUC on other held-out rows."""
+    train, valid = parts(member_frame(spark, folder), "msno")
+    with m.held(train) as kept:
+        fitted = m.gbt(MEMBER_FEATURES, "is_churn", rounds=6).fit(kept)
+    chosen = valid.where(F.crc32(F.col("msno").cast("string")) % 2 == 0)
+    return m.score_at(fitted, valid, m.best_round(fitted, chosen, "is_churn")).select("msno", m.SCORE)
+
+
 @query("coef_magnitude")
 def _(spark, folder):
     df, names = race_frame(spark, folder)

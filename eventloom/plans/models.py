@@ -39,6 +39,7 @@ from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from eventloom.operators.evaluate import auc_of
 from eventloom.operators.relational import param_grid
 from eventloom.operators.sampling import balance, fold_modulo, split_bernoulli, token, uniform
 
@@ -489,6 +490,44 @@ def scoring_history(fitted: PipelineModel, df: DataFrame) -> DataFrame:
     return df.sparkSession.createDataFrame(rows, "round int, loss double")
 
 
+def staged_margins(fitted: PipelineModel, df: DataFrame, name: str = "margins") -> DataFrame:
+    """``df`` with the margin of fitted boosted trees after each round, as an array column, from one pass over the rows.
+
+    Every tree scores a row once; the margin after a round is the running sum of the weighted predictions up to it.
+    """
+    boosted = fitted.stages[-1]
+    staged = PipelineModel(fitted.stages[:-1]).transform(df)
+    made = [c for c in staged.columns if c not in df.columns]
+    weighted = []
+    for i, (tree, weight) in enumerate(zip(boosted.trees, boosted.treeWeights, strict=True)):
+        staged = tree.setPredictionCol(f"__tree{i}").transform(staged)
+        weighted.append(F.col(f"__tree{i}") * F.lit(float(weight)))
+    sums = [weighted[0]]
+    for one in weighted[1:]:
+        sums.append(sums[-1] + one)
+    return staged.withColumn(name, F.array(*sums)).drop(*[f"__tree{i}" for i in range(len(weighted))], *made)
+
+
+def staged_auc(fitted: PipelineModel, df: DataFrame, label: str) -> DataFrame:
+    """``round``, ``auc`` on ``df`` of the first trees up to each round: one pass, no model is fitted again."""
+    margins = staged_margins(fitted, df)
+    rounds = len(fitted.stages[-1].trees)
+    columns = [f"r{i + 1}" for i in range(rounds)]
+    wide = margins.select(label, *[F.col("margins")[i].alias(c) for i, c in enumerate(columns)])
+    return auc_of(wide, label, columns).select(F.substring("model", 2, 10).cast("int").alias("round"), "auc")
+
+
+def best_round(fitted: PipelineModel, valid: DataFrame, label: str) -> int:
+    """The round with the largest AUC on ``valid``, the earliest of equal ones."""
+    return staged_auc(fitted, valid, label).orderBy(F.desc("auc"), "round").first()["round"]
+
+
+def score_at(fitted: PipelineModel, df: DataFrame, round_: int, name: str = SCORE) -> DataFrame:
+    """P(class 1) by the first ``round_`` trees."""
+    margins = staged_margins(fitted, df, "__margins")
+    return margins.withColumn(name, 1 / (1 + F.exp(-2 * F.col("__margins")[round_ - 1]))).drop("__margins")
+
+
 def coefficient_magnitudes(train: DataFrame, features: Sequence[str], label: str, missing: str = "skip") -> DataFrame:
     """Size of each logistic coefficient on standardised features, largest first."""
     rows = complete_rows(train, features) if missing == "skip" else train

@@ -204,3 +204,19 @@ def test_scoring_history_falls(data):
     train, test = data
     losses = [r.loss for r in m.scoring_history(m.gbt(FEATURES, "y", rounds=5).fit(train), test).collect()]
     assert len(losses) == 5 and losses[-1] < losses[0]
+
+
+def test_staged_margins_are_those_of_shorter_fits(data):
+    """The first trees of a long fit score like a fit with as many rounds, and the chosen round has the best AUC."""
+    train, test = data
+    fits = {r: m.gbt(FEATURES, "y", rounds=r).fit(train) for r in (1, 3, 5)}
+    staged = {r.round: r.auc for r in m.staged_auc(fits[5], test, "y").collect()}
+    assert sorted(staged) == [1, 2, 3, 4, 5]
+    for rounds, fitted in fits.items():
+        want = {r.id: r[m.SCORE] for r in m.with_score(fitted.transform(test)).collect()}
+        got = {r.id: r[m.SCORE] for r in m.score_at(fits[5], test, rounds).collect()}
+        assert got == pytest.approx(want, abs=1e-12)
+        assert staged[rounds] == pytest.approx(ev.auc(m.score_at(fits[5], test, rounds), "y", m.SCORE).first().auc)
+    best = m.best_round(fits[5], test, "y")
+    assert staged[best] == max(staged.values()) and all(staged[r] < staged[best] for r in staged if r < best)
+    assert m.score_at(fits[5], test, best).columns == [*test.columns, m.SCORE]
