@@ -46,7 +46,7 @@ from eventloom.llm.parcels import (
 LENGTH = 50
 
 #: Bytes of the gram that a window names.
-GRAM = 16
+GRAM = 20
 
 #: Bytes of text for one bucket of grams and for one group of documents.
 BUCKET_BYTES = 4 << 20
@@ -54,6 +54,9 @@ BUCKET_BYTES = 4 << 20
 #: Bytes of text whose regions a task unites before it sends them.
 SEND_BYTES = 8 << 20
 
+#: Bytes of text whose regions are found at once; the arrays of a smaller block stay in a core's cache.
+REGION_BYTES = 1 << 18
+
 #: Regions of one gram that are compared in one bucket; beyond that, its windows are dealt by their own content.
 SPREAD_REGIONS = 20_000
 
@@ -64,7 +67,7 @@ _REPEATED, _COMPARE, _SPREAD = 1, 2, 3
 # --- two-stage suffix sorting -------------------------------------------------------------------------------
 
 
-def _words(text: np.ndarray, depth: int) -> np.ndarray:
+def words_of(text: np.ndarray, depth: int) -> np.ndarray:
     """The eight bytes from every position as one big-endian number (zeros beyond the end)."""
     padded = np.concatenate([text, np.zeros(depth + 16, dtype=np.uint8)]).astype(np.uint64)
     words = np.zeros(len(padded) - 7, dtype=np.uint64)
@@ -73,17 +76,36 @@ def _words(text: np.ndarray, depth: int) -> np.ndarray:
     return words
 
 
-def _keys(words: np.ndarray, at: np.ndarray, depth: int) -> Iterator[np.ndarray]:
-    """The first ``depth`` bytes of the suffixes at ``at``, as numbers of eight bytes each."""
+def _sorted(words: np.ndarray, at: np.ndarray, depth: int) -> np.ndarray:
+    """The suffixes ``at`` in the order of their first ``depth`` bytes.
+
+    They are sorted by eight bytes; only those that agree so far are sorted on, by the eight bytes behind these.
+    """
+    order = at
+    ties = np.arange(len(at))
+    run = np.zeros(len(at), dtype=np.int64)
     for k in range(0, depth, 8):
-        key = words[at + k]
+        key = words[order[ties] + k]
         if depth - k < 8:
-            key = key & ~np.uint64((1 << (64 - 8 * (depth - k))) - 1)
-        yield key
+            key &= ~np.uint64((1 << (64 - 8 * (depth - k))) - 1)
+        by = np.lexsort((key, run)) if k else np.argsort(key)
+        key, run = key[by], run[by]
+        order[ties] = order[ties][by]
+        new = np.ones(len(ties), dtype=bool)
+        new[1:] = (key[1:] != key[:-1]) | (run[1:] != run[:-1])
+        alone = new & np.append(new[1:], True)
+        run = np.cumsum(new)[~alone]
+        ties = ties[~alone]
+        if not len(ties):
+            break
+    return order
 
 
-def suffix_array(text: np.ndarray, depth: int) -> np.ndarray:
-    """Positions of ``text`` in the order of their suffixes, compared by ``depth`` bytes at least.
+def suffix_array(text: np.ndarray, words: np.ndarray, depth: int, wanted: np.ndarray | None = None) -> np.ndarray:
+    """Positions of ``text`` in the order of their suffixes, compared by ``depth`` bytes at least. ``words``: see :func:`words_of`.
+
+    With flags ``wanted`` only those positions are ordered, and what induction needs for them: from each wanted one on, the positions
+    up to the next suffix that is smaller than its successor. Others may be left out of the result.
 
     First stage: the suffixes that are smaller than their successors are sorted directly. Second stage: all
     others are induced. Scanning the buckets of first bytes from the smallest, the position before a sorted
@@ -100,16 +122,22 @@ def suffix_array(text: np.ndarray, depth: int) -> np.ndarray:
     place = np.where(step != 0, np.arange(n), n)
     smaller = step[np.minimum.accumulate(place[::-1])[::-1]] > 0
 
-    direct = np.flatnonzero(smaller)
-    words = _words(text, depth)
-    direct = direct[np.lexsort(list(_keys(words, direct, depth))[::-1])]
-
-    counts = np.bincount(text, minlength=256)
+    if wanted is None:
+        taken = np.ones(n, dtype=bool)
+    else:
+        # A position is needed if a wanted one stands at it or before it, with none of the smaller kind in between.
+        since = np.maximum.accumulate(np.where(wanted, np.arange(n), -1))
+        kind = np.concatenate([[0], np.cumsum(smaller)])
+        taken = (since >= 0) & (kind[:-1] == kind[np.maximum(since, 0)])
+    direct = _sorted(words, np.flatnonzero(smaller & taken), depth)
+    larger = taken & ~smaller
+
+    counts = np.bincount(text[taken], minlength=256)
     ends = np.cumsum(counts)
     heads = ends - counts
     small = np.bincount(text[direct], minlength=256)
     cuts = ends - small  # where the directly sorted part of a bucket begins
-    order = np.empty(n, dtype=np.int64)
+    order = np.empty(int(taken.sum()), dtype=np.int64)
     first = 0
     for c in range(256):
         order[cuts[c] : ends[c]] = direct[first : first + small[c]]
@@ -118,7 +146,7 @@ def suffix_array(text: np.ndarray, depth: int) -> np.ndarray:
     def induce(scanned: np.ndarray, own: int) -> np.ndarray:
         """Place what stands before the scanned suffixes; return what falls into bucket ``own`` itself."""
         before = scanned[scanned > 0] - 1
-        before = before[~smaller[before]]
+        before = before[larger[before]]
         into = text[before]
         for c in np.unique(into[into != own]):
             some = before[into == c]
@@ -140,16 +168,21 @@ def suffix_array(text: np.ndarray, depth: int) -> np.ndarray:
     return order
 
 
-def common_prefixes(text: np.ndarray, order: np.ndarray, depth: int) -> np.ndarray:
+def common_prefixes(words: np.ndarray, order: np.ndarray, depth: int) -> np.ndarray:
     """Bytes that each suffix of ``order`` shares with the one before it, ``depth`` at most (0 for the first)."""
-    words = _words(text, depth)
     shared = np.zeros(len(order), dtype=np.int64)
     alive = np.arange(1, len(order))
     for k in range(0, depth, 8):
         differ = words[order[alive] + k] ^ words[order[alive - 1] + k]
-        for j in range(min(8, depth - k)):
-            shared[alive] += differ >> np.uint64(56 - 8 * j) == 0
-        alive = alive[shared[alive] == min(k + 8, depth)]
+        if depth - k < 8:
+            differ &= ~np.uint64((1 << (64 - 8 * (depth - k))) - 1)
+        same = differ == 0
+        ended, differ = alive[~same], differ[~same]
+        shared[ended] = k
+        for j in range(7):
+            shared[ended] += differ >> np.uint64(56 - 8 * j) == 0
+        alive = alive[same]
+    shared[alive] = depth
     return shared
 
 
@@ -163,6 +196,7 @@ class Regions:
         sums = spans.prefix_sums(buf)
         n, reach = len(buf), length - gram + 1
         self.first = self.last = self.text = _EMPTY
+        self.sums = sums
         self.gram = self.code = np.empty(0, dtype=np.uint64)
         if n < length:
             self.number = _EMPTY
@@ -201,11 +235,11 @@ class Regions:
         """For every region, the number of the first region of its text with the same gram and content."""
         if not len(self.first):
             return _EMPTY
-        order = np.lexsort((self.number, self.code, self.gram, self.text))
+        # One number for text, gram and content; equal ones keep their order, so the first one comes first.
+        key = spans.mixed(self.code ^ spans.mixed(self.gram + spans.mixed(self.text.astype(np.uint64) + np.uint64(1))))
+        order = np.argsort(key, kind="stable")
         new = np.ones(len(order), dtype=bool)
-        for key in (self.text, self.gram, self.code):
-            new[1:] &= key[order][1:] == key[order][:-1]
-        new[1:] = ~new[1:]
+        new[1:] = key[order][1:] != key[order][:-1]
         at = np.flatnonzero(new)
         alike = np.empty(len(order), dtype=np.int64)
         alike[order] = np.repeat(self.number[order[at]], np.diff(np.append(at, len(order))))
@@ -259,7 +293,7 @@ def _sender(length: int, gram: int, buckets: int, groups: int, repeated: bool):
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, int, bytes]]:
         found, size = [], 0
-        for part, buf, starts in spans.blocks(batches, limit=spans.BLOCK_BYTES // 2):
+        for part, buf, starts in spans.blocks(batches, limit=REGION_BYTES):
             regions = Regions(buf, starts, length, gram)
             doc = part.column("doc").to_numpy()
             sums = np.array(_sums(buf, starts, repeated), dtype=np.int64)
@@ -321,7 +355,9 @@ def _decider(groups: int):
     return decide
 
 
-_OPEN_ARROW = pa.schema([("doc", pa.int64()), ("text", pa.string()), ("marks", pa.binary())])
+_OPEN_ARROW = pa.schema(
+    [("doc", pa.int64()), ("text", pa.string()), ("marks", pa.binary()), ("numbers", pa.binary()), ("begins", pa.binary())]
+)
 _STATE = (
     "doc long, spans array<array<long>>, kept_sha256 string, n_bytes long, target long, bucket long, blob binary"
 )
@@ -368,13 +404,44 @@ def _answers_by_text(told: dict[str, np.ndarray], doc: np.ndarray, sums: list[in
 
 
 def _text_blocks(docs: pa.Table, repeated: bool):
-    for part, buf, starts in spans.blocks(opened(docs.column("blob").to_pylist())):
+    for part, buf, starts in spans.blocks(opened(docs.column("blob").to_pylist()), limit=REGION_BYTES):
         yield part, buf, starts, _sums(buf, starts, repeated)
 
 
 def _marker(length: int, gram: int, buckets: int, repeated: bool):
     """A group of documents with its answers -> finished documents, open ones, and bytes to compare."""
 
+    def asked(buf: np.ndarray, regions: Regions, at: np.ndarray, names: dict[str, np.ndarray]) -> Iterator[tuple]:
+        """Bucket, bytes and names of the regions ``at``; those of a very common gram go window by window."""
+        first, size = regions.first[at], regions.last[at] + length - regions.first[at]
+        offset = np.zeros(len(at), dtype=np.int64)
+        bucket = (regions.gram[at] >> np.uint64(32)) % np.uint64(buckets)
+        some = names["state"] == _SPREAD
+        if some.any():
+            windows = np.where(some, size - length + 1, 1)
+            source = np.repeat(np.arange(len(at)), windows)
+            offset = np.arange(len(source)) - np.repeat(np.cumsum(windows) - windows, windows)
+            first = first[source] + offset
+            size = np.where(some, length, size)[source]
+            content = spans.span_hash(regions.sums, first, first + length) % np.uint64(buckets)
+            bucket = np.where(some[source], content, bucket[source])
+            names = {k: v[source] for k, v in names.items()}
+        order = np.argsort(bucket, kind="stable")
+        bucket, first, size, offset = bucket[order], first[order], size[order], offset[order]
+        names = {k: names[k][order] for k in ("doc", "sum", "number")}
+        ends = np.cumsum(size)
+        raw = buf[np.repeat(first - (ends - size), size) + np.arange(ends[-1])]
+        begins = runs_of(bucket)
+        for a, b in zip(begins, np.append(begins[1:], len(bucket)), strict=True):
+            head = pack(
+                doc=names["doc"][a:b].astype("<i8"),
+                sum=names["sum"][a:b].astype("<i8"),
+                number=names["number"][a:b].astype("<u4"),
+                offset=offset[a:b].astype("u1"),
+                size=size[a:b].astype("<u4"),
+            )
+            yield int(bucket[a]), head, raw[ends[a] - size[a] : ends[b - 1]].tobytes()
+
     def mark(docs: pa.Table, answers: pa.Table) -> pa.Table:
         told = unpack(answers.column("blob").to_pylist(), _STEPPED, **_ANSWER)
         order = np.lexsort((told["number"], told["sum"], told["doc"]))
@@ -382,65 +449,64 @@ def _marker(length: int, gram: int, buckets: int, repeated: bool):
         out: list[dict] = []
         kept_open: list[dict] = []
         home = docs.column("target")[0].as_py()
-        asked: list[tuple[int, bytes, tuple]] = []  # bucket, bytes, (doc, sum, number, windows, offset)
+        sent: dict[int, list[tuple[bytes, bytes]]] = {}
         for part, buf, starts, sums in _text_blocks(docs, repeated):
             doc = part.column("doc").to_numpy()
             regions = Regions(buf, starts, length, gram)
             alike = regions.first_alike()
             bounds = np.searchsorted(regions.text, np.arange(len(starts)))
+            # The state of every region's first equal in its text, and from there its own.
+            told_at = np.zeros(len(regions.first), dtype=np.uint8)
             for i, own in enumerate(_answers_by_text(told, doc, sums)):
-                body = buf[starts[i] : starts[i + 1] - 1]
-                gone = np.zeros(len(body), dtype=bool)
-                mine = slice(bounds[i], bounds[i + 1])
-                state = np.zeros(bounds[i + 1] - bounds[i], dtype=np.uint8)
-                state[told["number"][own]] = told["state"][own]
-                whole = np.flatnonzero(state[alike[mine]] == _REPEATED) + bounds[i]
-                if len(whole):
-                    gone |= spans.covered(
-                        regions.first[whole] - starts[i],
-                        regions.last[whole] + length - regions.first[whole],
-                        len(body),
-                    )
-                ask = np.flatnonzero(state >= _COMPARE)
-                if not len(ask):
-                    out.append(_finished(int(doc[i]), body, gone))
+                told_at[bounds[i] + told["number"][own].astype(np.int64)] = told["state"][own]
+            state = told_at[bounds[regions.text] + alike]
+            whole = np.flatnonzero(state == _REPEATED)
+            gone = spans.covered(regions.first[whole], regions.last[whole] + length - regions.first[whole], len(buf))
+            waits = np.flatnonzero(state >= _COMPARE)
+            cuts = np.searchsorted(regions.text[waits], np.arange(len(starts)))
+            for i in range(len(doc)):
+                body = slice(starts[i], starts[i + 1] - 1)
+                if cuts[i] == cuts[i + 1]:
+                    out.append(_finished(int(doc[i]), buf[body], gone[body]))
                     continue
-                text = part.column("text")[i].as_py()
-                kept_open.append({"doc": int(doc[i]), "text": text, "marks": np.packbits(gone).tobytes()})
-                for k in ask.tolist():
-                    at = bounds[i] + k
-                    a, b = int(regions.first[at]), int(regions.last[at])
-                    name = (int(doc[i]), sums[i], k)
-                    if state[k] == _COMPARE:
-                        bucket = int((regions.gram[at] >> np.uint64(32)) % np.uint64(buckets))
-                        asked.append((bucket, buf[a : b + length].tobytes(), (*name, 0)))
-                    else:
-                        for w in range(a, b + 1):
-                            piece = buf[w : w + length].tobytes()
-                            bucket = int.from_bytes(hashlib.blake2b(piece, digest_size=6).digest(), "big") % buckets
-                            asked.append((bucket, piece, (*name, w - a)))
+                own = waits[cuts[i] : cuts[i + 1]]
+                kept_open.append(
+                    {
+                        "doc": int(doc[i]),
+                        "text": part.column("text")[i].as_py(),
+                        "marks": np.packbits(gone[body]).tobytes(),
+                        "numbers": alike[own].astype("<u4").tobytes(),
+                        "begins": (regions.first[own] - starts[i]).astype("<u8").tobytes(),
+                    }
+                )
+            at = np.flatnonzero(told_at >= _COMPARE)
+            if len(at):
+                names = {
+                    "doc": doc[regions.text[at]],
+                    "sum": np.array(sums, dtype=np.int64)[regions.text[at]],
+                    "number": regions.number[at],
+                    "state": told_at[at],
+                }
+                for bucket, head, raw in asked(buf, regions, at, names):
+                    sent.setdefault(bucket, []).append((head, raw))
         if kept_open:
             out.append({"target": home, "blob": sealed(pa.Table.from_pylist(kept_open, _OPEN_ARROW))})
-        asked.sort(key=lambda x: x[0])
-        at = 0
-        while at < len(asked):
-            end = at
-            while end < len(asked) and asked[end][0] == asked[at][0]:
-                end += 1
-            out.append({"bucket": asked[at][0], "blob": _pack_regions(asked[at:end])})
-            at = end
+        for bucket, pieces in sorted(sent.items()):
+            parts = b"".join(x for head, raw in pieces for x in (len(head).to_bytes(8, "little"), len(raw).to_bytes(8, "little"), head, raw))
+            out.append({"bucket": bucket, "blob": squeezed(parts)})
         return _table(out)
 
     return mark
 
 
-def _pack_regions(regions: list[tuple[int, bytes, tuple]]) -> bytes:
-    doc, sums, number, offset = (np.array(x, dtype=np.int64) for x in zip(*[r[2] for r in regions], strict=True))
-    sizes = np.array([len(r[1]) for r in regions], dtype=np.uint32)
-    head = pack(
-        doc=doc, sum=sums.astype("<i8"), number=number.astype("<u4"), offset=offset.astype("u1"), size=sizes
-    )
-    return squeezed(len(head).to_bytes(8, "little") + head + b"".join(r[1] for r in regions))
+def _asked_of(blob: bytes) -> Iterator[tuple[bytes, np.ndarray]]:
+    """The heads and bytes that a group of documents sent to a bucket."""
+    raw, at = unsqueezed(blob), 0
+    while at < len(raw):
+        head, body = (int.from_bytes(raw[at + k : at + k + 8], "little") for k in (0, 8))
+        at += 16
+        yield raw[at : at + head], np.frombuffer(raw, np.uint8, count=body, offset=at + head)
+        at += head + body
 
 
 def _comparer(length: int, groups: int):
@@ -449,10 +515,10 @@ def _comparer(length: int, groups: int):
 
     def compare(table: pa.Table) -> pa.Table:
         heads, bodies = [], []
-        for blob in map(unsqueezed, table.column("blob").to_pylist()):
-            size = int.from_bytes(blob[:8], "little")
-            heads.append(blob[8 : 8 + size])
-            bodies.append(np.frombuffer(blob, np.uint8, offset=8 + size))
+        for blob in table.column("blob").to_pylist():
+            for head, body in _asked_of(blob):
+                heads.append(head)
+                bodies.append(body)
         r = unpack(heads, **kinds)
         # No UTF-8 text has the byte 255: it parts the regions.
         size = r["size"].astype(np.int64)
@@ -461,9 +527,11 @@ def _comparer(length: int, groups: int):
         place = np.arange(begins[-1]) - begins[region]
         text = np.full(begins[-1], 255, dtype=np.uint8)
         text[place < size[region]] = np.concatenate(bodies)
-        order = suffix_array(text, length)
-        order = order[place[order] + length <= size[region[order]]]
-        shared = common_prefixes(text, order, length)
+        words = words_of(text, length)
+        starts = place + length <= size[region]
+        order = suffix_array(text, words, length, starts)
+        order = order[starts[order]]
+        shared = common_prefixes(words, order, length)
         begins_at = np.flatnonzero(shared < length)
         doc = r["doc"][region[order]]
         least = spread(np.minimum.reduceat(doc, begins_at), begins_at, len(order))
@@ -481,7 +549,7 @@ def _comparer(length: int, groups: int):
     return compare
 
 
-def _finisher(length: int, gram: int, repeated: bool):
+def _finisher(length: int, repeated: bool):
     """Open documents with the windows found -> finished documents."""
 
     def finish(docs: pa.Table, answers: pa.Table) -> pa.Table:
@@ -491,21 +559,18 @@ def _finisher(length: int, gram: int, repeated: bool):
         out = []
         for part, buf, starts, sums in _text_blocks(docs, repeated):
             doc = part.column("doc").to_numpy()
-            regions = Regions(buf, starts, length, gram)
-            alike = regions.first_alike()
-            bounds = np.searchsorted(regions.text, np.arange(len(starts)))
-            marks = part.column("marks")
+            marks, numbers, begins = (part.column(k) for k in ("marks", "numbers", "begins"))
             for i, own in enumerate(_answers_by_text(told, doc, sums)):
                 body = buf[starts[i] : starts[i + 1] - 1]
                 gone = np.unpackbits(np.frombuffer(marks[i].as_py(), np.uint8), count=len(body)) > 0
-                bits = np.zeros(bounds[i + 1] - bounds[i], dtype=np.uint64)
-                np.bitwise_or.at(bits, told["number"][own], told["bits"][own])
-                bits = bits[alike[bounds[i] : bounds[i + 1]]]
-                for at in np.flatnonzero(bits).tolist():
-                    a = int(regions.first[bounds[i] + at] - starts[i])
-                    for w in range(int(bits[at]).bit_length()):
-                        if int(bits[at]) >> w & 1:
-                            gone[a + w : a + w + length] = True
+                if own.stop > own.start:
+                    number = np.frombuffer(numbers[i].as_py(), "<u4")
+                    bits = np.zeros(int(number.max()) + 1, dtype=np.uint64)
+                    np.bitwise_or.at(bits, told["number"][own], told["bits"][own])
+                    windows = (bits[number][:, None] >> np.arange(length, dtype=np.uint64)) & np.uint64(1)
+                    region, offset = np.nonzero(windows)
+                    at = np.frombuffer(begins[i].as_py(), "<u8").astype(np.int64)[region] + offset
+                    gone |= spans.covered(at, length, len(body))
                 out.append(_finished(int(doc[i]), body, gone))
         return _table(out)
 
@@ -567,7 +632,7 @@ def repeated_spans(documents: DataFrame, document: str = "doc_id", text: str = "
     closed = (
         opened.groupBy("target")
         .cogroup(marks.groupBy("target"))
-        .applyInArrow(_ordered(_finisher(length, gram, repeated)), _STATE)
+        .applyInArrow(_ordered(_finisher(length, repeated)), _STATE)
     )
     done = ["doc", "n_bytes", "spans", "kept_sha256"]
     out = state.where("kept_sha256 is not null").select(*done).unionByName(closed.select(*done))

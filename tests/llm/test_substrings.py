@@ -17,13 +17,19 @@ def test_two_stage_order_and_prefixes():
         n, k = int(draw.integers(1, 300)), int(draw.integers(1, 5))
         text = draw.integers(97, 97 + k, n).astype(np.uint8)
         text[draw.random(n) < 0.05] = 255
-        order = suffixes.suffix_array(text, 12)
+        words = suffixes.words_of(text, 12)
+        order = suffixes.suffix_array(text, words, 12)
         assert sorted(order.tolist()) == list(range(n))
-        heads = [bytes(text[i : i + 12]).ljust(12, b"\0") for i in order]
+        whole = [bytes(text[i : i + 12]).ljust(12, b"\0") for i in order]
+        assert whole == sorted(whole)
+        wanted = draw.random(n) < 0.3
+        some = suffixes.suffix_array(text, words, 12, wanted)
+        assert len(set(some.tolist())) == len(some) and set(np.flatnonzero(wanted)) <= set(some.tolist())
+        heads = [bytes(text[i : i + 12]).ljust(12, b"\0") for i in some]
         assert heads == sorted(heads)
-        shared = suffixes.common_prefixes(text, order, 12)
+        shared = suffixes.common_prefixes(words, order, 12)
         for j in range(1, n):
-            same = next((i for i in range(12) if heads[j][i] != heads[j - 1][i]), 12)
+            same = next((i for i in range(12) if whole[j][i] != whole[j - 1][i]), 12)
             assert same == shared[j]
 
 
@@ -143,3 +149,66 @@ def test_many_texts_of_one_id(spark):
     found = digest(suffixes.repeated_spans(spark.createDataFrame(rows, "doc_id long, text string").repartition(6)))
     want = removed_by_brute_force([(smallest if d is None else d, t) for d, t in rows])
     assert found == [(None if d == smallest else d, *rest) for d, *rest in want]
+
+
+def changed_passages(count, size, changes, seed):
+    """Pairs of texts with a passage of ``size`` words each, the second one with some words changed, and other words around."""
+    import random
+
+    draw = random.Random(seed)
+    rows = []
+    for i in range(count):
+        words = prose(100_000 + seed * 1000 + i, size).split()
+        other = list(words)
+        for at in draw.sample(range(size), changes):
+            other[at] = f"changed{i}x{at}"
+        for k, own in enumerate((words, other)):
+            around = [prose(200_000 + seed * 10_000 + 4 * i + 2 * k + j, draw.randrange(10, 60)) for j in (0, 1)]
+            rows.append((2 * i + k + 1, f"{around[0]} {' '.join(own)} {around[1]}"))
+    return rows
+
+
+def test_recall_of_passages(spark):
+    """Exact passages of 40 words, and of 60 and 100 words with changes that leave a shingle similarity of 0.8."""
+    for size, changes, least in ((40, 0, 0.99), (60, 1, 0.9), (100, 2, 0.9)):
+        rows = changed_passages(300, size, changes, size)
+        found = {r.doc_id: r for r in repeated_passages(spark.createDataFrame(rows, "doc_id long, text string").repartition(6)).collect()}
+        hit = sum(found[2 * i + 2].kept_in == [2 * i + 1] for i in range(300))
+        assert hit >= least * 300, (size, changes, hit)
+        assert not any(found[2 * i + 1].n_paragraphs for i in range(300))
+
+
+def test_links_against_all_pairs(spark):
+    """Paragraphs of short texts (each a paragraph by itself) around a common lead: what Jaccard similarity joins, the links join."""
+    import random
+
+    draw = random.Random(9)
+    rows, shingles = [], {}
+    for family in range(12):
+        base = prose(300_000 + family, 24).split()
+        for _ in range(12):
+            words = list(base)
+            for at in draw.sample([0, 1, 22, 23], draw.randrange(3)):
+                words[at] = f"w{draw.randrange(10**6)}"
+            doc = len(rows) + 1
+            rows.append((doc, " ".join(words)))
+            alnum = alnum_words(rows[-1][1])
+            shingles[doc] = {tuple(alnum[i : i + 5]) for i in range(len(alnum) - 4)}
+    group = {d: d for d in shingles}
+
+    def root(d):
+        while group[d] != d:
+            d = group[d]
+        return d
+
+    for a in shingles:
+        for b in shingles:
+            if a < b and len(shingles[a] & shingles[b]) >= 0.8 * len(shingles[a] | shingles[b]):
+                x, y = sorted((root(a), root(b)))
+                group[y] = x
+    found = {r.doc_id: r for r in repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    want = {d: root(d) for d in shingles}
+    right = sum((found[d].kept_in or [d]) == [want[d]] for d in want)
+    assert right >= 0.9 * len(want), right
+    # Nothing is joined that similarity does not join.
+    assert all(root(found[d].kept_in[0]) == root(d) for d in want if found[d].kept_in)
