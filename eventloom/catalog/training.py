@@ -159,6 +159,19 @@ def _(spark, folder):
     return m.leaderboard(candidates, train, test, "is_churn")
 
 
+@query("race_equals_leaderboard", "SELECT true AS same_winner, true AS fewer_than_half")
+def _(spark, folder):
+    """Four sets of predictors: halving finds the winner of the whole leaderboard with under half of its rows."""
+    races, names = race_frame(spark, folder)
+    train, test = parts(races, "race_id")
+    sets = {"all": names, "numbers": RACE_NUMBERS, "place": ["chulNo"], "weight": ["hrWeight"]}
+    candidates = {n: m.logistic(x, "rcResult", rounds=10) for n, x in sets.items()}
+    board = m.leaderboard(candidates, train, test, "rcResult").first()
+    raced = m.race(candidates, train, test, "rcResult", "race_id").collect()
+    fewer = sum(r.rows for r in raced) < 0.5 * len(candidates) * train.count()
+    return spark.createDataFrame([(raced[0].model == board.model, fewer)], "same_winner boolean, fewer_than_half boolean")
+
+
 @query("stepwise_aic")
 def _(spark, folder):
     df, names = race_frame(spark, folder)

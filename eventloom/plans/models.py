@@ -344,6 +344,41 @@ def leaderboard(
     return train.sparkSession.createDataFrame(rows, "model string, auc double").orderBy(F.desc("auc"), "model")
 
 
+def race(
+    candidates: dict[str, Estimator],
+    train: DataFrame,
+    test: DataFrame,
+    label: str,
+    key: str,
+    start: float = 0.0625,
+    tolerance: float = 0.0,
+    seed: int = 1,
+) -> DataFrame:
+    """A leaderboard by successive halving: ``model``, ``rung``, ``rows`` fitted on, ``auc`` on ``test``; the winner has the last rung.
+
+    All candidates are fitted on a small part of the rows, the better half goes on with twice as many, and so on until one
+    is left, which is fitted on all rows, or the whole table is used. Besides the better half those stay whose AUC is within ``tolerance`` of its
+    last one. The parts are nested and drawn by the hash of ``key`` (unique), so a rerun races over the same rows; each is a
+    filter of the held table, no part is written.
+    """
+    left, rows, share, rung = dict(candidates), [], min(start, 1.0), 0
+    with held(fixed_rows(train, key), test) as (whole, score_on):
+        while left:
+            rung += 1
+            part = whole if share >= 1 else whole.where(uniform(key, seed) < share)
+            size = part.count()
+            found = [(name, rung, size, float(model_auc(estimator.fit(part), score_on, label))) for name, estimator in left.items()]
+            rows += found
+            found.sort(key=lambda r: (-r[3], r[0]))
+            if len(found) == 1 or share >= 1:
+                break
+            last = found[(len(found) + 1) // 2 - 1][3]
+            left = {r[0]: left[r[0]] for i, r in enumerate(found) if i < (len(found) + 1) // 2 or r[3] >= last - tolerance}
+            share = 2 * share if len(left) > 1 else 1.0
+    board = train.sparkSession.createDataFrame(rows, "model string, rung int, rows long, auc double")
+    return board.orderBy(F.desc("rung"), F.desc("auc"), "model")
+
+
 @dataclass
 class Lasso:
     lambda_min: float

@@ -220,3 +220,21 @@ def test_staged_margins_are_those_of_shorter_fits(data):
     best = m.best_round(fits[5], test, "y")
     assert staged[best] == max(staged.values()) and all(staged[r] < staged[best] for r in staged if r < best)
     assert m.score_at(fits[5], test, best).columns == [*test.columns, m.SCORE]
+
+
+def test_race_finds_the_winner_with_fewer_rows(data):
+    train, test = data
+    candidates = {
+        "good": m.gbt(FEATURES, "y", rounds=5),
+        "noise": m.gbt(["noise"], "y", rounds=2),
+        "weak": m.gbt(["x2"], "y", rounds=2),
+        "noise2": m.logistic(["noise"], "y"),
+    }
+    rows = m.race(candidates, train, test, "y", "id", start=0.25).collect()
+    assert rows[0].model == "good" == m.leaderboard(candidates, train, test, "y").first().model
+    assert rows[0].rows == train.count() and rows[0].rung == max(r.rung for r in rows)
+    assert sum(r.rows for r in rows) < 0.8 * 4 * train.count()
+    assert [len({r.model for r in rows if r.rung == g}) for g in (1, 2, 3)] == [4, 2, 1]
+    # Within the tolerance nobody leaves before the whole table has been used.
+    patient = m.race(candidates, train, test, "y", "id", start=0.5, tolerance=1.0).collect()
+    assert [len([r for r in patient if r.rung == g]) for g in (1, 2)] == [4, 4]
