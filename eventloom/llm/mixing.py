@@ -240,21 +240,23 @@ def _decided(rows: DataFrame, mix: Mix | None, labels: Mapping[str, Column], doc
     side = mix.sources.select(F.col("source").alias("__source"), F.col("factor").alias("__factor"), F.col("residual").alias("residual_source"))
     if mix.sources.count() <= BROADCAST_SOURCES:
         side = F.broadcast(side)
-    own = rows.withColumns({"__of": labels["source"]})
-    joined = own.join(side, F.col("__of") == F.col("__source"), "left").drop("__of", "__source")
+    # The labels as columns: the topic is asked for several times, and deciding it reads the text.
+    own = rows.withColumns({f"__own_{n}": label for n, label in labels.items()})
+    joined = own.join(side, F.col("__own_source") == F.col("__source"), "left")
 
     def number(levels: dict[str, tuple], label: Column, which: int) -> Column:
         return F.get(_known([v[which] for v in levels.values()], "array<double>"), (F.array_position(_known([*levels], "array<string>"), label) - 1).cast("int"))
 
-    weight = F.col("__factor") * number(mix.langs, labels["lang"], 0) * number(mix.topics, labels["topic"], 0)
+    lang, topic = F.col("__own_lang"), F.col("__own_topic")
+    weight = F.col("__factor") * number(mix.langs, lang, 0) * number(mix.topics, topic, 0)
     joined = joined.withColumns(
         {
             "weight": F.coalesce(weight, F.lit(1.0)),
             "probability": F.coalesce(weight / F.lit(mix.most), F.lit(1.0)),
-            "residual_lang": number(mix.langs, labels["lang"], 2),
-            "residual_topic": number(mix.topics, labels["topic"], 2),
+            "residual_lang": number(mix.langs, lang, 2),
+            "residual_topic": number(mix.topics, topic, 2),
         }
-    ).drop("__factor")
+    ).drop("__factor", "__source", *[f"__own_{n}" for n in labels])
     return joined.withColumn("sampled", _chosen(document, seed) < F.col("probability"))
 
 

@@ -8,8 +8,9 @@ import numpy as np
 
 from eventloom.llm import spans
 
-#: Pieces of which a task remembers the ids: about 50 bytes each. When it is full, the memory starts anew.
-REMEMBERED = 1_000_000
+#: Pieces (or units) that a worker remembers: about 100 bytes each. When it is full, the memory starts anew. A little under a power of two, at
+#: which the arrays are doubled.
+REMEMBERED = 450_000
 
 _SOLID_ASCII = spans.table_of("21-7E")
 _LEAD = spans.table_of("C3-DF")
