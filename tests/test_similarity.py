@@ -3,6 +3,7 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from eventloom.operators import similarity as sim
 
@@ -91,3 +92,23 @@ def test_only_rare_points_meet_for_high_scores(spark):
     assert {r.point for r in sim._prefix(placed, 0.9).collect()} == {"rare"}
     assert {r.point for r in sim._prefix(placed, 0.7).collect()} == {"rare", "mid"}
     assert {r.point for r in sim._prefix(placed, 0.5).collect()} == {"rare", "mid", "hot"}
+
+
+def meeting(spark, n):
+    """Sets of a common access point and two others, all of them references of each other, in the form that the index takes."""
+    draw = random.Random(n)
+    rows = [(v, v % 2, p, draw.randrange(1, 4)) for v in range(n) for p in {"hot", f"p{draw.randrange(9)}", f"p{draw.randrange(9)}"}]
+    return rows, spark.createDataFrame(rows, SCHEMA).groupBy("pid", F.col("visit").alias("id")).agg(
+        F.array_sort(F.collect_list(F.struct(F.col("bssid").alias("point"), "weight"))).alias("points"), F.sum("weight").alias("total")
+    )
+
+
+def test_sets_with_a_common_point_are_not_paired_within_a_place(spark):
+    rows, sets = meeting(spark, 400)
+    assert sim._few_points(sets, sets) >= 3
+    met = sim._by_subsets(sets, sets, 0.5, ["pid"])
+    # 40,000 pairs of a place share the point; a set of three points has seven subsets.
+    assert met.count() <= 7 * 400
+    frame = spark.createDataFrame(rows, SCHEMA)
+    got = sorted((r.pid, r.visit, r.reference, round(r.score, 9)) for r in sim.best_references(frame, frame, within=["pid"]).collect())
+    assert got == [(*r[:3], round(r[3], 9)) for r in brute(rows, rows, within=True)]
