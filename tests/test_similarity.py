@@ -112,3 +112,12 @@ def test_sets_with_a_common_point_are_not_paired_within_a_place(spark):
     frame = spark.createDataFrame(rows, SCHEMA)
     got = sorted((r.pid, r.visit, r.reference, round(r.score, 9)) for r in sim.best_references(frame, frame, within=["pid"]).collect())
     assert got == [(*r[:3], round(r[3], 9)) for r in brute(rows, rows, within=True)]
+
+
+def test_sets_with_a_common_point_are_not_paired_across_places(spark):
+    rows, sets = meeting(spark, 600)
+    sets = sets.drop("pid")
+    assert sim._by_subsets(sets, sets, 0.5, []).count() <= 7 * 600
+    frame = spark.createDataFrame(rows, SCHEMA)
+    got = sorted((r.visit, r.reference, round(r.score, 9)) for r in sim.best_references(frame, frame).collect())
+    assert got == [(*r[1:3], round(r[3], 9)) for r in brute([(k, 0, *r) for k, _, *r in rows], [(k, 0, *r) for k, _, *r in rows])]
