@@ -213,17 +213,21 @@ _NUMBERED = """WITH numbered AS (SELECT r.pid, r.bssid, r.rssi, r.frequency, k.n
     FROM (SELECT DISTINCT pid, date, visit FROM readings)) k ON r.pid = k.pid AND r.visit = k.visit)"""
 
 
+#: Columns of the pivot by visits; further visits of a place take further rows.
+VISIT_BLOCK = 500
+
+
 @query(
     "pivot_visit",
     f"{_NUMBERED} SELECT pid, bssid, n AS visit_no, round(avg(rssi), 6) AS rssi FROM numbered GROUP BY pid, bssid, n",
 )
 def _(spark, folder):
     # All columns, however many the data have, laid down as rows again: a fixed form that shows every value.
-    wide = v.pivot_visit(views.readings(spark, folder))
+    wide = v.pivot_visit(views.readings(spark, folder), block=VISIT_BLOCK)
     columns = [c for c in wide.columns if c.startswith("visit_")]
     cells = F.posexplode(F.array(*columns)) if columns else F.posexplode(F.array().cast("array<double>"))
-    rows = wide.select("pid", "bssid", cells.alias("place", "rssi")).where("rssi IS NOT NULL")
-    return rounded(rows.select("pid", "bssid", (F.col("place") + 1).cast("bigint").alias("visit_no"), "rssi"), "rssi")
+    rows = wide.select("pid", "bssid", "first_visit", cells.alias("place", "rssi")).where("rssi IS NOT NULL")
+    return rounded(rows.select("pid", "bssid", (F.col("first_visit") + F.col("place")).cast("bigint").alias("visit_no"), "rssi"), "rssi")
 
 
 _BRIDGED = f"""{_NUMBERED}, per AS (SELECT pid, bssid, n, avg(rssi) AS rssi, avg(frequency) AS frequency FROM numbered

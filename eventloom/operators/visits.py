@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from eventloom.operators.ordered import (
+    dealt,
     group_limit,
     group_stats,
     position,
@@ -282,17 +283,30 @@ def number_visits(df: DataFrame, name: str = "visit_no") -> DataFrame:
     return df.join(numbers.select("pid", "visit", name), ["pid", "visit"])
 
 
-def pivot_visit(readings: DataFrame, value: str = "rssi", visits: int | None = None) -> DataFrame:
+def pivot_visit(readings: DataFrame, value: str = "rssi", visits: int | None = None, block: int | None = None) -> DataFrame:
     """One row per (place, access point), one column per visit of the place, in visit order.
 
-    There are as many columns as the place with most visits has, or ``visits`` of them on request.
+    There are as many columns as the place with most visits has, or ``visits`` of them on request. A table has no room for
+    the columns of very many visits: with ``block`` a row holds that many visits, a further row the next ones, and
+    ``first_visit`` tells the number of the visit in column ``visit_1``; rows without a reading are left out.
     """
     numbered = number_visits(readings)
-    last = numbered.agg(F.max("visit_no")).first()[0] or 0 if visits is None else visits
-    if last > PIVOT_COLUMNS:
-        raise ValueError(f"a place has {last} visits; keep them as rows")
-    columns = [F.avg(F.when(F.col("visit_no") == i, F.col(value))).alias(f"visit_{i}") for i in range(1, last + 1)]
-    return numbered.groupBy("pid", "bssid").agg(*columns) if columns else numbered.select("pid", "bssid").distinct()
+    found, rows = numbered.agg(F.max("visit_no"), F.count(F.lit(1))).first()
+    last = found or 0 if visits is None else visits
+    if block is None and last > PIVOT_COLUMNS:
+        raise ValueError(f"a place has {last} visits; lay them out in blocks")
+    keys, width = ["pid", "bssid"], last
+    if block is not None:
+        numbered, width = numbered if visits is None else numbered.where(F.col("visit_no") <= visits), min(block, last)
+        first = F.col("visit_no") - F.pmod(F.col("visit_no") - 1, F.lit(block))
+        numbered = numbered.withColumn("first_visit", first).withColumn("visit_no", F.col("visit_no") - F.col("first_visit") + 1)
+        # All visits of a row meet before they are laid out, so that no wide row is sent.
+        keys = [*keys, "first_visit"]
+        numbered = dealt(numbered, keys, rows)
+    if not width:
+        return numbered.select(*keys).distinct()
+    wide = numbered.groupBy(*keys).pivot("visit_no", list(range(1, width + 1))).agg(F.avg(value))
+    return wide.select(*keys, *[F.col(f"`{i}`").alias(f"visit_{i}") for i in range(1, width + 1)])
 
 
 def bridge_table(numbered: DataFrame) -> DataFrame:

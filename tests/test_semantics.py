@@ -382,6 +382,36 @@ def test_all_visits_of_a_place_count(spark):
     assert set(pivot_bssid(readings, ["b1"], leave_out=True).columns) == {"visit", "b1"}
 
 
+def test_more_visits_than_a_table_has_columns(spark, monkeypatch):
+    """Eleven visits, room for four columns: in blocks no reading is lost."""
+    from eventloom.operators import visits as v
+
+    monkeypatch.setattr(v, "PIVOT_COLUMNS", 4)
+    rows = [(p, n, f"2020-01-{n:02}", b, -50 - n - i) for p in (1, 2) for n in range(1, 12) for i, b in enumerate(("b1", "b2", None)) if (n + i) % 3]
+    readings = spark.createDataFrame(rows + [(1, 4, "2020-01-04", "b1", -93)], "pid long, visit long, date string, bssid string, rssi int")
+    with pytest.raises(ValueError):
+        v.pivot_visit(readings)
+    wide = v.pivot_visit(readings, block=4)
+    assert [c for c in wide.columns if c.startswith("visit_")] == ["visit_1", "visit_2", "visit_3", "visit_4"]
+    found = {(r.pid, r.bssid, r.first_visit + i): r[f"visit_{i + 1}"] for r in wide.collect() for i in range(4) if r[f"visit_{i + 1}"] is not None}
+    want = {(p, b, n): float(s) for p, n, _, b, s in rows} | {(1, "b1", 4): (-54 - 93) / 2}
+    assert found == want
+    some = v.pivot_visit(readings, block=4, visits=6).collect()
+    assert {r.first_visit for r in some} == {1, 5} and all(r.visit_3 is None for r in some if r.first_visit == 5)
+
+
+def test_a_visit_stays_in_one_partition(spark):
+    """Sums by visit need no shuffle of their own, and the partitions follow the rows."""
+    from eventloom.operators.ordered import dealt
+    from eventloom.operators.visits import mean_readings
+
+    rows = spark.range(1000).select((F.col("id") % 300).alias("k"), "id")
+    assert dealt(rows, ["k"], task_rows=20).rdd.getNumPartitions() == 50
+    plan = mean_readings(views.readings(spark, "/root/testdata/sf0.001"))._jdf.queryExecution().executedPlan().toString()
+    before = views.readings(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == before.count("Exchange")
+
+
 def test_splits_of_few_and_many_classes_agree(spark, monkeypatch):
     from eventloom.operators import sampling
 
