@@ -238,3 +238,19 @@ def test_race_finds_the_winner_with_fewer_rows(data):
     # Within the tolerance nobody leaves before the whole table has been used.
     patient = m.race(candidates, train, test, "y", "id", start=0.5, tolerance=1.0).collect()
     assert [len([r for r in patient if r.rung == g]) for g in (1, 2)] == [4, 4]
+
+
+def test_models_fitted_together_have_the_aic_of_single_fits(spark):
+    """Also with a column that others determine, and in as many passes as the slowest model needs."""
+    rows = spark.range(4000).select(
+        (F.col("id") % 13).cast("double").alias("a"), (F.col("id") % 7 * 1000 + 5e6).alias("b"),
+        (F.col("id") % 3 == 0).cast("double").alias("c"), ((F.col("id") * 37 % 100) < 30 + 3 * (F.col("id") % 13)).cast("int").alias("y"),
+    )
+    sets = [["a", "b", "c"], ["a"], ["b", "c"]]
+    found = m.logistic_aic(rows, sets, "y")
+    single = [m._binomial(names, "y").fit(rows).stages[-1].summary.aic for names in sets]
+    assert found == pytest.approx(single, rel=1e-9)
+    twice = rows.withColumn("d", F.col("a") * 2 - 1)
+    assert m.logistic_aic(twice, [["a", "d"]], "y")[0] == pytest.approx(found[1] + 2, rel=1e-9)
+    with pytest.raises(ValueError):
+        m.logistic_aic(rows.withColumn("y", F.lit(None).cast("int")), [["a"]], "y")
