@@ -254,3 +254,9 @@ def test_models_fitted_together_have_the_aic_of_single_fits(spark):
     assert m.logistic_aic(twice, [["a", "d"]], "y")[0] == pytest.approx(found[1] + 2, rel=1e-9)
     with pytest.raises(ValueError):
         m.logistic_aic(rows.withColumn("y", F.lit(None).cast("int")), [["a"]], "y")
+
+
+def test_fixed_partitions_follow_the_rows(spark, monkeypatch):
+    monkeypatch.setattr(m, "TASK_ROWS", 100)
+    assert m.fixed_rows(spark.range(3000), "id").rdd.getNumPartitions() == 30
+    assert m.fixed_rows(spark.range(300), "id").rdd.getNumPartitions() == m.FIXED_PARTITIONS
