@@ -260,3 +260,13 @@ def test_fixed_partitions_follow_the_rows(spark, monkeypatch):
     monkeypatch.setattr(m, "TASK_ROWS", 100)
     assert m.fixed_rows(spark.range(3000), "id").rdd.getNumPartitions() == 30
     assert m.fixed_rows(spark.range(300), "id").rdd.getNumPartitions() == m.FIXED_PARTITIONS
+
+
+def test_kept_frames_have_few_partitions(spark, monkeypatch):
+    """Passes report to the driver by task, so a small table in many partitions is united, and a larger one less."""
+    rows = spark.range(3000).repartition(200)
+    with m.held(rows) as kept:
+        assert kept.rdd.getNumPartitions() == m.FIT_PARTITIONS and kept.count() == 3000
+    monkeypatch.setattr(m, "TASK_ROWS", 50)
+    with m.held(rows, rows.limit(0)) as (kept, none):
+        assert kept.rdd.getNumPartitions() == 60 and none.count() == 0
