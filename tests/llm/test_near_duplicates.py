@@ -5,7 +5,7 @@ import random
 import numpy as np
 from helpers import alnum_words, edge_documents, edit_distance, empty_documents, prose
 
-from eventloom.llm import spans
+from eventloom.llm import orderhash, spans
 from eventloom.llm.components import components
 from eventloom.llm.orderhash import banded_distance, near_duplicates, one_of_each, similarity, sketch_values
 from eventloom.llm.queries import QUERIES
@@ -122,3 +122,50 @@ def test_query_against_all_pairs(spark):
                 low, high = sorted((top(a), top(b)))
                 parent[high] = low
     assert found == {d: top(d) for d in words}
+
+
+def common_and_edited(pairs=150):
+    """Texts with one common passage; each has a copy in which every fifth of its own words is replaced."""
+    draw = random.Random(29)
+    common = [f"c{i}" for i in range(40)]
+    for i in range(pairs):
+        own = [f"w{draw.randrange(50_000)}" for _ in range(100)]
+        two = list(own)
+        for at in draw.sample(range(100), 26):
+            two[at] = f"edit{i}x{at}"
+        yield " ".join([*own, *common]), " ".join([*two, *common])
+
+
+def test_no_pair_of_a_bucket_is_left_out(spark):
+    """All pairs that share a sketch value and are similar are in one class, also where the smallest id of their bucket is like neither."""
+    texts = [t for pair in common_and_edited() for t in pair]
+    _, _, _, values = sketch_values(*spans.packed(texts))
+    hashes = [np.array([hash(w) for w in t.split()]) for t in texts]
+    top = list(range(len(texts)))
+    for i in range(len(texts)):
+        for j in range(i):
+            if (values[i] == values[j]).any() and similarity(hashes[i], hashes[j]) is not None:
+                high, low = max(top[i], top[j]), min(top[i], top[j])
+                top = [low if t == high else t for t in top]
+    assert sum(t != i for i, t in enumerate(top)) > 140
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert {r.doc_id: r.class_id for r in near_duplicates(docs).collect()} == dict(enumerate(top))
+
+
+def test_blocks_hold_every_pair_that_can_be_similar(spark, monkeypatch):
+    """A bucket of several lengths, cut into small blocks: the pairs of different classes, no similar one left out."""
+    draw = random.Random(31)
+    words = [[f"v{draw.randrange(40)}" for _ in range(draw.randint(5, 40))] for _ in range(50)]
+    words += [own[i % 2 :] + [f"e{i}"] for i, own in enumerate(words)] + [["x", *own[len(own) // 6 :]] for own in words]
+    texts = [" ".join(w) for w in draw.sample(words, len(words))]
+    n_words, _, _, _ = sketch_values(*spans.packed(texts))
+    bags = orderhash._bags(*orderhash._words(*spans.packed(texts)))
+    rows = [(i, i % 75, int(n_words[i]), bytearray(bags[i])) for i in range(len(texts))]
+    known = spark.createDataFrame(rows, "doc long, class long, n_words long, bag binary")
+    keyed = spark.createDataFrame([(i, 7) for i in range(len(texts))], "doc long, value long")
+    monkeypatch.setattr(orderhash, "BLOCK", 16)
+    found = [tuple(r) for r in orderhash._apart(keyed, known, 0.8).select("lead", "doc").collect()]
+    hashes = [np.array([hash(w) for w in t.split()]) for t in texts]
+    similar = {(j, i) for i in range(150) for j in range(i) if i % 75 != j % 75 and similarity(hashes[j], hashes[i]) is not None}
+    assert len(found) == len(set(found)) and similar and similar <= set(found)
+    assert all(a % 75 != b % 75 for a, b in found)
