@@ -34,8 +34,12 @@ ROWS, BANDS = 2, 4
 #: Bytes of text for one bucket of band values, and bytes whose values a task unites before it sends them.
 BUCKET_BYTES, SEND_BYTES = 4 << 20, 8 << 20
 
-#: ``near`` is a further minimum, by which the members of a band value are ordered; ``many`` tells paragraphs of several documents.
-_BAND = {"value": "<u8", "code": "<i8", "doc": "<i8", "near": "<u2", "many": "u1"}
+#: Of a band value the low half is sent. ``bits`` has a bit for each shingle, ``size`` their number; ``many`` tells paragraphs of several documents.
+_BAND = {"value": "<u4", "code": "<i8", "doc": "<i8", "bits": "<u8", "size": "u1", "many": "u1"}
+
+#: Members of a band value of which all candidate pairs are sent; in a larger one with more than ``DENSE`` pairs for a member, only one pair
+#: for each at first. Members of such a value that meet in one block later.
+MEET, DENSE, BLOCK = 64, 16, 2000
 
 
 class Paragraphs:
@@ -95,9 +99,12 @@ class Paragraphs:
             values.append(value)
         return values
 
-    def near(self) -> np.ndarray:
-        """A minimum that no band has, in 16 bits."""
-        return spans.mixed(self._least(BANDS * ROWS)) >> np.uint64(48)
+    def bits(self) -> np.ndarray:
+        """64 bits for every paragraph, of which each of its shingles sets one."""
+        bounds = np.empty(2 * len(self.first), dtype=np.int64)
+        bounds[0::2], bounds[1::2] = self.first, self.first + self.size - SHINGLE + 1
+        ones = np.append(np.uint64(1) << (spans.mixed(self.grams) >> np.uint64(58)), np.uint64(0))
+        return np.bitwise_or.reduceat(ones, bounds)[0::2] if len(bounds) else ones[:0]
 
     def shingles(self, at: int) -> np.ndarray:
         first = int(self.first[at])
@@ -128,7 +135,7 @@ def _bander(buckets: int):
         for part, buf, starts in spans.blocks(batches, limit=spans.BLOCK_BYTES // 2):
             p = Paragraphs(buf, starts)
             doc = part.column("doc").to_numpy()[p.text]
-            own = {"code": p.code, "doc": doc, "near": p.near(), "many": np.zeros(len(doc), dtype=np.uint8)}
+            own = {"code": p.code, "doc": doc, "bits": p.bits(), "size": p.size - SHINGLE + 1, "many": np.zeros(len(doc), dtype=np.uint8)}
             found += [{"value": v, **own} for v in p.bands()]
             size += len(buf)
             if size >= SEND_BYTES:
@@ -140,7 +147,9 @@ def _bander(buckets: int):
     return lambda batches: emitted(rows(batches))
 
 
-_PAIR_ARROW = pa.schema([(n, pa.int64()) for n in ("lead", "lead_doc", "code", "doc")])
+#: Pairs, and (without ``lead``) members of a value whose pairs are not all there.
+_PAIR = ("lead", "lead_doc", "code", "doc", "value", "bits", "size", "many")
+_PAIR_ARROW = pa.schema([(n, pa.int64()) for n in _PAIR])
 
 
 def _united(r: dict[str, np.ndarray]) -> tuple[dict[str, np.ndarray], np.ndarray]:
@@ -155,43 +164,90 @@ def _united(r: dict[str, np.ndarray]) -> tuple[dict[str, np.ndarray], np.ndarray
     return r, once
 
 
-def _pairer(table: pa.Table) -> pa.Table:
-    """The paragraphs of a bucket -> each with up to three others of its band value.
+def _close(r: dict[str, np.ndarray], a: np.ndarray, b: np.ndarray, least: float) -> np.ndarray:
+    """Whether paragraphs can have a Jaccard similarity of ``least``, and matter.
+
+    Of n shingles in both together at most n * (1 - least) / (1 + least) are in one alone, and each of those changes one bit at most. So no
+    pair that is similar is left out. Paragraphs of one document overlap and collide with each other; only those of different documents matter.
+    """
+    most = (r["size"][a].astype(np.float64) + r["size"][b]) * ((1 - least) / (1 + least)) + 1e-9
+    apart = (r["doc"][a] != r["doc"][b]) | (r["many"][a] > 0) | (r["many"][b] > 0)
+    return (np.bitwise_count(r["bits"][a] ^ r["bits"][b]) <= most) & apart & (r["code"][a] != r["code"][b])
+
+
+def _pairs_behind(begins: np.ndarray, ends: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Each place from ``begins`` with all behind it up to its end, about a million pairs at a time."""
+    behind = ends - begins - 1
+    sums, at = np.cumsum(behind), 0
+    while at < len(begins):
+        upto = max(at + 1, int(np.searchsorted(sums, (sums[at - 1] if at else 0) + 1_000_000, side="right")))
+        n = behind[at:upto]
+        a = np.repeat(begins[at:upto], n)
+        yield a, a + 1 + np.arange(len(a)) - np.repeat(np.cumsum(n) - n, n)
+        at = upto
+
+
+def _pairer(table: pa.Table, least: float = SIMILARITY) -> pa.Table:
+    """The paragraphs of a bucket -> all pairs of a band value that can be similar, see :func:`_close`.
 
-    These are the smallest of the value, the first of those that also agree in ``near``, and the one before it among them. Alike
-    paragraphs mostly agree in that further minimum, so two of them meet although the smallest is like neither. The links of one
-    value need not be complete: the bands and the paragraphs around give each passage several chances.
+    A value of very many paragraphs that are like each other would have the square of their number. There each is sent with the first one
+    that it can be similar to, and all are sent once more as members, for :func:`_across` to find what pairs their classes leave.
     """
     r = unpack(table.column("blob").to_pylist(), ("doc",), **_BAND)
     order = np.lexsort((r["doc"], r["code"], r["value"]))
     r, once = _united({k: v[order] for k, v in r.items()})
     r = {k: v[once] for k, v in r.items()}
-    order = np.lexsort((r["code"], r["doc"], r["near"], r["value"]))
-    r = {k: v[order] for k, v in r.items()}
-    n = len(order)
-    here = np.arange(n)
-    one, alike = runs_of(r["value"]), runs_of(r["value"], r["near"])
-    lead = spread(_smallest(r["code"], one), one, n)
-    first = spread(alike, alike, n)
-    before = np.maximum(here - 1, first)
-    own, other = np.tile(here, 3), np.concatenate([lead, first, before])
-    # Paragraphs of one document overlap and collide with each other; only those of different documents matter.
-    apart = (r["doc"][own] != r["doc"][other]) | (r["many"][own] > 0) | (r["many"][other] > 0)
-    pair = (r["code"][own] != r["code"][other]) & apart
-    own, other = own[pair], other[pair]
-    a, b = np.where(r["code"][own] < r["code"][other], own, other), np.where(r["code"][own] < r["code"][other], other, own)
+    n = len(once)
+    one = runs_of(r["value"])
+    begins, ends = spread(one, one, n), spread(np.append(one[1:], n)[: len(one)], one, n)
+    found = []
+    for a, b in _pairs_behind(*(x[ends - begins <= MEET] for x in (np.arange(n), ends))):
+        close = _close(r, a, b, least)
+        found.append((a[close], b[close]))
+    members = []
+    for begin, end in zip(one.tolist(), [*one[1:].tolist(), n]):
+        if end - begin <= MEET:
+            continue
+        first, own, sent = np.full(end - begin, -1, dtype=np.int64), [], 0
+        for a, b in _pairs_behind(np.arange(begin, end), np.full(end - begin, end)):
+            close = _close(r, a, b, least)
+            a, b = a[close], b[close]
+            sent += len(a)
+            if sent <= DENSE * (end - begin):
+                own.append((a, b))
+            new, where = np.unique(b, return_index=True)
+            unset = first[new - begin] < 0
+            first[new[unset] - begin] = a[where[unset]]
+        if sent > DENSE * (end - begin):
+            members.append(np.arange(begin, end))
+            own = [(first[first >= 0], begin + np.flatnonzero(first >= 0))]
+        found += own
+    a, b = (np.concatenate([f[i] for f in found] or [one[:0]]) for i in (0, 1))
+    a, b = np.where(r["code"][a] < r["code"][b], a, b), np.where(r["code"][a] < r["code"][b], b, a)
     order = np.lexsort((r["code"][b], r["code"][a]))
     a, b = a[order], b[order]
     new = runs_of(r["code"][a], r["code"][b])
     a, b = a[new], b[new]
-    columns = [r["code"][a], r["doc"][a], r["code"][b], r["doc"][b]]
-    return pa.Table.from_arrays([pa.array(x) for x in columns], schema=_PAIR_ARROW)
-
-
-def _smallest(code: np.ndarray, begins: np.ndarray) -> np.ndarray:
-    """Where the smallest code of every run stands."""
-    order = np.lexsort((code, spread(np.arange(len(begins)), begins, len(code))))
-    return order[begins]
+    m = np.concatenate(members or [one[:0]])
+    none = pa.nulls(len(m), pa.int64()), pa.nulls(len(a), pa.int64())
+    columns = [(r["code"][a], none[0]), (r["doc"][a], none[0]), (r["code"][b], r["code"][m]), (r["doc"][b], r["doc"][m])]
+    columns += [(none[1], r[k][m].astype(np.uint64).view(np.int64)) for k in ("value", "bits", "size", "many")]
+    return pa.Table.from_arrays([pa.chunked_array([pa.array(x, pa.int64()) for x in c]) for c in columns], schema=_PAIR_ARROW)
+
+
+def _across(table: pa.Table, least: float = SIMILARITY) -> pa.Table:
+    """The members of a block -> all pairs of different classes that can be similar; of two parts, only those between them."""
+    r = {k: table.column(k).to_numpy() for k in ("code", "doc", "bits", "size", "many", "class", "part", "other")}
+    r["bits"] = r["bits"].view(np.uint64)
+    found = [(np.empty(0, dtype=np.int64),) * 2]
+    for a, b in _pairs_behind(np.arange(len(r["code"])), np.full(len(r["code"]), len(r["code"]))):
+        near = (r["class"][a] != r["class"][b]) & ((r["part"][a] == r["other"][a]) | (r["part"][a] != r["part"][b]))
+        a, b = a[near], b[near]
+        close = _close(r, a, b, least)
+        found.append((a[close], b[close]))
+    a, b = (np.concatenate([f[i] for f in found]) for i in (0, 1))
+    a, b = np.where(r["code"][a] < r["code"][b], a, b), np.where(r["code"][a] < r["code"][b], b, a)
+    return pa.table({"lead": r["code"][a], "lead_doc": r["doc"][a], "code": r["code"][b], "doc": r["doc"][b]})
 
 
 def _shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -217,8 +273,28 @@ def similar_paragraphs(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
     """Links (``a``, ``b``) between the codes of different paragraphs that share a band and are similar."""
     total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     bands = docs.mapInArrow(_bander(max(1, math.ceil(total / BUCKET_BYTES))), BLOBS)
-    pairs = bands.groupBy("target").applyInArrow(_pairer, "lead long, lead_doc long, code long, doc long")
-    pairs = written(pairs)
+    made = written(bands.groupBy("target").applyInArrow(lambda t: _pairer(t, least), ", ".join(f"{n} long" for n in _PAIR)))
+    links = _alike(made.where("lead is not null").select("lead", "lead_doc", "code", "doc"), docs, least)
+    members = made.where("lead is null")
+    if members.isEmpty():
+        return links
+    links = written(links)
+    # Values of very many paragraphs that are alike: what is still of different classes, in blocks, so that no task holds a whole value.
+    classes = components(links).select(F.col("node").alias("code"), F.col("component").alias("class"))
+    members = members.select("value", "code", "doc", "bits", "size", "many").hint("merge").join(classes, "code", "left")
+    members = written(members.withColumn("class", F.coalesce("class", "code")))
+    mixed = members.groupBy("value").agg(F.count(F.lit(1)).alias("n"), F.min("class").alias("low"), F.max("class").alias("high"))
+    mixed = mixed.where("low < high").select("value", F.ceil(F.col("n") / BLOCK).cast("int").alias("parts"))
+    rows = members.join(mixed, "value").withColumn("part", F.pmod(F.xxhash64("code"), F.col("parts")).cast("int"))
+    rows = rows.select("*", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("other"))
+    block = F.struct("value", F.least("part", "other").alias("a"), F.greatest("part", "other").alias("b"))
+    more = rows.groupBy(block.alias("block")).applyInArrow(lambda t: _across(t, least), "lead long, lead_doc long, code long, doc long")
+    more = written(more.dropDuplicates(["lead", "code"]))
+    return links if more.isEmpty() else links.unionByName(_alike(more, docs, least))
+
+
+def _alike(pairs: DataFrame, docs: DataFrame, least: float) -> DataFrame:
+    """Those of the pairs (``lead``, ``code``, each with a document that has it) whose shingles are alike: (``a``, ``b``)."""
     ends = pairs.select(
         F.explode(F.array(F.struct("code", "doc"), F.struct(F.col("lead").alias("code"), F.col("lead_doc").alias("doc")))).alias("e")
     ).select("e.*")
@@ -264,7 +340,8 @@ def repeated_passages(
 
     Scale: paragraphs are about one for 8 words; their codes are summed with map-side combine, so a passage in very many
     documents is one row for each task. Band values travel as packed columns in buckets of about 4 MB of text each. In a
-    bucket each paragraph is paired with three others at most, see :func:`_pairer`. The texts are shuffled once, by document.
+    bucket all pairs of a band value are looked at by 64 bits of each paragraph, which costs the square of the different paragraphs of a value at some
+    50 ns a pair; those that the bits do not rule out are verified, see :func:`_pairer`. The texts are shuffled once, by document.
 
     Defined cases: a null text, or one of fewer than five words, has no paragraph; a null document id is not compared
     and has no spans; repetition inside one document, or between rows with one id, is left alone;

@@ -1,10 +1,11 @@
 """Suffix sorting, exact substring dedup, and paragraph bands."""
 
 import numpy as np
+import pyarrow as pa
 from helpers import alnum_words, edge_documents, edge_rows, empty_documents, prose, removed_by_brute_force
 
-from eventloom.llm import suffixes
-from eventloom.llm.paragraphs import Paragraphs, repeated_passages
+from eventloom.llm import paragraphs, suffixes
+from eventloom.llm.paragraphs import Paragraphs, repeated_passages, similar_paragraphs
 from eventloom.llm.queries import QUERIES
 from eventloom.llm import spans
 
@@ -212,3 +213,53 @@ def test_links_against_all_pairs(spark):
     assert right >= 0.9 * len(want), right
     # Nothing is joined that similarity does not join.
     assert all(root(found[d].kept_in[0]) == root(d) for d in want if found[d].kept_in)
+
+
+def linked(spark, texts):
+    """Classes of the paragraphs by the links, and by all pairs that share a band and are similar by brute force."""
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc long, text string")
+    p = Paragraphs(*spans.packed(texts))
+    codes, bands = p.code.tolist(), np.stack(p.bands())
+    sets = [set(p.shingles(i).tolist()) for i in range(len(codes))]
+
+    def classes(links):
+        top = {c: c for c in codes}
+        for a, b in links:
+            high, low = max(top[a], top[b]), min(top[a], top[b])
+            if high != low:
+                top = {c: low if t == high else t for c, t in top.items()}
+        return top
+
+    pairs = [
+        (codes[i], codes[j])
+        for i in range(len(codes))
+        for j in range(i)
+        if p.text[i] != p.text[j] and (bands[:, i] == bands[:, j]).any() and len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])
+    ]
+    return classes([tuple(r) for r in similar_paragraphs(docs).collect()]), classes(pairs), len(pairs)
+
+
+def test_no_pair_of_a_band_is_left_out(spark):
+    """Texts around one common lead, and of each a copy with other last words: all meet in a value, where the smallest is like few."""
+    lead = prose(40, 13)
+    texts = [f"{lead} {prose(700 + i, 9)}" for i in range(300)]
+    texts += [" ".join([*t.split()[:-2], f"end{i}", f"last{i}"]) for i, t in enumerate(texts)]
+    found, wanted, pairs = linked(spark, texts)
+    assert pairs > 200 and found == wanted
+
+
+def test_a_band_value_of_very_many_similar_paragraphs(spark):
+    base = [f"w{i}" for i in range(24)]
+    texts = []
+    for family in range(5):
+        for i in range(60):
+            own = [f"f{family}x{k}" if k < 2 * family else w for k, w in enumerate(base)]
+            texts.append(" ".join([*own[:-1], f"end{family}x{i}"] if i else own))
+    found, wanted, pairs = linked(spark, texts)
+    assert pairs > 5000 and found == wanted
+    # The pairs of such a value are not all sent.
+    bits = Paragraphs(*spans.packed(texts))
+    own = {"value": np.zeros(300, "<u4"), "code": bits.code, "doc": np.arange(300), "bits": bits.bits(), "size": np.full(300, 20, "u1"), "many": np.zeros(300, "u1")}
+    blob = [b for _, _, b in paragraphs.dealt(np.zeros(300, np.int64), 0, {k: v.astype(paragraphs._BAND[k]) for k, v in own.items()}, ("doc",))]
+    made = paragraphs._pairer(pa.table({"blob": blob}))
+    assert made.column("lead").null_count == 300 and len(made) <= 600
