@@ -24,7 +24,7 @@ KMER, SIMILARITY = 5, 0.8
 #: with s ** 5, so that j is 0.42 at 0.9 and 0.20 at 0.8: there the single k-mers miss a pair with 0.8 ** 20 = 0.01.
 ORDERED, SKETCHES = 2, 20
 
-#: Fewest and most places of a text's bag of words, members of a bucket that meet in one block, and rows of one group of blocks, about.
+#: Fewest and most bytes of a text's bag of words, members of a bucket that meet in one block, and rows of one group of blocks, about.
 BAG, BAG_MOST, BLOCK, GROUP_ROWS = 64, 4096, 1000, 10_000
 
 
@@ -47,23 +47,52 @@ def _words(buf: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]
 
 
 def _bags(words: np.ndarray, firsts: np.ndarray) -> list[bytes]:
-    """How many words of every text fall on each of some places by their hash, 255 at most; a place for two words, about.
+    """Whether the words of every text that fall on each of some places by their hash are odd in number, a bit for each place.
 
-    The numbers of places are powers of two, so a bag is folded to one with fewer places by adding what falls together.
+    Each word is labelled with the number of equal words before it in its text, so that repeated words count as often as they stand there.
+    There are four places or more for a word, a power of two, so a bag is folded to one with fewer places by the exclusive or
+    of what falls together.
     """
     n = np.diff(firsts)
-    places = np.clip(2 ** np.ceil(np.log2(np.maximum(n, 2) / 2)).astype(np.int64), BAG, BAG_MOST)
+    own = words ^ spans.mixed(np.repeat(np.arange(1, len(n) + 1, dtype=np.uint64), n))
+    order = np.argsort(own, kind="stable")
+    opening = np.flatnonzero(np.append(True, own[order][1:] != own[order][:-1])) if len(own) else order
+    label = np.empty(len(own), dtype=np.uint64)
+    label[order] = np.arange(len(own)) - np.repeat(opening, np.diff(np.append(opening, len(own))))
+    words = words + label * np.uint64(0x9E3779B97F4A7C15)
+    places = np.clip(2 ** np.ceil(np.log2(np.maximum(n, 1) * 4)).astype(np.int64), 8 * BAG, 8 * BAG_MOST)
     begins = np.cumsum(places) - places
     at = np.repeat(begins, n) + (spans.mixed(words) >> np.uint64(40)).astype(np.int64) % np.repeat(places, n)
-    counts = np.minimum(np.bincount(at, minlength=int(places.sum())), 255).astype(np.uint8)
-    return [counts[i : i + m].tobytes() for i, m in zip(begins.tolist(), places.tolist())]
+    odd = np.packbits((np.bincount(at, minlength=int(places.sum())) & 1).astype(np.uint8), bitorder="little")
+    return [odd[i : i + m].tobytes() for i, m in zip((begins // 8).tolist(), (places // 8).tolist())]
 
 
-def _folded(bags: np.ndarray, places: int) -> np.ndarray:
-    """Bags (one row each) over fewer places."""
-    if bags.shape[1] == places:
+def _folded(bags: np.ndarray, size: int) -> np.ndarray:
+    """Bags (one row each, of 8 bytes a column) over fewer places: of ``size`` bytes."""
+    if bags.shape[1] * 8 == size:
         return bags
-    return np.minimum(bags.reshape(len(bags), -1, places).sum(axis=1, dtype=np.int32), 255).astype(np.uint8)
+    return np.bitwise_xor.reduce(bags.reshape(len(bags), -1, size // 8), axis=1)
+
+
+def _stacked(bags: list[bytes], size: int) -> np.ndarray:
+    """Bags of several sizes, folded to ``size`` bytes."""
+    out = np.empty((len(bags), size // 8), dtype=np.uint64)
+    sizes = np.array([len(b) for b in bags], dtype=np.int64)
+    for many in np.unique(sizes).tolist():
+        rows = np.flatnonzero(sizes == many)
+        out[rows] = _folded(np.frombuffer(b"".join(bags[i] for i in rows), dtype=np.uint64).reshape(-1, many // 8), size)
+    return out
+
+
+def _most_apart(one: np.ndarray, other: np.ndarray, least: float) -> np.ndarray:
+    """The places in which the bags of two texts of so many words differ at most at a similarity of ``least``; below 0 if no such texts are.
+
+    A replaced word changes two places of a bag at most, an inserted or removed one changes one, and lengths that differ need as many of the
+    latter.
+    """
+    gap = np.abs(one - other)
+    most = ((1.0 - least) * np.maximum(one, other) + 1e-9).astype(np.int64)
+    return np.where(gap <= most, 2 * most - gap, -1)
 
 
 def _sketch(words: np.ndarray, firsts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -226,6 +255,31 @@ def _word_hashes(buf: np.ndarray, starts: np.ndarray) -> list[np.ndarray]:
     return np.split(spans.span_hash(spans.prefix_sums(low), begin, end), firsts[1:-1])
 
 
+def _possible(pairs: DataFrame, texts: DataFrame, least: float) -> DataFrame:
+    """The pairs (``lead``, ``doc``), and whether the lengths and bags of words of ``texts`` allow a similarity of ``least``.
+
+    A pair of documents with several texts comes once for each pair of them.
+    """
+    lead = texts.select(F.col("doc").alias("lead"), F.col("n_words").alias("lead_words"), F.col("bag").alias("lead_bag"))
+    both = pairs.hint("merge").join(lead, "lead").hint("merge").join(texts.select("doc", "n_words", "bag"), "doc")
+
+    def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            limit = _most_apart(*(batch.column(n).to_numpy() for n in ("n_words", "lead_words")), least)
+            mine, theirs = batch.column("bag").to_pylist(), batch.column("lead_bag").to_pylist()
+            sizes = np.array([min(len(a), len(b)) for a, b in zip(mine, theirs, strict=True)], dtype=np.int64)
+            near = np.zeros(len(limit), dtype=bool)
+            for size in np.unique(sizes[limit >= 0]).tolist():
+                own = np.flatnonzero((sizes == size) & (limit >= 0))
+                one, other = (_stacked([bags[i] for i in own], size) for bags in (mine, theirs))
+                near[own] = np.bitwise_count(one ^ other).sum(axis=1, dtype=np.int64) <= limit[own]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("lead"), batch.column("doc"), pa.array(near)], names=["lead", "doc", "possible"]
+            )
+
+    return both.mapInArrow(judge, "lead long, doc long, possible boolean")
+
+
 def _led(keyed: DataFrame) -> DataFrame:
     """Every document of a bucket (``value``) with the smallest one: pairs (``lead``, ``doc``)."""
     lead = keyed.groupBy("value").agg(F.min("doc").alias("lead"), F.max("doc").alias("last")).where("lead <> last")
@@ -233,7 +287,8 @@ def _led(keyed: DataFrame) -> DataFrame:
 
 
 def _apart(keyed: DataFrame, texts: DataFrame, least: float) -> DataFrame:
-    """The pairs of a bucket (``value``) whose members are of different classes and can be similar: (``lead``, ``doc``).
+    """The pairs of a bucket (``value``) whose members are of different classes and can be similar: (``lead``, ``doc``), with the classes of
+    both (``lead_class``, ``class``) and the places in which their bags differ (``apart``).
 
     ``texts`` has ``doc``, ``class``, ``n_words`` and ``bag``. Texts of ``least`` or more differ in length by a factor of ``least``
     at most, so members meet in cells of the logarithm of their lengths, each with those of its own and of the next smaller
@@ -255,23 +310,25 @@ def _apart(keyed: DataFrame, texts: DataFrame, least: float) -> DataFrame:
     rows = rows.withColumn("part", F.pmod(F.xxhash64("doc", "value"), F.col("parts")).cast("int"))
     rows = rows.select("*", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("other"))
     block = F.xxhash64("value", "cell", F.least("part", "other"), F.greatest("part", "other"))
-    rows = rows.select("doc", "home", "part", (F.col("part") != F.col("other")).alias("two"), block.alias("block"))
-    # The bags come last, so that they are sent once.
-    rows = rows.hint("merge").join(texts.select("doc", "class", "n_words", "bag"), "doc")
+    rows = rows.select("doc", "value", "home", "part", (F.col("part") != F.col("other")).alias("two"), block.alias("block"))
+    # The bags come last, so that they are sent once; with them all values of a document, of which two documents meet in the smallest common one.
+    held = keyed.groupBy("doc").agg(F.collect_set("value").alias("held"))
+    rows = rows.hint("merge").join(texts.select("doc", "class", "n_words", "bag").hint("merge").join(held, "doc"), "doc")
     group = F.pmod("block", F.lit(max(1, -(-total // GROUP_ROWS)))).alias("group")
-    return rows.groupBy(group).applyInArrow(lambda t: _alike(t, least), "lead long, doc long").distinct()
+    found = rows.groupBy(group).applyInArrow(lambda t: _alike(t, least), "lead long, doc long, lead_class long, class long, apart long")
+    return found.groupBy("lead", "doc", "lead_class", "class").agg(F.min("apart").alias("apart"))
 
 
 def _alike(table: pa.Table, least: float) -> pa.Table:
-    """All pairs of a block, of different classes, whose lengths and bags of words allow a similarity of ``least``.
+    """All pairs of a block, of different classes, whose lengths and bags of words allow a similarity of ``least``, see :func:`_most_apart`.
 
-    A replaced word changes the counts of a bag by two at most, an inserted or removed one by one, and lengths that differ need as
-    many of the latter; counts that stop at 255 only come closer. So no pair that is similar is left out.
+    Documents that share several values come from the block of the smallest one only.
     """
     table = table.take(pa.compute.sort_indices(table.column("block")))
     block, doc, group, words, part = (table.column(n).to_numpy() for n in ("block", "doc", "class", "n_words", "part"))
     home, two = (table.column(n).to_numpy(zero_copy_only=False) for n in ("home", "two"))
-    raw = table.column("bag").to_pylist()
+    value, raw = table.column("value").to_pylist(), table.column("bag").to_pylist()
+    held = [set(v) for v in table.column("held").to_pylist()]
     places = np.array([len(b) for b in raw], dtype=np.int64)
     begins = np.flatnonzero(np.append(True, block[1:] != block[:-1]))
     fewest = np.repeat(np.minimum.reduceat(places, begins), np.diff(np.append(begins, len(block))))
@@ -280,10 +337,7 @@ def _alike(table: pa.Table, least: float) -> pa.Table:
     for size in np.unique(fewest).tolist():
         # The bags of blocks with one number of places.
         own = np.flatnonzero(fewest == size)
-        bags = np.empty((len(own), size), dtype=np.uint8)
-        for many in np.unique(places[own]).tolist():
-            rows = np.flatnonzero(places[own] == many)
-            bags[rows] = _folded(np.frombuffer(b"".join(raw[i] for i in own[rows]), dtype=np.uint8).reshape(-1, many), size)
+        bags = _stacked([raw[i] for i in own], size)
         coarse = _folded(bags, BAG)
         # Each row with those behind it in its block, about a million pairs at a time.
         behind = ends[own] - own - 1
@@ -295,22 +349,25 @@ def _alike(table: pa.Table, least: float) -> pa.Table:
             a = np.repeat(np.arange(at, upto), n)
             b = a + 1 + np.arange(len(a)) - np.repeat(np.cumsum(n) - n, n)
             x, y = own[a], own[b]
-            gap = np.abs(words[x] - words[y])
-            most = ((1.0 - least) * np.maximum(words[x], words[y]) + 1e-9).astype(np.int64)
-            keep = (group[x] != group[y]) & (doc[x] != doc[y]) & (home[x] | home[y]) & (gap <= most) & (~two[x] | (part[x] != part[y]))
-            a, b, limit = a[keep], b[keep], (2 * most - gap)[keep]
+            limit = _most_apart(words[x], words[y], least)
+            keep = (group[x] != group[y]) & (doc[x] != doc[y]) & (home[x] | home[y]) & (limit >= 0) & (~two[x] | (part[x] != part[y]))
+            a, b, limit = a[keep], b[keep], limit[keep]
+            apart = limit
             for some in (coarse, bags):
-                near = np.zeros(len(a), dtype=bool)
-                step = max(1, (4 << 20) // some.shape[1])
+                apart = np.zeros(len(a), dtype=np.int64)
+                step = max(1, (1 << 20) // some.shape[1])
                 for i in range(0, len(a), step):
-                    apart = np.abs(some[a[i : i + step]].astype(np.int16) - some[b[i : i + step]]).sum(axis=1, dtype=np.int64)
-                    near[i : i + step] = apart <= limit[i : i + step]
-                a, b, limit = a[near], b[near], limit[near]
-            found.append(np.stack([doc[own[a]], doc[own[b]]]))
+                    apart[i : i + step] = np.bitwise_count(some[a[i : i + step]] ^ some[b[i : i + step]]).sum(axis=1, dtype=np.int64)
+                near = apart <= limit
+                a, b, limit, apart = a[near], b[near], limit[near], apart[near]
+            x, y = own[a], own[b]
+            once = np.array([value[i] == min(held[i] & held[j]) for i, j in zip(x.tolist(), y.tolist())], dtype=bool)
+            x, y, apart = x[once], y[once], apart[once]
+            x, y = np.where(doc[x] < doc[y], x, y), np.where(doc[x] < doc[y], y, x)
+            found.append(np.stack([doc[x], doc[y], group[x], group[y], apart]))
             at = upto
-    pairs = np.concatenate(found, axis=1) if found else np.empty((2, 0), dtype=np.int64)
-    pairs = np.unique(np.sort(pairs, axis=0), axis=1)
-    return pa.table({"lead": pairs[0], "doc": pairs[1]})
+    pairs = np.concatenate(found, axis=1) if found else np.empty((5, 0), dtype=np.int64)
+    return pa.table(dict(zip(("lead", "doc", "lead_class", "class", "apart"), pairs)))
 
 
 def near_duplicates(
@@ -320,9 +377,9 @@ def near_duplicates(
 
     Words are runs of letters and digits in lower case. Texts with the same words are one text from the start.
     The others get 20 order-MinHash values of two k-mers and 20 of one; documents that share a value meet in a bucket. There each is
-    first compared with the smallest id, by an edit distance over words in a band of ``1 - least`` of the longer text. Where a
-    bucket then holds several classes, all its pairs of different classes are looked at, and those that lengths and bags of words do
-    not rule out are compared too: no pair that shares a value and is similar stays in two classes. Linked documents, at
+    first compared with the smallest id, by an edit distance over words in a band of ``1 - least`` of the longer text, unless lengths and
+    bags of words rule it out. Where a bucket then holds several classes, all its pairs of different classes are looked at, and those not
+    ruled out are compared too: no pair that shares a value and is similar stays in two classes. Linked documents, at
     ``least`` or more, form a class named by its smallest id.
 
     Scale: sketches of about 350 bytes a document; one sum and one join on the values, both with few columns;
@@ -342,7 +399,8 @@ def near_duplicates(
     firsts = copies.select("one", "two", F.col("first").alias("doc"))
     single = written(sketched.join(firsts, ["doc", "one", "two"], "left_semi").select("doc", "n_words", "sketch", "bag"))
     keyed = single.select("doc", F.explode("sketch").alias("value"))
-    pairs = written(_led(keyed))
+    tried = written(_possible(_led(keyed), sketched.where("n_words > 0"), least))
+    pairs = tried.where("possible").select("lead", "doc").distinct()
     named = pairs.select(F.explode(F.array("lead", "doc")).alias("doc")).distinct()
     judged = written(_verified(pairs, docs.hint("merge").join(named, "doc", "left_semi"), least))
     links = judged.where("similarity is not null").select(F.col("lead").alias("a"), F.col("doc").alias("b"))
@@ -350,8 +408,8 @@ def near_duplicates(
     same = sketched.join(copies, ["one", "two"]).where("doc <> first").select(F.col("doc").alias("a"), F.col("first").alias("b"))
     classes = written(_classes(links, same))
 
-    # The buckets of documents that are not similar to their lead.
-    failed = judged.where("similarity is null").select(F.explode(F.array("lead", "doc")).alias("doc")).distinct()
+    # The buckets of documents that are not similar to their lead; a document has the values it shares with it.
+    failed = judged.where("similarity is null").select("doc").unionByName(tried.where("not possible").select("doc")).distinct()
     classed = single.join(classes, F.col("doc") == F.col("node"), "left").withColumn("class", F.coalesce("component", "doc"))
     open_values = keyed.join(failed, "doc", "left_semi").select("value").distinct()
     opened = classed.select("doc", "class", F.explode("sketch").alias("value")).hint("merge").join(open_values, "value")
@@ -359,11 +417,21 @@ def near_duplicates(
     rest = written(opened.select("doc", "value").distinct().hint("merge").join(mixed, "value", "left_semi"))
     more = _apart(rest, classed.select("doc", "class", "n_words", "bag"), least)
     more = written(more.join(judged.select("lead", "doc"), ["lead", "doc"], "left_anti"))
-    asked = more.select(F.explode(F.array("lead", "doc")).alias("doc")).distinct()
-    again = _verified(more, docs.hint("merge").join(asked, "doc", "left_semi"), least).where("similarity is not null")
-    again = written(again.select("lead", "doc"))
-    if not again.isEmpty():
-        classes = _united(classes, again)
+    # Of two classes first the pair that is closest; the others, if that leaves them apart.
+    both = F.least("lead_class", "class").alias("low"), F.greatest("lead_class", "class").alias("high")
+    closest = more.groupBy(*both).agg(F.min(F.struct("apart", "lead", "doc")).alias("p")).select("p.lead", "p.doc")
+    asked = written(closest)
+    joined = _links(asked, docs, least)
+    if not joined.isEmpty():
+        classes = written(_united(classes, joined))
+        for end, group in (("lead", "lead_class"), ("doc", "class")):
+            of = classes.select(F.col("node").alias(end), F.col("component").alias("__now"))
+            more = more.hint("merge").join(of, end, "left").withColumn(group, F.coalesce("__now", end)).drop("__now")
+    others = written(more.where("lead_class <> class").select("lead", "doc").join(asked, ["lead", "doc"], "left_anti"))
+    if not others.isEmpty():
+        joined = _links(others, docs, least)
+        if not joined.isEmpty():
+            classes = _united(classes, joined)
     named = sketched.select("doc").distinct().join(classes, F.col("doc") == F.col("node"), "left")
     out = named.select(F.col("doc").alias("doc_id"), F.coalesce("component", "doc").alias("class_id"))
     nameless = docs.where("doc is null").select(F.col("doc").alias("doc_id"), F.lit(None).cast("long").alias("class_id"))
@@ -374,6 +442,13 @@ def _classes(links: DataFrame, same: DataFrame) -> DataFrame:
     return components(links.unionByName(same))
 
 
+def _links(pairs: DataFrame, docs: DataFrame, least: float) -> DataFrame:
+    """The pairs (``lead``, ``doc``) that are similar, verified by the texts of ``docs``."""
+    asked = pairs.select(F.explode(F.array("lead", "doc")).alias("doc")).distinct()
+    found = _verified(pairs, docs.hint("merge").join(asked, "doc", "left_semi"), least)
+    return written(found.where("similarity is not null").select("lead", "doc"))
+
+
 def _united(classes: DataFrame, pairs: DataFrame) -> DataFrame:
     """The classes after the links (``lead``, ``doc``) between members of different ones."""
     ends = pairs

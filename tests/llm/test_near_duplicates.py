@@ -4,6 +4,7 @@ import random
 
 import numpy as np
 from helpers import alnum_words, edge_documents, edit_distance, empty_documents, prose
+from pyspark.sql import functions as F
 
 from eventloom.llm import orderhash, spans
 from eventloom.llm.components import components
@@ -169,3 +170,36 @@ def test_blocks_hold_every_pair_that_can_be_similar(spark, monkeypatch):
     similar = {(j, i) for i in range(150) for j in range(i) if i % 75 != j % 75 and similarity(hashes[j], hashes[i]) is not None}
     assert len(found) == len(set(found)) and similar and similar <= set(found)
     assert all(a % 75 != b % 75 for a, b in found)
+
+
+def test_texts_that_bags_of_words_tell_apart_are_not_aligned(spark, monkeypatch):
+    """Texts with two thirds of their words in common share values, but none is compared by its words with another."""
+    draw = random.Random(37)
+    common = [f"c{i}" for i in range(100)]
+    rows = [(i, " ".join([*common, *(f"w{draw.randrange(50_000)}" for _ in range(50))])) for i in range(120)]
+    asked, verified = [], orderhash._verified
+
+    def counted(pairs, texts, least):
+        asked.append(pairs.count())
+        return verified(pairs, texts, least)
+
+    monkeypatch.setattr(orderhash, "_verified", counted)
+    found = {r.doc_id: r.class_id for r in near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert found == {i: i for i in range(120)} and sum(asked) < 120
+
+
+def test_documents_meet_once_and_with_their_classes(spark):
+    """Documents that share two values: each pair of different classes once, with its classes and how far the bags are apart."""
+    draw = random.Random(41)
+    base = [f"w{i}" for i in range(100)]
+    texts = []
+    for i in range(40):
+        own = list(base)
+        for at in draw.sample(range(100), 4):
+            own[at] = f"e{i}x{at}"
+        texts.append(" ".join(own))
+    bags = orderhash._bags(*orderhash._words(*spans.packed(texts)))
+    known = spark.createDataFrame([(i, i // 10, 100, bytearray(bags[i])) for i in range(40)], "doc long, class long, n_words long, bag binary")
+    keyed = spark.createDataFrame([(i, 7) for i in range(40)], "doc long, value long")
+    found = orderhash._apart(keyed.unionByName(keyed.withColumn("value", F.lit(9).cast("long"))), known, 0.8).collect()
+    assert len(found) == 600 and all(r.lead // 10 == r.lead_class != r["class"] == r.doc // 10 and 0 < r.apart <= 16 for r in found)
