@@ -41,6 +41,9 @@ _BAND = {"value": "<u4", "code": "<i8", "doc": "<i8", "bits": "<u8", "size": "u1
 #: for each at first. Members of such a value that meet in one block later.
 MEET, DENSE, BLOCK = 64, 16, 2000
 
+#: Places on which a paragraph's shingles are marked where members of a value meet, and pairs that are verified at once there.
+MARKS, VERIFY = 1024, 50_000
+
 
 class Paragraphs:
     """The paragraphs of a block of packed texts: text, first word, number of words, and a code of the words."""
@@ -236,18 +239,66 @@ def _pairer(table: pa.Table, least: float = SIMILARITY) -> pa.Table:
 
 
 def _across(table: pa.Table, least: float = SIMILARITY) -> pa.Table:
-    """The members of a block -> all pairs of different classes that can be similar; of two parts, only those between them."""
+    """The members of a block, with their ``shingles`` -> links (``a``, ``b``) that join their classes; of two parts, only those between them.
+
+    All pairs of different classes are looked at; those that :func:`_close` and marks of all shingles on ``MARKS`` places do not rule out are
+    verified. A pair whose classes have been joined before adds nothing, so there are fewer links than members.
+    """
     r = {k: table.column(k).to_numpy() for k in ("code", "doc", "bits", "size", "many", "class", "part", "other")}
     r["bits"] = r["bits"].view(np.uint64)
-    found = [(np.empty(0, dtype=np.int64),) * 2]
-    for a, b in _pairs_behind(np.arange(len(r["code"])), np.full(len(r["code"]), len(r["code"]))):
-        near = (r["class"][a] != r["class"][b]) & ((r["part"][a] == r["other"][a]) | (r["part"][a] != r["part"][b]))
+    sets = table.column("shingles").combine_chunks()
+    marks = _marked(sets)
+    names, own = np.unique(r["class"], return_inverse=True)
+    top, links = np.arange(len(names)), [np.empty(0, dtype=np.int64)] * 2
+    for a, b in _pairs_behind(np.arange(len(own)), np.full(len(own), len(own))):
+        near = (top[own[a]] != top[own[b]]) & ((r["part"][a] == r["other"][a]) | (r["part"][a] != r["part"][b]))
         a, b = a[near], b[near]
         close = _close(r, a, b, least)
-        found.append((a[close], b[close]))
-    a, b = (np.concatenate([f[i] for f in found]) for i in (0, 1))
-    a, b = np.where(r["code"][a] < r["code"][b], a, b), np.where(r["code"][a] < r["code"][b], b, a)
-    return pa.table({"lead": r["code"][a], "lead_doc": r["doc"][a], "code": r["code"][b], "doc": r["doc"][b]})
+        a, b = a[close], b[close]
+        for i in range(0, len(a), VERIFY):
+            x, y = a[i : i + VERIFY], b[i : i + VERIFY]
+            near = top[own[x]] != top[own[y]]
+            x, y = x[near], y[near]
+            most = (r["size"][x].astype(np.float64) + r["size"][y]) * ((1 - least) / (1 + least)) + 1e-9
+            near = np.bitwise_count(marks[x] ^ marks[y]).sum(axis=1, dtype=np.int64) <= most
+            x, y = x[near], y[near]
+            shared, sizes = _shared(sets.take(pa.array(x)), sets.take(pa.array(y)))
+            alike = shared >= least * (sizes - shared)
+            joins = _joined(top, own[x[alike]], own[y[alike]])
+            links = [np.append(l, r["code"][ends[alike][joins]]) for l, ends in zip(links, (x, y))]
+    return pa.table({"a": links[0], "b": links[1]})
+
+
+def _marked(sets: pa.ListArray) -> np.ndarray:
+    """For each list ``MARKS`` bits (one row of 8 bytes a column), of which each of its values sets one."""
+    n = pa.compute.list_value_length(sets).to_numpy(zero_copy_only=False).astype(np.int64)
+    place = (spans.mixed(sets.flatten().to_numpy(zero_copy_only=False).view(np.uint64)) >> np.uint64(40)).astype(np.int64) % MARKS
+    set_ = np.zeros((len(n), MARKS), dtype=np.uint8)
+    set_[np.repeat(np.arange(len(n)), n), place] = 1
+    return np.packbits(set_, axis=1).view(np.uint64)
+
+
+def _joined(top: np.ndarray, one: np.ndarray, other: np.ndarray) -> list[int]:
+    """Joins in ``top``, the first of each one's class, what each pair links; the places of the pairs that joined two classes."""
+    to, joins = {}, []
+
+    def first(c: int) -> int:
+        while (d := to.get(c, c)) != c:
+            to[c] = to.get(d, d)
+            c = d
+        return c
+
+    for i, (a, b) in enumerate(zip(top[one].tolist(), top[other].tolist())):
+        a, b = first(a), first(b)
+        if a != b:
+            to[max(a, b)] = min(a, b)
+            joins.append(i)
+    if to:
+        moved = np.arange(len(top))
+        for c in to:
+            moved[c] = first(c)
+        top[:] = moved[top]
+    return joins
 
 
 def _shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -285,12 +336,21 @@ def similar_paragraphs(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
     members = written(members.withColumn("class", F.coalesce("class", "code")))
     mixed = members.groupBy("value").agg(F.count(F.lit(1)).alias("n"), F.min("class").alias("low"), F.max("class").alias("high"))
     mixed = mixed.where("low < high").select("value", F.ceil(F.col("n") / BLOCK).cast("int").alias("parts"))
-    rows = members.join(mixed, "value").withColumn("part", F.pmod(F.xxhash64("code"), F.col("parts")).cast("int"))
+    rows = written(members.join(mixed, "value"))
+    told = _told(rows.select("code", "doc"), docs)
+    rows = rows.hint("merge").join(told, "code").withColumn("part", F.pmod(F.xxhash64("code"), F.col("parts")).cast("int"))
     rows = rows.select("*", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("other"))
     block = F.struct("value", F.least("part", "other").alias("a"), F.greatest("part", "other").alias("b"))
-    more = rows.groupBy(block.alias("block")).applyInArrow(lambda t: _across(t, least), "lead long, lead_doc long, code long, doc long")
-    more = written(more.dropDuplicates(["lead", "code"]))
-    return links if more.isEmpty() else links.unionByName(_alike(more, docs, least))
+    return links.unionByName(rows.groupBy(block.alias("block")).applyInArrow(lambda t: _across(t, least), "a long, b long"))
+
+
+def _told(ends: DataFrame, docs: DataFrame) -> DataFrame:
+    """The shingles of every paragraph of ``ends`` (its ``code``, and a ``doc`` that has it)."""
+    # Any document that has a paragraph can tell its shingles.
+    asked = ends.groupBy("code").agg(F.min("doc").alias("doc")).groupBy("doc").agg(F.collect_set("code").alias("codes"))
+    # No list of documents or codes has a proven bound, so none is broadcast, at any size.
+    told = docs.hint("merge").join(asked, "doc").select("codes", "text").mapInArrow(_shingles, "code long, shingles array<long>")
+    return written(told.dropDuplicates(["code"]))
 
 
 def _alike(pairs: DataFrame, docs: DataFrame, least: float) -> DataFrame:
@@ -298,11 +358,7 @@ def _alike(pairs: DataFrame, docs: DataFrame, least: float) -> DataFrame:
     ends = pairs.select(
         F.explode(F.array(F.struct("code", "doc"), F.struct(F.col("lead").alias("code"), F.col("lead_doc").alias("doc")))).alias("e")
     ).select("e.*")
-    # Any document that has a paragraph can tell its shingles.
-    asked = ends.groupBy("code").agg(F.min("doc").alias("doc")).groupBy("doc").agg(F.collect_set("code").alias("codes"))
-    # No list of documents or codes has a proven bound, so none is broadcast, at any size.
-    told = docs.hint("merge").join(asked, "doc").select("codes", "text").mapInArrow(_shingles, "code long, shingles array<long>")
-    told = written(told.dropDuplicates(["code"]))
+    told = _told(ends, docs)
     lead = told.select(F.col("code").alias("lead"), F.col("shingles").alias("lead_shingles"))
     both = pairs.select("lead", "code").distinct().hint("merge").join(told, "code").hint("merge").join(lead, "lead")
 

@@ -263,3 +263,30 @@ def test_a_band_value_of_very_many_similar_paragraphs(spark):
     blob = [b for _, _, b in paragraphs.dealt(np.zeros(300, np.int64), 0, {k: v.astype(paragraphs._BAND[k]) for k, v in own.items()}, ("doc",))]
     made = paragraphs._pairer(pa.table({"blob": blob}))
     assert made.column("lead").null_count == 300 and len(made) <= 600
+
+
+def test_links_of_a_block_are_fewer_than_its_members():
+    """Three hundred paragraphs of five families, each a class of its own: the classes of all similar pairs, by a link for each that joins two."""
+    base = [f"w{i}" for i in range(24)]
+    texts = [" ".join([*(f"f{f}x{k}" if k < 2 * f else w for k, w in enumerate(base[:-1])), f"end{f}x{i}"]) for f in range(5) for i in range(60)]
+    p = Paragraphs(*spans.packed(texts))
+    sets = [set(p.shingles(i).tolist()) for i in range(300)]
+    table = pa.table(
+        {
+            "code": p.code, "doc": np.arange(300), "bits": p.bits().view(np.int64), "size": p.size - 4, "many": np.zeros(300, np.int64), "class": p.code,
+            "part": np.zeros(300, np.int32), "other": np.zeros(300, np.int32), "shingles": pa.array([p.shingles(i).view(np.int64) for i in range(300)]),
+        }
+    )
+    links = paragraphs._across(table)
+
+    def classes(pairs):
+        top = list(range(300))
+        for a, b in pairs:
+            high, low = max(top[a], top[b]), min(top[a], top[b])
+            top = [low if t == high else t for t in top]
+        return top
+
+    at = {c: i for i, c in enumerate(p.code.tolist())}
+    similar = [(i, j) for i in range(300) for j in range(i) if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])]
+    found = [(at[a], at[b]) for a, b in zip(links.column("a").to_pylist(), links.column("b").to_pylist())]
+    assert len(similar) > 5000 and len(found) < 300 and classes(found) == classes(similar)
