@@ -435,3 +435,13 @@ def test_three_parts_evaluate_their_source_thrice(spark):
     split.collect()
     plan = split._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
     assert 0 < plan.count("FileScan") <= 3, plan
+
+
+def test_partitions_of_a_family_follow_the_rows(spark):
+    """What is shuffled for windows has as many partitions as the stated rows call for, not as many as there are cores."""
+    from eventloom.operators.ordered import TASK_ROWS, spread
+
+    rows = spark.range(1000)
+    assert spread(rows, ["id"], 50 * TASK_ROWS).rdd.getNumPartitions() == 50
+    assert spread(rows, ["id"], 50 * TASK_ROWS, always=False).rdd.getNumPartitions() == 50
+    assert spread(rows, ["id"], 1000, always=False) is rows
