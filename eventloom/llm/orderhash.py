@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -27,6 +28,9 @@ ORDERED, SKETCHES = 2, 20
 #: Fewest and most bytes of a text's bag of words, members of a bucket that meet in one block, and rows of one group of blocks, about.
 BAG, BAG_MOST, BLOCK, GROUP_ROWS = 64, 4096, 1000, 10_000
 
+#: Ids of asked texts that one broadcast holds (about 20 MB), and the portions of so many ids for each of which the texts are scanned once.
+ASKED, PORTIONS = 500_000, 8
+
 
 def sketch_values(buf: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Number of words, two hashes of all words, and the sketch values (one row each) of every packed text.
@@ -249,6 +253,20 @@ def _verified(pairs: DataFrame, texts: DataFrame, least: float) -> DataFrame:
     return both.mapInArrow(verify, "lead long, doc long, similarity double")
 
 
+def _texts_of(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """The rows of ``docs`` whose id is one of ``ids`` (``doc``, distinct).
+
+    Most texts are not asked for, so the ids go to the texts and only asked texts are shuffled later. More than ``ASKED`` ids go in portions,
+    with one scan of the texts for each; more than ``PORTIONS`` of them meet the texts in a shuffle of both.
+    """
+    ids = written(ids)
+    portions = max(1, -(-ids.count() // ASKED))
+    if portions > PORTIONS:
+        return docs.hint("merge").join(ids, "doc", "left_semi")
+    own = F.pmod(F.xxhash64("doc"), F.lit(portions))
+    return reduce(DataFrame.unionByName, [docs.join(F.broadcast(ids.where(own == i)), "doc", "left_semi") for i in range(portions)])
+
+
 def _word_hashes(buf: np.ndarray, starts: np.ndarray) -> list[np.ndarray]:
     low = spans.LOWER[buf]
     begin, end, firsts = spans.word_spans(low, starts, spans.ALNUM)
@@ -383,7 +401,7 @@ def near_duplicates(
     ``least`` or more, form a class named by its smallest id.
 
     Scale: sketches of about 350 bytes a document; one sum and one join on the values, both with few columns;
-    the texts of candidates only are joined to the pairs. The pairs of buckets with several classes are made
+    the texts of candidates only are shuffled and joined to the pairs. The pairs of buckets with several classes are made
     in blocks of about 1,000 members, so memory is bounded and the work of one bucket is spread over tasks; it grows with the square of the number of
     different texts of a cell of lengths that share a value, at some 100 ns a pair. The smallest of a bucket comes from a sum with
     map-side combine, and joins on hot values or leads are plain joins that adaptive execution splits.
@@ -402,7 +420,7 @@ def near_duplicates(
     tried = written(_possible(_led(keyed), sketched.where("n_words > 0"), least))
     pairs = tried.where("possible").select("lead", "doc").distinct()
     named = pairs.select(F.explode(F.array("lead", "doc")).alias("doc")).distinct()
-    judged = written(_verified(pairs, docs.hint("merge").join(named, "doc", "left_semi"), least))
+    judged = written(_verified(pairs, _texts_of(docs, named), least))
     links = judged.where("similarity is not null").select(F.col("lead").alias("a"), F.col("doc").alias("b"))
     # Copies of one text link through the first of them, and so do the texts of one document.
     same = sketched.join(copies, ["one", "two"]).where("doc <> first").select(F.col("doc").alias("a"), F.col("first").alias("b"))
@@ -445,7 +463,7 @@ def _classes(links: DataFrame, same: DataFrame) -> DataFrame:
 def _links(pairs: DataFrame, docs: DataFrame, least: float) -> DataFrame:
     """The pairs (``lead``, ``doc``) that are similar, verified by the texts of ``docs``."""
     asked = pairs.select(F.explode(F.array("lead", "doc")).alias("doc")).distinct()
-    found = _verified(pairs, docs.hint("merge").join(asked, "doc", "left_semi"), least)
+    found = _verified(pairs, _texts_of(docs, asked), least)
     return written(found.where("similarity is not null").select("lead", "doc"))
 
 

@@ -203,3 +203,26 @@ def test_documents_meet_once_and_with_their_classes(spark):
     keyed = spark.createDataFrame([(i, 7) for i in range(40)], "doc long, value long")
     found = orderhash._apart(keyed.unionByName(keyed.withColumn("value", F.lit(9).cast("long"))), known, 0.8).collect()
     assert len(found) == 600 and all(r.lead // 10 == r.lead_class != r["class"] == r.doc // 10 and 0 < r.apart <= 16 for r in found)
+
+
+def test_only_asked_texts_are_shuffled(spark, monkeypatch):
+    """No plan of the texts to verify has an exchange of all texts; in portions or by a shuffle of both the rows are the same."""
+    base = [f"w{i}" for i in range(60)]
+    rows = [(i, " ".join([*base[: 60 - i % 9], f"e{i}"])) for i in range(30)] + [(i, prose(i, 80)) for i in range(30, 60)] + [(3, "again"), (None, "x")]
+    table = spark.createDataFrame(rows, "doc_id long, text string")
+    plans, verified = [], orderhash._verified
+
+    def seen(pairs, texts, least):
+        plans.append(texts._jdf.queryExecution().executedPlan().toString())
+        return verified(pairs, texts, least)
+
+    monkeypatch.setattr(orderhash, "_verified", seen)
+    classes = sorted(map(str, near_duplicates(table).collect()))
+    assert plans and not any("hashpartitioning(doc" in p or "SortMergeJoin" in p for p in plans)
+    docs, ids = table.withColumnRenamed("doc_id", "doc"), spark.createDataFrame([(i,) for i in range(0, 70, 3)], "doc long")
+    want = sorted(map(str, docs.where("doc % 3 = 0").collect()))
+    for asked, portions in ((500_000, 8), (5, 8), (5, 2)):
+        monkeypatch.setattr(orderhash, "ASKED", asked)
+        monkeypatch.setattr(orderhash, "PORTIONS", portions)
+        assert sorted(map(str, orderhash._texts_of(docs, ids).collect())) == want
+        assert sorted(map(str, near_duplicates(table).collect())) == classes
