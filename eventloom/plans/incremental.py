@@ -47,9 +47,14 @@ class FeatureState:
             raise ValueError(f"features that no state can carry on: {unknown}")
         self.spark, self.folder, self.wanted, self.order = spark, folder.rstrip("/"), list(features), list(order)
         self.time, self.id = self.order[0], self.order[-1]
-        self.ordered = sorted({f.keys for f in features if f.is_ordered})
+        # Key lists in another order are walked once.
+        self.ordered = sorted({_set(f.keys) for f in features if f.is_ordered})
+        self.kinds = [{f.kind for f in features if f.is_ordered and _set(f.keys) == keys} for keys in self.ordered]
         self.summed = sorted({f.keys for f in features if f.kind in ("size", "non_null", "mean")})
         self.distinct = sorted({(f.keys, f.column) for f in features if f.kind == "distinct"})
+        # Tables with one row for each key hold the distinct values of a column that is one of the keys.
+        held = {_set(k): f"sums{i}" for i, k in enumerate(self.summed)} | {k: f"last{i}" for i, k in enumerate(self.ordered)}
+        self.held = [held.get(_set([*keys, column])) for keys, column in self.distinct]
 
     # --- versions ----------------------------------------------------------------------------------
 
@@ -92,6 +97,8 @@ class FeatureState:
         for i, keys in enumerate(self.summed):
             self._sum(plain, keys, i, old, new)
         for i, (keys, column) in enumerate(self.distinct):
+            if self.held[i]:
+                continue
             pairs = plain.where(F.col(column).isNotNull()).select(*keys, column)
             before = self._read(old, f"distinct{i}")
             self._write((pairs if before is None else before.unionByName(pairs)).distinct(), new, f"distinct{i}")
@@ -103,19 +110,29 @@ class FeatureState:
     def _walk(self, rows: DataFrame, keys: tuple[str, ...], i: int, old: int, new: int) -> DataFrame:
         """The rows with time of the previous and of the next row of their key and the number of rows up to them."""
         held = self._read(old, f"last{i}")
-        now = rows.withColumns({"__kept": F.lit(False), "__rows": F.lit(1).cast("long")})
+        counted = "running_count" in self.kinds[i]
+        more = {"__kept": F.lit(False)} | ({"__rows": F.lit(1).cast("long")} if counted else {})
+        now = rows.withColumns(more)
         if held is not None:
             # The last row of each key stands before the day's rows and counts for all that it is the last of.
-            names = [*keys, *self.order, "__micros", "__rows"]
+            names = [*dict.fromkeys([*keys, *self.order, "__micros", *(["__rows"] if counted else [])])]
             missing = [F.lit(None).cast(f.dataType).alias(f.name) for f in rows.schema if f.name not in names]
             now = now.unionByName(held.select(*names, *missing, F.lit(True).alias("__kept")))
-        steps = [Ordered("lag", f"__prev{i}", "__micros"), Ordered("lead", f"__next{i}", "__micros"), Ordered("running_sum", f"__upto{i}", "__rows")]
+        # Every key list needs the next row, to tell the last one; the rows carry on only what features are made of.
+        steps = [Ordered("lead", f"__next{i}", "__micros")]
+        if "previous_gap" in self.kinds[i]:
+            steps.append(Ordered("lag", f"__prev{i}", "__micros"))
+        if counted:
+            steps.append(Ordered("running_sum", f"__upto{i}", "__rows"))
         walked = self._write(ordered_columns(now, list(keys), self.order, steps), new, f"walk{i}")
-        closed = walked.where(F.col("__kept") & F.col(f"__next{i}").isNotNull())
-        self._write(closed.select(self.id, F.col(f"__next{i}").alias("later")), new, f"closed{i}")
+        if "next_gap" in self.kinds[i]:
+            closed = walked.where(F.col("__kept") & F.col(f"__next{i}").isNotNull())
+            self._write(closed.select(self.id, F.col(f"__next{i}").alias("later")), new, f"closed{i}")
         pending = walked.where(F.col(f"__next{i}").isNull())
-        self._write(pending.select(*keys, *self.order, "__micros", F.col(f"__upto{i}").alias("__rows")), new, f"last{i}")
-        return walked.where(~F.col("__kept")).drop("__kept", "__rows")
+        upto = [F.col(f"__upto{i}").alias("__rows")] if counted else []
+        self._write(pending.select(*dict.fromkeys([*keys, *self.order, "__micros"]), *upto), new, f"last{i}")
+        unused = [] if "next_gap" in self.kinds[i] else [f"__next{i}"]
+        return walked.where(~F.col("__kept")).drop("__kept", "__rows", *unused)
 
     def _sum(self, rows: DataFrame, keys: tuple[str, ...], i: int, old: int, new: int) -> None:
         parts = [F.count(F.lit(1)).alias("rows")]
@@ -140,22 +157,44 @@ class FeatureState:
             raise ValueError("no day has been added")
         rows = reduce(DataFrame.unionByName, [self._read(d, "rows") for d in range(1, days + 1)])
         base = [c for c in rows.columns if not c.startswith("__")]
-        for i in range(len(self.ordered)):
-            closed = reduce(DataFrame.unionByName, [self._read(d, f"closed{i}") for d in range(1, days + 1)])
-            rows = rows.join(closed.withColumnRenamed("later", f"__late{i}"), self.id, "left")
+        for i, kinds in enumerate(self.kinds):
+            if "next_gap" in kinds:
+                closed = reduce(DataFrame.unionByName, [self._read(d, f"closed{i}") for d in range(1, days + 1)])
+                rows = rows.join(closed.withColumnRenamed("later", f"__late{i}"), self.id, "left")
+        for keys, side in self._sides(days):
+            rows = _beside(rows, side, keys)
         out: dict[str, Column] = {}
-        for i, keys in enumerate(self.summed):
-            side = self._read(days, f"sums{i}")
-            side = side.select(*[F.col(c).alias(f"__k_{c}") for c in keys], *[F.col(c).alias(f"__{i}_{c}") for c in side.columns if c not in keys])
-            rows = rows.join(side, [rows[c].eqNullSafe(side[f"__k_{c}"]) for c in keys], "left").drop(*[f"__k_{c}" for c in keys])
-        for i, (keys, column) in enumerate(self.distinct):
-            pairs = self._read(days, f"distinct{i}")
-            side = pairs.groupBy(*[F.col(c).alias(f"__k_{c}") for c in keys]).agg(F.count(F.lit(1)).alias(f"__distinct{i}"))
-            rows = rows.join(side, [rows[c].eqNullSafe(side[f"__k_{c}"]) for c in keys], "left").drop(*[f"__k_{c}" for c in keys])
         for f in self.wanted:
             out[f.name] = self._value(f)
         return rows.select(*base, *[v.alias(n) for n, v in out.items()])
 
+    def _sides(self, days: int) -> list[tuple[tuple[str, ...], DataFrame]]:
+        """Key lists with their sums and numbers of distinct values, one row for each key.
+
+        What has fewer keys first joins a table of sums with these keys and others, which has every key of the rows, so that the wide rows are shuffled
+        for the longest key lists only.
+        """
+        sides: dict[tuple[str, ...], DataFrame] = {}
+
+        def add(keys: tuple[str, ...], side: DataFrame) -> None:
+            keys = _set(keys)
+            sides[keys] = _beside(sides[keys], side, keys) if keys in sides else side
+
+        for i, keys in enumerate(self.summed):
+            side = self._read(days, f"sums{i}")
+            add(keys, side.select(*keys, *[F.col(c).alias(f"__{i}_{c}") for c in side.columns if c not in keys]))
+        whole = set(sides)
+        for i, (keys, column) in enumerate(self.distinct):
+            pairs = self._read(days, self.held[i] or f"distinct{i}")
+            # A value that is one of the keys of its own group is counted once.
+            pairs = pairs.where(F.col(column).isNotNull()).select(*dict.fromkeys([*keys, column]))
+            add(keys, pairs.groupBy(*keys).agg(F.count(F.lit(1)).alias(f"__distinct{i}")))
+        for keys in sorted(sides, key=len):
+            wider = [k for k in sorted(whole, key=lambda k: (len(k), k)) if set(keys) < set(k)]
+            if wider:
+                sides[wider[0]] = _beside(sides[wider[0]], sides.pop(keys), keys)
+        return list(sides.items())
+
     def _value(self, f: Feature) -> Column:
         bits = f.options.get("narrow_bits")
         if f.kind == "distinct":
@@ -167,7 +206,7 @@ class FeatureState:
                 return F.col(f"__{i}_s_{f.name}").cast("double") / F.nullif(F.col(f"__{i}_n_{f.name}"), F.lit(0))
             value = F.col(f"__{i}_rows" if f.kind == "size" else f"__{i}_n_{f.name}")
             return F.pmod(value, F.lit(2**bits)) if bits else value
-        i = self.ordered.index(f.keys)
+        i = self.ordered.index(_set(f.keys))
         if f.kind == "running_count":
             return F.col(f"__upto{i}") + F.lit(f.options["base"] - 1)
         now = F.col("__micros")
@@ -179,6 +218,16 @@ class FeatureState:
         return gap if f.options["fill"] is None else F.coalesce(gap, F.lit(f.options["fill"]))
 
 
+def _set(keys: Sequence[str]) -> tuple[str, ...]:
+    return tuple(sorted(keys))
+
+
+def _beside(rows: DataFrame, side: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``rows`` with the columns of ``side``, which has one row for each of ``keys``; null keys are equal."""
+    side = side.withColumnsRenamed({c: f"__k_{c}" for c in keys})
+    return rows.join(side, [rows[c].eqNullSafe(side[f"__k_{c}"]) for c in keys], "left").drop(*[f"__k_{c}" for c in keys])
+
+
 def _whole(df: DataFrame, column: str) -> bool:
     return isinstance(df.schema[column].dataType, T.IntegralType)
 

@@ -110,3 +110,21 @@ def test_sketches_of_days_and_of_the_whole(spark):
     empty = sk.daily_sketches(frame.where("g = 'none'").withColumn("x", F.lit(None).cast("double")), ["g"], "v", "x")
     only = empty.select(sk.distinct_estimate().alias("n"), sk.quantile_estimates((0.5,)).alias("q")).first()
     assert only.n == 0 and only.q is None
+
+
+def test_rows_are_joined_for_the_longest_key_lists_only(spark, tmp_path):
+    """Sums and distinct values of fewer keys join those of more; distinct values that another table holds are not kept again."""
+    wanted = [
+        f.group_size(["ip", "app", "channel"], "n"), f.group_size(["ip", "app"], "m"), f.distinct_count(["ip"], "app", "apps"),
+        f.distinct_count(["app"], "channel", "channels"), f.distinct_count(["ip"], "channel", "of_ip"), f.group_mean(["ip"], "channel", "mean"),
+        f.running_count(["ip", "app"], name="r"), f.previous_gap(["app", "ip"], "before", mode="epoch"), f.next_gap(["ip"], "next"),
+    ]
+    days = days_of(3)
+    state = FeatureState(spark, f"file://{tmp_path}", wanted)
+    for rows in days:
+        state.add(spark.createDataFrame(rows, SCHEMA))
+    so_far = spark.createDataFrame([r for d in days for r in d], SCHEMA)
+    assert values(state.features()) == values(f.add_features(so_far, wanted, ["click_time", "click_id"]))
+    assert len(state.ordered) == 2 and [keys for keys, _ in state._sides(len(days))] == [("app", "channel", "ip")]
+    kept = {p.name for p in tmp_path.glob("000005/*")}
+    assert {n for n in kept if n.startswith("distinct")} == {f"distinct{state.distinct.index((('app',), 'channel'))}", f"distinct{state.distinct.index((('ip',), 'channel'))}"}
