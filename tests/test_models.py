@@ -270,3 +270,9 @@ def test_kept_frames_have_few_partitions(spark, monkeypatch):
     monkeypatch.setattr(m, "TASK_ROWS", 50)
     with m.held(rows, rows.limit(0)) as (kept, none):
         assert kept.rdd.getNumPartitions() == 60 and none.count() == 0
+
+
+def test_thirty_two_partitions_are_united_too(spark):
+    """A small table that is kept in as many partitions as a mid-sized shuffle has."""
+    with m.held(spark.range(3000).repartition(32)) as kept:
+        assert kept.rdd.getNumPartitions() == 16 and kept.count() == 3000
