@@ -8,7 +8,7 @@ from eventloom.catalog import QUERIES
 from eventloom.operators import features as f
 from eventloom.operators import relational as rel
 from eventloom.operators.ordered import position
-from eventloom.plans import pipelines
+from eventloom.plans import pipelines, workflows
 
 
 def plan(df) -> str:
@@ -88,3 +88,16 @@ def test_scans_read_only_needed_columns(spark):
 def test_no_query_plans_a_cartesian_product(spark):
     for name in ("metric_summary", "freq_table", "zscore", "fill_median", "split_70_30", "align_test_mean", "checked_wifi"):
         assert "CartesianProduct" not in plan(QUERIES[name](spark, SMALL)), name
+
+
+def test_churn_submission_rows_fits_whole_models(spark, monkeypatch):
+    """The query averages models of 200 trees and a network of as many passes as it makes by itself."""
+    seen = {}
+
+    def spy(train, test, builds, key="msno", label="is_churn"):
+        seen.update({name: build(["balance"], label).getStages()[-1] for name, build in builds.items()})
+        return test.select(key, F.lit(0.5).alias(label))
+
+    monkeypatch.setattr(workflows, "churn_submission", spy)
+    QUERIES["churn_submission_rows"](spark, SMALL)
+    assert (seen["gbm"].getMaxIter(), seen["rf"].getNumTrees(), seen["glm"].getMaxIter(), seen["dl"].getMaxIter()) == (200, 200, 50, 50)
