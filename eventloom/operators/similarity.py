@@ -19,6 +19,9 @@ STEPS = (0.8, 0.65, 0.5)
 #: Pairs of entries of one access point that meet in one task, about.
 MEETING = 4_000_000
 
+#: Access points of references that are sent to every task, at most; beyond that both sides are shuffled.
+KNOWN_POINTS = 200_000
+
 #: Subsets that are looked up for each entry of the tables, at most, and points of the largest set that is looked up by subsets.
 SUBSETS, MOST_POINTS = 16, 14
 
@@ -36,7 +39,8 @@ def _entries(sets: DataFrame, rarity: DataFrame, within: Sequence[str]) -> DataF
     along = Window.partitionBy(*within, "id").orderBy("__seen", "point")
     whole = Window.partitionBy(*within, "id")
     placed = sets.join(rarity, [*within, "point"])
-    total = F.sum("weight").over(whole)
+    # Where only the points that can be common are entries, the weight of the whole set comes with them.
+    total = F.col("total") if "total" in sets.columns else F.sum("weight").over(whole)
     return placed.select(
         *within, "id", "point", "weight", "__sides", total.alias("total"), (total - F.sum("weight").over(along)).alias("behind")
     )
@@ -77,6 +81,9 @@ def best_references(
     subsets: high scores come first, then lower ones for the visits still without a reference that reaches the score before.
     What counts as few is measured, so that subsets stay within ``SUBSETS`` times the entries of the tables.
 
+    Of a visit only the points that some reference (with equal ``within``) has can be common, so only these go on, with the weight of the
+    whole visit; a visit without any goes no further.
+
     Larger sets meet in an inverted index over access points that holds only the rarest ones of each set (prefix filtering).
     An access point that meets too often is split: its references are copied to several parts among which its visits are
     spread, by the measured numbers of both.
@@ -86,14 +93,21 @@ def best_references(
     """
     names = [*within]
 
-    def sets(df: DataFrame) -> DataFrame:
+    def sets(df: DataFrame, common: DataFrame | None = None) -> DataFrame:
         own = df.select(*names, F.col(key).alias("id"), F.col(point).alias("point"), F.col(weight).cast("long").alias("weight"))
         own = own.dropna().groupBy(*names, "id", "point").agg(F.max("weight").alias("weight"))
+        entry = F.struct("point", "weight")
+        if common is not None:
+            own = own.join(common.withColumn("__common", F.lit(True)), [*names, "point"], "left")
+            entry = F.when(F.col("__common"), entry)
         # A scan has a bounded number of points.
-        points = F.array_sort(F.collect_list(F.struct("point", "weight")))
+        points = F.array_sort(F.collect_list(entry))
         return own.groupBy(*names, "id").agg(points.alias("points"), F.sum("weight").alias("total"))
 
-    asked, known = checkpointed(sets(visits)), checkpointed(sets(references))
+    known = checkpointed(sets(references))
+    common = checkpointed(known.select(*names, F.explode("points.point").alias("point")).distinct())
+    every_asked = checkpointed(sets(visits, F.broadcast(common) if common.count() <= KNOWN_POINTS else common))
+    asked = every_asked.where(F.size("points") > 0)
     few = _few_points(asked, known)
     small, large = (F.size("points") <= few), (F.size("points") > few)
     pairings = []
@@ -112,7 +126,7 @@ def best_references(
         best = checkpointed(_best(met, score, names, last))
         found = best if found is None else found.unionByName(best)
         left = left.join(best.select(*names, "id"), [*names, "id"], "left_anti")
-    rest = left.select(*names, "id")
+    rest = left.select(*names, "id").unionByName(every_asked.where(F.size("points") == 0).select(*names, "id"))
     missing = rest.select("*", *[F.lit(None).cast(t).alias(n) for n, t in (("reference", references.schema[key].dataType.simpleString()),)])
     missing = missing.select("*", F.lit(0.0).alias("score"), F.lit(0.0).alias("matched"), F.lit(1.0).alias("new"))
     every = found.unionByName(missing)
@@ -181,7 +195,7 @@ def _by_subsets(asked: DataFrame, known: DataFrame, score: float, names: Sequenc
 
 def _pairing(asked: DataFrame, known: DataFrame, names: Sequence[str]) -> tuple[DataFrame, DataFrame]:
     """The entries of both sides, see :func:`_entries`."""
-    asked, known = (d.select(*names, "id", F.inline("points")) for d in (asked, known))
+    asked, known = (d.select(*names, "id", "total", F.inline("points")) for d in (asked, known))
     counted = asked.groupBy(*names, "point").agg(F.count(F.lit(1)).alias("__asked"))
     counted = counted.join(known.groupBy(*names, "point").agg(F.count(F.lit(1)).alias("__known")), [*names, "point"], "full")
     pairs = F.coalesce("__asked", F.lit(0)) * F.coalesce("__known", F.lit(0))

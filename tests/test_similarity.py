@@ -121,3 +121,31 @@ def test_sets_with_a_common_point_are_not_paired_across_places(spark):
     frame = spark.createDataFrame(rows, SCHEMA)
     got = sorted((r.visit, r.reference, round(r.score, 9)) for r in sim.best_references(frame, frame).collect())
     assert got == [(*r[1:3], round(r[3], 9)) for r in brute([(k, 0, *r) for k, _, *r in rows], [(k, 0, *r) for k, _, *r in rows])]
+
+
+def test_only_points_of_references_go_on(spark, monkeypatch):
+    """A place without references, and points that no reference of the place has, are not looked up; both ways of finding them give the best of all pairs."""
+    draw = random.Random(77)
+    visits = rows_of(draw, range(200), 60, 10, places=20) + [(v, v % 20, f"own{v}x{i}", 2) for v in range(200) for i in range(9)]
+    references = [r for r in rows_of(draw, range(1000, 1040), 60, 10, places=20) if r[1] % 4 == 0]
+    looked_up = []
+    subsets, pairs = sim._by_subsets, sim._by_pairs
+
+    def by_subsets(asked, known, score, names):
+        looked_up.extend(asked.select("id", "pid", "points.point").collect())
+        return subsets(asked, known, score, names)
+
+    def by_pairs(asked, known, score, names):
+        looked_up.extend(asked.groupBy("id", "pid").agg(F.collect_set("point").alias("point")).collect())
+        return pairs(asked, known, score, names)
+
+    monkeypatch.setattr(sim, "_by_subsets", by_subsets)
+    monkeypatch.setattr(sim, "_by_pairs", by_pairs)
+    left, right = (spark.createDataFrame(x, SCHEMA).repartition(4) for x in (visits, references))
+    there = {(place, point) for _, place, point, _ in references}
+    for limit in (200_000, 0):
+        monkeypatch.setattr(sim, "KNOWN_POINTS", limit)
+        looked_up.clear()
+        got = sorted((r.pid, r.visit, r.reference) for r in sim.best_references(left, right, within=["pid"]).collect())
+        assert got == [x[:3] for x in brute(visits, references, within=True)]
+        assert looked_up and all((r.pid, p) in there for r in looked_up for p in r.point)
