@@ -1,12 +1,14 @@
 """Exact substring dedup: every byte inside a string of some length that an earlier document also has.
 
 Suffixes of a corpus cannot all be shuffled, so equal strings are brought together by content. Every window of
-50 bytes names one of its 16-byte grams, the one with the smallest hash, and consecutive windows with the same
-choice form a *region*. Equal windows choose equal grams, so they lie in regions with the same gram code:
-
-1. Tasks send a small record per distinct region (gram code, region code, smallest document), and the owner
-   of a gram learns which regions are repeated whole by a later document, and which differ although they
-   share the gram.
+50 bytes names one of its 20-byte grams, the first one with the smallest hash, and consecutive windows with the same
+choice form a *region*. Equal windows choose equal grams at the same place, so they lie in regions with the same gram, and
+of the 30 bytes around the gram at least 15 stand before or behind it. So the regions of two equal windows also
+agree in the 15 bytes before the gram, or in those behind it:
+
+1. Tasks send a small record per distinct region (codes of the gram with either side, region code, smallest document), and
+   the owner of a gram learns which regions are repeated whole by a later document, and which differ although they
+   share the gram and one side. The more text, the more grams meet by chance; grams with a side of 15 bytes hardly do.
 2. Only the latter send their bytes, once for each distinct region. The bytes that meet for a range of grams
    are suffix-sorted in two stages, and adjacent common prefixes of 50 bytes show the equal windows.
 3. The answers go back to the documents, and each document cuts its spans.
@@ -54,14 +56,21 @@ BUCKET_BYTES = 4 << 20
 #: Bytes of text whose regions a task unites before it sends them.
 SEND_BYTES = 8 << 20
 
+#: Every group sends a blob to every bucket. Beyond this many bytes of text, buckets, groups and what a task unites grow with the square root
+#: of the text, so that the blobs grow with the text and not with its square; up to ``MOST_CUTS`` times (what a task unites: twice).
+#: A bucket is then compared in cuts of ``BUCKET_BYTES``, one after the other.
+ROOT_BYTES = 1 << 28
+MOST_CUTS = 8
+
 #: Bytes of text whose regions are found at once; the arrays of a smaller block stay in a core's cache.
 REGION_BYTES = 1 << 18
 
-#: Regions of one gram that are compared in one bucket; beyond that, its windows are dealt by their own content.
+#: Regions of one gram and side that are compared in one bucket; beyond that, its windows are dealt by their own content.
 SPREAD_REGIONS = 20_000
 
 _EMPTY = np.empty(0, dtype=np.int64)
-_REPEATED, _COMPARE, _SPREAD = 1, 2, 3
+#: States of a region: repeated whole, or its bytes are asked for: whole, window by window, or (their sum) both.
+_REPEATED, _COMPARE, _SPREAD = 1, 2, 4
 
 
 # --- two-stage suffix sorting -------------------------------------------------------------------------------
@@ -195,42 +204,64 @@ class Regions:
     def __init__(self, buf: np.ndarray, starts: np.ndarray, length: int, gram: int) -> None:
         sums = spans.prefix_sums(buf)
         n, reach = len(buf), length - gram + 1
-        self.first = self.last = self.text = _EMPTY
-        self.sums = sums
+        self.first = self.last = self.text = self.place = _EMPTY
+        self.sums, self.length, self.size = sums, length, gram
         self.gram = self.code = np.empty(0, dtype=np.uint64)
         if n < length:
             self.number = _EMPTY
             return
         begin = np.arange(n - gram + 1)
-        low = spans.span_hash(sums, begin, begin + gram)
+        # The lowest bits hold how far behind the window's start its smallest gram stands: of equal grams the first one is taken.
+        bits = np.uint64(reach.bit_length())
+        low = spans.span_hash(sums, begin, begin + gram) >> bits << bits
         width = 1
         while 2 * width <= reach:  # sliding minimum over ``reach`` grams by doubling
-            low = np.minimum(low[:-width], low[width:])
+            low = np.minimum(low[:-width], low[width:] + np.uint64(width))
             width *= 2
         if width < reach:
-            low = np.minimum(low[: len(low) - (reach - width)], low[reach - width :])
+            low = np.minimum(low[: len(low) - (reach - width)], low[reach - width :] + np.uint64(reach - width))
         # A window lies in one text: it does not reach the line feed behind it.
-        text = np.repeat(np.arange(len(starts) - 1), np.diff(starts))
-        window = np.arange(len(low))
-        window = window[window + length < starts[text[: len(low)] + 1]]
+        inside = np.ones(len(low), dtype=bool)
+        for end in starts[1:].tolist():
+            inside[max(end - length, 0) : end] = False
+        window = np.flatnonzero(inside)
         if not len(window):
             self.number = _EMPTY
             return
         low = low[window]
         new = np.ones(len(window), dtype=bool)
-        new[1:] = (low[1:] != low[:-1]) | (np.diff(window) != 1)
+        # The next window has the same place if it is one nearer to its start.
+        new[1:] = (low[1:] + np.uint64(1) != low[:-1]) | (np.diff(window) != 1)
         at = np.flatnonzero(new)
-        # Equal grams can follow each other; a region has at most ``reach`` windows.
-        run = np.arange(len(window)) - np.repeat(at, np.diff(np.append(at, len(window))))
-        at = np.flatnonzero(run % reach == 0)
         self.first, self.last = window[at], window[np.append(at[1:], len(window)) - 1]
-        self.text, self.gram = text[self.first], low[at]
+        self.text = np.searchsorted(starts, self.first, side="right") - 1
+        self.place = self.first + (low[at] & ((np.uint64(1) << bits) - np.uint64(1))).astype(np.int64)
+        self.gram = spans.mixed(low[at] >> bits)
         self.code = spans.mixed(
             spans.span_hash(sums, self.first, self.last + length) ^ (self.last - self.first).astype(np.uint64)
         )
         opening = np.searchsorted(self.text, np.arange(len(starts) - 1))
         self.number = np.arange(len(at)) - opening[self.text]
 
+    def sides(self) -> dict[str, np.ndarray]:
+        """Codes of each region's gram with what stands before it, and behind it; 0 where the region has less on that side.
+
+        Equal windows have a gram at the same place, and what is left of a window is on its two sides, so at least half of it
+        is on one of them: two regions with a common window have the same code, not 0, on that side.
+        """
+        half = (self.length - self.size + 1) // 2
+        behind = self.place + self.size
+        told = {}
+        for name, begin, there in (
+            ("left", self.place - half, self.place - self.first >= half),
+            ("right", behind, self.last + self.length - behind >= half),
+        ):
+            code = np.zeros(len(self.first), dtype=np.uint64)
+            at = begin[there]
+            code[there] = (spans.mixed(spans.span_hash(self.sums, at, at + half) ^ self.gram[there]) >> np.uint64(32)) | np.uint64(1)
+            told[name] = code.astype(np.uint32)
+        return told
+
     def first_alike(self) -> np.ndarray:
         """For every region, the number of the first region of its text with the same gram and content."""
         if not len(self.first):
@@ -246,10 +277,10 @@ class Regions:
         return alike
 
 
-#: Columns that travel. The regions of one gram are told apart by their code alone, so it travels whole: with k different regions a wrong
-#: equality has a chance of k * k / 2 ** 65. Of the gram 32 bits are enough: two grams that agree in them are compared by their bytes.
+#: Columns that travel. Regions are told apart by their code, 64 bits, and those of both sides. Of a side 32 bits are enough: two regions that agree
+#: in them are compared by their bytes. The gram does not travel; it names the bucket.
 #: ``sum``, 63 bits of a hash of the whole text, tells texts with one document id apart; it is zero (and packs to nothing) where no id is repeated.
-_SENT = {"gram": "<u4", "code": "<u8", "doc": "<i8", "sum": "<i8", "number": "<u4"}
+_SENT = {"left": "<u4", "right": "<u4", "code": "<u8", "doc": "<i8", "sum": "<i8", "number": "<u4"}
 _ANSWER = {"doc": "<i8", "sum": "<i8", "number": "<u4", "state": "u1"}
 _MARKS = {"doc": "<i8", "sum": "<i8", "number": "<u4", "bits": "<u8"}
 #: Columns that are sorted in a blob.
@@ -264,28 +295,38 @@ def _home(doc: np.ndarray, groups: int) -> np.ndarray:
 # --- the three exchanges ------------------------------------------------------------------------------------
 
 
-def _sender(length: int, gram: int, buckets: int, groups: int, repeated: bool):
-    """Documents -> records for the buckets of grams, and answers that the task itself can give."""
+def _sender(length: int, gram: int, buckets: int, groups: int, repeated: bool, unite: int | None = None):
+    """Documents -> records for the buckets of grams, and answers that the task itself can give, for ``unite`` bytes of text at a time."""
 
     def united(found: list[dict[str, np.ndarray]]) -> Iterator[tuple[int, int, bytes]]:
-        all_ = {k: np.concatenate([f[k] for f in found]) for k in found[0]}
-        order = np.lexsort((all_["number"], all_["sum"], all_["doc"], all_["code"], all_["gram"]))
-        r = {k: v[order] for k, v in all_.items()}
-        n = len(order)
-        same = runs_of(r["gram"], r["code"])
-        least = spread(r["doc"][same], same, n)
+        r = {k: np.concatenate([f[k] for f in found]) for k in found[0] if k not in ("text", "doc", "sum")}
+        doc, sums = (np.concatenate([f[k] for f in found]) for k in ("doc", "sum"))
+        texts = np.cumsum([0, *(len(f["doc"]) for f in found)])
+        text = np.concatenate([f["text"] + n for f, n in zip(found, texts[:-1], strict=True)])
+        # Regions by document and text, in the order of their numbers; a stable sort by content keeps that order.
+        place = np.empty(len(doc), dtype=np.int64)
+        place[np.lexsort((sums, doc))] = np.arange(len(doc))
+        by = np.argsort(place[text], kind="stable")
+        r, text = {k: v[by] for k, v in r.items()}, text[by]
+        r["doc"], r["sum"] = doc[text], sums[text]
+        n = len(text)
+        order = np.argsort(r["code"], kind="stable")
+        keys = [r[k][order] for k in ("gram", "code", "doc", "sum")]
+        if len(runs_of(*keys[:2])) != len(runs_of(keys[1])):  # equal codes of different grams
+            order = np.lexsort((r["code"], r["gram"]))
+            keys = [r[k][order] for k in ("gram", "code", "doc", "sum")]
+        same = runs_of(*keys[:2])
+        least = spread(keys[2][same], same, n)
         # A document repeats its own region: its first one speaks for all.
         once = np.zeros(n, dtype=bool)
-        once[runs_of(r["gram"], r["code"], r["doc"], r["sum"])] = True
-        later = once & (r["doc"] > least)
-        sent = np.flatnonzero(once & ~later)
-        sent = sent[np.lexsort((r["number"][sent], r["doc"][sent]))]
+        once[runs_of(*keys)] = True
+        later = once & (keys[2] > least)
+        sent = np.sort(order[once & ~later])
         target = (r["gram"][sent] >> np.uint64(32)) % np.uint64(buckets)
         columns = {k: r[k][sent].astype(_SENT[k]) for k in _SENT}
         yield from dealt(target, 0, columns, _STEPPED)
         if later.any():
-            own = np.flatnonzero(later)
-            own = own[np.lexsort((r["number"][own], r["doc"][own]))]
+            own = np.sort(order[later])
             known = {k: r[k][own].astype(_ANSWER[k]) for k in ("doc", "sum", "number")}
             known["state"] = np.full(len(own), _REPEATED, dtype=np.uint8)
             # These travel with the records, so that both come from one evaluation of the task.
@@ -295,19 +336,19 @@ def _sender(length: int, gram: int, buckets: int, groups: int, repeated: bool):
         found, size = [], 0
         for part, buf, starts in spans.blocks(batches, limit=REGION_BYTES):
             regions = Regions(buf, starts, length, gram)
-            doc = part.column("doc").to_numpy()
-            sums = np.array(_sums(buf, starts, repeated), dtype=np.int64)
             found.append(
                 {
                     "gram": regions.gram,
                     "code": regions.code,
-                    "doc": doc[regions.text],
-                    "sum": sums[regions.text],
-                    "number": regions.number,
+                    **regions.sides(),
+                    "number": regions.number.astype(np.uint32),
+                    "text": regions.text,
+                    "doc": part.column("doc").to_numpy(),
+                    "sum": np.array(_sums(buf, starts, repeated), dtype=np.int64),
                 }
             )
             size += len(buf)
-            if size >= SEND_BYTES:
+            if size >= (unite or SEND_BYTES):
                 yield from united(found)
                 found, size = [], 0
         if found:
@@ -316,6 +357,22 @@ def _sender(length: int, gram: int, buckets: int, groups: int, repeated: bool):
     return lambda batches: emitted(rows(batches))
 
 
+def _asked_for(side: np.ndarray, least: np.ndarray) -> np.ndarray:
+    """What is asked of different regions with the codes ``side`` (0: none) and the smallest documents ``least``.
+
+    Where regions share a code and belong to different documents, their bytes must be compared.
+    """
+    ask = np.zeros(len(side), dtype=np.uint8)
+    order = np.argsort(side, kind="stable")
+    order = order[side[order] > 0]
+    if len(order):
+        one = runs_of(side[order])
+        kinds = np.diff(np.append(one, len(order)))
+        differ = np.minimum.reduceat(least[order], one) != np.maximum.reduceat(least[order], one)
+        ask[order] = spread(np.where(kinds > SPREAD_REGIONS, _SPREAD, _COMPARE) * differ, one, len(order))
+    return ask
+
+
 def _decider(groups: int):
     """Records of a bucket of grams -> answers for the groups of documents."""
 
@@ -324,22 +381,16 @@ def _decider(groups: int):
         blobs = table.column("blob").to_pylist()
         r = unpack([b for b, k in zip(blobs, kinds, strict=True) if k == 0], _STEPPED, **_SENT)
         known = unpack([b for b, k in zip(blobs, kinds, strict=True) if k == 1], _STEPPED, **_ANSWER)
-        order = np.lexsort((r["doc"], r["code"], r["gram"]))
+        order = np.lexsort((r["doc"], r["right"], r["left"], r["code"]))
         r = {k: v[order] for k, v in r.items()}
         n = len(order)
         if n:
-            same = runs_of(r["gram"], r["code"])
-            least = spread(r["doc"][same], same, n)
-            state = np.where(r["doc"] > least, _REPEATED, 0).astype(np.uint8)
-            # Grams whose regions differ and belong to different documents: the bytes must be compared.
-            one = runs_of(r["gram"])
-            new = np.zeros(n, dtype=np.int64)
-            new[same] = 1
-            kinds_of = np.add.reduceat(new, one)
-            differ = np.minimum.reduceat(least, one) != np.maximum.reduceat(least, one)
-            ask = np.where(kinds_of > SPREAD_REGIONS, _SPREAD, _COMPARE) * ((kinds_of > 1) & differ)
-            ask = spread(ask, one, n)
-            state = np.where((state == 0) & (ask > 0), ask, state).astype(np.uint8)
+            same = runs_of(r["code"], r["left"], r["right"])
+            kind = spread(np.arange(len(same)), same, n)
+            least = r["doc"][same]
+            state = np.where(r["doc"] > least[kind], _REPEATED, 0).astype(np.uint8)
+            ask = np.bitwise_or(*[_asked_for(r[side][same], least) for side in ("left", "right")])
+            state = np.where(state == 0, ask[kind], state).astype(np.uint8)
             told = np.flatnonzero(state)
             known = {
                 k: np.concatenate([known[k], (state if k == "state" else r[k])[told].astype(_ANSWER[k])]) for k in _ANSWER
@@ -408,26 +459,26 @@ def _text_blocks(docs: pa.Table, repeated: bool):
         yield part, buf, starts, _sums(buf, starts, repeated)
 
 
-def _marker(length: int, gram: int, buckets: int, repeated: bool):
+def _marker(length: int, gram: int, buckets: int, repeated: bool, cuts: int = 1):
     """A group of documents with its answers -> finished documents, open ones, and bytes to compare."""
 
     def asked(buf: np.ndarray, regions: Regions, at: np.ndarray, names: dict[str, np.ndarray]) -> Iterator[tuple]:
-        """Bucket, bytes and names of the regions ``at``; those of a very common gram go window by window."""
-        first, size = regions.first[at], regions.last[at] + length - regions.first[at]
-        offset = np.zeros(len(at), dtype=np.int64)
-        bucket = (regions.gram[at] >> np.uint64(32)) % np.uint64(buckets)
-        some = names["state"] == _SPREAD
-        if some.any():
-            windows = np.where(some, size - length + 1, 1)
-            source = np.repeat(np.arange(len(at)), windows)
-            offset = np.arange(len(source)) - np.repeat(np.cumsum(windows) - windows, windows)
-            first = first[source] + offset
-            size = np.where(some, length, size)[source]
-            content = spans.span_hash(regions.sums, first, first + length) % np.uint64(buckets)
-            bucket = np.where(some[source], content, bucket[source])
-            names = {k: v[source] for k, v in names.items()}
+        """Bucket, bytes and names of the regions ``at``; those with a very common side go window by window."""
+        whole, some = (np.flatnonzero(names["state"] & x) for x in (_COMPARE, _SPREAD))
+        windows = regions.last[at[some]] - regions.first[at[some]] + 1
+        source = np.concatenate([whole, np.repeat(some, windows)])
+        offset = np.zeros(len(source), dtype=np.int64)
+        offset[len(whole) :] = np.arange(len(source) - len(whole)) - np.repeat(np.cumsum(windows) - windows, windows)
+        first = regions.first[at[source]] + offset
+        size = regions.last[at[source]] + length - first
+        size[len(whole) :] = length
+        meet = regions.gram[at[source]]
+        meet[len(whole) :] = spans.span_hash(regions.sums, first[len(whole) :], first[len(whole) :] + length)
+        bucket = (meet >> np.uint64(32)) % np.uint64(buckets)
+        cut = (meet & np.uint64(2**32 - 1)) % np.uint64(cuts)
+        names = {k: v[source] for k, v in names.items()}
         order = np.argsort(bucket, kind="stable")
-        bucket, first, size, offset = bucket[order], first[order], size[order], offset[order]
+        bucket, first, size, offset, cut = bucket[order], first[order], size[order], offset[order], cut[order]
         names = {k: names[k][order] for k in ("doc", "sum", "number")}
         ends = np.cumsum(size)
         raw = buf[np.repeat(first - (ends - size), size) + np.arange(ends[-1])]
@@ -439,6 +490,7 @@ def _marker(length: int, gram: int, buckets: int, repeated: bool):
                 number=names["number"][a:b].astype("<u4"),
                 offset=offset[a:b].astype("u1"),
                 size=size[a:b].astype("<u4"),
+                cut=cut[a:b].astype("u1"),
             )
             yield int(bucket[a]), head, raw[ends[a] - size[a] : ends[b - 1]].tobytes()
 
@@ -511,7 +563,7 @@ def _asked_of(blob: bytes) -> Iterator[tuple[bytes, np.ndarray]]:
 
 def _comparer(length: int, groups: int):
     """The regions that meet in a bucket -> the windows that an earlier document also has."""
-    kinds = {"doc": "<i8", "sum": "<i8", "number": "<u4", "offset": "u1", "size": "<u4"}
+    kinds = {"doc": "<i8", "sum": "<i8", "number": "<u4", "offset": "u1", "size": "<u4", "cut": "u1"}
 
     def compare(table: pa.Table) -> pa.Table:
         heads, bodies = [], []
@@ -520,13 +572,27 @@ def _comparer(length: int, groups: int):
                 heads.append(head)
                 bodies.append(body)
         r = unpack(heads, **kinds)
+        raw = np.concatenate(bodies)
+        ends = np.cumsum(r["size"].astype(np.int64))
+        marks = []
+        for cut in np.unique(r["cut"]):
+            own = np.flatnonzero(r["cut"] == cut)
+            size = r["size"][own].astype(np.int64)
+            where = np.repeat(ends[own] - np.cumsum(size), size) + np.arange(size.sum())
+            marks.append(marked({k: v[own] for k, v in r.items()}, raw[where]))
+        found = {k: np.concatenate([m[k] for m in marks]) for k in _MARKS}
+        if not len(found["doc"]):
+            return pa.Table.from_batches([], BLOBS_ARROW)
+        return pa.Table.from_batches([batch_of(list(dealt(_home(found["doc"], groups), 0, found)))])
+
+    def marked(r: dict[str, np.ndarray], bodies: np.ndarray) -> dict[str, np.ndarray]:
         # No UTF-8 text has the byte 255: it parts the regions.
         size = r["size"].astype(np.int64)
         begins = np.concatenate([[0], np.cumsum(size + 1)])
         region = np.repeat(np.arange(len(size)), size + 1)
         place = np.arange(begins[-1]) - begins[region]
         text = np.full(begins[-1], 255, dtype=np.uint8)
-        text[place < size[region]] = np.concatenate(bodies)
+        text[place < size[region]] = bodies
         words = words_of(text, length)
         starts = place + length <= size[region]
         order = suffix_array(text, words, length, starts)
@@ -540,11 +606,9 @@ def _comparer(length: int, groups: int):
         by = np.argsort(region[hit], kind="stable")
         own = region[hit][by]
         at = runs_of(own)
-        if not len(at):
-            return pa.Table.from_batches([], BLOBS_ARROW)
         marks = {k: r[k][own[at]] for k in ("doc", "sum", "number")}
-        marks["bits"] = np.bitwise_or.reduceat(bits[by], at)
-        return pa.Table.from_batches([batch_of(list(dealt(_home(marks["doc"], groups), 0, marks)))])
+        marks["bits"] = np.bitwise_or.reduceat(bits[by], at) if len(at) else bits
+        return marks
 
     return compare
 
@@ -588,11 +652,11 @@ def repeated_spans(documents: DataFrame, document: str = "doc_id", text: str = "
     ``kept_sha256`` (of the other bytes, concatenated). Strings are judged on the input and never cross
     documents. The id must be a whole number.
 
-    Scale: two exchanges of the documents' texts, compressed, one of about 18 bytes for each distinct region of a task (about
-    one for 20 bytes of text, whole copies within a task sent once), and one of the bytes of regions that share
-    a gram and differ. Copies, however many, meet as at most one record per task. Buckets and groups
-    have about 4 MB of text each, whatever the size of the input; a gram in very many different regions has
-    its windows dealt by content.
+    Scale: two exchanges of the documents' texts, compressed, one of about 22 bytes for each distinct region of a task (about
+    one for 16 bytes of text, whole copies within a task sent once), and one of the bytes of regions that share
+    a gram and one side of it and differ. Copies, however many, meet as at most one record per task. Buckets and groups
+    have about 4 MB of text each up to 256 MB of text, beyond that they grow with its root up to 32 MB; a gram and side in very
+    many different regions has its windows dealt by content.
 
     Defined cases: a null text is empty; an empty or short text keeps all its bytes; a null id counts as smaller
     than all others; rows with one id do not count as earlier than each other; an empty table gives an empty
@@ -605,13 +669,15 @@ def repeated_spans(documents: DataFrame, document: str = "doc_id", text: str = "
     )
     total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     repeated = bool(docs.groupBy("doc").count().where("count > 1").limit(1).count())
-    buckets = groups = max(1, math.ceil(total / BUCKET_BYTES))
-    records = docs.mapInArrow(_sender(length, gram, buckets, groups, repeated), BLOBS)
+    grown = min(MOST_CUTS, max(1.0, math.sqrt(total / ROOT_BYTES)))
+    buckets = groups = max(1, math.ceil(total / (BUCKET_BYTES * grown)))
+    unite = int(SEND_BYTES * min(2, grown))
+    records = docs.mapInArrow(_sender(length, gram, buckets, groups, repeated, unite), BLOBS)
     answers = records.groupBy("target").applyInArrow(_decider(groups), BLOBS)
 
     def home(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def rows() -> Iterator[tuple[int, int, bytes]]:
-            for part, _, _ in spans.blocks(batches, limit=SEND_BYTES):
+            for part, _, _ in spans.blocks(batches, limit=unite):
                 target = _home(part.column("doc").to_numpy(), groups)
                 order = np.argsort(target, kind="stable")
                 begins = runs_of(target[order])  # a part has a row at least
@@ -624,7 +690,7 @@ def repeated_spans(documents: DataFrame, document: str = "doc_id", text: str = "
     state = written(
         placed.groupBy("target")
         .cogroup(answers.groupBy("target"))
-        .applyInArrow(_ordered(_marker(length, gram, buckets, repeated)), _STATE)
+        .applyInArrow(_ordered(_marker(length, gram, buckets, repeated, math.ceil(grown))), _STATE)
     )
     found = state.where("bucket is not null").select("bucket", "blob").groupBy("bucket")
     marks = found.applyInArrow(_comparer(length, groups), BLOBS)

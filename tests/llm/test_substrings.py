@@ -71,6 +71,54 @@ def test_regions_of_one_gram_whose_codes_agree_in_half_their_bits(spark):
     assert found == removed_by_brute_force(rows)
 
 
+def asked_regions(texts):
+    """Records of the regions of ``texts``, and how many of them are asked for their bytes."""
+    batch = pa.record_batch({"doc": pa.array(range(len(texts)), pa.int64()), "text": texts})
+    records = pa.Table.from_batches(suffixes._sender(50, 20, 1, 1, False)(iter([batch])), suffixes.BLOBS_ARROW)
+    sent = suffixes.unpack([b for b, k in zip(records["blob"].to_pylist(), records["kind"].to_pylist()) if k == 0], ("doc",), **suffixes._SENT)
+    told = suffixes.unpack(suffixes._decider(1)(records)["blob"].to_pylist(), ("doc",), **suffixes._ANSWER)
+    return len(sent["doc"]), int((told["state"] >= suffixes._COMPARE).sum())
+
+
+def test_grams_that_meet_by_chance_are_not_compared():
+    """Texts with common phrases of 30 bytes: no window of 50 is equal, and no bytes are asked for. With 49 bytes they are."""
+    draw = np.random.default_rng(11)
+
+    def texts(common):
+        words = [draw.integers(97, 123, common).astype(np.uint8).tobytes().decode() for _ in range(5)]
+        made = []
+        for _ in range(200):
+            around = draw.integers(97, 123, (6, 40)).astype(np.uint8)
+            made.append("".join(x.tobytes().decode() + w for x, w in zip(around, [*draw.permutation(words), ""], strict=True)))
+        return made
+
+    records, asked = asked_regions(texts(30))
+    assert records > 4000 and asked == 0
+    assert asked_regions(texts(49))[1] > 100
+
+
+def test_equal_strings_wherever_their_gram_stands(spark, monkeypatch):
+    """Equal strings of 45 to 70 bytes at any place, texts of short periods (a gram comes more than once in a window), and runs of one byte."""
+    draw = np.random.default_rng(12)
+    pool = [draw.integers(97, 105, 70).astype(np.uint8).tobytes().decode() for _ in range(20)]
+    pool += [(draw.integers(97, 100, int(draw.integers(1, 33))).astype(np.uint8).tobytes().decode() * 70)[:70] for _ in range(20)]
+    rows = []
+    for doc in range(250):
+        parts = []
+        for _ in range(int(draw.integers(1, 6))):
+            own, size = pool[int(draw.integers(len(pool)))], int(draw.integers(45, 71))
+            begin = int(draw.integers(0, 71 - size))
+            parts.append(draw.integers(97, 105, int(draw.integers(0, 40))).astype(np.uint8).tobytes().decode() + own[begin : begin + size])
+        rows.append((doc, "".join(parts)))
+    want = removed_by_brute_force(rows)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    assert digest(suffixes.repeated_spans(docs)) == want
+    monkeypatch.setattr(suffixes, "SPREAD_REGIONS", 3)
+    monkeypatch.setattr(suffixes, "BUCKET_BYTES", 2_000)
+    monkeypatch.setattr(suffixes, "ROOT_BYTES", 6_000)  # the buckets are compared in cuts
+    assert digest(suffixes.repeated_spans(docs)) == want
+
+
 def test_odd_rows(spark):
     docs = edge_documents(spark)
     runs = [(20, "ab" * 300), (21, "x" + "ab" * 100 + "=" * 200), (22, "=" * 120 + "ab" * 40), (23, "=" * 49)]
